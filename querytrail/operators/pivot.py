@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querytrail.session import ensure_checkpoint_dir
+
 # Spark's own ceiling for data-derived pivot columns (spark.sql.pivotMaxValues).
 DEFAULT_MAX_VALUES = 10_000
 # Up to this many columns one conditional count per column is cheapest (one
@@ -49,31 +51,47 @@ def pivot_counts(
 ) -> DataFrame:
     """One row per ``key``, one ``bigint`` count column per ``column`` value.
 
-    Column set: ``values`` if given, else the data's distinct values (an
-    extra aggregate job, as with Spark's own pivot), sorted with null first
-    and named ``null`` for a null term (M6).  Missing combinations are 0.
-    A null key stays null unless ``fill_key`` (the reference's
-    ``na.fill(0)`` turned it into 0, M5).
+    Column set: ``values`` if given, else the data's distinct values, sorted
+    with null first and named ``null`` for a null term (M6).  Missing
+    combinations are 0.  A null key stays null unless ``fill_key`` (the
+    reference's ``na.fill(0)`` turned it into 0, M5).
 
-    With a value list this also runs on streaming frames.
+    With ``values`` the input is read once, straight into one conditional
+    count per column (this form also runs on streams).  Without, the input
+    is still read once: the (key, value) counts are aggregated and
+    checkpointed to the shared checkpoint directory, and both the column
+    list and the matrix come from that small result.
     """
     if values is None:
         if df.isStreaming:
             raise ValueError("streaming pivot needs an explicit values= list")
-        values = distinct_values(df, column, max_values)
-    values = list(values)
-    if len(values) <= CONDITIONAL_LIMIT:
-        term = F.col(column)
-        aggs = [F.count_if(term.eqNullSafe(F.lit(v))).alias(_name(v)) for v in values]
-        if not aggs:
-            out = df.select(key).distinct()
-        else:
-            out = df.groupBy(key).agg(*aggs)
+        ensure_checkpoint_dir(df.sparkSession)
+        pairs = df.groupBy(key, column).agg(F.count(F.lit(1)).alias(_N)).checkpoint(eager=True)
+        out = _from_pairs(pairs, key, column, distinct_values(pairs, column, max_values))
     else:
-        # Pre-aggregate to (key, value) counts, then Spark's pivot-first.
-        pairs = df.groupBy(key, column).agg(F.count(F.lit(1)).alias("__n"))
-        out = pairs.groupBy(key).pivot(column, values).agg(F.sum("__n"))
-        out = out.na.fill(0, subset=[_name(v) for v in values])
+        values = list(values)
+        if len(values) <= CONDITIONAL_LIMIT:
+            term = F.col(column)
+            aggs = [F.count_if(term.eqNullSafe(F.lit(v))).alias(_name(v)) for v in values]
+            out = df.groupBy(key).agg(*aggs) if aggs else df.select(key).distinct()
+        else:
+            out = _from_pairs(df.groupBy(key, column).agg(F.count(F.lit(1)).alias(_N)), key, column, values)
     if fill_key:
         out = out.withColumn(key, F.coalesce(F.col(key), F.lit(0).cast(df.schema[key].dataType)))
     return out
+
+
+_N = "__n"
+
+
+def _from_pairs(pairs: DataFrame, key: str, column: str, values: list) -> DataFrame:
+    """Matrix from (key, value, count) rows: conditional sums for a few
+    columns, Spark's two-phase pivot for many."""
+    if not values:
+        return pairs.select(key).distinct()
+    if len(values) <= CONDITIONAL_LIMIT:
+        term, n = F.col(column), F.col(_N)
+        aggs = [F.sum(F.when(term.eqNullSafe(F.lit(v)), n).otherwise(F.lit(0).cast("bigint"))).alias(_name(v)) for v in values]
+        return pairs.groupBy(key).agg(*aggs)
+    out = pairs.groupBy(key).pivot(column, values).agg(F.sum(_N))
+    return out.na.fill(0, subset=[_name(v) for v in values])

@@ -41,7 +41,7 @@ TOP_K = 10
 RANK_K = 3
 EVENT_KEYWORD = "SiGn"
 DOCUMENT_KEYWORDS = ("Über", "été")
-STREAM_FILES = 3
+STREAM_BATCHES = 3
 STREAM_TIMEOUT_S = 900.0
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,8 +160,13 @@ def q_keyword_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ------------------------------------------------------------
 
 
-def _event_topic(spark: SparkSession, sf_dir: str, base: str) -> str:
-    return write_topic_files(event_messages(spark, sf_dir), os.path.join(base, "topic"), min_files=STREAM_FILES)
+def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """The events as a file topic under ``base``, read back as a stream of
+    about :data:`STREAM_BATCHES` micro-batches."""
+    messages = event_messages(spark, sf_dir)
+    files = max(messages.rdd.getNumPartitions(), STREAM_BATCHES)
+    topic = write_topic_files(messages, os.path.join(base, "topic"), min_files=STREAM_BATCHES)
+    return stream_topic_files(spark, topic, max_files_per_trigger=-(-files // STREAM_BATCHES))
 
 
 def _drain(spark: SparkSession, result: DataFrame, base: str, name: str) -> DataFrame:
@@ -184,15 +189,13 @@ def _drain(spark: SparkSession, result: DataFrame, base: str, name: str) -> Data
 
 def q_stream_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream_keyword")
-    topic = _event_topic(spark, sf_dir, base)
-    hits = keyword_events(stream_topic_files(spark, topic, max_files_per_trigger=1), EVENT_KEYWORD)
+    hits = keyword_events(_event_stream(spark, sf_dir, base), EVENT_KEYWORD)
     return to_ntz(_drain(spark, hits, base, "hits"))
 
 
 def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream_decode")
-    topic = _event_topic(spark, sf_dir, base)
-    rows = decoded_events(stream_topic_files(spark, topic, max_files_per_trigger=1))
+    rows = decoded_events(_event_stream(spark, sf_dir, base))
     return to_ntz(_drain(spark, rows, base, "decoded"))
 
 
@@ -200,8 +203,7 @@ def q_live_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E4 in complete mode: each micro-batch carries the whole window table,
     so the last batch written is the exact answer."""
     base = shared_dir(spark, "live_trending")
-    topic = _event_topic(spark, sf_dir, base)
-    stream = decoded_events(stream_topic_files(spark, topic, max_files_per_trigger=1))
+    stream = decoded_events(_event_stream(spark, sf_dir, base))
     counts = live_trending(stream, watermark="1 hour")
     sink = SinkConfig(root=base)
     query = start(

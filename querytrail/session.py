@@ -56,6 +56,22 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint directory, registered with the SparkContext so
+    ``DataFrame.checkpoint()`` writes there.  Set only when unset."""
+    base = _configured_checkpoint_dir(spark)
+    if not base:
+        base = tempfile.mkdtemp(prefix="querytrail-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    try:
+        sc = spark.sparkContext
+        if not sc._jsc.sc().getCheckpointDir().isDefined():
+            sc.setCheckpointDir(base)
+    except Exception:
+        pass
+    return base
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh directory under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -64,13 +80,6 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     of an executor.  Only when it is unset (local tests) a temporary
     directory is created and registered as the checkpoint dir.
     """
-    base = _configured_checkpoint_dir(spark)
-    if not base:
-        base = tempfile.mkdtemp(prefix="querytrail-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:
-            pass
+    base = ensure_checkpoint_dir(spark)
     leaf = "-".join(parts + (uuid.uuid4().hex[:12],)) if parts else uuid.uuid4().hex
     return os.path.join(base.rstrip("/"), "querytrail", leaf)

@@ -19,6 +19,25 @@ REGION_BUCKETS = 25
 LOG_EPOCH_MS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
 
 
+def as_topic(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` partitions, like a topic
+    with that many partitions.
+
+    Only a source with fewer splits than that (a small file with a single
+    row group) is redistributed, round-robin; a large table already has
+    thousands of splits and is left as it is, without a shuffle.
+    Defaults to the session's default parallelism.
+    """
+    if min_partitions is None:
+        try:
+            min_partitions = df.sparkSession.sparkContext.defaultParallelism
+        except Exception:  # no SparkContext (Spark Connect)
+            return df
+    if df.rdd.getNumPartitions() >= min_partitions:
+        return df
+    return df.repartition(min_partitions)
+
+
 def event_rows(events: DataFrame) -> DataFrame:
     """``events`` -> EVENT fields: user_id int, search, region, ISO time text."""
     return events.select(
@@ -29,9 +48,9 @@ def event_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def events_wire(events: DataFrame) -> DataFrame:
-    """``events`` as EVENT messages (``value binary``)."""
-    return encode_json(event_rows(events))
+def events_wire(events: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``events`` as EVENT messages (``value binary``) on a multi-partition topic."""
+    return encode_json(as_topic(event_rows(events), min_partitions))
 
 
 def log_rows(part: DataFrame) -> DataFrame:
@@ -43,6 +62,6 @@ def log_rows(part: DataFrame) -> DataFrame:
     )
 
 
-def parts_wire(part: DataFrame) -> DataFrame:
-    """``part`` as LOG messages (``value binary``)."""
-    return encode_json(log_rows(part))
+def parts_wire(part: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """``part`` as LOG messages (``value binary``) on a multi-partition topic."""
+    return encode_json(as_topic(log_rows(part), min_partitions))
