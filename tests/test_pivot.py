@@ -1,0 +1,73 @@
+import pytest
+
+from querytrail.operators import distinct_values, pivot_counts
+from querytrail.operators import pivot as pivot_mod
+
+SCHEMA = "user_id int, search string"
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_pivot_from_data(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "b"), (2, None)], SCHEMA)
+    out = pivot_counts(df)
+    assert out.columns == ["user_id", "null", "a", "b"]  # sorted, null first (M6)
+    assert out.dtypes[1:] == [("null", "bigint"), ("a", "bigint"), ("b", "bigint")]
+    assert _rows(out) == sorted([(1, 0, 2, 1), (2, 1, 0, 1)], key=str)
+
+
+def test_null_key_kept_or_filled(spark):
+    df = spark.createDataFrame([(None, "a"), (0, "a")], SCHEMA)
+    assert _rows(pivot_counts(df)) == sorted([(None, 1), (0, 1)], key=str)
+    # the reference's na.fill(0) also filled the key (M5)
+    assert _rows(pivot_counts(df, fill_key=True)) == [(0, 1), (0, 1)]
+
+
+def test_explicit_values(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "z")], SCHEMA)
+    out = pivot_counts(df, values=["a", "b"])
+    assert out.columns == ["user_id", "a", "b"]
+    assert _rows(out) == [(1, 1, 0)]
+
+
+def test_explicit_values_read_input_once(spark):
+    df = spark.createDataFrame([(1, "a")], SCHEMA)
+    plan = pivot_counts(df, values=["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_empty_input_gives_key_only(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    out = pivot_counts(df)
+    assert out.columns == ["user_id"] and out.count() == 0
+
+
+def test_many_values_use_two_phase_pivot(spark, monkeypatch):
+    monkeypatch.setattr(pivot_mod, "CONDITIONAL_LIMIT", 2)
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c")], SCHEMA)
+    out = pivot_counts(df)
+    assert out.columns == ["user_id", "a", "b", "c"]
+    assert _rows(out) == [(1, 1, 1, 0), (2, 0, 0, 2)]
+    out2 = pivot_counts(df, values=["c", "a", "b"])
+    assert _rows(out2.select("user_id", "a", "b", "c")) == [(1, 1, 1, 0), (2, 0, 0, 2)]
+
+
+def test_too_many_values_is_an_error(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c")], SCHEMA)
+    with pytest.raises(ValueError):
+        distinct_values(df, "search", max_values=2)
+    assert distinct_values(df, "search", max_values=3) == ["a", "b", "c"]
+
+
+def test_pivot_matches_reference_shape(spark):
+    """Same numbers as groupBy(user, term).count() -> pivot -> sum -> fill."""
+    from pyspark.sql import functions as F
+
+    rows = [(u % 7, t) for u, t in zip(range(200), ["x", "y", "z", None] * 50)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    ref = df.groupBy("user_id", "search").count().groupBy("user_id").pivot("search").sum("count").na.fill(0)
+    mine = pivot_counts(df, fill_key=True)
+    assert mine.columns == ref.columns
+    assert _rows(mine) == _rows(ref.select(*[F.col(c).cast("bigint") if c != "user_id" else F.col(c) for c in ref.columns]))
