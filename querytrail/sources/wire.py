@@ -28,12 +28,13 @@ def as_topic(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     thousands of splits and is left as it is, without a shuffle.
     Defaults to the session's default parallelism.
     """
-    if min_partitions is None:
-        try:
+    try:
+        if min_partitions is None:
             min_partitions = df.sparkSession.sparkContext.defaultParallelism
-        except Exception:  # no SparkContext (Spark Connect)
-            return df
-    if df.rdd.getNumPartitions() >= min_partitions:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext / RDD API (Spark Connect): leave as is
+        return df
+    if splits >= min_partitions:
         return df
     return df.repartition(min_partitions)
 

@@ -77,6 +77,23 @@ def test_live_trending_append_emits_closed_windows_only(spark, scratch):
     assert got == [base, base + dt.timedelta(minutes=30)]
 
 
+def test_live_trending_update_mode_latest_counts(spark, scratch):
+    base = dt.datetime(2024, 1, 1)
+    topic = os.path.join(scratch, "ordered")
+    for minute in [0, 5, 40]:
+        msg = json.dumps({"user_id": 1, "search": "a", "timestamp": (base + dt.timedelta(minutes=minute)).strftime("%Y-%m-%dT%H:%M:%SZ")})
+        spark.createDataFrame([(bytearray(msg.encode()),)], "value binary").coalesce(1).write.mode("append").parquet(topic)
+    stream = with_event_time(decode(stream_topic_files(spark, topic, 1), EVENT))
+    sink, _ = _run(live_trending(stream, "1 hour"), scratch, "w", mode="update")
+    out = read_batches(spark, "w", sink, keep_batch_id=True).collect()
+    latest = {}
+    for r in sorted(out, key=lambda r: r.batch_id):
+        latest[r.start_time.replace(tzinfo=None)] = r["count"]
+    # every batch re-emits the windows it changed; the newest version is exact
+    assert latest == {base: 2, base + dt.timedelta(minutes=30): 1}
+    assert len(out) == 3
+
+
 def test_watermark_required(spark, scratch):
     stream = stream_topic_files(spark, _topic(spark, scratch))
     with pytest.raises(ValueError):
