@@ -24,9 +24,12 @@ def as_topic(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     with that many partitions.
 
     Only a source with fewer splits than that (a small file with a single
-    row group) is redistributed, round-robin; a large table already has
-    thousands of splits and is left as it is, without a shuffle.
-    Defaults to the session's default parallelism.
+    row group) is redistributed; a large table already has thousands of
+    splits and is left as it is, without a shuffle.  Rows are hashed on a
+    row id: evenly spread whatever the keys (duplicates and hot keys too),
+    deterministic when a task is retried, and without the full sort that
+    a round-robin repartition does first.  Defaults to the session's
+    default parallelism.
     """
     try:
         if min_partitions is None:
@@ -36,7 +39,7 @@ def as_topic(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     if splits >= min_partitions:
         return df
-    return df.repartition(min_partitions)
+    return df.repartition(min_partitions, F.monotonically_increasing_id())
 
 
 def event_rows(events: DataFrame) -> DataFrame:
