@@ -1,7 +1,7 @@
 """DataFrame -> DataFrame operators.  No I/O here: batch jobs, streams and
 the driver contract all share these."""
 
-from querytrail.operators.counts import count_by, row_count, top_k
+from querytrail.operators.counts import count_by, row_count, top_k, top_values
 from querytrail.operators.filters import keyword_filter
 from querytrail.operators.pivot import distinct_values, pivot_counts
 from querytrail.operators.ranking import top_per_group, user_top_terms
@@ -16,6 +16,7 @@ __all__ = [
     "row_count",
     "top_k",
     "top_per_group",
+    "top_values",
     "trending",
     "trending_topk",
     "user_top_terms",

@@ -7,7 +7,9 @@ partition before the shuffle; no task ever sees the hot key's raw rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COUNT = "count"
@@ -38,3 +40,30 @@ def top_k(df: DataFrame, key: str, k: int = 10) -> DataFrame:
     if k <= 0:
         raise ValueError("k must be positive")
     return count_by(df, key).orderBy(F.col(COUNT).desc(), F.col(key).asc_nulls_first()).limit(k)
+
+
+def top_values(df: DataFrame, keys: Sequence[str], k: int = 10) -> DataFrame:
+    """Top-``k`` values of several columns from ONE scan, in long form.
+
+    ``dimension string, value string, count bigint, rank int``: one
+    grouping-sets aggregate counts every column at once (rows are expanded
+    per column before the partial aggregate, so the shuffle carries only
+    partial counts), then a per-dimension ``row_number`` keeps ``k`` rows.
+    Spark limits each map task to ``k`` rows per dimension before the
+    ranking shuffle, so the single task per dimension sees at most
+    ``k x partitions`` rows however many distinct values there are.
+    """
+    if k <= 0:
+        raise ValueError("k must be positive")
+    keys = list(keys)
+    agg = df.groupingSets([[c] for c in keys], *keys).agg(F.count(F.lit(1)).alias(COUNT), F.grouping_id().alias("__gid"))
+    full = (1 << len(keys)) - 1
+    dim = F.lit(None).cast("string")
+    val = F.lit(None).cast("string")
+    for i, key in enumerate(keys):
+        hit = F.col("__gid") == F.lit(full ^ (1 << (len(keys) - 1 - i)))
+        dim = F.when(hit, F.lit(key)).otherwise(dim)
+        val = F.when(hit, F.col(key).cast("string")).otherwise(val)
+    long = agg.select(dim.alias("dimension"), val.alias("value"), F.col(COUNT))
+    w = Window.partitionBy("dimension").orderBy(F.col(COUNT).desc(), F.col("value").asc_nulls_first())
+    return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -20,7 +20,7 @@ from pyspark.sql.types import TimestampType
 
 from querytrail.functions.decode import decode, event_time_from_millis, with_event_time
 from querytrail.functions.encode import encode_json
-from querytrail.operators.counts import count_by, row_count, top_k
+from querytrail.operators.counts import count_by, row_count, top_k, top_values
 from querytrail.operators.filters import keyword_filter
 from querytrail.operators.pivot import pivot_counts
 from querytrail.operators.ranking import user_top_terms
@@ -118,6 +118,11 @@ def q_top_log_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(decode(log_messages(spark, sf_dir), LOG), "region", TOP_K)
 
 
+def q_top_log_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top regions and top terms of the LOG messages from one scan (J1's plan)."""
+    return top_values(decode(log_messages(spark, sf_dir), LOG), ["region", "search"], TOP_K)
+
+
 def q_user_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_by(decode(event_messages(spark, sf_dir), EVENT), "user_id", "search")
 
@@ -228,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "top_users": q_top_users,
     "top_log_searches": q_top_log_searches,
     "top_log_regions": q_top_log_regions,
+    "top_log_overview": q_top_log_overview,
     "user_term_counts": q_user_term_counts,
     "user_pivot": q_user_pivot,
     "trending_30min": q_trending_30min,

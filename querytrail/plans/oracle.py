@@ -73,6 +73,17 @@ SQL: dict[str, str] = {
     "top_users": _top(_WIRE, "user_id"),
     "top_log_searches": _top(_LOG, "search"),
     "top_log_regions": _top(_LOG, "region"),
+    "top_log_overview": f"""
+    SELECT dimension, value, count, rank FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY dimension
+                                          ORDER BY count DESC, value ASC NULLS FIRST) AS INTEGER) AS rank
+        FROM (
+            SELECT 'region' AS dimension, region AS value, count(*) AS count FROM ({_LOG}) a GROUP BY region
+            UNION ALL
+            SELECT 'search' AS dimension, search AS value, count(*) AS count FROM ({_LOG}) b GROUP BY search
+        ) u
+    ) r WHERE rank <= 10
+""",
     "user_term_counts": f"""
     SELECT user_id, search, count(*) AS count FROM ({_WIRE}) w GROUP BY user_id, search
 """,

@@ -52,3 +52,15 @@ def test_top_k_rejects_bad_k(spark):
 
     with pytest.raises(ValueError):
         top_k(_df(spark, [("a", "x")]), "search", 0)
+
+
+def test_top_values_long_form(spark):
+    from querytrail.operators import top_values
+
+    rows = [("a", "x"), ("a", "y"), ("b", "y"), (None, "y")]
+    out = top_values(_df(spark, rows), ["region", "search"], 2)
+    assert out.columns == ["dimension", "value", "count", "rank"]
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == sorted([("region", "a", 2, 1), ("region", None, 1, 2), ("search", "y", 3, 1), ("search", "x", 1, 2)], key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and "WindowGroupLimit" in plan
