@@ -31,7 +31,7 @@ from querytrail.session import shared_dir
 from querytrail.sinks.batches import append_batches, read_batches, replace_each_batch
 from querytrail.sinks.tables import SinkConfig
 from querytrail.sources.tables import load_table
-from querytrail.sources.topics import stream_topic_files, write_topic_files
+from querytrail.sources.topics import num_partitions, stream_topic_files, write_topic_files
 from querytrail.sources.wire import event_rows, events_wire, parts_wire
 from querytrail.streaming.live import live_trending
 from querytrail.streaming.runner import run_to_end, start
@@ -169,7 +169,7 @@ def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """The events as a file topic under ``base``, read back as a stream of
     about :data:`STREAM_BATCHES` micro-batches."""
     messages = event_messages(spark, sf_dir)
-    files = max(messages.rdd.getNumPartitions(), STREAM_BATCHES)
+    files = max(num_partitions(messages) or STREAM_BATCHES, STREAM_BATCHES)
     topic = write_topic_files(messages, os.path.join(base, "topic"), min_files=STREAM_BATCHES)
     return stream_topic_files(spark, topic, max_files_per_trigger=-(-files // STREAM_BATCHES))
 

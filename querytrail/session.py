@@ -21,6 +21,12 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+# Applied only when a new SparkContext starts (ignored on a running one).
+STARTUP_CONF: dict[str, str] = {
+    # Remove reliable checkpoint files once their DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
 
 def build_session(app: str = "querytrail", conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with :data:`DEFAULT_CONF` applied.
@@ -29,7 +35,7 @@ def build_session(app: str = "querytrail", conf: dict[str, str] | None = None) -
     given at JVM start are ignored by Spark if a session already exists.
     """
     builder = SparkSession.builder.appName(app)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    for key, value in {**STARTUP_CONF, **DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():

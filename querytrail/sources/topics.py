@@ -59,6 +59,15 @@ def stream_topic_files(spark: SparkSession, path: str, max_files_per_trigger: in
     return reader.parquet(path)
 
 
+def num_partitions(df: DataFrame) -> int | None:
+    """Number of partitions the plan of ``df`` produces, or None where the
+    RDD API is not available (Spark Connect).  Plans, does not run."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:
+        return None
+
+
 def write_topic_files(messages: DataFrame, path: str, min_files: int = 1, mode: str = "append") -> str:
     """Write a message frame as a file topic and return ``path``.
 
@@ -68,7 +77,7 @@ def write_topic_files(messages: DataFrame, path: str, min_files: int = 1, mode:
     without a shuffle.
     """
     out = messages.select("value")
-    if out.rdd.getNumPartitions() < min_files:
+    if (num_partitions(out) or 0) < min_files:
         out = out.repartition(min_files)
     out.write.mode(mode).parquet(path)
     return path

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from querytrail.functions.encode import encode_json
+from querytrail.sources.topics import num_partitions
 
 # Fixed values of the fixture mapping (FIXTURES §2).
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -31,13 +32,13 @@ def as_topic(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     a round-robin repartition does first.  Defaults to the session's
     default parallelism.
     """
-    try:
-        if min_partitions is None:
+    if min_partitions is None:
+        try:
             min_partitions = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext / RDD API (Spark Connect): leave as is
-        return df
-    if splits >= min_partitions:
+        except Exception:  # no SparkContext (Spark Connect): leave as is
+            return df
+    splits = num_partitions(df)
+    if splits is None or splits >= min_partitions:
         return df
     return df.repartition(min_partitions, F.monotonically_increasing_id())
 

@@ -60,3 +60,14 @@ def test_wire_spreads_single_split_sources(spark):
     ev = load_table(spark, SF_SMALL, "events")
     assert events_wire(ev, min_partitions=4).rdd.getNumPartitions() >= 4
     assert events_wire(ev, min_partitions=1).rdd.getNumPartitions() == ev.rdd.getNumPartitions()
+
+
+def test_build_session_and_shared_dir(spark):
+    from querytrail.session import build_session, shared_dir
+
+    s = build_session("t", {"spark.sql.shuffle.partitions": "4"})
+    assert s is spark  # reuses the running session
+    assert s.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert s.conf.get("spark.sql.adaptive.enabled") == "true"
+    a, b = shared_dir(s, "x"), shared_dir(s, "x")
+    assert a != b and "querytrail" in a
