@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from querytrail.sinks.tables import FILE_FORMATS, SinkConfig, write_table
 
@@ -24,34 +25,31 @@ def append_batches(name: str, sink: SinkConfig, log_count: bool = True) -> Calla
     instead of adding it twice.  Batch ids restart with a new checkpoint,
     so one output belongs to one checkpoint.
 
-    The batch is persisted once, so the emptiness check / count and the
-    write read the source a single time (the reference computed a batch up
-    to three times).
+    With ``log_count`` the batch is persisted, counted and written from
+    the cache, so it is computed once (the reference computed a batch up
+    to three times).  Without, ``isEmpty`` stops at the first row and the
+    write computes the batch, with nothing cached.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if log_count:
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if log_count:
-                n = df.count()
-                empty = n == 0
-            else:
-                n, empty = -1, df.isEmpty()
-            if empty:
+            n = df.count() if log_count else None
+            if n == 0 or (n is None and df.isEmpty()):
                 log.info("batch %s of %s is empty; nothing written", batch_id, name)
                 return
             if sink.fmt in FILE_FORMATS:
-                from pyspark.sql import functions as F
-
                 out = df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
                 w = out.write.format(sink.fmt).mode("overwrite").options(**sink.options)
                 w = w.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN)
                 w.save(sink.path(name))
             else:
                 write_table(df, name, sink, mode="append")
-            log.info("batch %s: %s rows appended to %s", batch_id, n if log_count else "some", name)
+            log.info("batch %s: %s rows appended to %s", batch_id, "some" if n is None else n, name)
         finally:
-            df.unpersist()
+            if log_count:
+                df.unpersist()
 
     return write
 
