@@ -69,6 +69,8 @@ def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview
     with cached(agg):
         rows = total.first()[COUNT]
         log.info("messages: %s", rows)
+        if preview and rows:
+            decoded.show(10, truncate=False)
         if preview:
             for name, df in outputs.items():
                 log.info("%s", name)
@@ -80,6 +82,8 @@ def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview
 def user_pivot_job(messages: DataFrame, sink: SinkConfig, values: list | None = None, fill_key: bool = False, preview: bool = False) -> JobResult:
     """EVENT messages -> user x term matrix -> one output."""
     decoded = with_event_time(decode(messages, EVENT), "timestamp", out="timestamp")
+    if preview:
+        decoded.printSchema()
     matrix = pivot_counts(decoded, "user_id", "search", values=values, fill_key=fill_key)
     with cached(matrix) as m:
         if preview:

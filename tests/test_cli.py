@@ -1,0 +1,45 @@
+import os
+
+import pytest
+from conftest import SF_SMALL
+
+from querytrail.__main__ import main
+from querytrail.plans.jobs import KEYWORD_HITS, TOP_REGIONS, TOP_SEARCHES, TRENDING, USER_PIVOT
+from querytrail.sources import events_wire, load_table, parts_wire, write_topic_files
+
+
+@pytest.fixture()
+def topics(spark, scratch):
+    ev = write_topic_files(events_wire(load_table(spark, SF_SMALL, "events"), 1), os.path.join(scratch, "ev"), min_files=3)
+    logs = write_topic_files(parts_wire(load_table(spark, SF_SMALL, "part"), 1), os.path.join(scratch, "logs"))
+    return ev, logs
+
+
+def test_batch_jobs(spark, scratch, topics):
+    ev, logs = topics
+    out = os.path.join(scratch, "out")
+    assert main(["top-searches", "--files", logs, "--sink-root", out, "--preview"]) == 0
+    assert main(["user-pivot", "--files", ev, "--sink-root", out, "--values", "click,view"]) == 0
+    assert main(["trending", "--files", ev, "--sink-root", out, "--width", "1 hour"]) == 0
+    for name in (TOP_REGIONS, TOP_SEARCHES, USER_PIVOT, TRENDING):
+        assert spark.read.parquet(os.path.join(out, name)).count() > 0
+    assert spark.read.parquet(os.path.join(out, USER_PIVOT)).columns == ["user_id", "click", "view"]
+
+
+def test_stream_jobs(spark, scratch, topics):
+    ev, _ = topics
+    out = os.path.join(scratch, "out")
+    args = ["--files", ev, "--max-per-trigger", "1", "--trigger", "available-now", "--timeout", "300"]
+    assert main(["keyword-stream", *args, "--keyword", "click", "--checkpoint", os.path.join(scratch, "c1"), "--sink-root", out]) == 0
+    hits = spark.read.parquet(os.path.join(out, KEYWORD_HITS))
+    assert {r.search for r in hits.select("search").distinct().collect()} == {"click"}
+    assert main(["decode-stream", *args, "--checkpoint", os.path.join(scratch, "c2")]) == 0
+
+
+def test_usage_errors(spark):
+    with pytest.raises(SystemExit):
+        main(["trending"])
+    with pytest.raises(SystemExit):
+        main(["decode-stream", "--files", "x"])
+    with pytest.raises(SystemExit):
+        main(["publish", "--topic", "t"])
