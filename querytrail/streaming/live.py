@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from querytrail.operators.pivot import pivot_counts
 from querytrail.operators.windows import window_counts
@@ -31,6 +32,17 @@ def live_trending(
     return window_counts(timed, time_col, term, width)
 
 
+def latest_window_counts(appended: DataFrame, term: str = "search") -> DataFrame:
+    """Final counts from the rows an ``update``-mode :func:`live_trending`
+    appended batch by batch.
+
+    Update mode re-emits a (window, term) row each time its count grows, so
+    the largest count per key is the newest one.  A plain aggregate, with
+    the partial step before its shuffle.
+    """
+    return appended.groupBy("start_time", "end_time", term).agg(F.max("count").alias("count"))
+
+
 def live_pivot(sdf: DataFrame, values: Sequence, key: str = "user_id", column: str = "search") -> DataFrame:
     """Key x term counts on a stream; the value list must be given (§4)."""
     return pivot_counts(sdf, key, column, values=list(values))

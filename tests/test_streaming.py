@@ -10,7 +10,7 @@ from querytrail.operators import keyword_filter, trending
 from querytrail.schemas import EVENT
 from querytrail.sinks import SinkConfig, append_batches, read_batches, replace_each_batch
 from querytrail.sources import events_wire, load_table, stream_topic_files, write_topic_files
-from querytrail.streaming import live_pivot, live_trending, run_to_end, start, to_console
+from querytrail.streaming import latest_window_counts, live_pivot, live_trending, run_to_end, start, to_console
 
 DRAIN = {"availableNow": True}
 
@@ -92,6 +92,8 @@ def test_live_trending_update_mode_latest_counts(spark, scratch):
     # every batch re-emits the windows it changed; the newest version is exact
     assert latest == {base: 2, base + dt.timedelta(minutes=30): 1}
     assert len(out) == 3
+    final = latest_window_counts(read_batches(spark, "w", sink))
+    assert sorted((r.start_time.replace(tzinfo=None), r["count"]) for r in final.collect()) == sorted(latest.items())
 
 
 def test_watermark_required(spark, scratch):
