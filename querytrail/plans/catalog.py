@@ -168,9 +168,14 @@ def q_keyword_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
     """The events as a file topic under ``base``, read back as a stream of
     about :data:`STREAM_BATCHES` micro-batches."""
-    messages = event_messages(spark, sf_dir)
-    files = max(num_partitions(messages) or STREAM_BATCHES, STREAM_BATCHES)
-    topic = write_topic_files(messages, os.path.join(base, "topic"), min_files=STREAM_BATCHES)
+    events = load_table(spark, sf_dir, "events")
+    try:
+        parallel = spark.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext (Spark Connect)
+        parallel = 1
+    # Counted on the scan, before any shuffle, so nothing runs yet.
+    files = max(num_partitions(events) or 1, parallel, STREAM_BATCHES)
+    topic = write_topic_files(events_wire(events, min_partitions=files), os.path.join(base, "topic"))
     return stream_topic_files(spark, topic, max_files_per_trigger=-(-files // STREAM_BATCHES))
 
 

@@ -61,7 +61,12 @@ def stream_topic_files(spark: SparkSession, path: str, max_files_per_trigger: in
 
 def num_partitions(df: DataFrame) -> int | None:
     """Number of partitions the plan of ``df`` produces, or None where the
-    RDD API is not available (Spark Connect).  Plans, does not run."""
+    RDD API is not available (Spark Connect).
+
+    Meant for scan-level frames, where it only plans.  On a frame that
+    contains a shuffle, adaptive execution runs the shuffle's map stage to
+    finish the plan, so do not call it there.
+    """
     try:
         return df.rdd.getNumPartitions()
     except Exception:
@@ -71,13 +76,14 @@ def num_partitions(df: DataFrame) -> int | None:
 def write_topic_files(messages: DataFrame, path: str, min_files: int = 1, mode: str = "append") -> str:
     """Write a message frame as a file topic and return ``path``.
 
-    ``min_files`` spreads the messages round-robin over at least that many
-    files (a stream stand-in needs several to form several micro-batches);
+    ``min_files > 1`` spreads the messages over at least that many files
+    (a stream stand-in needs several to form several micro-batches);
     frames that already have enough partitions are written as they are,
-    without a shuffle.
+    without a shuffle.  Pass a scan-level frame when ``min_files > 1``
+    (see :func:`num_partitions`).
     """
     out = messages.select("value")
-    if (num_partitions(out) or 0) < min_files:
+    if min_files > 1 and (num_partitions(out) or 0) < min_files:
         out = out.repartition(min_files)
     out.write.mode(mode).parquet(path)
     return path
