@@ -1,8 +1,6 @@
 """Message decoding.
 
-All functions are narrow projections: no shuffle, JVM-side, and Catalyst
-prunes the JSON decode down to the fields a later operator really uses
-(as long as the decoded frame is not cached in between).
+All functions are narrow: no shuffle, no Python, JVM expressions only.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ def decode(
     schema: StructType,
     column: str = "value",
     keep: Iterable[str] = (),
+    barrier: bool = True,
 ) -> DataFrame:
     """Bytes -> UTF-8 text -> struct by ``schema`` -> top-level columns.
 
@@ -28,12 +27,27 @@ def decode(
     an all-null row, a field of the wrong type becomes null while the other
     fields survive, unknown fields are ignored (SURVEY M1, M2).  Columns in
     ``keep`` (e.g. a topic ``timestamp`` or ``partition``) are carried
-    through in front of the decoded fields.
+    through in front of the decoded fields.  One output row per message.
+
+    ``barrier=True`` (default) parses each message exactly once.  The
+    struct is unpacked by a one-element ``inline`` generator, which filters
+    on decoded columns cannot be pushed below.  With a plain projection
+    Catalyst pushes such filters (including the ``isnotnull(time)`` that
+    ``window()`` adds) beneath it by substituting the ``from_json``, so a
+    filtered or windowed query parses every message twice.
+
+    ``barrier=False`` is the plain projection.  Catalyst then narrows the
+    parse to the fields used and drops it when none is (a pure row count),
+    so it suits frames that are only aggregated or counted, never filtered.
+    Narrow ``schema`` yourself to skip materialising unused fields of wide
+    messages in the default form.
     """
     keep = list(keep)
-    text = F.col(column).cast("string")
-    parsed = df.select(*keep, F.from_json(text, schema).alias(_PARSED))
-    return parsed.select(*keep, *[F.col(f"{_PARSED}.{f.name}").alias(f.name) for f in schema.fields])
+    parsed = F.from_json(F.col(column).cast("string"), schema)
+    if barrier:
+        return df.select(*keep, F.inline(F.array(parsed)))
+    staged = df.select(*keep, parsed.alias(_PARSED))
+    return staged.select(*keep, *[F.col(f"{_PARSED}.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def parse_time(column: str | Column, fmt: str | None = None) -> Column:

@@ -105,7 +105,36 @@ def test_encode_with_key(spark):
     assert bytes(r.key) == b"1000" and bytes(r.value) == b'{"search":"a"}'
 
 
-def test_decode_prunes_json_fields(spark):
-    df = decode(messages(spark, [GOOD]), EVENT).groupBy("region").count()
+def test_projection_decode_prunes_json_fields(spark):
+    df = decode(messages(spark, [GOOD]), EVENT, barrier=False).groupBy("region").count()
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "StructField(region" in plan and "StructField(user_id" not in plan
+
+
+def test_projection_decode_is_skipped_for_a_count(spark):
+    df = decode(messages(spark, [GOOD, "junk"]), EVENT, barrier=False)
+    assert "from_json" not in df.groupBy().count()._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_barrier_decode_parses_once_under_filters(spark):
+    from querytrail.operators import keyword_filter, trending
+
+    msgs = messages(spark, [GOOD])
+    for df in (
+        trending(with_event_time(decode(msgs, EVENT))),
+        with_event_time(keyword_filter(decode(msgs, EVENT), "search", "tel")),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1, plan
+    # the projection form parses twice here: the pushed filter and the projection
+    plan = trending(with_event_time(decode(msgs, EVENT, barrier=False)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 2
+
+
+@pytest.mark.parametrize("barrier", [True, False])
+def test_both_forms_agree(spark, barrier):
+    texts = [GOOD, "garbage", None, '{"user_id":"x","search":5}', b"\xff"]
+    df = with_event_time(decode(messages(spark, texts), EVENT, barrier=barrier))
+    assert df.columns == ["user_id", "search", "region", "timestamp", "timestamp_dt"]
+    other = with_event_time(decode(messages(spark, texts), EVENT, barrier=not barrier))
+    assert sorted(map(str, df.collect())) == sorted(map(str, other.collect()))
