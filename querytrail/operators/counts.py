@@ -42,26 +42,43 @@ def top_k(df: DataFrame, key: str, k: int = 10) -> DataFrame:
     return count_by(df, key).orderBy(F.col(COUNT).desc(), F.col(key).asc_nulls_first()).limit(k)
 
 
+GID = "__gid"
+
+
+def grouping_counts(df: DataFrame, keys: Sequence[str], total: bool = False) -> tuple[DataFrame, dict[str, int], int]:
+    """Counts per value of each key (and optionally overall) in ONE aggregate.
+
+    A grouping-sets aggregate ((key1), (key2), ..., [()]): each row is
+    expanded once per set before the partial aggregate, so the input is
+    read once and the shuffle carries only partial counts.  Returns the
+    aggregate (``keys..., count, __gid``), the ``__gid`` of each key's rows
+    and the ``__gid`` of the overall row.
+    """
+    keys = list(keys)
+    sets = [[c] for c in keys] + ([[]] if total else [])
+    agg = df.groupingSets(sets, *keys).agg(F.count(F.lit(1)).alias(COUNT), F.grouping_id().alias(GID))
+    full = (1 << len(keys)) - 1
+    # grouping_id has a 0 bit for each column grouped on, first column highest.
+    gids = {key: full ^ (1 << (len(keys) - 1 - i)) for i, key in enumerate(keys)}
+    return agg, gids, full
+
+
 def top_values(df: DataFrame, keys: Sequence[str], k: int = 10) -> DataFrame:
     """Top-``k`` values of several columns from ONE scan, in long form.
 
-    ``dimension string, value string, count bigint, rank int``: one
-    grouping-sets aggregate counts every column at once (rows are expanded
-    per column before the partial aggregate, so the shuffle carries only
-    partial counts), then a per-dimension ``row_number`` keeps ``k`` rows.
-    Spark limits each map task to ``k`` rows per dimension before the
-    ranking shuffle, so the single task per dimension sees at most
-    ``k x partitions`` rows however many distinct values there are.
+    ``dimension string, value string, count bigint, rank int`` from
+    :func:`grouping_counts`, then a per-dimension ``row_number`` keeps
+    ``k`` rows.  Spark limits each map task to ``k`` rows per dimension
+    before the ranking shuffle, so the single task per dimension sees at
+    most ``k x partitions`` rows however many distinct values there are.
     """
     if k <= 0:
         raise ValueError("k must be positive")
-    keys = list(keys)
-    agg = df.groupingSets([[c] for c in keys], *keys).agg(F.count(F.lit(1)).alias(COUNT), F.grouping_id().alias("__gid"))
-    full = (1 << len(keys)) - 1
+    agg, gids, _ = grouping_counts(df, keys)
     dim = F.lit(None).cast("string")
     val = F.lit(None).cast("string")
-    for i, key in enumerate(keys):
-        hit = F.col("__gid") == F.lit(full ^ (1 << (len(keys) - 1 - i)))
+    for key, gid in gids.items():
+        hit = F.col(GID) == F.lit(gid)
         dim = F.when(hit, F.lit(key)).otherwise(dim)
         val = F.when(hit, F.col(key).cast("string")).otherwise(val)
     long = agg.select(dim.alias("dimension"), val.alias("value"), F.col(COUNT))

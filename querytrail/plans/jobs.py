@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from querytrail.functions.decode import decode, with_event_time
-from querytrail.operators.counts import COUNT
+from querytrail.operators.counts import COUNT, GID, grouping_counts
 from querytrail.operators.filters import keyword_filter
 from querytrail.operators.pivot import pivot_counts
 from querytrail.operators.windows import trending
@@ -42,22 +42,16 @@ class JobResult:
 def top_counts(decoded: DataFrame, keys: list[str], k: int) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     """Top-``k`` per key for several keys, plus the row count, from ONE scan.
 
-    A single grouping-sets aggregate ((key1), (key2), ..., ()) reads the
-    messages once and shuffles only partial counts; the aggregate (one row
-    per distinct key value) is then split per key.  Returns
-    ``(aggregate, {key: top-k frame}, total-count frame)``; persist the
-    aggregate when more than one of them is acted on.
+    Returns ``(aggregate, {key: top-k frame}, total-count frame)``, all cut
+    from one :func:`grouping_counts` aggregate (one row per distinct key
+    value); persist the aggregate when more than one of them is acted on.
     """
-    sets = [[c] for c in keys] + [[]]
-    agg = decoded.groupingSets(sets, *keys).agg(F.count(F.lit(1)).alias(COUNT), F.grouping_id().alias("__gid"))
-    full = (1 << len(keys)) - 1
+    agg, gids, total_gid = grouping_counts(decoded, keys, total=True)
     tops: dict[str, DataFrame] = {}
-    for i, key in enumerate(keys):
-        # grouping_id bit for a column is 0 when the column is grouped on.
-        gid = full ^ (1 << (len(keys) - 1 - i))
-        per_key = agg.filter(F.col("__gid") == gid).select(key, COUNT)
+    for key, gid in gids.items():
+        per_key = agg.filter(F.col(GID) == gid).select(key, COUNT)
         tops[key] = per_key.orderBy(F.col(COUNT).desc(), F.col(key).asc_nulls_first()).limit(k)
-    total = agg.filter(F.col("__gid") == full).select(COUNT)
+    total = agg.filter(F.col(GID) == total_gid).select(COUNT)
     return agg, tops, total
 
 
