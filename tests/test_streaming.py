@@ -132,3 +132,13 @@ def test_checkpoint_required(spark, scratch):
     stream = stream_topic_files(spark, _topic(spark, scratch))
     with pytest.raises(ValueError):
         start(stream, "")
+
+
+def test_file_sink_stream(spark, scratch):
+    topic = _topic(spark, scratch)
+    stream = _hits(stream_topic_files(spark, topic, 1))
+    out = os.path.join(scratch, "files_out")
+    q = start(stream, os.path.join(scratch, "fck"), trigger=DRAIN, fmt="parquet", path=out, query_name="qt_file_sink")
+    run_to_end(q, 300)
+    assert q.name == "qt_file_sink"
+    assert _rows(spark.read.parquet(out)) == _rows(_hits(spark.read.parquet(topic)))
