@@ -184,12 +184,13 @@ def _drain(spark: SparkSession, result: DataFrame, base: str, name: str) -> Data
     """Run ``result`` (a stream over the file topic) to the end, appending
     each micro-batch to ``base/name``, then read the table back."""
     sink = SinkConfig(root=base)
+    checkpoint = os.path.join(base, "checkpoint")
     query = start(
         result,
-        os.path.join(base, "checkpoint"),
+        checkpoint,
         mode="append",
         trigger={"availableNow": True},
-        foreach_batch=append_batches(name, sink, log_count=False),
+        foreach_batch=append_batches(name, sink, log_count=False, owner=checkpoint),
     )
     run_to_end(query, STREAM_TIMEOUT_S)
     try:

@@ -122,7 +122,7 @@ def keyword_tracker_stream(
         checkpoint,
         mode="append",
         trigger=trigger if trigger is not None else {"processingTime": "10 seconds"},
-        foreach_batch=append_batches(name, sink),
+        foreach_batch=append_batches(name, sink, owner=checkpoint),
     )
 
 

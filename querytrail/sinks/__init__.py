@@ -1,13 +1,15 @@
 """Sinks and result actions."""
 
-from querytrail.sinks.batches import append_batches, read_batches, replace_each_batch
+from querytrail.sinks.batches import OutputOwnedElsewhere, append_batches, claim_output, read_batches, replace_each_batch
 from querytrail.sinks.tables import SinkConfig, WriteFailed, write_all, write_table
 from querytrail.sinks.topic import publish
 
 __all__ = [
+    "OutputOwnedElsewhere",
     "SinkConfig",
     "WriteFailed",
     "append_batches",
+    "claim_output",
     "publish",
     "read_batches",
     "replace_each_batch",

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +15,44 @@ from querytrail.sinks.tables import FILE_FORMATS, SinkConfig, write_table
 log = logging.getLogger(__name__)
 
 BATCH_COLUMN = "batch_id"
+OWNER_MARK = "_owner"
 
 
-def append_batches(name: str, sink: SinkConfig, log_count: bool = True) -> Callable[[DataFrame, int], None]:
+class OutputOwnedElsewhere(RuntimeError):
+    """The output was written by a stream with another checkpoint."""
+
+
+def claim_output(spark: SparkSession, path: str, owner: str) -> None:
+    """Tie the output at ``path`` to ``owner`` (a checkpoint location).
+
+    The first writer leaves a one-line marker under ``path/_owner``
+    (readers skip names starting with ``_``); a later writer with another
+    owner is refused, because its batch ids restart at 0 and would replace
+    the earlier stream's batches.
+    """
+    mark = f"{path.rstrip('/')}/{OWNER_MARK}"
+    try:
+        found = [r.value for r in spark.read.text(mark).collect()]
+    except AnalysisException:  # no marker yet
+        found = []
+    if not found:
+        spark.createDataFrame([(owner,)], "value string").coalesce(1).write.mode("overwrite").text(mark)
+    elif found != [owner]:
+        raise OutputOwnedElsewhere(f"{path} belongs to the stream checkpointed at {found[0]}, not {owner}")
+
+
+def append_batches(
+    name: str, sink: SinkConfig, log_count: bool = True, owner: str | None = None
+) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` callback that appends each non-empty batch to ``name``.
 
     Exactly-once for file formats: batch ``N`` is written to its own
     partition directory ``batch_id=N`` with dynamic partition overwrite, so
     a batch replayed after a failure replaces its own earlier output
     instead of adding it twice.  Batch ids restart with a new checkpoint,
-    so one output belongs to one checkpoint.
+    so one output belongs to one checkpoint: pass that checkpoint as
+    ``owner`` and a stream with another checkpoint is refused
+    (:func:`claim_output`, checked once per writer).
 
     With ``log_count`` the batch is persisted, counted and written from
     the cache, so it is computed once (the reference computed a batch up
@@ -31,7 +60,13 @@ def append_batches(name: str, sink: SinkConfig, log_count: bool = True) -> Calla
     write computes the batch, with nothing cached.
     """
 
+    claimed = False
+
     def write(df: DataFrame, batch_id: int) -> None:
+        nonlocal claimed
+        if owner is not None and not claimed and sink.fmt in FILE_FORMATS:
+            claim_output(df.sparkSession, sink.path(name), owner)
+            claimed = True
         if log_count:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:

@@ -55,6 +55,22 @@ def test_restart_same_checkpoint_adds_nothing(spark, scratch):
     assert read_batches(spark, "hits", sink).count() == n
 
 
+def test_new_checkpoint_cannot_take_over_an_output(spark, scratch):
+    topic = _topic(spark, scratch)
+    stream = _hits(stream_topic_files(spark, topic, max_files_per_trigger=1))
+    sink = SinkConfig(root=scratch)
+    first = os.path.join(scratch, "ck-a")
+    run_to_end(start(stream, first, trigger=DRAIN, foreach_batch=append_batches("hits", sink, owner=first)), 300)
+    n = read_batches(spark, "hits", sink).count()
+    # the same checkpoint may come back ...
+    run_to_end(start(stream, first, trigger=DRAIN, foreach_batch=append_batches("hits", sink, owner=first)), 300)
+    # ... another one may not: its batch ids restart at 0
+    other = os.path.join(scratch, "ck-b")
+    with pytest.raises(Exception, match="belongs to the stream"):
+        run_to_end(start(stream, other, trigger=DRAIN, foreach_batch=append_batches("hits", sink, owner=other)), 300)
+    assert read_batches(spark, "hits", sink).count() == n
+
+
 def test_live_trending_complete_equals_batch(spark, scratch):
     topic = _topic(spark, scratch)
     stream = with_event_time(decode(stream_topic_files(spark, topic, max_files_per_trigger=1), EVENT))
