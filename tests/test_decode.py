@@ -138,3 +138,12 @@ def test_both_forms_agree(spark, barrier):
     assert df.columns == ["user_id", "search", "region", "timestamp", "timestamp_dt"]
     other = with_event_time(decode(messages(spark, texts), EVENT, barrier=not barrier))
     assert sorted(map(str, df.collect())) == sorted(map(str, other.collect()))
+
+
+def test_zoneless_time_text_is_read_in_session_zone(spark):
+    """Text without an offset is read in the session zone (UTC here)."""
+    msgs = messages(spark, ['{"timestamp":"2024-01-01T10:00:00"}', '{"timestamp":"2024-01-01T10:00:00Z"}'])
+    rows = with_event_time(decode(msgs, EVENT)).select("timestamp_dt").collect()
+    assert rows[0].timestamp_dt == rows[1].timestamp_dt
+    epoch = with_event_time(decode(msgs, EVENT)).selectExpr("unix_seconds(timestamp_dt) AS s").collect()
+    assert {r.s for r in epoch} == {1704103200}
