@@ -29,21 +29,39 @@ def kafka_options(topic: str, servers: str | None = None, starting: str | None =
     return opts
 
 
+def _split_hot_partitions(spark: SparkSession, extra: dict) -> dict:
+    """Default ``minPartitions`` to the cluster's parallelism.
+
+    The Kafka source then cuts offset ranges in proportion to their size,
+    so a topic partition holding a third of the messages is read by a third
+    of the tasks instead of by one.
+    """
+    if "minPartitions" in extra:
+        return extra
+    try:
+        return {**extra, "minPartitions": str(spark.sparkContext.defaultParallelism)}
+    except Exception:  # no SparkContext (Spark Connect): leave it to the source
+        return extra
+
+
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None, starting: str = "earliest", **extra: str) -> DataFrame:
     """Batch scan of one topic, from the earliest offset by default.
 
-    Kafka splits the read by topic partition and offset range; set
-    ``minPartitions`` in ``extra`` to spread a few fat partitions over more
-    tasks.
+    Offset ranges are split over at least the cluster's parallelism
+    (``minPartitions``), so one hot topic partition does not become one
+    long task.
     """
-    return spark.read.format("kafka").options(**kafka_options(topic, servers, starting, **extra)).load()
+    opts = kafka_options(topic, servers, starting, **_split_hot_partitions(spark, extra))
+    return spark.read.format("kafka").options(**opts).load()
 
 
 def stream_topic(spark: SparkSession, topic: str, servers: str | None = None, starting: str | None = None, **extra: str) -> DataFrame:
     """Streaming scan of one topic (S2).  No start option by default: the
     first run starts at ``latest``, later runs at the checkpoint (M12).
-    ``maxOffsetsPerTrigger`` in ``extra`` bounds a micro-batch."""
-    return spark.readStream.format("kafka").options(**kafka_options(topic, servers, starting, **extra)).load()
+    ``maxOffsetsPerTrigger`` in ``extra`` bounds a micro-batch; each batch's
+    offset ranges are split like :func:`read_topic`'s."""
+    opts = kafka_options(topic, servers, starting, **_split_hot_partitions(spark, extra))
+    return spark.readStream.format("kafka").options(**opts).load()
 
 
 def read_topic_files(spark: SparkSession, path: str) -> DataFrame:

@@ -30,6 +30,13 @@ def test_kafka_options():
     assert "startingOffsets" not in kafka_options("t", "s:1")
 
 
+def test_kafka_reads_split_hot_partitions(spark):
+    from querytrail.sources.topics import _split_hot_partitions
+
+    assert _split_hot_partitions(spark, {})["minPartitions"] == str(spark.sparkContext.defaultParallelism)
+    assert _split_hot_partitions(spark, {"minPartitions": "7"}) == {"minPartitions": "7"}
+
+
 def test_kafka_source_without_jar_fails_loudly(spark):
     with pytest.raises(Exception):
         read_topic(spark, "t", "localhost:1").schema
