@@ -45,6 +45,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--values", help="comma-separated pivot columns (user-pivot); default: from the data")
     p.add_argument("--fill-key", action="store_true", help="user-pivot: null user becomes 0, as the original job did")
     p.add_argument("--width", default="30 minutes", help="window width (trending)")
+    p.add_argument("--sort-output", action="store_true", help="trending: write the table sorted by count")
     p.add_argument("--keyword", action="append", help="keyword-stream needle(s); default: maske")
     p.add_argument("--checkpoint", help="stream checkpoint location (required for streams)")
     p.add_argument("--trigger", default=None, help="processing-time interval, or 'available-now'")
@@ -88,7 +89,7 @@ def main(argv: list[str] | None = None) -> int:
             values = args.values.split(",") if args.values else None
             res = jobs.user_pivot_job(messages, sink, values=values, fill_key=args.fill_key, preview=args.preview)
         else:
-            res = jobs.trending_job(messages, sink, width=args.width, preview=args.preview)
+            res = jobs.trending_job(messages, sink, width=args.width, preview=args.preview, sort_output=args.sort_output)
         logging.getLogger("querytrail").info("outputs: %s", res.status)
         return 0
 

@@ -86,19 +86,29 @@ def user_pivot_job(messages: DataFrame, sink: SinkConfig, values: list | None =
     return JobResult({USER_PIVOT: matrix}, status)
 
 
-def trending_job(messages: DataFrame, sink: SinkConfig, width: str = "30 minutes", preview: bool = False) -> JobResult:
+def trending_job(
+    messages: DataFrame,
+    sink: SinkConfig,
+    width: str = "30 minutes",
+    preview: bool = False,
+    sort_output: bool = False,
+) -> JobResult:
     """EVENT messages -> counts per window and term -> one output.
 
     The aggregate is persisted so preview and write share one read of the
-    topic (the reference read it twice, SURVEY D8).
+    topic (the reference read it twice, SURVEY D8).  The preview is sorted
+    by count; the written table is sorted only with ``sort_output``, since
+    neither a document store nor a multi-file table keeps row order and the
+    global sort costs a range shuffle.
     """
     decoded = with_event_time(decode(messages, EVENT))
-    result = trending(decoded, width=width)
-    with cached(result) as r:
+    counts = trending(decoded, width=width, sort=False)
+    with cached(counts) as c:
+        ordered = c.orderBy(F.col(COUNT).desc(), F.col("start_time").asc(), F.col("search").asc_nulls_first())
         if preview:
-            r.show(10, truncate=False)
-        status = write_all({TRENDING: r}, sink)
-    return JobResult({TRENDING: result}, status)
+            ordered.show(10, truncate=False)
+        status = write_all({TRENDING: ordered if sort_output else c}, sink)
+    return JobResult({TRENDING: ordered if sort_output else counts}, status)
 
 
 def keyword_events(messages: DataFrame, *keywords: str) -> DataFrame:

@@ -54,10 +54,14 @@ def test_user_pivot_job(spark, scratch):
 
 def test_trending_job(spark, scratch):
     sink = SinkConfig(root=scratch)
-    trending_job(events_wire(load_table(spark, SF_SMALL, "events")), sink, preview=True)
+    res = trending_job(events_wire(load_table(spark, SF_SMALL, "events")), sink, preview=True)
     out = spark.read.parquet(os.path.join(scratch, TRENDING))
     assert out.columns == ["start_time", "end_time", "search", "count"]
     assert out.agg({"count": "sum"}).collect()[0][0] == load_table(spark, SF_SMALL, "events").count()
+    assert "RangePartitioning" not in res.outputs[TRENDING]._jdf.queryExecution().executedPlan().toString()
+    res = trending_job(events_wire(load_table(spark, SF_SMALL, "events")), sink, sort_output=True)
+    counts = [r["count"] for r in res.outputs[TRENDING].collect()]
+    assert counts == sorted(counts, reverse=True)
 
 
 def test_keyword_tracker_and_decode_streams(spark, scratch):
