@@ -25,7 +25,17 @@ from querytrail.operators.filters import keyword_filter
 from querytrail.operators.pivot import pivot_counts
 from querytrail.operators.ranking import user_top_terms
 from querytrail.operators.windows import hourly_counts, trending, trending_topk
-from querytrail.plans.jobs import decoded_events, keyword_events
+from querytrail.plans.jobs import (
+    TOP_REGIONS,
+    TOP_SEARCHES,
+    TRENDING,
+    USER_PIVOT,
+    decoded_events,
+    keyword_events,
+    top_searches_job,
+    trending_job,
+    user_pivot_job,
+)
 from querytrail.schemas import EVENT, LOG
 from querytrail.session import shared_dir
 from querytrail.sinks.batches import append_batches, read_batches, replace_each_batch
@@ -163,6 +173,37 @@ def q_keyword_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyword_filter(docs, "text", *DOCUMENT_KEYWORDS).select("doc_id", "lang", "source", "n_chars", "text")
 
 
+# --- whole jobs, written to a table and read back ---------------------------
+
+
+def _job_sink(spark: SparkSession, name: str) -> SinkConfig:
+    return SinkConfig(root=shared_dir(spark, name))
+
+
+def q_job_top_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of the top-k job, tagged with their output name."""
+    sink = _job_sink(spark, "job_top_searches")
+    top_searches_job(log_messages(spark, sf_dir), sink, k=TOP_K)
+    regions = spark.read.parquet(sink.path(TOP_REGIONS))
+    terms = spark.read.parquet(sink.path(TOP_SEARCHES))
+    return regions.select(F.lit(TOP_REGIONS).alias("output"), F.col("region").alias("value"), "count").unionByName(
+        terms.select(F.lit(TOP_SEARCHES).alias("output"), F.col("search").alias("value"), "count")
+    )
+
+
+def q_job_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 with the original job's fill of the key (M5)."""
+    sink = _job_sink(spark, "job_user_pivot")
+    user_pivot_job(event_messages(spark, sf_dir), sink, fill_key=True)
+    return spark.read.parquet(sink.path(USER_PIVOT))
+
+
+def q_job_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = _job_sink(spark, "job_trending")
+    trending_job(event_messages(spark, sf_dir), sink)
+    return to_ntz(spark.read.parquet(sink.path(TRENDING)))
+
+
 # --- streaming ------------------------------------------------------------
 
 
@@ -249,6 +290,9 @@ QUERIES: dict[str, Query] = {
     "user_top_terms": q_user_top_terms,
     "keyword_events": q_keyword_events,
     "keyword_documents": q_keyword_documents,
+    "job_top_searches": q_job_top_searches,
+    "job_user_pivot": q_job_user_pivot,
+    "job_trending": q_job_trending,
     "stream_keyword": q_stream_keyword,
     "stream_decode": q_stream_decode,
     "live_trending": q_live_trending,

@@ -117,6 +117,19 @@ SQL: dict[str, str] = {
     SELECT doc_id, lang, source, n_chars, text FROM documents
     WHERE contains(lower(text), lower('Über')) OR contains(lower(text), lower('été'))
 """,
+    "job_top_searches": f"""
+    SELECT 'top_10_sehirler' AS output, value, count FROM (
+        SELECT region AS value, count(*) AS count FROM ({_LOG}) a
+        GROUP BY region ORDER BY count DESC, value ASC NULLS FIRST LIMIT 10) r
+    UNION ALL
+    SELECT 'top_10_aramalar' AS output, value, count FROM (
+        SELECT search AS value, count(*) AS count FROM ({_LOG}) b
+        GROUP BY search ORDER BY count DESC, value ASC NULLS FIRST LIMIT 10) s
+""",
+    "job_user_pivot": "SELECT COALESCE(user_id, 0) AS user_id, "
+    + ", ".join(f"count(*) FILTER (WHERE search = '{t}') AS \"{t}\"" for t in _PIVOT_TERMS)
+    + f" FROM ({_WIRE}) w GROUP BY user_id",
+    "job_trending": _WINDOWS,
     "stream_keyword": f"""
     SELECT user_id, search, region, timestamp, timestamp_dt
     FROM ({_WIRE}) w WHERE contains(lower(search), lower('SiGn'))
