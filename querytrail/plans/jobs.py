@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,25 +42,30 @@ class JobResult:
 def top_counts(decoded: DataFrame, keys: list[str], k: int) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
     """Top-``k`` per key for several keys, plus the row count, from ONE scan.
 
-    Returns ``(aggregate, {key: top-k frame}, total-count frame)``, all cut
-    from one :func:`grouping_counts` aggregate (one row per distinct key
-    value); persist the aggregate when more than one of them is acted on.
+    One :func:`grouping_counts` aggregate, ranked per key with a map-side
+    group limit, leaves at most ``k`` rows per key plus the total row (the
+    overall grouping set is a group of one, always rank 1).  Returns
+    ``(small, {key: top-k frame}, total-count frame)``; persist ``small``
+    (at most ``k * len(keys) + 1`` rows) when several of them are used.
     """
     agg, gids, total_gid = grouping_counts(decoded, keys, total=True)
-    tops: dict[str, DataFrame] = {}
-    for key, gid in gids.items():
-        per_key = agg.filter(F.col(GID) == gid).select(key, COUNT)
-        tops[key] = per_key.orderBy(F.col(COUNT).desc(), F.col(key).asc_nulls_first()).limit(k)
-    total = agg.filter(F.col(GID) == total_gid).select(COUNT)
-    return agg, tops, total
+    order = [F.col(COUNT).desc()] + [F.col(c).asc_nulls_first() for c in keys]
+    ranked = agg.withColumn("__rank", F.row_number().over(Window.partitionBy(GID).orderBy(*order)))
+    small = ranked.filter(F.col("__rank") <= k)
+    tops = {
+        key: small.filter(F.col(GID) == gid).orderBy(F.col("__rank")).select(key, COUNT)
+        for key, gid in gids.items()
+    }
+    total = small.filter(F.col(GID) == total_gid).select(COUNT)
+    return small, tops, total
 
 
 def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview: bool = False) -> JobResult:
     """LOG messages -> top-``k`` regions and terms -> two outputs."""
     decoded = decode(messages, LOG)
-    agg, tops, total = top_counts(decoded, ["region", "search"], k)
+    small, tops, total = top_counts(decoded, ["region", "search"], k)
     outputs = {TOP_REGIONS: tops["region"], TOP_SEARCHES: tops["search"]}
-    with cached(agg):
+    with cached(small):
         rows = total.first()[COUNT]
         log.info("messages: %s", rows)
         if preview and rows:

@@ -24,8 +24,9 @@ def test_top_counts_single_scan_matches_separate_top_k(spark):
     assert _rows(tops["region"]) == _rows(top_k(d, "region", 10))
     assert _rows(tops["search"]) == _rows(top_k(d, "search", 10))
     assert total.collect()[0]["count"] == d.count()
+    assert agg.count() <= 2 * 10 + 1
     plan = agg._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1
+    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan
 
 
 def test_top_counts_null_keys(spark):
