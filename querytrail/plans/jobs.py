@@ -79,12 +79,15 @@ def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview
 
 
 def user_pivot_job(messages: DataFrame, sink: SinkConfig, values: list | None = None, fill_key: bool = False, preview: bool = False) -> JobResult:
-    """EVENT messages -> user x term matrix -> one output."""
+    """EVENT messages -> user x term matrix -> one output.
+
+    The matrix is persisted only when a preview makes it two actions.
+    """
     decoded = with_event_time(decode(messages, EVENT), "timestamp", out="timestamp")
     if preview:
         decoded.printSchema()
     matrix = pivot_counts(decoded, "user_id", "search", values=values, fill_key=fill_key)
-    with cached(matrix) as m:
+    with cached(matrix, when=preview) as m:
         if preview:
             m.show(10, truncate=False)
         status = write_all({USER_PIVOT: m}, sink)
@@ -100,15 +103,15 @@ def trending_job(
 ) -> JobResult:
     """EVENT messages -> counts per window and term -> one output.
 
-    The aggregate is persisted so preview and write share one read of the
-    topic (the reference read it twice, SURVEY D8).  The preview is sorted
+    With a preview the aggregate is persisted so preview and write share
+    one read of the topic (the reference read it twice, SURVEY D8).  The preview is sorted
     by count; the written table is sorted only with ``sort_output``, since
     neither a document store nor a multi-file table keeps row order and the
     global sort costs a range shuffle.
     """
     decoded = with_event_time(decode(messages, EVENT))
     counts = trending(decoded, width=width, sort=False)
-    with cached(counts) as c:
+    with cached(counts, when=preview) as c:
         ordered = c.orderBy(F.col(COUNT).desc(), F.col("start_time").asc(), F.col("search").asc_nulls_first())
         if preview:
             ordered.show(10, truncate=False)

@@ -81,3 +81,14 @@ def test_publish_without_kafka_jar_fails(spark):
     df = spark.createDataFrame([(1, "a")], "user_id int, search string")
     with pytest.raises(Exception):
         publish_job(df, "t", "localhost:1")
+
+
+def test_cached_only_when_asked(spark):
+    from querytrail.plans import cached
+
+    df = spark.range(3)
+    with cached(df, when=False) as d:
+        assert not d.is_cached
+    with cached(df) as d:
+        assert d.is_cached
+    assert not df.is_cached
