@@ -17,6 +17,9 @@ def top_per_group(df: DataFrame, group: Sequence[str], k: int, order: Sequence[C
     per-partition sort and a window-group limit that drops rows beyond
     ``k`` before the window is evaluated.  Meant for already aggregated
     input, whose groups are bounded by the number of distinct terms.
+    Spark inserts the group limit for ``k`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default);
+    raise that setting for larger ``k``.
     """
     if k <= 0:
         raise ValueError("k must be positive")
