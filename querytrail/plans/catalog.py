@@ -22,7 +22,7 @@ from querytrail.functions.decode import decode, event_time_from_millis, with_eve
 from querytrail.functions.encode import encode_json
 from querytrail.operators.counts import count_by, row_count, top_k, top_values
 from querytrail.operators.filters import keyword_filter
-from querytrail.operators.pivot import pivot_counts
+from querytrail.operators.pivot import distinct_values, pivot_counts
 from querytrail.operators.ranking import user_top_terms
 from querytrail.operators.windows import hourly_counts, trending, trending_topk
 from querytrail.plans.jobs import (
@@ -43,7 +43,7 @@ from querytrail.sinks.tables import SinkConfig
 from querytrail.sources.tables import load_table
 from querytrail.sources.topics import num_partitions, stream_topic_files, write_topic_files
 from querytrail.sources.wire import event_rows, events_wire, parts_wire
-from querytrail.streaming.live import live_trending
+from querytrail.streaming.live import live_pivot, live_trending
 from querytrail.streaming.runner import run_to_end, start
 
 # Fixed parameters of the registered queries.
@@ -270,6 +270,27 @@ def q_live_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(read_batches(spark, "windows", sink))
 
 
+def q_stream_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user x term matrix kept live on the stream (complete mode).
+
+    A stream cannot discover its pivot columns, so the term list is read
+    from the table first (one bounded distinct), then the stream counts.
+    """
+    terms = distinct_values(decode(event_messages(spark, sf_dir), EVENT), "search")
+    base = shared_dir(spark, "stream_user_pivot")
+    stream = decode(_event_stream(spark, sf_dir, base), EVENT)
+    sink = SinkConfig(root=base)
+    query = start(
+        live_pivot(stream, terms),
+        os.path.join(base, "checkpoint"),
+        mode="complete",
+        trigger={"availableNow": True},
+        foreach_batch=replace_each_batch("matrix", sink),
+    )
+    run_to_end(query, STREAM_TIMEOUT_S)
+    return read_batches(spark, "matrix", sink)
+
+
 QUERIES: dict[str, Query] = {
     "decode_events": q_decode_events,
     "replace_event_time": q_replace_event_time,
@@ -296,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "stream_keyword": q_stream_keyword,
     "stream_decode": q_stream_decode,
     "live_trending": q_live_trending,
+    "stream_user_pivot": q_stream_user_pivot,
 }
 
 __all__ = ["QUERIES"]

@@ -136,4 +136,7 @@ SQL: dict[str, str] = {
 """,
     "stream_decode": _WIRE,
     "live_trending": _WINDOWS,
+    "stream_user_pivot": "SELECT user_id, "
+    + ", ".join(f"count(*) FILTER (WHERE search = '{t}') AS \"{t}\"" for t in _PIVOT_TERMS)
+    + f" FROM ({_WIRE}) w GROUP BY user_id",
 }
