@@ -5,6 +5,7 @@
     python -m querytrail trending       --files topic_dir/ --sink-root out/
     python -m querytrail keyword-stream --topic search-analysis-stream --keyword maske --checkpoint ckpt/ --sink-root out/
     python -m querytrail decode-stream  --topic search-analysis-stream --checkpoint ckpt/
+    python -m querytrail live-trending  --topic search-analysis-stream --watermark "10 minutes" --checkpoint ckpt/ --sink-root out/
     python -m querytrail publish        --table events.parquet --topic search-analysis-userid
 
 Sources: a Kafka topic (``--topic``, ``--servers`` or KAFKA_BOOTSTRAP_SERVERS)
@@ -25,7 +26,7 @@ from querytrail.sources.topics import read_topic, read_topic_files, stream_topic
 from querytrail.streaming.runner import run_to_end
 
 BATCH = {"top-searches", "user-pivot", "trending"}
-STREAM = {"keyword-stream", "decode-stream"}
+STREAM = {"keyword-stream", "decode-stream", "live-trending"}
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -47,6 +48,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--width", default="30 minutes", help="window width (trending)")
     p.add_argument("--sort-output", action="store_true", help="trending: write the table sorted by count")
     p.add_argument("--keyword", action="append", help="keyword-stream needle(s); default: maske")
+    p.add_argument("--watermark", default="10 minutes", help="live-trending: allowed lateness")
+    p.add_argument("--mode", default="update", choices=["update", "append", "complete"], help="live-trending output mode")
     p.add_argument("--checkpoint", help="stream checkpoint location (required for streams)")
     p.add_argument("--trigger", default=None, help="processing-time interval, or 'available-now'")
     p.add_argument("--timeout", type=float, default=None, help="stop waiting for a stream after this many seconds")
@@ -111,6 +114,11 @@ def main(argv: list[str] | None = None) -> int:
             keywords=tuple(args.keyword or [jobs.KEYWORD]),
             trigger=_trigger(args.trigger, {"processingTime": "10 seconds"}),
         )
+    elif args.job == "live-trending":
+        query = jobs.live_trending_stream(
+            stream, sink, args.checkpoint, watermark=args.watermark, width=args.width, mode=args.mode,
+            trigger=_trigger(args.trigger, None),
+        )
     else:
         query = jobs.decode_stream(stream, args.checkpoint, trigger=_trigger(args.trigger, None))
     run_to_end(query, args.timeout)

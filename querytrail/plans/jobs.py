@@ -144,6 +144,34 @@ def keyword_tracker_stream(
     )
 
 
+LIVE_TRENDING = "live_trending_30min"
+
+
+def live_trending_stream(
+    stream: DataFrame,
+    sink: SinkConfig,
+    checkpoint: str,
+    watermark: str = "10 minutes",
+    width: str = "30 minutes",
+    mode: str = "update",
+    name: str = LIVE_TRENDING,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Counts per window and term kept live on the stream.
+
+    ``update`` appends each batch's changed windows (read the newest with
+    :func:`querytrail.streaming.latest_window_counts`), ``append`` only
+    windows the watermark has closed, ``complete`` replaces the table with
+    the whole result every batch.
+    """
+    from querytrail.sinks.batches import replace_each_batch
+    from querytrail.streaming.live import live_trending
+
+    counts = live_trending(with_event_time(decode(stream, EVENT)), watermark, width=width)
+    writer = replace_each_batch(name, sink) if mode == "complete" else append_batches(name, sink, owner=checkpoint)
+    return start(counts, checkpoint, mode=mode, trigger=trigger, foreach_batch=writer)
+
+
 def decoded_events(messages: DataFrame) -> DataFrame:
     """Decode -> event time: the J5 plan, batch or stream."""
     return with_event_time(decode(messages, EVENT))

@@ -36,6 +36,25 @@ def test_stream_jobs(spark, scratch, topics):
     assert main(["decode-stream", *args, "--checkpoint", os.path.join(scratch, "c2")]) == 0
 
 
+def test_live_trending_job(spark, scratch, topics):
+    from querytrail.plans.jobs import LIVE_TRENDING
+    from querytrail.sinks import SinkConfig, read_batches
+    from querytrail.streaming import latest_window_counts
+
+    ev, _ = topics
+    out = os.path.join(scratch, "out")
+    args = ["--files", ev, "--trigger", "available-now", "--timeout", "300", "--sink-root", out]
+    assert main(["live-trending", *args, "--mode", "complete", "--checkpoint", os.path.join(scratch, "c3")]) == 0
+    complete = spark.read.parquet(os.path.join(out, LIVE_TRENDING))
+    total = load_table(spark, SF_SMALL, "events").count()
+    assert complete.agg({"count": "sum"}).collect()[0][0] == total
+    out2 = os.path.join(scratch, "out2")
+    args2 = ["--files", ev, "--max-per-trigger", "1", "--trigger", "available-now", "--timeout", "300", "--sink-root", out2]
+    assert main(["live-trending", *args2, "--watermark", "30 days", "--checkpoint", os.path.join(scratch, "c4")]) == 0
+    latest = latest_window_counts(read_batches(spark, LIVE_TRENDING, SinkConfig(root=out2)))
+    assert sorted(map(tuple, latest.collect())) == sorted(map(tuple, complete.collect()))
+
+
 def test_usage_errors(spark):
     with pytest.raises(SystemExit):
         main(["trending"])
