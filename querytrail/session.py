@@ -54,9 +54,9 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
         value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
         if value:
             return value
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if found.isDefined():
-            return found.get()
+        found = spark.sparkContext.getCheckpointDir()
+        if found:
+            return found
     except Exception:  # e.g. Spark Connect has no SparkContext
         pass
     return None
@@ -71,7 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     try:
         sc = spark.sparkContext
-        if not sc._jsc.sc().getCheckpointDir().isDefined():
+        if not sc.getCheckpointDir():
             sc.setCheckpointDir(base)
     except Exception:
         pass
