@@ -81,17 +81,27 @@ def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview
 def user_pivot_job(messages: DataFrame, sink: SinkConfig, values: list | None = None, fill_key: bool = False, preview: bool = False) -> JobResult:
     """EVENT messages -> user x term matrix -> one output.
 
+    With columns taken from the data every message lands in one cell, so
+    the message count is the sum of the matrix, computed from the pivot's
+    checkpointed pair counts rather than by another read of the topic.
     The matrix is persisted only when a preview makes it two actions.
     """
     decoded = with_event_time(decode(messages, EVENT), "timestamp", out="timestamp")
     if preview:
         decoded.printSchema()
     matrix = pivot_counts(decoded, "user_id", "search", values=values, fill_key=fill_key)
+    rows = None
+    if values is None:
+        cells = [c for c in matrix.columns if c != "user_id"]
+        # one row of per-column sums (as many as the checked column count)
+        sums = matrix.agg(*[F.sum(F.col(c)) for c in cells]).first() if cells else []
+        rows = sum(v or 0 for v in sums)
+        log.info("messages: %s", rows)
     with cached(matrix, when=preview) as m:
         if preview:
             m.show(10, truncate=False)
         status = write_all({USER_PIVOT: m}, sink)
-    return JobResult({USER_PIVOT: matrix}, status)
+    return JobResult({USER_PIVOT: matrix}, status, rows)
 
 
 def trending_job(

@@ -51,6 +51,7 @@ def test_user_pivot_job(spark, scratch):
     out = spark.read.parquet(os.path.join(scratch, USER_PIVOT))
     assert out.columns[0] == "user_id" and len(out.columns) == 6
     assert res.status[USER_PIVOT] == "ok"
+    assert res.rows == load_table(spark, SF_SMALL, "events").count()
 
 
 def test_trending_job(spark, scratch):
