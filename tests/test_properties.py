@@ -1,6 +1,7 @@
 """Operators against plain-Python brute force on random small inputs."""
 
 import datetime as dt
+import os
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
@@ -12,7 +13,8 @@ TERMS = st.sampled_from(["a", "b", "Maske", "cerrahi maske", "İz", None])
 USERS = st.one_of(st.none(), st.integers(1, 6))
 MINUTES = st.one_of(st.none(), st.integers(0, 240))
 ROWS = st.lists(st.tuples(USERS, TERMS, MINUTES), min_size=0, max_size=40)
-SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+# QT_EXAMPLES raises the example count for a deeper local run.
+SETTINGS = settings(max_examples=int(os.environ.get("QT_EXAMPLES", "12")), deadline=None, suppress_health_check=list(HealthCheck))
 BASE = dt.datetime(2024, 1, 1)
 
 
