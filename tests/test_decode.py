@@ -147,3 +147,27 @@ def test_zoneless_time_text_is_read_in_session_zone(spark):
     assert rows[0].timestamp_dt == rows[1].timestamp_dt
     epoch = with_event_time(decode(msgs, EVENT)).selectExpr("unix_seconds(timestamp_dt) AS s").collect()
     assert {r.s for r in epoch} == {1704103200}
+
+
+def test_same_results_with_and_without_ansi(spark):
+    from querytrail.operators import pivot_counts, top_k, trending
+
+    texts = [GOOD, '{"user_id":"x","search":"a","timestamp":"bad"}', "junk", '{"user_id":7,"search":"b","timestamp":"2024-01-01T10:31:00Z"}']
+
+    def run():
+        d = with_event_time(decode(messages(spark, texts), EVENT))
+        return (
+            sorted(map(str, trending(d).collect())),
+            sorted(map(str, top_k(d, "search", 5).collect())),
+            sorted(map(str, pivot_counts(d, values=["a", "b", "telefon"]).collect())),
+        )
+
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        on = run()
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        off = run()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert on == off
