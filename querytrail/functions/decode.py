@@ -43,6 +43,9 @@ def decode(
     messages in the default form.
     """
     keep = list(keep)
+    clash = sorted(set(keep) & {f.name for f in schema.fields})
+    if clash:
+        raise ValueError(f"kept columns {clash} collide with message fields; rename them first (e.g. withColumnRenamed)")
     parsed = F.from_json(F.col(column).cast("string"), schema)
     if barrier:
         return df.select(*keep, F.inline(F.array(parsed)))

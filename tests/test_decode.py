@@ -89,6 +89,16 @@ def test_keep_columns(spark):
     assert df.columns == ["partition", "user_id", "search", "region", "timestamp"]
 
 
+def test_keep_column_clash_is_an_error(spark):
+    from pyspark.sql import functions as F
+
+    msgs = messages(spark, [GOOD]).withColumn("timestamp", F.current_timestamp())
+    with pytest.raises(ValueError):
+        decode(msgs, EVENT, keep=["timestamp"])
+    renamed = decode(msgs.withColumnRenamed("timestamp", "topic_ts"), EVENT, keep=["topic_ts"])
+    assert renamed.columns[0] == "topic_ts"
+
+
 def test_encode_decode_roundtrip(spark):
     rows = [(1000, "akıllı saat", "İzmir", "2024-01-01T10:05:00Z"), (None, "x", None, None)]
     df = spark.createDataFrame(rows, EVENT)
