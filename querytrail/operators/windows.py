@@ -62,9 +62,16 @@ def trending_topk(
     return top_per_group(counts, ["start_time", "end_time"], k, order=[F.col(COUNT).desc(), F.col(term).asc_nulls_first()])
 
 
-def hourly_counts(df: DataFrame, time_col: str = "timestamp_dt") -> DataFrame:
+def hourly_counts(df: DataFrame, time_col: str = "timestamp_dt", zone: str | None = None) -> DataFrame:
     """``hour int, count bigint``: events per hour of the day.
 
-    Rows without a time form the null hour, so counts add up to the input.
+    Hours are read in the session zone, or in ``zone`` (e.g. the users'
+    local zone) when given.  Rows without a time form the null hour, so
+    counts add up to the input.
     """
-    return df.groupBy(F.hour(F.col(time_col)).alias("hour")).agg(F.count(F.lit(1)).alias(COUNT))
+    ts = F.col(time_col)
+    if zone is not None:
+        # session-zone wall clock -> wall clock in ``zone``
+        session_zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+        ts = F.convert_timezone(F.lit(session_zone), F.lit(zone), ts.cast("timestamp_ntz"))
+    return df.groupBy(F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias(COUNT))

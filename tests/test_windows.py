@@ -54,3 +54,9 @@ def test_hourly_counts(spark):
     rows = [("a", T(1, 0)), ("a", T(1, 59)), ("a", T(23, 0)), ("a", None)]
     got = {r.hour: r["count"] for r in hourly_counts(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {1: 2, 23: 1, None: 1}
+
+
+def test_hourly_counts_in_a_zone(spark):
+    rows = [("a", T(22, 0)), ("a", T(23, 30)), ("a", None)]
+    got = {r.hour: r["count"] for r in hourly_counts(spark.createDataFrame(rows, SCHEMA), zone="Europe/Istanbul").collect()}
+    assert got == {1: 1, 2: 1, None: 1}  # UTC+3
