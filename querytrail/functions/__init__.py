@@ -1,6 +1,6 @@
 """Column-level building blocks: message decode/encode and event time."""
 
 from querytrail.functions.decode import decode, event_time_from_millis, with_event_time
-from querytrail.functions.encode import encode_json
+from querytrail.functions.encode import encode_events, encode_json
 
-__all__ = ["decode", "encode_json", "event_time_from_millis", "with_event_time"]
+__all__ = ["decode", "encode_events", "encode_json", "event_time_from_millis", "with_event_time"]

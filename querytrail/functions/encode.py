@@ -19,3 +19,11 @@ def encode_json(df: DataFrame, columns: Iterable[str] | None = None, key: str |
     if key is None:
         return df.select(value)
     return df.select(F.col(key).cast("string").cast("binary").alias("key"), value)
+
+
+def encode_events(df: DataFrame, key: str | None = None) -> DataFrame:
+    """EVENT messages from a frame with the EVENT columns (others ignored),
+    fields in schema order, as the event producers send them."""
+    from querytrail.schemas import EVENT
+
+    return encode_json(df, [f.name for f in EVENT.fields], key)

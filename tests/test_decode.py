@@ -108,6 +108,16 @@ def test_encode_decode_roundtrip(spark):
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
 
 
+def test_encode_events_keeps_schema_fields_only(spark):
+    from querytrail.functions import encode_events
+
+    df = spark.createDataFrame(
+        [("x", 5, 1000, "r", "t", None)], "extra string, n int, user_id int, region string, search string, timestamp string"
+    )
+    msg = bytes(encode_events(df).collect()[0].value).decode()
+    assert msg == '{"user_id":1000,"search":"t","region":"r"}'  # null timestamp left out
+
+
 def test_encode_with_key(spark):
     df = spark.createDataFrame([(1000, "a", "b", "c")], EVENT)
     enc = encode_json(df, ["search"], key="user_id")
