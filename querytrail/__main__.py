@@ -55,6 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--timeout", type=float, default=None, help="stop waiting for a stream after this many seconds")
     p.add_argument("--table", help="publish: Parquet table to send")
     p.add_argument("--preview", action="store_true", help="show results before writing")
+    p.add_argument("--drop-malformed", action="store_true", help="batch jobs: drop messages that decode to no field")
     return p
 
 
@@ -87,12 +88,17 @@ def main(argv: list[str] | None = None) -> int:
         else:
             raise SystemExit("a source is required: --topic or --files")
         if args.job == "top-searches":
-            res = jobs.top_searches_job(messages, sink, k=args.k, preview=args.preview)
+            res = jobs.top_searches_job(messages, sink, k=args.k, preview=args.preview, drop_malformed=args.drop_malformed)
         elif args.job == "user-pivot":
             values = args.values.split(",") if args.values else None
-            res = jobs.user_pivot_job(messages, sink, values=values, fill_key=args.fill_key, preview=args.preview)
+            res = jobs.user_pivot_job(
+                messages, sink, values=values, fill_key=args.fill_key, preview=args.preview, drop_malformed=args.drop_malformed
+            )
         else:
-            res = jobs.trending_job(messages, sink, width=args.width, preview=args.preview, sort_output=args.sort_output)
+            res = jobs.trending_job(
+                messages, sink, width=args.width, preview=args.preview, sort_output=args.sort_output,
+                drop_malformed=args.drop_malformed,
+            )
         logging.getLogger("querytrail").info("outputs: %s", res.status)
         return 0
 

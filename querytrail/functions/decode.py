@@ -6,6 +6,7 @@ All functions are narrow: no shuffle, no Python, JVM expressions only.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ def decode(
     column: str = "value",
     keep: Iterable[str] = (),
     barrier: bool = True,
+    drop_malformed: bool = False,
 ) -> DataFrame:
     """Bytes -> UTF-8 text -> struct by ``schema`` -> top-level columns.
 
@@ -41,6 +43,11 @@ def decode(
     so it suits frames that are only aggregated or counted, never filtered.
     Narrow ``schema`` yourself to skip materialising unused fields of wide
     messages in the default form.
+
+    ``drop_malformed=True`` drops messages that yield no field at all (not
+    JSON, not an object, or no known field), which otherwise surface as a
+    null group in counts and a ``null`` pivot column.  A message with at
+    least one usable field is kept, its bad fields null.
     """
     keep = list(keep)
     clash = sorted(set(keep) & {f.name for f in schema.fields})
@@ -48,9 +55,13 @@ def decode(
         raise ValueError(f"kept columns {clash} collide with message fields; rename them first (e.g. withColumnRenamed)")
     parsed = F.from_json(F.col(column).cast("string"), schema)
     if barrier:
-        return df.select(*keep, F.inline(F.array(parsed)))
-    staged = df.select(*keep, parsed.alias(_PARSED))
-    return staged.select(*keep, *[F.col(f"{_PARSED}.{f.name}").alias(f.name) for f in schema.fields])
+        out = df.select(*keep, F.inline(F.array(parsed)))
+    else:
+        staged = df.select(*keep, parsed.alias(_PARSED))
+        out = staged.select(*keep, *[F.col(f"{_PARSED}.{f.name}").alias(f.name) for f in schema.fields])
+    if drop_malformed:
+        out = out.filter(~reduce(lambda a, b: a & b, [F.col(f.name).isNull() for f in schema.fields]))
+    return out
 
 
 def parse_time(column: str | Column, fmt: str | None = None) -> Column:

@@ -60,9 +60,9 @@ def top_counts(decoded: DataFrame, keys: list[str], k: int) -> tuple[DataFrame,
     return small, tops, total
 
 
-def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview: bool = False) -> JobResult:
+def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview: bool = False, drop_malformed: bool = False) -> JobResult:
     """LOG messages -> top-``k`` regions and terms -> two outputs."""
-    decoded = decode(messages, LOG)
+    decoded = decode(messages, LOG, drop_malformed=drop_malformed)
     small, tops, total = top_counts(decoded, ["region", "search"], k)
     outputs = {TOP_REGIONS: tops["region"], TOP_SEARCHES: tops["search"]}
     with cached(small):
@@ -78,7 +78,14 @@ def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview
     return JobResult(outputs, status, rows)
 
 
-def user_pivot_job(messages: DataFrame, sink: SinkConfig, values: list | None = None, fill_key: bool = False, preview: bool = False) -> JobResult:
+def user_pivot_job(
+    messages: DataFrame,
+    sink: SinkConfig,
+    values: list | None = None,
+    fill_key: bool = False,
+    preview: bool = False,
+    drop_malformed: bool = False,
+) -> JobResult:
     """EVENT messages -> user x term matrix -> one output.
 
     With columns taken from the data every message lands in one cell, so
@@ -86,7 +93,7 @@ def user_pivot_job(messages: DataFrame, sink: SinkConfig, values: list | None =
     checkpointed pair counts rather than by another read of the topic.
     The matrix is persisted only when a preview makes it two actions.
     """
-    decoded = with_event_time(decode(messages, EVENT), "timestamp", out="timestamp")
+    decoded = with_event_time(decode(messages, EVENT, drop_malformed=drop_malformed), "timestamp", out="timestamp")
     if preview:
         decoded.printSchema()
     matrix = pivot_counts(decoded, "user_id", "search", values=values, fill_key=fill_key)
@@ -110,6 +117,7 @@ def trending_job(
     width: str = "30 minutes",
     preview: bool = False,
     sort_output: bool = False,
+    drop_malformed: bool = False,
 ) -> JobResult:
     """EVENT messages -> counts per window and term -> one output.
 
@@ -119,7 +127,7 @@ def trending_job(
     neither a document store nor a multi-file table keeps row order and the
     global sort costs a range shuffle.
     """
-    decoded = with_event_time(decode(messages, EVENT))
+    decoded = with_event_time(decode(messages, EVENT, drop_malformed=drop_malformed))
     counts = trending(decoded, width=width, sort=False)
     with cached(counts, when=preview) as c:
         ordered = c.orderBy(F.col(COUNT).desc(), F.col("start_time").asc(), F.col("search").asc_nulls_first())

@@ -50,6 +50,15 @@ def test_bad_messages_are_all_null_rows(spark, text):
     assert all(v is None for v in rows[0])
 
 
+@pytest.mark.parametrize("barrier", [True, False])
+def test_drop_malformed(spark, barrier):
+    texts = ["garbage", "", None, "[]", "{}", '{"User_ID":4}', b"\xff\xfe{", GOOD, '{"user_id":"1002","search":"tablet"}']
+    df = decode(messages(spark, texts), EVENT, barrier=barrier, drop_malformed=True)
+    got = sorted(((r.user_id, r.search) for r in df.collect()), key=str)
+    assert got == sorted([(None, "tablet"), (1000, "telefon")], key=str)
+    assert decode(messages(spark, texts), EVENT, barrier=barrier).count() == len(texts)
+
+
 def test_ansi_mode_does_not_throw(spark):
     spark.conf.set("spark.sql.ansi.enabled", "true")
     df = with_event_time(decode(messages(spark, ['{"timestamp":"nope"}', GOOD]), EVENT))

@@ -93,3 +93,11 @@ def test_cached_only_when_asked(spark):
     with cached(df) as d:
         assert d.is_cached
     assert not df.is_cached
+
+
+def test_top_searches_job_drop_malformed(spark, scratch):
+    sink = SinkConfig(root=scratch)
+    msgs = messages(spark, ['{"search":"a","region":"r"}', "junk", "junk", "junk"])
+    kept = top_searches_job(msgs, sink, drop_malformed=True)
+    assert kept.rows == 1
+    assert top_searches_job(msgs, sink).rows == 4
