@@ -35,16 +35,23 @@ class SinkConfig:
             raise ValueError(f"format {self.fmt!r} needs a root directory")
         return os.path.join(self.root, name)
 
-    def writer(self, df: DataFrame, name: str, mode: str) -> tuple[DataFrameWriter, str | None]:
-        w = df.write.format(self.fmt).mode(mode).options(**self.options)
+    def options_for(self, name: str) -> dict[str, str]:
+        """Writer options for the result ``name`` (path-based formats get
+        the name as a path instead, see :meth:`path`)."""
+        opts = dict(self.options)
         if self.fmt in FILE_FORMATS:
-            return w, self.path(name)
+            return opts
         if self.fmt == "mongodb":
             if self.uri:
-                w = w.option("connection.uri", self.uri)
+                opts["connection.uri"] = self.uri
             if self.database:
-                w = w.option("database", self.database)
-        return w.option(self.name_option, name), None
+                opts["database"] = self.database
+        opts[self.name_option] = name
+        return opts
+
+    def writer(self, df: DataFrame, name: str, mode: str) -> tuple[DataFrameWriter, str | None]:
+        w = df.write.format(self.fmt).mode(mode).options(**self.options_for(name))
+        return w, (self.path(name) if self.fmt in FILE_FORMATS else None)
 
 
 def write_table(df: DataFrame, name: str, sink: SinkConfig, mode: str = "overwrite") -> None:

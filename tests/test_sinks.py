@@ -29,6 +29,18 @@ def test_write_all_attempts_every_output_then_raises(spark, scratch):
     assert status["exists"] != "ok"
 
 
+def test_sink_options_for():
+    mongo = SinkConfig(fmt="mongodb", uri="mongodb://h:27017", database="db", options={"ordered": "false"})
+    assert mongo.options_for("top_10") == {
+        "ordered": "false",
+        "connection.uri": "mongodb://h:27017",
+        "database": "db",
+        "collection": "top_10",
+    }
+    assert SinkConfig(fmt="jdbc", name_option="dbtable", options={"url": "jdbc:x"}).options_for("t") == {"url": "jdbc:x", "dbtable": "t"}
+    assert SinkConfig(root="/r").options_for("t") == {} and SinkConfig(root="/r").path("t") == "/r/t"
+
+
 def test_document_store_options(spark):
     sink = SinkConfig(fmt="mongodb", uri="mongodb://h:27017", database="db")
     df = spark.createDataFrame([(1,)], "x int")
