@@ -8,6 +8,11 @@ from querytrail.functions.encode import encode_json
 from querytrail.sources.topics import bootstrap_servers
 
 
+def publish_options(topic: str, servers: str | None = None) -> dict[str, str]:
+    """Writer options for the Kafka sink."""
+    return {"kafka.bootstrap.servers": bootstrap_servers(servers), "topic": topic}
+
+
 def publish(df: DataFrame, topic: str, servers: str | None = None, columns: list[str] | None = None, key: str | None = None) -> None:
     """Serialise rows to UTF-8 JSON and write them to a Kafka topic.
 
@@ -15,9 +20,4 @@ def publish(df: DataFrame, topic: str, servers: str | None = None, columns: list
     Needs the spark-sql-kafka jar on the classpath.
     """
     messages = encode_json(df, columns, key)
-    (
-        messages.write.format("kafka")
-        .option("kafka.bootstrap.servers", bootstrap_servers(servers))
-        .option("topic", topic)
-        .save()
-    )
+    messages.write.format("kafka").options(**publish_options(topic, servers)).save()

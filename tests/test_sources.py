@@ -24,6 +24,14 @@ def test_servers_fallback(monkeypatch):
     assert bootstrap_servers("x:2") == "x:2"
 
 
+def test_publish_options(monkeypatch):
+    from querytrail.sinks.topic import publish_options
+
+    monkeypatch.delenv("KAFKA_BOOTSTRAP_SERVERS", raising=False)
+    assert publish_options("t") == {"kafka.bootstrap.servers": "localhost:9092", "topic": "t"}
+    assert publish_options("t", "k:1")["kafka.bootstrap.servers"] == "k:1"
+
+
 def test_kafka_options():
     opts = kafka_options("t", "s:1", "earliest", maxOffsetsPerTrigger=100)
     assert opts == {"kafka.bootstrap.servers": "s:1", "subscribe": "t", "startingOffsets": "earliest", "maxOffsetsPerTrigger": "100"}
