@@ -127,7 +127,12 @@ def main(argv: list[str] | None = None) -> int:
         )
     else:
         query = jobs.decode_stream(stream, args.checkpoint, trigger=_trigger(args.trigger, None))
-    run_to_end(query, args.timeout)
+    try:
+        run_to_end(query, args.timeout)
+    except KeyboardInterrupt:  # Ctrl-C: stop the query; the checkpoint resumes it later
+        logging.getLogger("querytrail").info("interrupted; stopping %s", query.id)
+        query.stop()
+        return 130
     return 0
 
 
