@@ -43,7 +43,7 @@ from querytrail.sinks.tables import SinkConfig
 from querytrail.sources.tables import load_table
 from querytrail.sources.topics import num_partitions, stream_topic_files, write_topic_files
 from querytrail.sources.wire import event_rows, events_wire, parts_wire
-from querytrail.streaming.live import live_pivot, live_trending
+from querytrail.streaming.live import latest_counts, live_pivot, live_trending
 from querytrail.streaming.runner import run_to_end, start
 
 # Fixed parameters of the registered queries.
@@ -271,24 +271,27 @@ def q_live_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user x term matrix kept live on the stream (complete mode).
+    """The user x term matrix kept live on the stream.
 
     A stream cannot discover its pivot columns, so the term list is read
-    from the table first (one bounded distinct), then the stream counts.
+    from the table first (one bounded distinct).  The stream runs in
+    ``update`` mode: each micro-batch appends only the users it changed,
+    and the newest counts per user are the exact matrix.
     """
     terms = distinct_values(decode(event_messages(spark, sf_dir), EVENT), "search")
     base = shared_dir(spark, "stream_user_pivot")
     stream = decode(_event_stream(spark, sf_dir, base), EVENT)
     sink = SinkConfig(root=base)
+    checkpoint = os.path.join(base, "checkpoint")
     query = start(
         live_pivot(stream, terms),
-        os.path.join(base, "checkpoint"),
-        mode="complete",
+        checkpoint,
+        mode="update",
         trigger={"availableNow": True},
-        foreach_batch=replace_each_batch("matrix", sink),
+        foreach_batch=append_batches("matrix", sink, log_count=False, owner=checkpoint),
     )
     run_to_end(query, STREAM_TIMEOUT_S)
-    return read_batches(spark, "matrix", sink)
+    return latest_counts(read_batches(spark, "matrix", sink), ["user_id"])
 
 
 QUERIES: dict[str, Query] = {

@@ -32,19 +32,33 @@ def live_trending(
     return window_counts(timed, time_col, term, width)
 
 
-def latest_window_counts(appended: DataFrame, term: str = "search") -> DataFrame:
-    """Final counts from the rows an ``update``-mode :func:`live_trending`
-    appended batch by batch.
+def latest_counts(appended: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Final counts from the rows an ``update``-mode count stream appended
+    batch by batch.
 
-    Update mode re-emits a (window, term) row each time its count grows, so
-    the largest count per key is the newest one.  A plain aggregate, with
-    the partial step before its shuffle.
+    Update mode re-emits a key's row each time one of its counts grows, and
+    counts never shrink, so the largest value per key and column is the
+    newest one.  A plain aggregate, with the partial step before its
+    shuffle; the ``batch_id`` column, if kept, is ignored.
     """
-    return appended.groupBy("start_time", "end_time", term).agg(F.max("count").alias("count"))
+    keys = list(keys)
+    cols = [c for c in appended.columns if c not in keys and c != "batch_id"]
+    return appended.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+
+
+def latest_window_counts(appended: DataFrame, term: str = "search") -> DataFrame:
+    """:func:`latest_counts` for :func:`live_trending` output."""
+    return latest_counts(appended, ["start_time", "end_time", term])
 
 
 def live_pivot(sdf: DataFrame, values: Sequence, key: str = "user_id", column: str = "search") -> DataFrame:
-    """Key x term counts on a stream; the value list must be given (§4)."""
+    """Key x term counts on a stream; the value list must be given (§4).
+
+    Best run in ``update`` mode: each batch emits only the keys it changed,
+    and :func:`latest_counts` over the appended batches is the exact
+    matrix (no watermark, so no row is ever late).  ``complete`` re-emits
+    every key each batch.
+    """
     return pivot_counts(sdf, key, column, values=list(values))
 
 

@@ -129,6 +129,20 @@ def test_live_pivot_with_values(spark, scratch):
     assert _rows(read_batches(spark, "m", sink)) == _rows(batch)
 
 
+def test_live_pivot_update_mode_latest_counts(spark, scratch):
+    from querytrail.operators import pivot_counts
+    from querytrail.streaming import latest_counts
+
+    topic = _topic(spark, scratch)
+    stream = decode(stream_topic_files(spark, topic, 1), EVENT)
+    values = ["click", "error", "purchase", "signup", "view"]
+    sink, _ = _run(live_pivot(stream, values), scratch, "m", mode="update")
+    appended = read_batches(spark, "m", sink, keep_batch_id=True)
+    assert appended.select("batch_id").distinct().count() >= 3
+    batch = pivot_counts(decode(spark.read.parquet(topic), EVENT), values=values)
+    assert _rows(latest_counts(appended, ["user_id"])) == _rows(batch)
+
+
 def test_streaming_pivot_needs_values(spark, scratch):
     from querytrail.operators import pivot_counts
 
