@@ -46,7 +46,7 @@ def as_topic(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def event_rows(events: DataFrame) -> DataFrame:
     """``events`` -> EVENT fields: user_id int, search, region, ISO time text."""
     return events.select(
-        F.col("user_id").cast("int").alias("user_id"),
+        F.col("user_id").try_cast("int").alias("user_id"),  # out of range -> null, as the decoder does
         F.col("event_type").alias("search"),
         F.concat(F.lit(REGION_PREFIX), (F.col("user_id") % REGION_BUCKETS).cast("string")).alias("region"),
         F.date_format(F.col("ts"), ISO_SECONDS).alias("timestamp"),
