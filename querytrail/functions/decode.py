@@ -86,6 +86,15 @@ def with_event_time(
     return df.withColumn(out, parse_time(column, fmt))
 
 
+# Largest magnitude of epoch milliseconds whose microseconds fit in a long.
+_MAX_MILLIS = (2**63 - 1) // 1000
+
+
 def event_time_from_millis(df: DataFrame, column: str = "timestamp", out: str = "timestamp_dt") -> DataFrame:
-    """Epoch milliseconds (the LOG message's ``timestamp``) -> timestamp."""
-    return df.withColumn(out, F.timestamp_millis(F.col(column)))
+    """Epoch milliseconds (the LOG message's ``timestamp``) -> timestamp.
+
+    A value too large to be a time gives null, like unparseable time text,
+    instead of failing the job with an overflow.
+    """
+    ms = F.col(column)
+    return df.withColumn(out, F.when(ms.between(-_MAX_MILLIS, _MAX_MILLIS), F.timestamp_millis(ms)))

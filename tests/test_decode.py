@@ -90,6 +90,12 @@ def test_log_schema_and_millis(spark):
     assert b.timestamp is None and b.search == "kamera" and b.region == "Bursa"
 
 
+def test_millis_out_of_range_is_null(spark):
+    msgs = messages(spark, ['{"search":"a","timestamp":9223372036854775807}', '{"search":"a","timestamp":-9223372036854775807}'])
+    rows = event_time_from_millis(decode(msgs, LOG)).collect()
+    assert [r.timestamp_dt for r in rows] == [None, None]
+
+
 def test_keep_columns(spark):
     from pyspark.sql import functions as F
 
