@@ -85,3 +85,34 @@ def test_user_top_terms_brute_force(spark, rows, k):
         expect += [(u, t, n, i + 1) for i, (t, n) in enumerate(ranked)]
     got = [tuple(r) for r in user_top_terms(_frame(spark, rows), k).collect()]
     assert sorted(got, key=str) == sorted(expect, key=str)
+
+
+JSONISH = st.one_of(
+    st.binary(max_size=40),
+    st.text(max_size=40),
+    st.builds(
+        lambda u, s, t: __import__("json").dumps({"user_id": u, "search": s, "timestamp": t, "region": s}),
+        st.one_of(st.none(), st.integers(), st.floats(allow_nan=False), st.text(max_size=5)),
+        st.one_of(st.none(), st.text(max_size=8), st.integers()),
+        st.one_of(st.none(), st.text(max_size=25), st.integers(), st.floats(allow_nan=False)),
+    ),
+)
+
+
+@SETTINGS
+@given(texts=st.lists(st.one_of(st.none(), JSONISH), max_size=12), barrier=st.booleans())
+def test_decoding_never_fails_and_keeps_every_message(spark, texts, barrier):
+    from conftest import messages
+
+    from querytrail.functions import decode, event_time_from_millis, with_event_time
+    from querytrail.schemas import EVENT, LOG
+
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    msgs = messages(spark, texts)
+    events = with_event_time(decode(msgs, EVENT, barrier=barrier))
+    logs = event_time_from_millis(decode(msgs, LOG, barrier=barrier))
+    # evaluate every expression on every row without converting to Python
+    # (Spark timestamps reach years Python's datetime cannot hold)
+    events.write.format("noop").mode("overwrite").save()
+    logs.write.format("noop").mode("overwrite").save()
+    assert events.count() == len(texts) and logs.count() == len(texts)
