@@ -161,9 +161,10 @@ def test_barrier_decode_parses_once_under_filters(spark):
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("from_json(") == 1, plan
-    # the projection form parses twice here: the pushed filter and the projection
+    # the projection form parses more than once here: every pushed filter
+    # copies the from_json below the projection
     plan = trending(with_event_time(decode(msgs, EVENT, barrier=False)))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("from_json(") == 2
+    assert plan.count("from_json(") > 1
 
 
 @pytest.mark.parametrize("barrier", [True, False])

@@ -116,3 +116,7 @@ def test_decoding_never_fails_and_keeps_every_message(spark, texts, barrier):
     events.write.format("noop").mode("overwrite").save()
     logs.write.format("noop").mode("overwrite").save()
     assert events.count() == len(texts) and logs.count() == len(texts)
+    from querytrail.operators import hourly_counts, trending_topk
+
+    for out in (trending(events, sort=False), trending_topk(events, 2), hourly_counts(events), top_k(events, "search", 3)):
+        out.write.format("noop").mode("overwrite").save()

@@ -60,3 +60,27 @@ def test_hourly_counts_in_a_zone(spark):
     rows = [("a", T(22, 0)), ("a", T(23, 30)), ("a", None)]
     got = {r.hour: r["count"] for r in hourly_counts(spark.createDataFrame(rows, SCHEMA), zone="Europe/Istanbul").collect()}
     assert got == {1: 1, 2: 1, None: 1}  # UTC+3
+
+
+def test_extreme_times_do_not_fail_window_operators(spark):
+    import json
+
+    from conftest import messages
+
+    from querytrail.functions import decode, with_event_time
+    from querytrail.schemas import EVENT
+
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    stamps = [
+        "0001-01-01T00:00:00Z",
+        "9999-12-31T23:59:59Z",
+        "-1000-01-01T00:00:00Z",
+        "294247-01-10T04:00:54Z",
+        "-290308-12-21T19:59:06Z",
+        "+10000-01-01T00:00:00Z",
+    ]
+    msgs = messages(spark, [json.dumps({"user_id": 1, "search": "a", "timestamp": t}) for t in stamps])
+    events = with_event_time(decode(msgs, EVENT))
+    for out in (trending(events, sort=False), trending_topk(events, 1), hourly_counts(events), hourly_counts(events, zone="Asia/Tokyo")):
+        out.write.format("noop").mode("overwrite").save()
+    assert trending(events, sort=False).agg({"count": "sum"}).collect()[0][0] <= len(stamps)
