@@ -30,7 +30,7 @@ _WINDOWS = f"""
            search,
            count(*) AS count
     FROM ({_WIRE}) w
-    WHERE timestamp_dt IS NOT NULL
+    WHERE timestamp_dt IS NOT NULL AND year(timestamp_dt) BETWEEN 1 AND 9999
     GROUP BY 1, 2, 3
 """
 
