@@ -2,5 +2,6 @@
 
 from querytrail.functions.decode import decode, event_time_from_millis, with_event_time
 from querytrail.functions.encode import encode_events, encode_json
+from querytrail.functions.names import column
 
-__all__ = ["decode", "encode_events", "encode_json", "event_time_from_millis", "with_event_time"]
+__all__ = ["column", "decode", "encode_events", "encode_json", "event_time_from_millis", "with_event_time"]

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querytrail.functions.names import column as col
 from querytrail.session import ensure_checkpoint_dir
 
 # Spark's own ceiling for data-derived pivot columns (spark.sql.pivotMaxValues).
@@ -77,7 +78,7 @@ def pivot_counts(
         else:
             out = _from_pairs(df.groupBy(key, column).agg(F.count(F.lit(1)).alias(_N)), key, column, values)
     if fill_key:
-        out = out.withColumn(key, F.coalesce(F.col(key), F.lit(0).cast(df.schema[key].dataType)))
+        out = out.withColumn(key, F.coalesce(col(key), F.lit(0).cast(df.schema[key].dataType)))
     return out
 
 
@@ -94,4 +95,5 @@ def _from_pairs(pairs: DataFrame, key: str, column: str, values: list) -> DataFr
         aggs = [F.sum(F.when(term.eqNullSafe(F.lit(v)), n).otherwise(F.lit(0).cast("bigint"))).alias(_name(v)) for v in values]
         return pairs.groupBy(key).agg(*aggs)
     out = pairs.groupBy(key).pivot(column, values).agg(F.sum(_N))
-    return out.na.fill(0, subset=[_name(v) for v in values])
+    names = [_name(v) for v in values]
+    return out.select(col(key), *[F.coalesce(col(n), F.lit(0).cast("bigint")).alias(n) for n in names])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from querytrail.functions.decode import decode, with_event_time
+from querytrail.functions.names import column
 from querytrail.operators.counts import COUNT, GID, grouping_counts
 from querytrail.operators.filters import keyword_filter
 from querytrail.operators.pivot import pivot_counts
@@ -101,7 +102,7 @@ def user_pivot_job(
     if values is None:
         cells = [c for c in matrix.columns if c != "user_id"]
         # one row of per-column sums (as many as the checked column count)
-        sums = matrix.agg(*[F.sum(F.col(c)) for c in cells]).first() if cells else []
+        sums = matrix.agg(*[F.sum(column(c)) for c in cells]).first() if cells else []
         rows = sum(v or 0 for v in sums)
         log.info("messages: %s", rows)
     with cached(matrix, when=preview) as m:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querytrail.functions.names import column
 from querytrail.operators.pivot import pivot_counts
 from querytrail.operators.windows import window_counts
 
@@ -43,7 +44,7 @@ def latest_counts(appended: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     keys = list(keys)
     cols = [c for c in appended.columns if c not in keys and c != "batch_id"]
-    return appended.groupBy(*keys).agg(*[F.max(c).alias(c) for c in cols])
+    return appended.groupBy(*[column(k) for k in keys]).agg(*[F.max(column(c)).alias(c) for c in cols])
 
 
 def latest_window_counts(appended: DataFrame, term: str = "search") -> DataFrame:

@@ -71,3 +71,15 @@ def test_pivot_matches_reference_shape(spark):
     mine = pivot_counts(df, fill_key=True)
     assert mine.columns == ref.columns
     assert _rows(mine) == _rows(ref.select(*[F.col(c).cast("bigint") if c != "user_id" else F.col(c) for c in ref.columns]))
+
+
+@pytest.mark.parametrize("limit", [64, 1])
+def test_terms_with_dots_spaces_and_backticks(spark, monkeypatch, limit):
+    from querytrail.streaming import latest_counts
+
+    monkeypatch.setattr(pivot_mod, "CONDITIONAL_LIMIT", limit)
+    df = spark.createDataFrame([(1, "3.5mm jack"), (1, "x`y"), (2, "3.5mm jack"), (2, "a b")], SCHEMA)
+    out = pivot_counts(df, fill_key=True)
+    assert out.columns == ["user_id", "3.5mm jack", "a b", "x`y"]
+    assert _rows(out) == [(1, 1, 0, 1), (2, 1, 1, 0)]
+    assert _rows(latest_counts(out, ["user_id"])) == _rows(out)
