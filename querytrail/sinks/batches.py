@@ -64,6 +64,8 @@ def append_batches(
 
     def write(df: DataFrame, batch_id: int) -> None:
         nonlocal claimed
+        if sink.fmt in FILE_FORMATS and BATCH_COLUMN in df.columns:
+            raise ValueError(f"the stream already has a {BATCH_COLUMN!r} column; rename it before appending batches")
         if owner is not None and not claimed and sink.fmt in FILE_FORMATS:
             claim_output(df.sparkSession, sink.path(name), owner)
             claimed = True

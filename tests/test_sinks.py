@@ -68,6 +68,12 @@ def test_append_batches_is_idempotent_on_replay(spark, scratch):
     assert read_batches(spark, "hits", sink).columns == ["x"]
 
 
+def test_append_batches_refuses_own_batch_column(spark, scratch):
+    fn = append_batches("hits", SinkConfig(root=scratch))
+    with pytest.raises(ValueError):
+        fn(spark.createDataFrame([(1,)], "batch_id int"), 0)
+
+
 def test_append_batches_skips_empty(spark, scratch):
     sink = SinkConfig(root=scratch)
     append_batches("hits", sink)(spark.createDataFrame([], "x int"), 0)
