@@ -278,7 +278,8 @@ def q_stream_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``update`` mode: each micro-batch appends only the users it changed,
     and the newest counts per user are the exact matrix.
     """
-    terms = distinct_values(decode(event_messages(spark, sf_dir), EVENT), "search")
+    # no filter here, so the projection form narrows the parse to `search`
+    terms = distinct_values(decode(event_messages(spark, sf_dir), EVENT, barrier=False), "search")
     base = shared_dir(spark, "stream_user_pivot")
     stream = decode(_event_stream(spark, sf_dir, base), EVENT)
     sink = SinkConfig(root=base)
