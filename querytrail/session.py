@@ -28,6 +28,14 @@ STARTUP_CONF: dict[str, str] = {
 }
 
 
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set the run-time settings of ``conf``; static ones, which a running
+    session cannot change, are left as they are."""
+    for key, value in conf.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+
+
 def build_session(app: str = "querytrail", conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with :data:`DEFAULT_CONF` applied.
 
@@ -38,43 +46,35 @@ def build_session(app: str = "querytrail", conf: dict[str, str] | None = None) -
     for key, value in {**STARTUP_CONF, **DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # static conf on a running session
-            pass
+    apply_conf(spark, {**DEFAULT_CONF, **(conf or {})})
     return spark
 
 
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    value = spark.conf.get("spark.checkpoint.dir", None)
-    if value:
-        return value
-    try:
-        value = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-        if value:
-            return value
-        found = spark.sparkContext.getCheckpointDir()
-        if found:
-            return found
-    except Exception:  # e.g. Spark Connect has no SparkContext
-        pass
-    return None
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+    )
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory, registered with the SparkContext so
-    ``DataFrame.checkpoint()`` writes there.  Set only when unset."""
+    ``DataFrame.checkpoint()`` writes there.
+
+    Where the setting is missing, a fresh temporary folder is taken in local
+    mode only: on a cluster the executors would each write to a disk of
+    their own, so that is an error.
+    """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="querytrail-")
         spark.conf.set("spark.checkpoint.dir", base)
-    try:
-        sc = spark.sparkContext
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(base)
-    except Exception:
-        pass
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(base)
     return base
 
 
