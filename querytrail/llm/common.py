@@ -135,13 +135,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words (runs without ASCII white space) and how
     many words each row has.  Words never cross rows."""
     n = len(data)
     if n == 0:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-    inside = ~SPACE[data]
+    inside = ~space[data]
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True  # a row's first byte starts a word, if it is one
     first = inside.copy()
@@ -152,25 +152,21 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.diff(np.searchsorted(starts, offsets))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z lower-cased."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, packed: bool = False) -> np.ndarray:
+    """A 64-bit hash of each word, A-Z lower-cased.  ``packed``: the words
+    are all of ``data``, one after the other."""
     if not len(starts):
         return np.empty(0, np.uint64)
     lens = ends - starts
     total = int(lens.sum())
     begin = np.cumsum(lens) - lens
     place = np.arange(total, dtype=np.int64) - np.repeat(begin, lens)
-    if total == len(data):
-        raw = data
-    else:
-        inside = ~SPACE[data]
-        raw = data[inside] if int(inside.sum()) == total else data[np.repeat(starts, lens) + place]
+    raw = data if packed else data[np.repeat(starts, lens) + place]
     power = _powers()
     if int(lens.max()) <= _LOW:
         weight = power[place]
     else:  # very long words: high and low part of the exponent
-        step = power[-1] * np.uint64(_ODD)
-        high = np.full(int(lens.max() >> 16) + 1, step, np.uint64)
+        high = np.full(int(lens.max() >> 16) + 1, power[-1:] * np.uint64(_ODD), np.uint64)
         high[0] = 1
         weight = power[place & (_LOW - 1)] * np.cumprod(high, dtype=np.uint64)[place >> 16]
     weight *= _BYTE_CODE[LOWER[raw]]

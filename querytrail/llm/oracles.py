@@ -31,4 +31,21 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scored QUALIFY rank <= 10
 """
 
-SQL: dict[str, str] = {"op1_chat_format": CHAT, "op10_topk_search": TOPK}
+CONTAINED = r"""
+WITH d AS (
+    SELECT DISTINCT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
+), i AS (
+    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark
+), ds AS (
+    SELECT DISTINCT doc_id, text, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) AS s
+    FROM d WHERE len(w) > 0
+), iss AS (
+    SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) AS s
+    FROM i WHERE len(w) > 0
+), sizes AS (SELECT item_id, count(*) AS n FROM iss GROUP BY 1),
+hits AS (SELECT doc_id, text, item_id, count(*) AS c FROM ds JOIN iss USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_shingles, max(c) AS n_found, max(c) / n AS containment
+FROM hits JOIN sizes USING (item_id) GROUP BY doc_id, item_id, n HAVING max(c) >= 0.8 * n - 1e-9
+"""
+
+SQL: dict[str, str] = {"op1_chat_format": CHAT, "op6_decontaminate": CONTAINED, "op10_topk_search": TOPK}

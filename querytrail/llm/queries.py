@@ -3,14 +3,27 @@
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail.llm import chat, simhash, topk
+from querytrail.llm import chat, decontaminate, idfiles, packing, simhash, topk, toxicity
 from querytrail.sources.tables import load_table
 
+#: The folder of the tokenizer files; by default that of the installed package.
+TOKENIZER_DIR = os.environ.get("QUERYTRAIL_TOKENIZER_DIR", "")
+
+
+def tokenizer_file(name: str) -> str:
+    if TOKENIZER_DIR:
+        return os.path.join(TOKENIZER_DIR, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: The extra conversation of the first query, in the messages layout.
@@ -26,6 +39,30 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(chat.canonical_turns(records)))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(load_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+
+
+def fold(n: int) -> Column:
+    """crc32 of doc_id as text, modulo ``n``; the held-out rows have 0."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, fold(5) != 0))
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    return idfiles.read_id_files(idfiles.write_id_files(docs, tokenizer_file("word_bpe_49k.json")))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(load_table(spark, sf_dir, "documents"))
 
@@ -37,6 +74,10 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
+    "op8_id_files": op8_id_files,
     "op9_simhash": op9_simhash,
     "op10_topk_search": op10_topk_search,
 }

@@ -11,11 +11,10 @@ which start pruning from it.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -163,7 +162,7 @@ def top_k_inner_product(vectors: DataFrame, queries: DataFrame, k: int = K) -> D
     blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     block = F.pmod(F.xxhash64("query_id", F.lit(7)), F.lit(blocks)).cast("int")
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple[Any, ...], left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
         return _found(left["vec_id"].to_numpy(), _matrix(left["v"]), right, k)
