@@ -48,7 +48,7 @@ def item_shingles(items: DataFrame, n: int = SHINGLE_WORDS, id_col: str = "item_
     """``(item_id, size, shingle, hash)``: the distinct shingles of each item.
     Rows that repeat an item_id are one item with all their shingles."""
     base = items.select(items[id_col].cast("long").alias("item_id"), words(items[text_col].cast("string")).alias("w"))
-    rows = base.select("item_id", F.explode(shingles(F.col("w"), n)).alias("shingle")).distinct()
+    rows = base.select("item_id", F.explode_outer(shingles(F.col("w"), n)).alias("shingle")).where("shingle IS NOT NULL").distinct()
     sizes = rows.groupBy(F.col("item_id").alias("sized")).agg(F.count("*").alias("size"))
     return rows.join(sizes, F.col("item_id").eqNullSafe(F.col("sized"))).select(
         "item_id", "size", "shingle", F.xxhash64(F.split("shingle", " ")).alias("hash")
@@ -99,15 +99,16 @@ def contained_items(
     rows = written(item_shingles(items, n, item_id, item_text), "decontaminate-items")
     sketch = written(sketches(rows, threshold).groupBy("hash").agg(F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("null_item")), "decontaminate-sketch")
     base = texts(docs, doc_id, doc_text).withColumn("h", F.xxhash64("text"))
-    # The words are a column of their own: inside the lambdas they would be split anew for every window.
+    # The words are a column of their own, and the outer form of explode keeps them so: a filter that
+    # the plain form infers would be pushed below, and split the text anew for every window.
     split = base.select("doc_id", "h", words(F.col("text")).alias("w"))
-    hashed = split.select("doc_id", "h", F.explode(shingle_hashes(F.col("w"), n)).alias("hash"))
+    hashed = split.select("doc_id", "h", F.explode_outer(shingle_hashes(F.col("w"), n)).alias("hash"))
     hits = hashed.join(sketch, "hash").select("doc_id", "h").distinct()
     found = written(hits, "decontaminate-candidates")
     found = found.select(F.col("doc_id").alias("found_id"), F.col("h").alias("found_h"))
     key = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h"))
     candidates = base.join(found, key, "left_semi").dropDuplicates(["doc_id", "h"]).select("doc_id", "h", words(F.col("text")).alias("w"))
-    have = candidates.select("doc_id", "h", F.explode(shingles(F.col("w"), n)).alias("shingle"))
+    have = candidates.select("doc_id", "h", F.explode_outer(shingles(F.col("w"), n)).alias("shingle"))
     counted = have.join(rows, "shingle").groupBy("doc_id", "h", "item_id", "size").agg(F.count("*").alias("n_found"))
     exact = counted.where(F.col("n_found") >= F.lit(threshold) * F.col("size") - 1e-9)
     return exact.groupBy("doc_id", "item_id", F.col("size").alias("n_shingles")).agg(F.max("n_found").alias("n_found")).select(

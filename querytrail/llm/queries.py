@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail.llm import chat, decontaminate, idfiles, packing, simhash, topk, toxicity
+from querytrail.llm import chat, decontaminate, idfiles, packing, pii, simhash, topk, toxicity
 from querytrail.sources.tables import load_table
 
 #: The folder of the tokenizer files; by default that of the installed package.
@@ -43,6 +43,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    return pii.digests(pii.find(docs, pii.fit(docs)))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
 
@@ -75,6 +80,7 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_pii": op5_pii,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
     "op8_id_files": op8_id_files,
