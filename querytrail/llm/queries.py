@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail.llm import chat, decontaminate, idfiles, packing, pii, simhash, topk, toxicity
+from querytrail.llm import chat, decontaminate, idfiles, ngram, packing, pii, simhash, substrings, topk, toxicity
 from querytrail.sources.tables import load_table
 
 #: The folder of the tokenizer files; by default that of the installed package.
@@ -39,6 +39,20 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(chat.canonical_turns(records)))
 
 
+def op2_ngram_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    scored = ngram.score(docs, ngram.fit(docs, fold(10) != 0))
+    return scored.select("doc_id", (fold(10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substrings.deduplicate(load_table(spark, sf_dir, "documents"))
+    return done.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -79,6 +93,8 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
+    "op2_ngram_scoring": op2_ngram_scoring,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_pii": op5_pii,
     "op6_decontaminate": op6_decontaminate,
