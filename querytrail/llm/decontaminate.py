@@ -71,7 +71,7 @@ def sketches(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
 
 
-def contained_items(
+def matches(
     docs: DataFrame,
     items: DataFrame,
     threshold: float = THRESHOLD,
@@ -81,15 +81,16 @@ def contained_items(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, item_id, n_shingles, n_found, containment)`` for every pair
-    whose containment, the share of the item's distinct ``n``-word shingles
-    that the document has, is at least ``threshold``.
+    """``(doc_id, h, item_id, n_shingles, n_found)``, ``h`` the XXH64 of the
+    document's text, for every pair whose containment, the share of the item's
+    distinct ``n``-word shingles that the document has, is at least
+    ``threshold``.
 
     A text of fewer than ``n`` words is one shingle, so a short item is found
     in documents that consist of it.  Null or empty texts have no shingle and
     no pair.  Null ids are kept as null.  Repeated documents give one row;
-    rows that share a doc_id but not the text count as one document each, and
-    the best containment is returned.
+    rows that share a doc_id but not the text are documents of their own
+    (:func:`contained_items` returns the best containment of them).
 
     The item side goes to the executors whole only if Spark finds the written
     table below its broadcast limit; otherwise the joins are shuffled.
@@ -111,6 +112,19 @@ def contained_items(
     have = candidates.select("doc_id", "h", F.explode_outer(shingles(F.col("w"), n)).alias("shingle"))
     counted = have.join(rows, "shingle").groupBy("doc_id", "h", "item_id", "size").agg(F.count("*").alias("n_found"))
     exact = counted.where(F.col("n_found") >= F.lit(threshold) * F.col("size") - 1e-9)
-    return exact.groupBy("doc_id", "item_id", F.col("size").alias("n_shingles")).agg(F.max("n_found").alias("n_found")).select(
-        "doc_id", "item_id", "n_shingles", "n_found", (F.col("n_found") / F.col("n_shingles")).alias("containment")
-    )
+    return exact.select("doc_id", "h", "item_id", F.col("size").alias("n_shingles"), "n_found")
+
+
+def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, **columns: str) -> DataFrame:
+    """``(doc_id, item_id, n_shingles, n_found, containment)``: the
+    :func:`matches`, one row for each document and item."""
+    found = matches(docs, items, threshold, n, **columns).groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_found").alias("n_found"))
+    return found.withColumn("containment", F.col("n_found") / F.col("n_shingles"))
+
+
+def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that contain no item."""
+    found = matches(docs, items, threshold, n, doc_id, doc_text).select(F.col("doc_id").alias("leaked_id"), F.col("h").alias("leaked_h")).distinct()
+    found = written(found, "decontaminate-leaks")
+    text_hash = F.xxhash64(F.coalesce(docs[doc_text].cast("string"), F.lit("")))
+    return docs.join(found, docs[doc_id].cast("long").eqNullSafe(found["leaked_id"]) & (text_hash == found["leaked_h"]), "left_anti")

@@ -59,16 +59,17 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp long)``, one row per document (the fingerprint's 64 bits
-    as a signed long)."""
+    """``(doc_id, h, fp)`` longs, one row per document: the XXH64 of its text
+    and the fingerprint's 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(1).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(v, words) for v in values], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fps)], ["doc_id", "h", "fp"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    base = texts(docs, id_col, text_col)
+    return base.withColumn("h", F.xxhash64("text")).mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def grid_cells(fps: np.ndarray) -> np.ndarray:
@@ -209,6 +210,15 @@ def connected(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _rooted(docs: DataFrame, words: int, most: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The documents' fingerprints, and ``(fp, first, root)`` of each distinct
+    one: its smallest doc_id and the root of its component."""
+    fps = written(fingerprints(docs, words, id_col, text_col), "simhash-fps")
+    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    labels = connected(fingerprint_links(classes.select("fp"), classes.count(), most)).withColumnRenamed("node", "fp")
+    return fps, classes.join(labels, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(
     docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -221,11 +231,28 @@ def simhash_components(
     the smallest; a component of nulls alone has a null component_id.  Exact
     copies are one fingerprint in the join, so their number does not matter.
     """
-    fps = written(fingerprints(docs, words, id_col, text_col), "simhash-fps")
-    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    links = fingerprint_links(classes.select("fp"), classes.count(), most)
-    labels = connected(links)
-    rooted = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    fps, rooted = _rooted(docs, words, most, id_col, text_col)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_class = rooted.join(smallest, "root").select("fp", "component_id")
     return fps.join(by_class, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def representatives(
+    docs: DataFrame, words: int = SHINGLE_WORDS, most: int = MAX_BITS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each component:
+    that with the smallest doc_id (a null one only where there is no other),
+    then the smallest hash of the text.  Of rows that repeat it, one stays."""
+    fps, rooted = _rooted(docs, words, most, id_col, text_col)
+    lowest = -(1 << 63)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(lowest)).alias("k"), F.col("h"))
+    first = fps.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("m"))
+    keep = written(first.select(F.col("m.none").alias("keep_none"), F.col("m.k").alias("keep_k"), F.col("m.h").alias("keep_h")), "simhash-kept")
+    key = {
+        "__none": docs[id_col].isNull(),
+        "__k": F.coalesce(docs[id_col].cast("long"), F.lit(lowest)),
+        "__h": F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))),
+    }
+    once = docs.withColumns(key).dropDuplicates(list(key))
+    on = (F.col("__none") == F.col("keep_none")) & (F.col("__k") == F.col("keep_k")) & (F.col("__h") == F.col("keep_h"))
+    return once.join(keep, on, "left_semi").drop(*key)

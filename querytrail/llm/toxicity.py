@@ -180,24 +180,39 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, models: int = MODELS
     return [Classifier(np.frombuffer(r["weights"], np.float32), r["bias"]) for r in trained.collect()]
 
 
+def _mean_scores(models: list[tuple[np.ndarray, float]], data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The mean probability of each row; 0 without classifiers."""
+    out = [np.empty(0)]
+    for lo, hi in chunks(offsets):
+        found, at = presence(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        total = np.zeros(hi - lo)
+        for weights, bias in models:
+            total += 1 / (1 + np.exp(-np.clip(_scores(weights, bias, found, at), -35, 35)))
+        out.append(total / max(1, len(models)))
+    return np.concatenate(out)
+
+
 def score(docs: DataFrame, classifiers: list[Classifier], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, score)`` per row: the mean probability of being toxic, 0
     without classifiers.  Null and empty texts get the score of a document
     without words.  Only the text enters the score."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast([(c.weights, c.bias) for c in classifiers])  # MODELS vectors of FEATURES numbers
+    shared = docs.sparkSession.sparkContext.broadcast([(c.weights, c.bias) for c in classifiers])  # MODELS vectors of FEATURES numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
         for batch in batches:
-            data, offsets = byte_columns(batch)
-            out = [np.empty(0)]
-            for lo, hi in chunks(offsets):
-                found, at = presence(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                total = np.zeros(hi - lo)
-                for weights, bias in models:
-                    total += 1 / (1 + np.exp(-np.clip(_scores(weights, bias, found, at), -35, 35)))
-                out.append(total / max(1, len(models)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out))], ["doc_id", "score"])
+            scores = _mean_scores(shared.value, *byte_columns(batch))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["doc_id", "score"])
 
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+
+
+def accepted(docs: DataFrame, classifiers: list[Classifier], below: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``below``."""
+    shared = docs.sparkSession.sparkContext.broadcast([(c.weights, c.bias) for c in classifiers])
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_mean_scores(shared.value, *byte_columns(batch, place)) < below))
+
+    return docs.mapInArrow(run, docs.schema)
