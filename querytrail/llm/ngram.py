@@ -18,6 +18,7 @@ batch, never the model.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -216,6 +217,7 @@ class BigramModel:
     word_discounts: np.ndarray
     word_types: np.ndarray  # words with one, two, and more distinct contexts
     distinct_pairs: int
+    id_range: int = ID_RANGE
 
     def __post_init__(self) -> None:
         self.maps: dict[str, np.ndarray] = {}
@@ -247,9 +249,9 @@ class BigramModel:
 
     def by_id(self, name: str, ids: np.ndarray) -> np.ndarray:
         """Values of a dense array at sorted distinct ids."""
-        part = ids // ID_RANGE
+        part = ids // self.id_range
         at = runs(part)
-        return np.concatenate([self._map(f"{name}-{part[lo]}")[ids[lo:hi] - part[lo] * ID_RANGE] for lo, hi in zip(at[:-1], at[1:], strict=True)]) if len(ids) else np.empty(0)
+        return np.concatenate([self._map(f"{name}-{part[lo]}")[ids[lo:hi] - part[lo] * self.id_range] for lo, hi in zip(at[:-1], at[1:], strict=True)]) if len(ids) else np.empty(0)
 
     def word_probabilities(self, ids: np.ndarray) -> np.ndarray:
         """The lower order: by the number of distinct contexts of each known
@@ -294,6 +296,7 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
     train = texts(docs, id_col, text_col).where(usable)
     vocabulary, tokens = build_vocabulary(train, folder)
     bits = _bits_for(tokens, PAIR_SHARD)
+    id_range = ID_RANGE
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, held = [], 0
@@ -335,8 +338,8 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
             context, word = (key >> _32).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
             at = runs(context)
             sums = [np.add.reduceat(x, at[:-1]) for x in (n.astype(np.int64), *((n == 1).astype(np.int64), (n == 2).astype(np.int64), (n >= 3).astype(np.int64)))]
-            rows += _by_range(1, context[at[:-1]], sums)
-            rows += _by_range(2, *_contexts(word))
+            rows += _by_range(id_range, 1, context[at[:-1]], sums)
+            rows += _by_range(id_range, 2, *_contexts(word))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary()))], ["kind", "range", "block"])
 
     blocks = train.mapInArrow(count, "shard int, block binary").repartition(1 << bits, "shard")
@@ -349,7 +352,7 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for kind, part, block in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if part not in held:
-                    held[part] = np.zeros((5, ID_RANGE), np.int64)
+                    held[part] = np.zeros((5, id_range), np.int64)
                 columns = _unpacked(block, 5 if kind == 1 else 2)
                 at = columns[0].astype(np.int64)
                 for row, values in zip(range(4) if kind == 1 else (4,), columns[1:], strict=True):
@@ -364,23 +367,21 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
             row = _packed(np.arange(6), np.r_[types[1:5], types[5], sums[4].sum()])
             yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["block"])
 
-    ranges = len(vocabulary) // ID_RANGE + 1
+    ranges = len(vocabulary) // id_range + 1
     of_words = _sum_blocks(partial.where("kind > 0").repartition(ranges, "range").mapInArrow(dense, "block binary"), 6)
     for part in range(ranges):  # a range without pairs
         if not _exists(folder, f"totals-{part}"):
             for name, kind in (("totals", np.int64), ("weights", np.float32), ("contexts", np.uint32)):
-                save_array(folder, f"{name}-{part}", np.zeros(ID_RANGE, kind))
+                save_array(folder, f"{name}-{part}", np.zeros(id_range, kind))
     for s in range(1 << bits):
         if not _exists(folder, f"pairs-{s}"):
             save_array(folder, f"pairs-{s}", np.empty(0, np.uint64))
             save_array(folder, f"pair-counts-{s}", np.empty(0, np.uint32))
     types = np.array([of_words[0], of_words[1], of_words[2] + of_words[3] + of_words[4]])
-    return BigramModel(folder, vocabulary, tokens, bits, d, discounts(of_words[:4]), types, int(of_words[5]))
+    return BigramModel(folder, vocabulary, tokens, bits, d, discounts(of_words[:4]), types, int(of_words[5]), id_range)
 
 
 def _exists(folder: str, name: str) -> bool:
-    import os
-
     return os.path.exists(os.path.join(folder, f"{name}.npy"))
 
 
@@ -389,11 +390,11 @@ def _contexts(words: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return word, [n]
 
 
-def _by_range(kind: int, ids: np.ndarray, columns: list[np.ndarray]) -> list[tuple[int, int, bytes]]:
-    """Blocks of sorted ids with their values, one per id range."""
-    part = ids // ID_RANGE
+def _by_range(size: int, kind: int, ids: np.ndarray, columns: list[np.ndarray]) -> list[tuple[int, int, bytes]]:
+    """Blocks of sorted ids with their values, one per range of ``size`` ids."""
+    part = ids // size
     at = runs(part)
-    return [(kind, int(part[lo]), _packed(ids[lo:hi] - part[lo] * ID_RANGE, *(c[lo:hi] for c in columns))) for lo, hi in zip(at[:-1], at[1:], strict=True)]
+    return [(kind, int(part[lo]), _packed(ids[lo:hi] - part[lo] * size, *(c[lo:hi] for c in columns))) for lo, hi in zip(at[:-1], at[1:], strict=True)]
 
 
 def _sum_blocks(blocks: DataFrame, size: int = 4) -> np.ndarray:

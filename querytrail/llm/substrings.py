@@ -70,13 +70,13 @@ def _rolling(data: np.ndarray, size: int) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM, search: int = SEARCH_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchors of all strings of ``length`` bytes of one text: positions, gram
     hashes, and the first and last string start that each serves."""
     found: list[tuple[np.ndarray, ...]] = []
     span = length - gram + 1
-    for lo in range(0, max(0, len(data) - length + 1), SEARCH_BYTES):
-        part = data[lo : lo + SEARCH_BYTES + length - 1]
+    for lo in range(0, max(0, len(data) - length + 1), search):
+        part = data[lo : lo + search + length - 1]
         h = _rolling(part, gram)
         least = (h & ~_POSITION) | np.arange(len(h), dtype=np.uint64)
         have = 1
@@ -95,15 +95,15 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[n
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _many(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _many(data: np.ndarray, offsets: np.ndarray, length: int, gram: int, search: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Anchors of rows, some rows at a time: ``(rows, row starts, positions,
     hashes, firsts, lasts)``, places within ``data``.  Short rows are searched
     together, and the strings that cross rows left out."""
     n, lo = len(offsets) - 1, 0
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SEARCH_BYTES, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + search, side="right")) - 1)
         start, end = int(offsets[lo]), int(offsets[hi])
-        p, h, first, last = anchors(data[start:end], length, gram)
+        p, h, first, last = anchors(data[start:end], length, gram, search)
         p, first, last = p + start, first + start, last + start
         if hi > lo + 1 and len(p):
             row = np.searchsorted(offsets, first, side="right") - 1
@@ -292,7 +292,7 @@ def _count_anchors(docs: DataFrame, folder: str, length: int, gram: int) -> tupl
 
         for batch in batches:
             data, offsets = byte_columns(batch, 2)
-            for _, _, _, h, _, _ in _many(data, offsets, length, gram):
+            for _, _, _, h, _, _ in _many(data, offsets, length, gram, SEARCH_BYTES):
                 held.append(h)
                 n_held += len(h)
                 if n_held > BUFFER:
@@ -404,7 +404,7 @@ def _occurrences(docs: DataFrame, folder: str, bits: int, length: int, gram: int
             data, offsets = byte_columns(batch, 2)
             doc_of, h_of = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             padded = np.r_[np.zeros(before, np.uint8), data, np.zeros(length, np.uint8)]
-            for row, base, p, gram_hash, first, last in _many(data, offsets, length, gram):
+            for row, base, p, gram_hash, first, last in _many(data, offsets, length, gram, SEARCH_BYTES):
                 is_kept, is_hot = kept.find(gram_hash)
                 i = np.flatnonzero(is_kept & ~is_hot)
                 if len(i):

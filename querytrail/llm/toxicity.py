@@ -34,6 +34,8 @@ UNLABELLED = 9_000
 LEAST_Z = 5.0
 STEPS = 250
 RATE = 0.05
+#: By how much the estimated limit of the class prior may be exceeded.
+SLACK = 1.4
 L2 = 1e-4
 
 #: Bytes of a word's beginning (0: the whole word), and which least shares of
@@ -88,6 +90,22 @@ def telling(features: np.ndarray, of_positive: np.ndarray, n_pos: int, n_unl: in
     return np.abs(z) >= LEAST_Z
 
 
+def bounded_prior(prior: float, row: np.ndarray, local: np.ndarray, positive: np.ndarray) -> float:
+    """``prior``, or less if the sample shows that it can't be as large: the
+    unlabelled set holds the share ``prior`` of positives, so above any score
+    it has at least ``prior`` times the positives' rate.  The score is a naive
+    sum of log ratios."""
+    n = int(local.max(initial=-1)) + 1
+    pos = (np.bincount(local[positive[row]], minlength=n) + 0.5) / (positive.sum() + 1)
+    unl = (np.bincount(local[~positive[row]], minlength=n) + 0.5) / ((~positive).sum() + 1)
+    score = np.bincount(row, np.log(pos / unl)[local], len(positive)) if n else np.zeros(len(positive))
+    for above in (0.8, 0.6, 0.4):
+        t = np.quantile(score[positive], 1 - above)
+        rate = (score[positive] >= t).mean()
+        prior = min(prior, SLACK * ((score[~positive] >= t).sum() + 1) / ((~positive).sum() + 1) / rate)
+    return max(prior, 0.001)
+
+
 def train(features: np.ndarray, offsets: np.ndarray, positive: np.ndarray, prior: float, steps: int = STEPS) -> Classifier:
     """One classifier by full-batch Adam on the non-negative risk; where its
     second part falls below zero, only that part's gradient is undone."""
@@ -96,6 +114,7 @@ def train(features: np.ndarray, offsets: np.ndarray, positive: np.ndarray, prior
     row = row[keep]
     features = features[keep]
     used, local = np.unique(features, return_inverse=True)
+    prior = bounded_prior(prior, row, local, positive)
     w = np.zeros(len(used) + 1)
     w[-1] = np.log(prior / (1 - prior))
     n_pos, n_unl = max(1, int(positive.sum())), max(1, int((~positive).sum()))
@@ -133,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, models: int = MODELS
     :data:`UNLABELLED` unlabelled documents, chosen by a hash of doc_id.
 
     The labels give the positives and, by their share among labelled
-    documents, the class prior.  A document with several labels counts as
+    documents, an upper limit of the class prior.  A document with several labels counts as
     toxic if one says so; null labels and ids are ignored.  No positive, or
     no unlabelled document: no classifier.
     """

@@ -1,0 +1,75 @@
+import re
+
+import pytest
+from helpers import documents
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from querytrail.llm import decontaminate as D
+
+
+def grams(text, n=5):
+    w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+    return {" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def brute(docs, items, threshold=0.8):
+    out = set()
+    by_item = {}
+    for i, t in items:
+        by_item.setdefault(i, set()).update(grams(t))
+    for d, t in docs:
+        for i, g in by_item.items():
+            if g and len(g & grams(t)) >= threshold * len(g) - 1e-9:
+                out.add((d, i, len(g), len(g & grams(t))))
+    return out
+
+
+def data():
+    item = lambda k, n: " ".join(f"item{k}word{j}" for j in range(n))
+    items = [(k, item(k, n)) for k, n in enumerate([4, 5, 6, 9, 20, 31, 64, 150])] + [(50, None), (51, ""), (52, "single"), (53, item(5, 31)), (None, item(4, 20))]
+    filler = " ".join(f"f{j % 97} g{j % 89}" for j in range(3000))
+    docs = []
+    for k, n in enumerate([4, 5, 6, 9, 20, 31, 64, 150]):
+        w = item(k, n).split()
+        docs.append((k, f"{filler}. {item(k, n).upper()}, {filler}"))
+        for cut, share in ((10, 0.95), (20, 0.85), (30, 0.6)):
+            docs.append((100 * (k + 1) + cut, f"{filler[:200]} {' '.join(w[: max(1, int(n * share))])} {filler[:99]}"))
+        docs.append((5000 + k, "x " + " ".join(w[:-1] + ["other"]) + " y"))
+    docs += [(9000 + i, f"start {i} {item(6, 64)} end") for i in range(40)]
+    docs += [(7000, None), (7001, ""), (7002, "single"), (7003, item(0, 4)), (None, item(4, 20)), (0, docs[0][1]), (1, "other text with the same id")]
+    return docs, items
+
+
+def items_frame(spark, items):
+    schema = StructType([StructField("item_id", LongType()), StructField("text", StringType()), StructField("doc_id", StringType()), StructField("hash", StringType())])
+    return spark.createDataFrame([(i, t, "x", "y") for i, t in items], schema)
+
+
+@pytest.mark.parametrize("limit", ["10m", "-1"])
+def test_matches_brute_force(spark, limit):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        docs, items = data()
+        found = D.contained_items(documents(spark, docs).repartition(3), items_frame(spark, items)).collect()
+        assert {(r["doc_id"], r["item_id"], r["n_shingles"], r["n_found"]) for r in found} == brute(docs, items)
+        assert len(found) == len({(r["doc_id"], r["item_id"]) for r in found})
+        kept = D.decontaminated(documents(spark, docs), items_frame(spark, items))
+        leaked = {(d, t) for d, t in docs if any(x[0] == d for x in brute([(d, t)], items))}
+        assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(str(x) for x in docs if x not in leaked)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_no_python_in_the_plan(spark):
+    docs, items = data()
+    plan = D.contained_items(documents(spark, docs), items_frame(spark, items))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_empty_tables_and_threshold(spark):
+    docs, items = data()
+    assert D.contained_items(documents(spark, []), items_frame(spark, items)).count() == 0
+    assert D.contained_items(documents(spark, docs), items_frame(spark, [])).count() == 0
+    with pytest.raises(ValueError):
+        D.contained_items(documents(spark, docs), items_frame(spark, items), threshold=0)

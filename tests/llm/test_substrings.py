@@ -1,0 +1,84 @@
+import hashlib
+
+import numpy as np
+import pytest
+from helpers import documents
+
+from querytrail.llm import substrings as S
+
+
+def brute(rows):
+    """(doc_id, kept bytes) by a set of all 100-byte strings seen so far."""
+    seen, out = set(), []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for s in range(len(b) - 99):
+            if b[s : s + 100] in seen:
+                gone[s : s + 100] = b"\1" * 100
+            seen.add(b[s : s + 100])
+        out.append((i, len(b), bytes(x for x, g in zip(b, gone, strict=True) if not g), sum(1 for k in range(len(b)) if gone[k] and (k == 0 or not gone[k - 1]))))
+    return out
+
+
+def rows():
+    rng = np.random.default_rng(11)
+    words = ["".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(1, 8))) for _ in range(500)]
+    text = lambda n: " ".join(rng.choice(words, n).tolist())
+    line = text(30)
+    base = text(200)
+    out = [(i, text(int(rng.integers(0, 120)))) for i in range(20)]
+    out += [(20 + i, text(8) + "\n" + line + "\n" + text(8)) for i in range(25)]
+    out += [(50 + i, base[: 300 + 20 * i] + text(3) + base[350:]) for i in range(8)]
+    out += [(70, base), (71, base), (72, "a" * 700), (73, "ab" * 400 + "c" * 99), (74, "a" * 100), (75, "a" * 99), (76, None), (77, ""), (78, "é" * 180)]
+    out += [(79, (line[:130] + ".") * 6), (80, "x\0" * 90 + base[:150]), (-5, base[100:250]), (None, base[:140]), (81, text(40) * 2)]
+    return out
+
+
+@pytest.mark.parametrize("hot,buffer", [(512, 1 << 21), (3, 400), (2, 1 << 21)])
+def test_matches_brute_force(spark, monkeypatch, hot, buffer):
+    monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "BUFFER", buffer)
+    monkeypatch.setattr(S, "SEARCH_BYTES", 700)
+    data = rows()
+    got = {r["doc_id"]: (r["n_bytes"], bytes(r["kept"]), len(r["spans"])) for r in S.deduplicate(documents(spark, data).repartition(4)).collect()}
+    for i, n, kept, spans in brute(data):
+        assert got[i] == (n, kept, spans), i
+
+
+def test_repeated_rows_are_one_document(spark):
+    text = " ".join(str(i) for i in range(100))
+    got = S.deduplicate(documents(spark, [(1, text), (1, text), (2, text)])).collect()
+    assert sorted((r["doc_id"], len(r["kept"])) for r in got) == [(1, len(text)), (1, len(text)), (2, 0)]
+
+
+def test_empty(spark):
+    assert S.deduplicate(documents(spark, [])).count() == 0
+
+
+def test_deep_shallow_sort():
+    rng = np.random.default_rng(5)
+    a = rng.integers(97, 99, (400, 40)).astype(np.uint8)
+    a[100:300, :30] = a[100, :30]
+    a[200:260] = a[200]
+    a[:50, 10:] = 0
+    for shallow in (8, 16, 40):
+        order, common = S.deep_shallow_sort(a, shallow)
+        strings = [r.tobytes() for r in a]
+        assert [strings[i] for i in order] == sorted(strings)
+        for k in range(1, len(order)):
+            x, y = strings[order[k - 1]], strings[order[k]]
+            same = next((j for j in range(40) if x[j] != y[j]), 40)
+            assert common[k] == same or (k == 0)
+
+
+def test_anchor_is_a_function_of_the_string():
+    rng = np.random.default_rng(6)
+    s = rng.integers(97, 123, 100).astype(np.uint8)
+    for _ in range(5):
+        t = np.r_[rng.integers(97, 123, 57).astype(np.uint8), s, rng.integers(97, 123, 80).astype(np.uint8)]
+        p, h, first, last = S.anchors(t)
+        k = np.flatnonzero((first <= 57) & (last >= 57))
+        assert len(k) == 1
+        assert p[k[0]] - 57 == S.anchors(s)[0][0] and h[k[0]] == S.anchors(s)[1][0]
+    assert hashlib.sha256(s.tobytes())

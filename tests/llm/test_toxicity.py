@@ -1,0 +1,75 @@
+import numpy as np
+import pyarrow as pa
+from helpers import documents
+from pyspark.sql import functions as F
+
+from querytrail.llm import toxicity as T
+from querytrail.llm.common import byte_columns
+from querytrail.llm.queries import fold
+
+
+def corpus(n=1500):
+    rng = np.random.default_rng(0)
+    vocabulary = np.array([f"w{i}" for i in range(800)])
+    bad = np.array(["nasty", "awful", "vileness"])
+    rows, labels = [], []
+    for i in range(n):
+        w = rng.choice(vocabulary, int(rng.integers(5, 120))).tolist()
+        toxic = i % 8 == 0
+        if toxic:
+            for b in rng.choice(bad, 3):
+                w.insert(int(rng.integers(0, len(w))), str(b) + rng.choice(["", ".", "!"]))
+        rows.append((i, " ".join(w)))
+        if i % 2 == 0:
+            labels.append((i, int(toxic)))
+    return rows, labels
+
+
+def test_held_out_accuracy(spark):
+    rows, labels = corpus()
+    docs = documents(spark, rows).repartition(4)
+    marks = spark.createDataFrame(labels + [(0, 0), (None, 1), (4, None), (99_999, 1)], "doc_id long, toxic int")
+    scored = T.score(docs, T.fit(docs, marks, fold(5) != 0)).withColumn("held", fold(5) == 0).collect()
+    assert len(scored) == len(rows) and all(0 <= r["score"] <= 1 for r in scored)
+    right = [(r["score"] >= 0.5) == (r["doc_id"] % 8 == 0) for r in scored if r["held"]]
+    assert np.mean(right) > 0.97
+    kept = T.accepted(docs, T.fit(docs, marks, fold(5) != 0))
+    assert kept.schema == docs.schema
+    gone = {i for i, _ in rows} - {r["doc_id"] for r in kept.collect()}
+    assert gone and np.mean([i % 8 == 0 for i in gone]) > 0.95
+
+
+def test_labels_outside_the_fold_do_not_matter(spark):
+    rows, labels = corpus(600)
+    docs = documents(spark, rows)
+    a = spark.createDataFrame(labels, "doc_id long, toxic int")
+    b = a.withColumn("toxic", F.when(fold(5) == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    one = {r["doc_id"]: r["score"] for r in T.score(docs, T.fit(docs, a, fold(5) != 0)).collect()}
+    two = {r["doc_id"]: r["score"] for r in T.score(docs, T.fit(docs, b, fold(5) != 0)).collect()}
+    assert one == two
+
+
+def test_risk_is_not_driven_below_zero():
+    rng = np.random.default_rng(1)
+    n = 400
+    positive = np.arange(n) < 100
+    features = np.concatenate([np.array([1 if (p or rng.random() < 0.1) else 2, 3 + int(rng.integers(0, 5))], np.int32) for p in positive])
+    model = T.train(features, np.arange(n + 1) * 2, positive, 0.1)
+    assert model.weights[1] > 1 and model.weights[2] < model.weights[1]
+
+
+def test_features_of_odd_texts():
+    some = ["", None, "...", "Word word WORD.", "x" * 100_000, "né né " * 3]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some)], ["id", "text"])
+    features, offsets = T.presence(*byte_columns(batch))
+    counts = np.diff(offsets)
+    assert counts[0] == counts[1] == counts[2] == 0 and counts[3] >= 1 and counts[4] >= 1 and counts[5] >= 1
+
+
+def test_without_labels_or_rows(spark):
+    docs = documents(spark, [(1, "a"), (2, None), (None, ""), (2, None)])
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    assert T.fit(docs, none, fold(5) != 0) == []
+    assert [r["score"] for r in T.score(docs, []).collect()] == [0.0] * 4
+    empty = documents(spark, [])
+    assert T.score(empty, T.fit(empty, none, fold(5) != 0)).count() == 0
