@@ -2,6 +2,7 @@
 
     python -m querytrail top-searches   --topic search-logs --sink-root out/
     python -m querytrail user-pivot     --topic search-analysis-userid --sink-format mongodb --sink-uri mongodb://h:27017 --sink-database db
+    python -m querytrail user-terms     --topic search-analysis-userid --sink-root out/
     python -m querytrail trending       --files topic_dir/ --sink-root out/
     python -m querytrail keyword-stream --topic search-analysis-stream --keyword maske --checkpoint ckpt/ --sink-root out/
     python -m querytrail decode-stream  --topic search-analysis-stream --checkpoint ckpt/
@@ -19,13 +20,14 @@ import argparse
 import logging
 import sys
 
+from querytrail.operators.pivot import DEFAULT_MAX_VALUES
 from querytrail.plans import jobs
 from querytrail.session import build_session
 from querytrail.sinks.tables import SinkConfig
 from querytrail.sources.topics import read_topic, read_topic_files, stream_topic, stream_topic_files
 from querytrail.streaming.runner import run_to_end
 
-BATCH = {"top-searches", "user-pivot", "trending"}
+BATCH = {"top-searches", "user-pivot", "user-terms", "trending"}
 STREAM = {"keyword-stream", "decode-stream", "live-trending"}
 
 
@@ -44,11 +46,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--sink-database", help="document store database")
     p.add_argument("--k", type=int, default=10, help="top-k size (top-searches)")
     p.add_argument("--values", help="comma-separated pivot columns (user-pivot); default: from the data")
+    p.add_argument("--max-values", type=int, default=DEFAULT_MAX_VALUES, help="user-pivot: most columns; user-terms has no limit")
     p.add_argument("--fill-key", action="store_true", help="user-pivot: null user becomes 0, as the original job did")
     p.add_argument("--width", default="30 minutes", help="window width (trending)")
     p.add_argument("--sort-output", action="store_true", help="trending: write the table sorted by count")
     p.add_argument("--keyword", action="append", help="keyword-stream needle(s); default: maske")
-    p.add_argument("--watermark", default="10 minutes", help="live-trending: allowed lateness")
+    p.add_argument("--watermark", help="live-trending (required): how late an event may come and still be counted")
     p.add_argument("--mode", default="update", choices=["update", "append", "complete"], help="live-trending output mode")
     p.add_argument("--checkpoint", help="stream checkpoint location (required for streams)")
     p.add_argument("--trigger", default=None, help="processing-time interval, or 'available-now'")
@@ -92,8 +95,11 @@ def main(argv: list[str] | None = None) -> int:
         elif args.job == "user-pivot":
             values = args.values.split(",") if args.values else None
             res = jobs.user_pivot_job(
-                messages, sink, values=values, fill_key=args.fill_key, preview=args.preview, drop_malformed=args.drop_malformed
+                messages, sink, values=values, fill_key=args.fill_key, preview=args.preview, drop_malformed=args.drop_malformed,
+                max_values=args.max_values,
             )
+        elif args.job == "user-terms":
+            res = jobs.user_terms_job(messages, sink, preview=args.preview, drop_malformed=args.drop_malformed)
         else:
             res = jobs.trending_job(
                 messages, sink, width=args.width, preview=args.preview, sort_output=args.sort_output,
@@ -102,6 +108,8 @@ def main(argv: list[str] | None = None) -> int:
         logging.getLogger("querytrail").info("outputs: %s", res.status)
         return 0
 
+    if args.job == "live-trending" and not args.watermark:
+        raise SystemExit("live-trending needs --watermark")
     if not args.checkpoint:
         raise SystemExit("streams need --checkpoint")
     if args.files:

@@ -22,6 +22,7 @@ def decode(
     keep: Iterable[str] = (),
     barrier: bool = True,
     drop_malformed: bool = False,
+    fields: Iterable[str] | None = None,
 ) -> DataFrame:
     """Bytes -> UTF-8 text -> struct by ``schema`` -> top-level columns.
 
@@ -41,8 +42,10 @@ def decode(
     ``barrier=False`` is the plain projection.  Catalyst then narrows the
     parse to the fields used and drops it when none is (a pure row count),
     so it suits frames that are only aggregated or counted, never filtered.
-    Narrow ``schema`` yourself to skip materialising unused fields of wide
-    messages in the default form.
+
+    ``fields`` names the message fields that are wanted, in this order: the
+    default form then parses no others.  (``drop_malformed`` has to look at
+    all of them, so together they narrow only the result.)
 
     ``drop_malformed=True`` drops messages that yield no field at all (not
     JSON, not an object, or no known field), which otherwise surface as a
@@ -53,6 +56,9 @@ def decode(
     clash = sorted(set(keep) & {f.name for f in schema.fields})
     if clash:
         raise ValueError(f"kept columns {clash} collide with message fields; rename them first (e.g. withColumnRenamed)")
+    wanted = [schema[f] for f in fields] if fields is not None else list(schema.fields)
+    if fields is not None and not drop_malformed:
+        schema = StructType(wanted)
     parsed = F.from_json(F.col(column).cast("string"), schema)
     if barrier:
         out = df.select(*keep, F.inline(F.array(parsed)))
@@ -61,7 +67,7 @@ def decode(
         out = staged.select(*keep, *[F.col(f"{_PARSED}.{f.name}").alias(f.name) for f in schema.fields])
     if drop_malformed:
         out = out.filter(~reduce(lambda a, b: a & b, [F.col(f.name).isNull() for f in schema.fields]))
-    return out
+    return out.select(*keep, *[f.name for f in wanted]) if len(wanted) < len(schema.fields) else out
 
 
 def parse_time(column: str | Column, fmt: str | None = None) -> Column:

@@ -3,16 +3,18 @@ the driver contract all share these."""
 
 from querytrail.operators.counts import count_by, row_count, top_k, top_values
 from querytrail.operators.filters import keyword_filter
-from querytrail.operators.pivot import distinct_values, pivot_counts
+from querytrail.operators.pivot import column_names, distinct_values, pivot_counts, pivot_pairs
 from querytrail.operators.ranking import top_per_group, user_top_terms
 from querytrail.operators.windows import hourly_counts, trending, trending_topk
 
 __all__ = [
+    "column_names",
     "count_by",
     "distinct_values",
     "hourly_counts",
     "keyword_filter",
     "pivot_counts",
+    "pivot_pairs",
     "row_count",
     "top_k",
     "top_per_group",

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COUNT = "count"
@@ -67,11 +67,12 @@ def top_values(df: DataFrame, keys: Sequence[str], k: int = 10) -> DataFrame:
     """Top-``k`` values of several columns from ONE scan, in long form.
 
     ``dimension string, value string, count bigint, rank int`` from
-    :func:`grouping_counts`, then a per-dimension ``row_number`` keeps
-    ``k`` rows.  Spark limits each map task to ``k`` rows per dimension
-    before the ranking shuffle, so the single task per dimension sees at
-    most ``k x partitions`` rows however many distinct values there are.
+    :func:`grouping_counts`, then :func:`top_per_group` keeps ``k`` rows per
+    dimension, so that the single task per dimension sees a multiple of
+    ``k`` rows however many distinct values there are.
     """
+    from querytrail.operators.ranking import top_per_group
+
     if k <= 0:
         raise ValueError("k must be positive")
     agg, gids, _ = grouping_counts(df, keys)
@@ -82,5 +83,4 @@ def top_values(df: DataFrame, keys: Sequence[str], k: int = 10) -> DataFrame:
         dim = F.when(hit, F.lit(key)).otherwise(dim)
         val = F.when(hit, F.col(key).cast("string")).otherwise(val)
     long = agg.select(dim.alias("dimension"), val.alias("value"), F.col(COUNT))
-    w = Window.partitionBy("dimension").orderBy(F.col(COUNT).desc(), F.col("value").asc_nulls_first())
-    return long.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return top_per_group(long, ["dimension"], k, order=[F.col(COUNT).desc(), F.col("value").asc_nulls_first()])

@@ -7,22 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from querytrail.functions.names import column
 from querytrail.operators.counts import COUNT, count_by
 
+# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1000
+SPLITS = 64
+_FIRST = "__first"
+
 
 def top_per_group(df: DataFrame, group: Sequence[str], k: int, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
     """Keep the first ``k`` rows of each ``group`` under ``order``.
 
     ``row_number`` over a hash partition of ``group``; Spark plans a
     per-partition sort and a window-group limit that drops rows beyond
-    ``k`` before the window is evaluated.  Meant for already aggregated
-    input, whose groups are bounded by the number of distinct terms.
-    Spark inserts the group limit for ``k`` up to
-    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default);
-    raise that setting for larger ``k``.
+    ``k`` before the window is evaluated.  Spark does so for ``k`` up to
+    :data:`GROUP_LIMIT` only; beyond it each group is first cut down to
+    ``k`` rows in each of :data:`SPLITS` parts, by a hash of the row, so that
+    no task ranks a whole group.
     """
     if k <= 0:
         raise ValueError("k must be positive")
+    if k > GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*[column(c) for c in df.columns]), F.lit(SPLITS))
+        first = Window.partitionBy(*[column(c) for c in group], part).orderBy(*order)
+        df = df.withColumn(_FIRST, F.row_number().over(first)).filter(F.col(_FIRST) <= k).drop(_FIRST)
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 

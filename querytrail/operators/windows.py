@@ -5,30 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from querytrail.functions.names import column
 from querytrail.operators.counts import COUNT
 from querytrail.operators.ranking import top_per_group
 
-# Event times outside these years are treated like a missing time: window and
-# zone arithmetic near the ends of Spark's timestamp range overflows (an
-# error under ANSI), and no real event carries such a time.
-FIRST_YEAR, LAST_YEAR = 1, 9999
 
+def has_room(time_col: str, width: str) -> Column:
+    """True for a non-null time with room for ``width`` on both sides of it.
 
-def usable_time(column: str) -> Column:
-    """True for a non-null time within years 1-9999."""
-    return F.year(F.col(column)).between(FIRST_YEAR, LAST_YEAR)
+    Only times at the very ends of Spark's timestamp range (some 292,000
+    years from the epoch) lack it; window and zone arithmetic overflows
+    there, which is an error under ANSI.
+    """
+    ts, step = column(time_col), F.expr(f"INTERVAL '{width}'")
+    return F.try_add(ts, step).isNotNull() & F.try_subtract(ts, step).isNotNull()
 
 
 def window_counts(df: DataFrame, time_col: str = "timestamp_dt", term: str = "search", width: str = "30 minutes") -> DataFrame:
     """``start_time, end_time, term, count`` per tumbling window and term.
 
     Windows are half-open and epoch-aligned (M9); rows with a null time
-    have no window and drop out (M4), and so do times outside years
-    1-9999 (:func:`usable_time`).  A partial aggregate runs before the
-    shuffle on (window, term).  The filter keeps the time column itself,
+    have no window and drop out (M4), and so do times at the ends of the
+    timestamp range whose window would overflow (:func:`has_room`); every
+    other time counts, whatever its year.  A partial aggregate runs before
+    the shuffle on (window, term).  The filter keeps the time column itself,
     so a stream's watermark still applies.
     """
-    df = df.filter(usable_time(time_col))
+    df = df.filter(has_room(time_col, width))
     agg = df.groupBy(F.window(F.col(time_col), width).alias("window"), F.col(term)).agg(
         F.count(F.lit(1)).alias(COUNT)
     )
@@ -84,9 +87,9 @@ def hourly_counts(df: DataFrame, time_col: str = "timestamp_dt", zone: str | Non
     """
     ts = F.col(time_col)
     if zone is not None:
-        # session-zone wall clock -> wall clock in ``zone``; times outside
-        # years 1-9999 join the null hour
+        # session-zone wall clock -> wall clock in ``zone``; times within two
+        # days of the ends of the timestamp range join the null hour
         session_zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
         local = F.convert_timezone(F.lit(session_zone), F.lit(zone), ts.cast("timestamp_ntz"))
-        ts = F.when(usable_time(time_col), local)
+        ts = F.when(has_room(time_col, "2 days"), local)
     return df.groupBy(F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias(COUNT))

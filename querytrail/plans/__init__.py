@@ -7,6 +7,7 @@ from querytrail.plans.jobs import (
     top_searches_job,
     trending_job,
     user_pivot_job,
+    user_terms_job,
 )
 from querytrail.plans.reuse import cached
 
@@ -18,4 +19,5 @@ __all__ = [
     "top_searches_job",
     "trending_job",
     "user_pivot_job",
+    "user_terms_job",
 ]

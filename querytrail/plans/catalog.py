@@ -22,28 +22,34 @@ from querytrail.functions.decode import decode, event_time_from_millis, with_eve
 from querytrail.functions.encode import encode_json
 from querytrail.operators.counts import count_by, row_count, top_k, top_values
 from querytrail.operators.filters import keyword_filter
-from querytrail.operators.pivot import distinct_values, pivot_counts
+from querytrail.operators.pivot import pivot_counts, pivot_pairs
 from querytrail.operators.ranking import user_top_terms
 from querytrail.operators.windows import hourly_counts, trending, trending_topk
 from querytrail.plans.jobs import (
+    KEYWORD_HITS,
+    LIVE_TRENDING,
     TOP_REGIONS,
     TOP_SEARCHES,
     TRENDING,
     USER_PIVOT,
+    USER_TERMS,
     decoded_events,
     keyword_events,
+    keyword_tracker_stream,
+    live_trending_stream,
     top_searches_job,
     trending_job,
     user_pivot_job,
+    user_terms_job,
 )
 from querytrail.schemas import EVENT, LOG
-from querytrail.session import shared_dir
-from querytrail.sinks.batches import append_batches, read_batches, replace_each_batch
-from querytrail.sinks.tables import SinkConfig
+from querytrail.session import ensure_checkpoint_dir, shared_dir
+from querytrail.sinks.batches import append_batches, read_batches
+from querytrail.sinks.tables import SinkConfig, write_table
 from querytrail.sources.tables import load_table
-from querytrail.sources.topics import num_partitions, stream_topic_files, write_topic_files
+from querytrail.sources.topics import stream_topic_files, write_topic_files
 from querytrail.sources.wire import event_rows, events_wire, parts_wire
-from querytrail.streaming.live import latest_counts, live_pivot, live_trending
+from querytrail.streaming.live import latest_counts, latest_window_counts, live_counts, live_trending
 from querytrail.streaming.runner import run_to_end, start
 
 # Fixed parameters of the registered queries.
@@ -51,8 +57,12 @@ TOP_K = 10
 RANK_K = 3
 EVENT_KEYWORD = "SiGn"
 DOCUMENT_KEYWORDS = ("Über", "été")
-STREAM_BATCHES = 3
-STREAM_TIMEOUT_S = 900.0
+# Size of a stream's micro-batches: files per trigger, messages per file.
+BATCH_FILES = 4
+FILE_MESSAGES = 10_000
+DRAIN = {"availableNow": True}
+# Longer than any table's span of event time.
+LONG_WATERMARK = "36500 days"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,8 +85,10 @@ def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts_wire(load_table(spark, sf_dir, "part"))
 
 
-def decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decoded_events(event_messages(spark, sf_dir))
+def decoded(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    """Decoded events with their time; ``fields``: the message fields to parse
+    (all, if none is named)."""
+    return with_event_time(decode(event_messages(spark, sf_dir), EVENT, fields=fields or None))
 
 
 # --- decoding -------------------------------------------------------------
@@ -110,55 +122,55 @@ def q_count_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(decode(event_messages(spark, sf_dir), EVENT), "region", TOP_K)
+    return top_k(decode(event_messages(spark, sf_dir), EVENT, fields=["region"]), "region", TOP_K)
 
 
 def q_top_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(decode(event_messages(spark, sf_dir), EVENT), "search", TOP_K)
+    return top_k(decode(event_messages(spark, sf_dir), EVENT, fields=["search"]), "search", TOP_K)
 
 
 def q_top_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(decode(event_messages(spark, sf_dir), EVENT), "user_id", TOP_K)
+    return top_k(decode(event_messages(spark, sf_dir), EVENT, fields=["user_id"]), "user_id", TOP_K)
 
 
 def q_top_log_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(decode(log_messages(spark, sf_dir), LOG), "search", TOP_K)
+    return top_k(decode(log_messages(spark, sf_dir), LOG, fields=["search"]), "search", TOP_K)
 
 
 def q_top_log_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(decode(log_messages(spark, sf_dir), LOG), "region", TOP_K)
+    return top_k(decode(log_messages(spark, sf_dir), LOG, fields=["region"]), "region", TOP_K)
 
 
 def q_top_log_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top regions and top terms of the LOG messages from one scan (J1's plan)."""
-    return top_values(decode(log_messages(spark, sf_dir), LOG), ["region", "search"], TOP_K)
+    return top_values(decode(log_messages(spark, sf_dir), LOG, fields=["region", "search"]), ["region", "search"], TOP_K)
 
 
 def q_user_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return count_by(decode(event_messages(spark, sf_dir), EVENT), "user_id", "search")
+    return count_by(decode(event_messages(spark, sf_dir), EVENT, fields=["user_id", "search"]), "user_id", "search")
 
 
 def q_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pivot_counts(decode(event_messages(spark, sf_dir), EVENT), "user_id", "search")
+    return pivot_counts(decode(event_messages(spark, sf_dir), EVENT, fields=["user_id", "search"]), "user_id", "search")
 
 
 # --- time windows ---------------------------------------------------------
 
 
 def q_trending_30min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_ntz(trending(decoded(spark, sf_dir)))
+    return to_ntz(trending(decoded(spark, sf_dir, "search", "timestamp")))
 
 
 def q_trending_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_ntz(trending_topk(decoded(spark, sf_dir), RANK_K))
+    return to_ntz(trending_topk(decoded(spark, sf_dir, "search", "timestamp"), RANK_K))
 
 
 def q_hourly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly_counts(decoded(spark, sf_dir))
+    return hourly_counts(decoded(spark, sf_dir, "timestamp"))
 
 
 def q_user_top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return user_top_terms(decode(event_messages(spark, sf_dir), EVENT), RANK_K)
+    return user_top_terms(decode(event_messages(spark, sf_dir), EVENT, fields=["user_id", "search"]), RANK_K)
 
 
 # --- keyword filters ------------------------------------------------------
@@ -198,6 +210,13 @@ def q_job_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink.path(USER_PIVOT))
 
 
+def q_job_user_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 in long form."""
+    sink = _job_sink(spark, "job_user_terms")
+    user_terms_job(event_messages(spark, sf_dir), sink)
+    return spark.read.parquet(sink.path(USER_TERMS))
+
+
 def q_job_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = _job_sink(spark, "job_trending")
     trending_job(event_messages(spark, sf_dir), sink)
@@ -208,36 +227,33 @@ def q_job_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    """The events as a file topic under ``base``, read back as a stream of
-    about :data:`STREAM_BATCHES` micro-batches."""
-    events = load_table(spark, sf_dir, "events")
+    """The events as a file topic under ``base``, read back as a stream whose
+    micro-batches hold at most :data:`BATCH_FILES` files of
+    :data:`FILE_MESSAGES` messages each."""
+    events = events_wire(load_table(spark, sf_dir, "events"))
+    topic = write_topic_files(events, os.path.join(base, "topic"), rows_per_file=FILE_MESSAGES)
+    return stream_topic_files(spark, topic, max_files_per_trigger=BATCH_FILES)
+
+
+def _written(spark: SparkSession, result: DataFrame, name: str, sink: SinkConfig) -> DataFrame:
+    """What a stream over ``result`` wrote to ``name``; no rows, if no batch
+    had any."""
     try:
-        parallel = spark.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext (Spark Connect)
-        parallel = 1
-    # Counted on the scan, before any shuffle, so nothing runs yet.
-    files = max(num_partitions(events) or 1, parallel, STREAM_BATCHES)
-    topic = write_topic_files(events_wire(events, min_partitions=files), os.path.join(base, "topic"))
-    return stream_topic_files(spark, topic, max_files_per_trigger=-(-files // STREAM_BATCHES))
+        return read_batches(spark, name, sink)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or no data in it
+            raise
+        return spark.createDataFrame([], result.schema)
 
 
-def _drain(spark: SparkSession, result: DataFrame, base: str, name: str) -> DataFrame:
+def _drain(spark: SparkSession, result: DataFrame, base: str, name: str, mode: str = "append") -> DataFrame:
     """Run ``result`` (a stream over the file topic) to the end, appending
     each micro-batch to ``base/name``, then read the table back."""
     sink = SinkConfig(root=base)
     checkpoint = os.path.join(base, "checkpoint")
-    query = start(
-        result,
-        checkpoint,
-        mode="append",
-        trigger={"availableNow": True},
-        foreach_batch=append_batches(name, sink, log_count=False, owner=checkpoint),
-    )
-    run_to_end(query, STREAM_TIMEOUT_S)
-    try:
-        return read_batches(spark, name, sink)
-    except AnalysisException:  # no non-empty batch, so nothing was written
-        return spark.createDataFrame([], result.schema)
+    writer = append_batches(name, sink, log_count=False, owner=checkpoint)
+    run_to_end(start(result, checkpoint, mode=mode, trigger=DRAIN, foreach_batch=writer))
+    return _written(spark, result, name, sink)
 
 
 def q_stream_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,53 +262,63 @@ def q_stream_keyword(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(_drain(spark, hits, base, "hits"))
 
 
+def q_job_keyword_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 as a whole job, with its own writer."""
+    base = shared_dir(spark, "job_keyword_stream")
+    stream, sink = _event_stream(spark, sf_dir, base), SinkConfig(root=base)
+    run_to_end(keyword_tracker_stream(stream, sink, os.path.join(base, "checkpoint"), (EVENT_KEYWORD,), trigger=DRAIN))
+    return to_ntz(_written(spark, keyword_events(stream, EVENT_KEYWORD), KEYWORD_HITS, sink))
+
+
 def q_stream_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "stream_decode")
     rows = decoded_events(_event_stream(spark, sf_dir, base))
     return to_ntz(_drain(spark, rows, base, "decoded"))
 
 
+def q_append_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the keyword hits appended to a table in two writes, the events
+    before and from noon; rows without a time belong to the first."""
+    sink = SinkConfig(root=shared_dir(spark, "append_table"))
+    hits = keyword_events(event_messages(spark, sf_dir), EVENT_KEYWORD)
+    late = F.coalesce(F.hour("timestamp_dt") >= 12, F.lit(False))
+    for part in (hits.where(~late), hits.where(late)):
+        write_table(part, "hits", sink, mode="append")
+    return to_ntz(spark.read.parquet(sink.path("hits")))
+
+
 def q_live_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E4 in complete mode: each micro-batch carries the whole window table,
-    so the last batch written is the exact answer."""
+    so the last batch written is the exact answer.  The state is never freed,
+    so this mode is for tables that stay small; :func:`q_live_trending_update`
+    is the mode for long-running streams."""
     base = shared_dir(spark, "live_trending")
-    stream = decoded_events(_event_stream(spark, sf_dir, base))
-    counts = live_trending(stream, watermark="1 hour")
-    sink = SinkConfig(root=base)
-    query = start(
-        counts,
-        os.path.join(base, "checkpoint"),
-        mode="complete",
-        trigger={"availableNow": True},
-        foreach_batch=replace_each_batch("windows", sink),
-    )
-    run_to_end(query, STREAM_TIMEOUT_S)
-    return to_ntz(read_batches(spark, "windows", sink))
+    stream, sink = _event_stream(spark, sf_dir, base), SinkConfig(root=base)
+    counts = live_trending(decoded_events(stream), watermark="1 hour")
+    run_to_end(live_trending_stream(stream, sink, os.path.join(base, "checkpoint"), "1 hour", mode="complete", trigger=DRAIN))
+    return to_ntz(_written(spark, counts, LIVE_TRENDING, sink))
+
+
+def q_live_trending_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 in update mode: the newest count of each window from the appended
+    changes.  The files are in no order of time, so the watermark is longer
+    than the table's span and no event is late."""
+    base = shared_dir(spark, "live_trending_update")
+    stream, sink = _event_stream(spark, sf_dir, base), SinkConfig(root=base)
+    counts = live_trending(decoded_events(stream), watermark=LONG_WATERMARK)
+    run_to_end(live_trending_stream(stream, sink, os.path.join(base, "checkpoint"), LONG_WATERMARK, trigger=DRAIN))
+    return to_ntz(latest_window_counts(_written(spark, counts, LIVE_TRENDING, sink)))
 
 
 def q_stream_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user x term matrix kept live on the stream.
-
-    A stream cannot discover its pivot columns, so the term list is read
-    from the table first (one bounded distinct).  The stream runs in
-    ``update`` mode: each micro-batch appends only the users it changed,
-    and the newest counts per user are the exact matrix.
-    """
-    # no filter here, so the projection form narrows the parse to `search`
-    terms = distinct_values(decode(event_messages(spark, sf_dir), EVENT, barrier=False), "search")
+    """The user x term matrix kept live on the stream: (user, term) counts in
+    ``update`` mode, pivoted when they are read.  The terms come from what
+    the stream has written, so a new one needs no restart."""
     base = shared_dir(spark, "stream_user_pivot")
-    stream = decode(_event_stream(spark, sf_dir, base), EVENT)
-    sink = SinkConfig(root=base)
-    checkpoint = os.path.join(base, "checkpoint")
-    query = start(
-        live_pivot(stream, terms),
-        checkpoint,
-        mode="update",
-        trigger={"availableNow": True},
-        foreach_batch=append_batches("matrix", sink, log_count=False, owner=checkpoint),
-    )
-    run_to_end(query, STREAM_TIMEOUT_S)
-    return latest_counts(read_batches(spark, "matrix", sink), ["user_id"])
+    pairs = live_counts(decode(_event_stream(spark, sf_dir, base), EVENT, fields=["user_id", "search"]), "user_id", "search")
+    newest = latest_counts(_drain(spark, pairs, base, "pairs", mode="update"), ["user_id", "search"])
+    ensure_checkpoint_dir(spark)
+    return pivot_pairs(newest.checkpoint(eager=True), "user_id", "search")
 
 
 QUERIES: dict[str, Query] = {
@@ -317,10 +343,14 @@ QUERIES: dict[str, Query] = {
     "keyword_documents": q_keyword_documents,
     "job_top_searches": q_job_top_searches,
     "job_user_pivot": q_job_user_pivot,
+    "job_user_terms": q_job_user_terms,
     "job_trending": q_job_trending,
+    "append_table": q_append_table,
     "stream_keyword": q_stream_keyword,
+    "job_keyword_stream": q_job_keyword_stream,
     "stream_decode": q_stream_decode,
     "live_trending": q_live_trending,
+    "live_trending_update": q_live_trending_update,
     "stream_user_pivot": q_stream_user_pivot,
 }
 

@@ -5,18 +5,19 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from querytrail.functions.decode import decode, with_event_time
-from querytrail.functions.names import column
-from querytrail.operators.counts import COUNT, GID, grouping_counts
+from querytrail.operators.counts import COUNT, GID, count_by, grouping_counts
 from querytrail.operators.filters import keyword_filter
-from querytrail.operators.pivot import pivot_counts
+from querytrail.operators.pivot import DEFAULT_MAX_VALUES, pivot_pairs
+from querytrail.operators.ranking import top_per_group
 from querytrail.operators.windows import trending
 from querytrail.plans.reuse import cached
 from querytrail.schemas import EVENT, LOG
+from querytrail.session import ensure_checkpoint_dir
 from querytrail.sinks.batches import append_batches
 from querytrail.sinks.tables import SinkConfig, write_all
 from querytrail.sinks.topic import publish
@@ -29,6 +30,7 @@ TOP_REGIONS = "top_10_sehirler"
 TOP_SEARCHES = "top_10_aramalar"
 USER_PIVOT = "search_by_userid_pivot"
 TRENDING = "trending_searches_30min"
+USER_TERMS = "search_by_userid_terms"
 KEYWORD_HITS = "realtime_maske_searches"
 KEYWORD = "maske"
 
@@ -51,8 +53,7 @@ def top_counts(decoded: DataFrame, keys: list[str], k: int) -> tuple[DataFrame,
     """
     agg, gids, total_gid = grouping_counts(decoded, keys, total=True)
     order = [F.col(COUNT).desc()] + [F.col(c).asc_nulls_first() for c in keys]
-    ranked = agg.withColumn("__rank", F.row_number().over(Window.partitionBy(GID).orderBy(*order)))
-    small = ranked.filter(F.col("__rank") <= k)
+    small = top_per_group(agg, [GID], k, order, rank_col="__rank")
     tops = {
         key: small.filter(F.col(GID) == gid).orderBy(F.col("__rank")).select(key, COUNT)
         for key, gid in gids.items()
@@ -63,7 +64,8 @@ def top_counts(decoded: DataFrame, keys: list[str], k: int) -> tuple[DataFrame,
 
 def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview: bool = False, drop_malformed: bool = False) -> JobResult:
     """LOG messages -> top-``k`` regions and terms -> two outputs."""
-    decoded = decode(messages, LOG, drop_malformed=drop_malformed)
+    used = None if preview else ["region", "search"]
+    decoded = decode(messages, LOG, drop_malformed=drop_malformed, fields=used)
     small, tops, total = top_counts(decoded, ["region", "search"], k)
     outputs = {TOP_REGIONS: tops["region"], TOP_SEARCHES: tops["search"]}
     with cached(small):
@@ -79,6 +81,11 @@ def top_searches_job(messages: DataFrame, sink: SinkConfig, k: int = 10, preview
     return JobResult(outputs, status, rows)
 
 
+def user_term_pairs(messages: DataFrame, drop_malformed: bool = False) -> DataFrame:
+    """EVENT messages -> ``(user_id, search, count)``, parsing no other field."""
+    return count_by(decode(messages, EVENT, drop_malformed=drop_malformed, fields=["user_id", "search"]), "user_id", "search")
+
+
 def user_pivot_job(
     messages: DataFrame,
     sink: SinkConfig,
@@ -86,25 +93,24 @@ def user_pivot_job(
     fill_key: bool = False,
     preview: bool = False,
     drop_malformed: bool = False,
+    max_values: int = DEFAULT_MAX_VALUES,
 ) -> JobResult:
     """EVENT messages -> user x term matrix -> one output.
 
-    With columns taken from the data every message lands in one cell, so
-    the message count is the sum of the matrix, computed from the pivot's
-    checkpointed pair counts rather than by another read of the topic.
-    The matrix is persisted only when a preview makes it two actions.
+    The (user, term) counts are checkpointed once; the column list, the
+    number of messages and the matrix come from them, and the matrix is
+    computed once, by the write.  With ``values`` the column ``other`` holds
+    the terms outside the list, so no message is lost.  More than
+    ``max_values`` terms are an error; :func:`user_terms_job` has no limit.
     """
-    decoded = with_event_time(decode(messages, EVENT, drop_malformed=drop_malformed), "timestamp", out="timestamp")
     if preview:
-        decoded.printSchema()
-    matrix = pivot_counts(decoded, "user_id", "search", values=values, fill_key=fill_key)
-    rows = None
-    if values is None:
-        cells = [c for c in matrix.columns if c != "user_id"]
-        # one row of per-column sums (as many as the checked column count)
-        sums = matrix.agg(*[F.sum(column(c)) for c in cells]).first() if cells else []
-        rows = sum(v or 0 for v in sums)
-        log.info("messages: %s", rows)
+        with_event_time(decode(messages, EVENT), "timestamp", out="timestamp").printSchema()
+    ensure_checkpoint_dir(messages.sparkSession)
+    pairs = user_term_pairs(messages, drop_malformed).checkpoint(eager=True)
+    rows = pairs.agg(F.coalesce(F.sum(COUNT), F.lit(0))).first()[0]
+    log.info("messages: %s", rows)
+    other = None if values is None else "other"
+    matrix = pivot_pairs(pairs, "user_id", "search", COUNT, values, other, fill_key, max_values)
     with cached(matrix, when=preview) as m:
         if preview:
             m.show(10, truncate=False)
@@ -112,6 +118,17 @@ def user_pivot_job(
     return JobResult({USER_PIVOT: matrix}, status, rows)
 
 
+def user_terms_job(messages: DataFrame, sink: SinkConfig, preview: bool = False, drop_malformed: bool = False) -> JobResult:
+    """J2 in long form: EVENT messages -> ``(user_id, search, count)`` -> one
+    output.  Any number of terms, and only the combinations that occur."""
+    pairs = user_term_pairs(messages, drop_malformed)
+    with cached(pairs, when=preview) as p:
+        if preview:
+            p.show(10, truncate=False)
+        status = write_all({USER_TERMS: p}, sink)
+    return JobResult({USER_TERMS: pairs}, status)
+
+
 def trending_job(
     messages: DataFrame,
     sink: SinkConfig,
@@ -170,7 +187,7 @@ def live_trending_stream(
     stream: DataFrame,
     sink: SinkConfig,
     checkpoint: str,
-    watermark: str = "10 minutes",
+    watermark: str,
     width: str = "30 minutes",
     mode: str = "update",
     name: str = LIVE_TRENDING,
@@ -181,7 +198,9 @@ def live_trending_stream(
     ``update`` appends each batch's changed windows (read the newest with
     :func:`querytrail.streaming.latest_window_counts`), ``append`` only
     windows the watermark has closed, ``complete`` replaces the table with
-    the whole result every batch.
+    the whole result every batch (its state is never freed: for tables that
+    stay small).  ``watermark`` has no default: rows that come later than it
+    are not counted, so it must suit the topic.
     """
     from querytrail.sinks.batches import replace_each_batch
     from querytrail.streaming.live import live_trending

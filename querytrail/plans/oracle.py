@@ -30,7 +30,7 @@ _WINDOWS = f"""
            search,
            count(*) AS count
     FROM ({_WIRE}) w
-    WHERE timestamp_dt IS NOT NULL AND year(timestamp_dt) BETWEEN 1 AND 9999
+    WHERE timestamp_dt IS NOT NULL
     GROUP BY 1, 2, 3
 """
 
@@ -129,13 +129,25 @@ SQL: dict[str, str] = {
     "job_user_pivot": "SELECT COALESCE(user_id, 0) AS user_id, "
     + ", ".join(f"count(*) FILTER (WHERE search = '{t}') AS \"{t}\"" for t in _PIVOT_TERMS)
     + f" FROM ({_WIRE}) w GROUP BY user_id",
+    "job_user_terms": f"""
+    SELECT user_id, search, count(*) AS count FROM ({_WIRE}) w GROUP BY user_id, search
+""",
     "job_trending": _WINDOWS,
     "stream_keyword": f"""
     SELECT user_id, search, region, timestamp, timestamp_dt
     FROM ({_WIRE}) w WHERE contains(lower(search), lower('SiGn'))
+""",
+    "job_keyword_stream": f"""
+    SELECT user_id, search, region, timestamp, timestamp_dt
+    FROM ({_WIRE}) w WHERE contains(lower(search), lower('SiGn'))
+""",
+    "append_table": f"""
+    SELECT user_id, search, region, timestamp, timestamp_dt
+    FROM ({_WIRE}) w WHERE contains(lower(search), lower('SiGn'))
 """,
     "stream_decode": _WIRE,
     "live_trending": _WINDOWS,
+    "live_trending_update": _WINDOWS,
     "stream_user_pivot": "SELECT user_id, "
     + ", ".join(f"count(*) FILTER (WHERE search = '{t}') AS \"{t}\"" for t in _PIVOT_TERMS)
     + f" FROM ({_WIRE}) w GROUP BY user_id",

@@ -17,8 +17,6 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Shuffle partitions sized by bytes, not by a fixed count.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 # Applied only when a new SparkContext starts (ignored on a running one).

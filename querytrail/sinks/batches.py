@@ -5,9 +5,8 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from querytrail.sinks.tables import FILE_FORMATS, SinkConfig, write_table
@@ -54,10 +53,9 @@ def append_batches(
     ``owner`` and a stream with another checkpoint is refused
     (:func:`claim_output`, checked once per writer).
 
-    With ``log_count`` the batch is persisted, counted and written from
-    the cache, so it is computed once (the reference computed a batch up
-    to three times).  Without, ``isEmpty`` stops at the first row and the
-    write computes the batch, with nothing cached.
+    Nothing is cached: ``isEmpty`` stops at the first row, and with
+    ``log_count`` the rows are counted while they are written (the reference
+    computed a batch up to three times).
     """
 
     claimed = False
@@ -69,24 +67,20 @@ def append_batches(
         if owner is not None and not claimed and sink.fmt in FILE_FORMATS:
             claim_output(df.sparkSession, sink.path(name), owner)
             claimed = True
+        if df.isEmpty():
+            log.info("batch %s of %s is empty; nothing written", batch_id, name)
+            return
+        seen = Observation()
         if log_count:
-            df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            n = df.count() if log_count else None
-            if n == 0 or (n is None and df.isEmpty()):
-                log.info("batch %s of %s is empty; nothing written", batch_id, name)
-                return
-            if sink.fmt in FILE_FORMATS:
-                out = df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
-                w = out.write.format(sink.fmt).mode("overwrite").options(**sink.options)
-                w = w.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN)
-                w.save(sink.path(name))
-            else:
-                write_table(df, name, sink, mode="append")
-            log.info("batch %s: %s rows appended to %s", batch_id, "some" if n is None else n, name)
-        finally:
-            if log_count:
-                df.unpersist()
+            df = df.observe(seen, F.count(F.lit(1)).alias("n"))
+        if sink.fmt in FILE_FORMATS:
+            out = df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
+            w = out.write.format(sink.fmt).mode("overwrite").options(**sink.options)
+            w = w.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN)
+            w.save(sink.path(name))
+        else:
+            write_table(df, name, sink, mode="append")
+        log.info("batch %s: %s rows appended to %s", batch_id, seen.get["n"] if log_count else "some", name)
 
     return write
 

@@ -38,10 +38,7 @@ def _split_hot_partitions(spark: SparkSession, extra: dict) -> dict:
     """
     if "minPartitions" in extra:
         return extra
-    try:
-        return {**extra, "minPartitions": str(spark.sparkContext.defaultParallelism)}
-    except Exception:  # no SparkContext (Spark Connect): leave it to the source
-        return extra
+    return {**extra, "minPartitions": str(spark.sparkContext.defaultParallelism)}
 
 
 def read_topic(spark: SparkSession, topic: str, servers: str | None = None, starting: str = "earliest", **extra: str) -> DataFrame:
@@ -77,31 +74,21 @@ def stream_topic_files(spark: SparkSession, path: str, max_files_per_trigger: in
     return reader.parquet(path)
 
 
-def num_partitions(df: DataFrame) -> int | None:
-    """Number of partitions the plan of ``df`` produces, or None where the
-    RDD API is not available (Spark Connect).
-
-    Meant for scan-level frames, where it only plans.  On a frame that
-    contains a shuffle, adaptive execution runs the shuffle's map stage to
-    finish the plan, so do not call it there.
-    """
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:
-        return None
-
-
-def write_topic_files(messages: DataFrame, path: str, min_files: int = 1, mode: str = "append") -> str:
+def write_topic_files(
+    messages: DataFrame, path: str, files: int | None = None, rows_per_file: int | None = None, mode: str = "append"
+) -> str:
     """Write a message frame as a file topic and return ``path``.
 
-    ``min_files > 1`` spreads the messages over at least that many files
-    (a stream stand-in needs several to form several micro-batches);
-    frames that already have enough partitions are written as they are,
-    without a shuffle.  Pass a scan-level frame when ``min_files > 1``
-    (see :func:`num_partitions`).
+    ``files`` spreads the messages over that many files first (a shuffle);
+    ``rows_per_file`` bounds a file's messages without one, so that a stream
+    with a fixed number of files per trigger has micro-batches of a fixed
+    size, however many messages there are.
     """
     out = messages.select("value")
-    if min_files > 1 and (num_partitions(out) or 0) < min_files:
-        out = out.repartition(min_files)
-    out.write.mode(mode).parquet(path)
+    if files is not None:
+        out = out.repartition(files)
+    writer = out.write.mode(mode)
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", str(rows_per_file))
+    writer.parquet(path)
     return path

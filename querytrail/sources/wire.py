@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from querytrail.functions.encode import encode_json
-from querytrail.sources.topics import num_partitions
 
 # Fixed values of the fixture mapping (FIXTURES §2).
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -20,27 +19,15 @@ REGION_BUCKETS = 25
 LOG_EPOCH_MS = 1_704_067_200_000  # 2024-01-01T00:00:00Z
 
 
-def as_topic(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` partitions, like a topic
-    with that many partitions.
+def as_topic(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The rows as they are or, if ``partitions`` is given, spread over so
+    many partitions, like a topic that has them.
 
-    Only a source with fewer splits than that (a small file with a single
-    row group) is redistributed; a large table already has thousands of
-    splits and is left as it is, without a shuffle.  Rows are hashed on a
-    row id: evenly spread whatever the keys (duplicates and hot keys too),
-    deterministic when a task is retried, and without the full sort that
-    a round-robin repartition does first.  Defaults to the session's
-    default parallelism.
+    Rows are hashed on a row id: evenly spread whatever the keys (duplicates
+    and hot keys too), deterministic when a task is retried, and without the
+    full sort that a round-robin repartition does first.
     """
-    if min_partitions is None:
-        try:
-            min_partitions = df.sparkSession.sparkContext.defaultParallelism
-        except Exception:  # no SparkContext (Spark Connect): leave as is
-            return df
-    splits = num_partitions(df)
-    if splits is None or splits >= min_partitions:
-        return df
-    return df.repartition(min_partitions, F.monotonically_increasing_id())
+    return df if partitions is None else df.repartition(partitions, F.monotonically_increasing_id())
 
 
 def event_rows(events: DataFrame) -> DataFrame:
@@ -53,9 +40,9 @@ def event_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def events_wire(events: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """``events`` as EVENT messages (``value binary``) on a multi-partition topic."""
-    return encode_json(as_topic(event_rows(events), min_partitions))
+def events_wire(events: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``events`` as EVENT messages (``value binary``)."""
+    return encode_json(as_topic(event_rows(events), partitions))
 
 
 def log_rows(part: DataFrame) -> DataFrame:
@@ -67,6 +54,6 @@ def log_rows(part: DataFrame) -> DataFrame:
     )
 
 
-def parts_wire(part: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """``part`` as LOG messages (``value binary``) on a multi-partition topic."""
-    return encode_json(as_topic(log_rows(part), min_partitions))
+def parts_wire(part: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``part`` as LOG messages (``value binary``)."""
+    return encode_json(as_topic(log_rows(part), partitions))

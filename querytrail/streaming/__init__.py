@@ -1,6 +1,6 @@
 """Structured Streaming helpers."""
 
-from querytrail.streaming.live import latest_counts, latest_window_counts, live_pivot, live_trending
+from querytrail.streaming.live import latest_counts, latest_window_counts, live_counts, live_trending
 from querytrail.streaming.runner import run_to_end, start, to_console
 
-__all__ = ["latest_counts", "latest_window_counts", "live_pivot", "live_trending", "run_to_end", "start", "to_console"]
+__all__ = ["latest_counts", "latest_window_counts", "live_counts", "live_trending", "run_to_end", "start", "to_console"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from querytrail.functions.names import column
-from querytrail.operators.pivot import pivot_counts
+from querytrail.operators.counts import count_by
 from querytrail.operators.windows import window_counts
 
 
@@ -52,15 +52,16 @@ def latest_window_counts(appended: DataFrame, term: str = "search") -> DataFrame
     return latest_counts(appended, ["start_time", "end_time", term])
 
 
-def live_pivot(sdf: DataFrame, values: Sequence, key: str = "user_id", column: str = "search") -> DataFrame:
-    """Key x term counts on a stream; the value list must be given (§4).
+def live_counts(sdf: DataFrame, *keys: str) -> DataFrame:
+    """Counts per key tuple on a stream, in long form: the live form of the
+    key x term matrix (§4), with no list of terms to know beforehand.
 
-    Best run in ``update`` mode: each batch emits only the keys it changed,
-    and :func:`latest_counts` over the appended batches is the exact
-    matrix (no watermark, so no row is ever late).  ``complete`` re-emits
-    every key each batch.
+    Run in ``update`` mode: each batch emits only the tuples it changed.
+    :func:`latest_counts` over what was written is the exact count, and
+    :func:`querytrail.operators.pivot.pivot_pairs` its matrix.  The state is
+    one row per tuple; without a watermark no row is ever late.
     """
-    return pivot_counts(sdf, key, column, values=list(values))
+    return count_by(sdf, *keys)
 
 
-__all__ = ["live_pivot", "live_trending"]
+__all__ = ["latest_counts", "latest_window_counts", "live_counts", "live_trending"]

@@ -43,7 +43,8 @@ def start(
 
 
 def to_console(sdf: DataFrame, checkpoint: str, trigger: dict | None = None, rows: int = 20) -> StreamingQuery:
-    """Print each micro-batch untruncated (K4)."""
+    """Print the first ``rows`` rows of each micro-batch untruncated (K4).
+    It is a display: Spark's console sink, and its default of 20 rows."""
     return start(sdf, checkpoint, "append", trigger, fmt="console", options={"truncate": "false", "numRows": str(rows)})
 
 

@@ -10,8 +10,8 @@ from querytrail.sources import events_wire, load_table, parts_wire, write_topic_
 
 @pytest.fixture()
 def topics(spark, scratch):
-    ev = write_topic_files(events_wire(load_table(spark, SF_SMALL, "events"), 1), os.path.join(scratch, "ev"), min_files=3)
-    logs = write_topic_files(parts_wire(load_table(spark, SF_SMALL, "part"), 1), os.path.join(scratch, "logs"))
+    ev = write_topic_files(events_wire(load_table(spark, SF_SMALL, "events")), os.path.join(scratch, "ev"), files=3)
+    logs = write_topic_files(parts_wire(load_table(spark, SF_SMALL, "part")), os.path.join(scratch, "logs"))
     return ev, logs
 
 
@@ -20,10 +20,11 @@ def test_batch_jobs(spark, scratch, topics):
     out = os.path.join(scratch, "out")
     assert main(["top-searches", "--files", logs, "--sink-root", out, "--preview"]) == 0
     assert main(["user-pivot", "--files", ev, "--sink-root", out, "--values", "click,view"]) == 0
+    assert main(["user-terms", "--files", ev, "--sink-root", out]) == 0
     assert main(["trending", "--files", ev, "--sink-root", out, "--width", "1 hour"]) == 0
     for name in (TOP_REGIONS, TOP_SEARCHES, USER_PIVOT, TRENDING):
         assert spark.read.parquet(os.path.join(out, name)).count() > 0
-    assert spark.read.parquet(os.path.join(out, USER_PIVOT)).columns == ["user_id", "click", "view"]
+    assert spark.read.parquet(os.path.join(out, USER_PIVOT)).columns == ["user_id", "click", "view", "other"]
 
 
 def test_stream_jobs(spark, scratch, topics):
@@ -44,7 +45,7 @@ def test_live_trending_job(spark, scratch, topics):
     ev, _ = topics
     out = os.path.join(scratch, "out")
     args = ["--files", ev, "--trigger", "available-now", "--timeout", "300", "--sink-root", out]
-    assert main(["live-trending", *args, "--mode", "complete", "--checkpoint", os.path.join(scratch, "c3")]) == 0
+    assert main(["live-trending", *args, "--mode", "complete", "--watermark", "1 hour", "--checkpoint", os.path.join(scratch, "c3")]) == 0
     complete = spark.read.parquet(os.path.join(out, LIVE_TRENDING))
     total = load_table(spark, SF_SMALL, "events").count()
     assert complete.agg({"count": "sum"}).collect()[0][0] == total
@@ -60,5 +61,7 @@ def test_usage_errors(spark):
         main(["trending"])
     with pytest.raises(SystemExit):
         main(["decode-stream", "--files", "x"])
+    with pytest.raises(SystemExit):
+        main(["live-trending", "--files", "x", "--checkpoint", "c"])
     with pytest.raises(SystemExit):
         main(["publish", "--topic", "t"])

@@ -207,3 +207,18 @@ def test_same_results_with_and_without_ansi(spark):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert on == off
+
+
+@pytest.mark.parametrize("fields", [["region"], ["search", "user_id"]])
+def test_only_wanted_fields_are_parsed(spark, fields):
+    texts = [GOOD, "junk", '{"user_id":"x","region":"r"}']
+    df = decode(messages(spark, texts), EVENT, fields=fields)
+    assert df.columns == fields
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    parsed = plan[plan.index("from_json(") :]
+    assert all(f"StructField({f}," in parsed for f in fields)
+    assert parsed.split("from_json(")[1].split("))")[0].count("StructField(") == len(fields)
+    whole = decode(messages(spark, texts), EVENT).select(*fields)
+    assert sorted(map(str, df.collect())) == sorted(map(str, whole.collect()))
+    kept = decode(messages(spark, texts), EVENT, fields=fields, drop_malformed=True)
+    assert kept.columns == fields and kept.count() == 2

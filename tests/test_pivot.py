@@ -1,7 +1,6 @@
 import pytest
 
-from querytrail.operators import distinct_values, pivot_counts
-from querytrail.operators import pivot as pivot_mod
+from querytrail.operators import column_names, distinct_values, pivot_counts
 
 SCHEMA = "user_id int, search string"
 
@@ -25,17 +24,19 @@ def test_null_key_kept_or_filled(spark):
     assert _rows(pivot_counts(df, fill_key=True)) == [(0, 1), (0, 1)]
 
 
-def test_explicit_values(spark):
-    df = spark.createDataFrame([(1, "a"), (1, "z")], SCHEMA)
-    out = pivot_counts(df, values=["a", "b"])
-    assert out.columns == ["user_id", "a", "b"]
-    assert _rows(out) == [(1, 1, 0)]
+def test_explicit_values_and_the_rest(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "z"), (2, None), (None, "z")], SCHEMA)
+    out = pivot_counts(df, values=["a", "b"], other="other")
+    assert out.columns == ["user_id", "a", "b", "other"]
+    assert _rows(out) == sorted([(1, 1, 0, 1), (2, 0, 0, 1), (None, 0, 0, 1)], key=str)
+    assert _rows(pivot_counts(df, values=["a", None], other="o")) == sorted([(1, 1, 0, 1), (2, 0, 1, 0), (None, 0, 0, 1)], key=str)
+    assert _rows(pivot_counts(df, values=[], other="o")) == sorted([(1, 2), (2, 1), (None, 1)], key=str)
 
 
-def test_explicit_values_read_input_once(spark):
-    df = spark.createDataFrame([(1, "a")], SCHEMA)
-    plan = pivot_counts(df, values=["a", "b"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+def test_explicit_values_read_input_once(spark, scratch):
+    spark.createDataFrame([(1, "a")], SCHEMA).write.parquet(scratch + "/t")
+    plan = pivot_counts(spark.read.parquet(scratch + "/t"), values=["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
 
 
 def test_empty_input_gives_key_only(spark):
@@ -44,14 +45,39 @@ def test_empty_input_gives_key_only(spark):
     assert out.columns == ["user_id"] and out.count() == 0
 
 
-def test_many_values_use_two_phase_pivot(spark, monkeypatch):
-    monkeypatch.setattr(pivot_mod, "CONDITIONAL_LIMIT", 2)
-    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c")], SCHEMA)
+def test_real_terms_get_columns_of_their_own(spark, scratch):
+    terms = ["Maske", "maske", "MASKE", None, "null", "NULL", "user_id", "", "empty", "a.b", "x`y"]
+    df = spark.createDataFrame([(u, t) for u in (1, 2) for i, t in enumerate(terms) for _ in range(u * (i + 1))], SCHEMA)
+    out = pivot_counts(df)
+    assert len({c.lower() for c in out.columns}) == len(terms) + 1
+    ordered = sorted(terms, key=lambda t: (t is not None, t or ""))
+    assert out.columns[1:] == column_names(ordered, ["user_id"])
+    want = {u: [u * (terms.index(t) + 1) for t in ordered] for u in (1, 2)}
+    out.write.parquet(scratch + "/m")  # a sink that ignores case
+    back = spark.read.parquet(scratch + "/m")
+    assert {r[0]: list(r)[1:] for r in back.collect()} == want
+
+
+@pytest.mark.parametrize("n", [64, 65, 70, 300])
+def test_any_number_of_columns_is_one_plan(spark, n):
+    df = spark.createDataFrame([(i % 7, f"t{i % n:03d}") for i in range(3 * n)], SCHEMA)
+    out = pivot_counts(df)
+    assert len(out.columns) == n + 1
+    assert sum(sum(list(r)[1:]) for r in out.collect()) == 3 * n
+    assert "pivotfirst" in out._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_numbers_as_terms(spark):
+    df = spark.createDataFrame([(1, float(10**k)) for k in range(70)], "user_id int, search double")
     out = pivot_counts(df)
-    assert out.columns == ["user_id", "a", "b", "c"]
-    assert _rows(out) == [(1, 1, 1, 0), (2, 0, 0, 2)]
-    out2 = pivot_counts(df, values=["c", "a", "b"])
-    assert _rows(out2.select("user_id", "a", "b", "c")) == [(1, 1, 1, 0), (2, 0, 0, 2)]
+    assert [list(r)[1:] for r in out.collect()] == [[1] * 70]
+
+
+def test_streams_are_refused(spark, scratch):
+    df = spark.createDataFrame([(1, "a")], SCHEMA)
+    df.write.parquet(scratch + "/s")
+    with pytest.raises(ValueError, match="live_counts"):
+        pivot_counts(spark.readStream.schema(SCHEMA).parquet(scratch + "/s"))
 
 
 def test_too_many_values_is_an_error(spark):
@@ -73,11 +99,9 @@ def test_pivot_matches_reference_shape(spark):
     assert _rows(mine) == _rows(ref.select(*[F.col(c).cast("bigint") if c != "user_id" else F.col(c) for c in ref.columns]))
 
 
-@pytest.mark.parametrize("limit", [64, 1])
-def test_terms_with_dots_spaces_and_backticks(spark, monkeypatch, limit):
+def test_terms_with_dots_spaces_and_backticks(spark):
     from querytrail.streaming import latest_counts
 
-    monkeypatch.setattr(pivot_mod, "CONDITIONAL_LIMIT", limit)
     df = spark.createDataFrame([(1, "3.5mm jack"), (1, "x`y"), (2, "3.5mm jack"), (2, "a b")], SCHEMA)
     out = pivot_counts(df, fill_key=True)
     assert out.columns == ["user_id", "3.5mm jack", "a b", "x`y"]

@@ -52,7 +52,7 @@ def test_kafka_source_without_jar_fails_loudly(spark):
 
 def test_file_topic_roundtrip(spark, scratch):
     msgs = messages(spark, ['{"a":1}', '{"a":2}', "junk"])
-    path = write_topic_files(msgs, os.path.join(scratch, "topic"), min_files=3)
+    path = write_topic_files(msgs, os.path.join(scratch, "topic"), files=3)
     assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) >= 3
     back = read_topic_files(spark, path)
     assert back.dtypes == [("value", "binary")]
@@ -71,10 +71,38 @@ def test_wire_adapters(spark):
     assert parts_wire(part).count() == part.count()
 
 
-def test_wire_spreads_single_split_sources(spark):
+def test_wire_spreads_only_when_asked(spark):
     ev = load_table(spark, SF_SMALL, "events")
-    assert events_wire(ev, min_partitions=4).rdd.getNumPartitions() >= 4
-    assert events_wire(ev, min_partitions=1).rdd.getNumPartitions() == ev.rdd.getNumPartitions()
+    assert events_wire(ev, partitions=4).rdd.getNumPartitions() == 4
+    plan = events_wire(ev)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan  # no shuffle unless asked for
+
+
+def test_checkpoint_dir_is_required_on_a_cluster(spark, monkeypatch):
+    from querytrail import session
+
+    class Context:
+        def __init__(self, master):
+            self.master, self.dir = master, None
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, path):
+            self.dir = path
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext, values = Context(master), {}
+            self.conf = type("Conf", (), {"get": staticmethod(values.get), "set": staticmethod(values.__setitem__)})
+
+    for master in ("yarn", "spark://h:7077", "k8s://h", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.ensure_checkpoint_dir(Session(master))
+    assert "querytrail-" in session.ensure_checkpoint_dir(Session("local[4]"))
 
 
 def test_build_session_and_shared_dir(spark):

@@ -10,14 +10,14 @@ from querytrail.operators import keyword_filter, trending
 from querytrail.schemas import EVENT
 from querytrail.sinks import SinkConfig, append_batches, read_batches, replace_each_batch
 from querytrail.sources import events_wire, load_table, stream_topic_files, write_topic_files
-from querytrail.streaming import latest_window_counts, live_pivot, live_trending, run_to_end, start, to_console
+from querytrail.streaming import latest_window_counts, live_counts, live_trending, run_to_end, start, to_console
 
 DRAIN = {"availableNow": True}
 
 
 def _topic(spark, scratch, n_files=3):
-    msgs = events_wire(load_table(spark, SF_SMALL, "events"), min_partitions=1)
-    return write_topic_files(msgs, os.path.join(scratch, "topic"), min_files=n_files)
+    msgs = events_wire(load_table(spark, SF_SMALL, "events"))
+    return write_topic_files(msgs, os.path.join(scratch, "topic"), files=n_files)
 
 
 def _hits(stream_or_batch):
@@ -118,29 +118,45 @@ def test_watermark_required(spark, scratch):
         live_trending(with_event_time(decode(stream, EVENT)), "")
 
 
-def test_live_pivot_with_values(spark, scratch):
-    topic = _topic(spark, scratch)
-    stream = decode(stream_topic_files(spark, topic, 1), EVENT)
-    values = ["click", "error", "purchase", "signup", "view"]
-    sink, _ = _run(live_pivot(stream, values), scratch, "m", mode="complete", sink_fn=replace_each_batch)
-    from querytrail.operators import pivot_counts
-
-    batch = pivot_counts(decode(spark.read.parquet(topic), EVENT), values=values)
-    assert _rows(read_batches(spark, "m", sink)) == _rows(batch)
-
-
-def test_live_pivot_update_mode_latest_counts(spark, scratch):
-    from querytrail.operators import pivot_counts
+def test_live_matrix_takes_new_terms(spark, scratch):
+    from querytrail.operators import pivot_counts, pivot_pairs
     from querytrail.streaming import latest_counts
 
-    topic = _topic(spark, scratch)
+    topic = os.path.join(scratch, "t")
+    batches = [[(1, "a"), (1, "a"), (2, "b")], [(1, "new"), (2, "b")], [(3, None), (1, "a"), (1, "A")]]
+    for rows in batches:
+        msgs = [(bytearray(json.dumps({"user_id": u, "search": t}).encode()),) for u, t in rows]
+        spark.createDataFrame(msgs, "value binary").coalesce(1).write.mode("append").parquet(topic)
     stream = decode(stream_topic_files(spark, topic, 1), EVENT)
-    values = ["click", "error", "purchase", "signup", "view"]
-    sink, _ = _run(live_pivot(stream, values), scratch, "m", mode="update")
+    sink, _ = _run(live_counts(stream, "user_id", "search"), scratch, "m", mode="update")
     appended = read_batches(spark, "m", sink, keep_batch_id=True)
-    assert appended.select("batch_id").distinct().count() >= 3
-    batch = pivot_counts(decode(spark.read.parquet(topic), EVENT), values=values)
-    assert _rows(latest_counts(appended, ["user_id"])) == _rows(batch)
+    assert appended.select("batch_id").distinct().count() == 3
+    live = pivot_pairs(latest_counts(appended, ["user_id", "search"]))
+    batch = pivot_counts(decode(spark.read.parquet(topic), EVENT))
+    assert live.columns == batch.columns == ["user_id", "null", "A", "a_2", "b", "new"]
+    assert _rows(live) == _rows(batch)
+
+
+def test_empty_streams_give_no_rows(spark, scratch):
+    from querytrail.plans import catalog as C
+
+    os.makedirs(os.path.join(scratch, "in"))
+    load_table(spark, SF_SMALL, "events").limit(0).write.parquet(os.path.join(scratch, "in", "events.parquet"))
+    for name in ("stream_keyword", "stream_decode", "live_trending", "live_trending_update", "stream_user_pivot", "job_keyword_stream", "append_table"):
+        assert C.QUERIES[name](spark, os.path.join(scratch, "in")).count() == 0, name
+
+
+def test_batches_grow_in_number_not_in_size(spark, scratch):
+    msgs = events_wire(load_table(spark, SF_SMALL, "events"))
+    n = msgs.count()
+    for times in (1, 4):
+        wide = msgs
+        for _ in range(times - 1):
+            wide = wide.unionAll(msgs)
+        topic = write_topic_files(wide.coalesce(1), os.path.join(scratch, f"t{times}"), rows_per_file=100)
+        sink, q = _run(decode(stream_topic_files(spark, topic, 2), EVENT), scratch, f"o{times}", ckpt=f"c{times}")
+        sizes = [r["count"] for r in read_batches(spark, f"o{times}", sink, keep_batch_id=True).groupBy("batch_id").count().collect()]
+        assert max(sizes) <= 200 and sum(sizes) == n * times and len(sizes) == -(-n * times // 200)
 
 
 def test_streaming_pivot_needs_values(spark, scratch):
