@@ -88,7 +88,8 @@ def anchors(data: np.ndarray, length: int = LENGTH, gram: int = GRAM, search: in
         at = (least & _POSITION).astype(np.int64)
         r = runs(at)
         p = at[r[:-1]]
-        found.append((p + lo, h[p], r[:-1] + lo, r[1:] - 1 + lo))
+        # The smallest hashes have few leading bits: mixed, they spread evenly over the shards.
+        found.append((p + lo, mix64(h[p]), r[:-1] + lo, r[1:] - 1 + lo))
     if not found:
         empty = np.empty(0, np.int64)
         return empty, empty.astype(np.uint64), empty, empty
