@@ -65,3 +65,25 @@ def test_usage_errors(spark):
         main(["live-trending", "--files", "x", "--checkpoint", "c"])
     with pytest.raises(SystemExit):
         main(["publish", "--topic", "t"])
+
+
+def test_console_shows_the_decoded_rows(scratch):
+    """The console sink's output, from a process of its own."""
+    import subprocess
+    import sys
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from conftest import ROOT
+
+    topic = os.path.join(scratch, "topic")
+    os.makedirs(topic)
+    values = [b'{"user_id":42,"search":"maske","region":"Izmir","timestamp":"2024-01-01T10:05:00Z"}', b"junk"]
+    pq.write_table(pa.table({"value": pa.array(values, pa.binary())}), os.path.join(topic, "a.parquet"))
+    args = ["decode-stream", "--files", topic, "--trigger", "available-now", "--checkpoint", os.path.join(scratch, "c")]
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--master local[1] --conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=1 pyspark-shell"}
+    done = subprocess.run([sys.executable, "-m", "querytrail", *args], cwd=ROOT, env=env, capture_output=True, text=True, timeout=240)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "Batch: 0" in done.stdout
+    assert "|42     |maske |Izmir |2024-01-01T10:05:00Z|2024-01-01 10:05:00|" in done.stdout
+    assert "|NULL   |NULL  |NULL  |NULL" in done.stdout

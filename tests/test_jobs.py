@@ -162,3 +162,19 @@ def test_top_searches_job_drop_malformed(spark, scratch):
     kept = top_searches_job(msgs, sink, drop_malformed=True)
     assert kept.rows == 1
     assert top_searches_job(msgs, sink).rows == 4
+
+
+def test_previews_show_rows_and_schema(spark, scratch, capsys):
+    """K8 and K9: what the jobs print with ``preview``."""
+    sink = SinkConfig(root=scratch)
+    logs = messages(spark, ['{"search":"a","region":"Bursa"}', '{"search":"a","region":"Ankara"}'])
+    top_searches_job(logs, sink, preview=True)
+    out = capsys.readouterr().out
+    assert "|Bursa " in out and "|a     |2    |" in out
+    events = messages(spark, ['{"user_id":7,"search":"telefon","timestamp":"2024-01-01T10:05:00Z"}'])
+    user_pivot_job(events, sink, preview=True)
+    out = capsys.readouterr().out
+    assert " |-- user_id: integer (nullable = true)" in out and " |-- timestamp: timestamp (nullable = true)" in out
+    assert "|user_id|telefon|" in out and "|7      |1      |" in out
+    trending_job(events, sink, preview=True)
+    assert "|2024-01-01 10:00:00|2024-01-01 10:30:00|telefon|1    |" in capsys.readouterr().out
