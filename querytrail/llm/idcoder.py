@@ -6,9 +6,8 @@ two ids (order 2), after the same id (order 1), or neither; then the symbol
 is its magnitude, and its place within the magnitude follows as plain bits.
 The symbol's distribution mixes three adaptive cumulative tables: one without
 context (order 0), one per hash of the last id (order 1) and one per hash of
-the last two (order 2).  The mixing weights move towards the table that
-predicted best.  All arithmetic is on integers, so decoding repeats it
-exactly.
+the last two (order 2).  The mixing weights follow the order that predicted
+best of late.  All arithmetic is on integers, so decoding repeats it exactly.
 
 The blocks of a group run in step, one numpy lane each.
 """
@@ -30,8 +29,9 @@ _SYMBOLS = 8
 _TOTAL = 1 << 15
 _CTX1, _CTX2 = 32, 64
 _SLOT1, _SLOT2 = 256, 512
-_RATE0, _RATE1, _RATE2 = 6, 5, 5
-_W_LOW, _W_HIGH = 1024, 31744
+_RATE = 5
+#: Steps whose contexts the encoder hashes at once.
+_AHEAD = 64
 _16, _48, _15 = np.uint64(16), np.uint64(48), np.uint64(15)
 _SETTLED, _TIGHT = np.uint64(1 << 48), np.uint64(1 << 40)
 _BELOW = np.uint64((1 << 40) - 1)
@@ -43,91 +43,107 @@ _MAGNITUDE = np.zeros(1 << 16, np.uint8)
 for _k in range(2, _SYMBOLS):
     _MAGNITUDE[_FIRST[_k] :] = _k
 
-#: Where each table moves when a symbol occurred; every symbol keeps a share.
-_TARGET = np.array([[i * 16 if i <= s else _TOTAL - (_SYMBOLS - i) * 16 for i in range(_SYMBOLS)] for s in range(_SYMBOLS)], np.int32).view("V32").reshape(-1)
-_UNIFORM = np.arange(_SYMBOLS, dtype=np.int32) * (_TOTAL // _SYMBOLS)
+#: Where each table moves when a symbol occurred; every symbol keeps a share
+#: of at least 16 of 32768, in the tables and in any mixture of them.
+_TARGET = np.array([[i * 16 if i <= s else _TOTAL - (_SYMBOLS - i) * 16 for i in range(_SYMBOLS)] for s in range(_SYMBOLS)], np.int16).view("V16").reshape(-1)
+_UNIFORM = np.arange(_SYMBOLS, dtype=np.int16) * np.int16(_TOTAL // _SYMBOLS)
 
 
 def _hash1(last: np.ndarray) -> np.ndarray:
-    return (last * np.int32(40503) >> 7) & (_SLOT1 - 1)
+    return (last * 40503 >> 7) & (_SLOT1 - 1)
 
 
 def _hash2(last: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return (last * np.int32(25717) + before * np.int32(31337) >> 9) & (_SLOT2 - 1)
+    return (last * 25717 + before * 31337 >> 9) & (_SLOT2 - 1)
 
 
-_ROW = np.dtype("V32")  # a table row of eight 32-bit numbers, moved whole
+_ROW = np.dtype("V16")  # a table row of eight 16-bit numbers, moved whole
 
 
 class _Model:
     """The tables of ``n`` lanes.  A step is :meth:`predict`, then
     :meth:`update`; the first ``a`` lanes are still running.  Rows start
-    with 0, so the entry after a lane's last one is 0 as well."""
+    with 0, so the entry after a lane's last one is 0 as well.
+
+    A mixture has a quarter of each order's table, and of the best one's a
+    second quarter; the best is the order that of late gave the symbols the
+    largest shares, looked at every 16th step.
+    """
 
     def __init__(self, n: int) -> None:
-        lane = np.arange(n, dtype=np.int32)
+        lane = np.arange(n)
         self.base = lane * _SLOT1, lane * _SLOT2, lane * _CTX1, lane * _CTX2
-        self.c0 = np.tile(_UNIFORM, (n, 1))
-        self.c1 = np.tile(_UNIFORM, (n * _CTX1, 1)).view(_ROW).reshape(-1)
-        self.c2 = np.tile(_UNIFORM, (n * _CTX2, 1)).view(_ROW).reshape(-1)
-        self.w = np.full((3, n), 16384, np.int32)
-        self.w[2] = 32768
-        self.wide = [np.repeat(w, _SYMBOLS) for w in self.w]
+        self.c0 = np.tile(_UNIFORM, n)
+        self.c1 = np.tile(_UNIFORM, n * _CTX1).view(_ROW)
+        self.c2 = np.tile(_UNIFORM, n * _CTX2).view(_ROW)
+        self.recent = np.zeros((3, n), np.int32)
         self.slot1 = np.zeros(n * _SLOT1, np.uint16)
         self.slot2 = np.zeros(n * _SLOT2, np.uint16)
-        self.mixed = np.zeros(n * _SYMBOLS + 1, np.int32)
-        self.row_at = lane * np.int32(_SYMBOLS)
+        self.row_at = lane * _SYMBOLS
+        self._resize(n)
+
+    def _resize(self, a: int) -> None:
+        """Work space for ``a`` lanes."""
+        k = a * _SYMBOLS
+        self.a, self.k = a, k
+        self.t = np.empty((3, k), np.int16)
+        self.rows1, self.rows2 = self.t[1].view(_ROW), self.t[2].view(_ROW)
+        self.part = np.empty((3, k), np.int16)
+        self.mixed = np.zeros(k + 1, np.int16)
+        self._choose()
+
+    def _choose(self) -> None:
+        best = self.recent[:, : self.a].argmax(0)
+        self.extra = np.repeat(-(best == np.arange(3)[:, None]).astype(np.int16), _SYMBOLS, axis=1)
 
     def predict(self, h1: np.ndarray, h2: np.ndarray) -> None:
         """Guessed ids and the mixed table, from the hashes of the last ids."""
         a = len(h1)
+        if a != self.a:
+            self._resize(a)
         b1, b2, d1, d2 = self.base
         self.at1, self.at2 = b1[:a] + h1, b2[:a] + h2
         self.guess1, self.guess2 = self.slot1.take(self.at1), self.slot2.take(self.at2)
         self.r1, self.r2 = d1[:a] + (h1 & (_CTX1 - 1)), d2[:a] + (h2 & (_CTX2 - 1))
-        self.t0 = self.c0[:a].reshape(-1)
-        self.t1, self.t2 = self.c1.take(self.r1).view(np.int32), self.c2.take(self.r2).view(np.int32)
-        k = a * _SYMBOLS
-        mixed = self.mixed[:k]
-        np.multiply(self.t0, self.wide[0][:k], out=mixed)
-        mixed += self.t1 * self.wide[1][:k]
-        mixed += self.t2 * self.wide[2][:k]
-        mixed >>= 16
-        self.mixed[k] = 0
+        t, part, mixed = self.t, self.part, self.mixed[: self.k]
+        t[0] = self.c0[: self.k]
+        self.c1.take(self.r1, out=self.rows1, mode="clip")
+        self.c2.take(self.r2, out=self.rows2, mode="clip")
+        np.right_shift(t, 2, out=part)
+        np.add(part[0], part[1], out=mixed)
+        mixed += part[2]
+        part &= self.extra
+        for p in part:
+            mixed += p
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The symbol of each lane whose span holds ``value``."""
-        below = self.mixed[: len(value) * _SYMBOLS] <= np.repeat(value, _SYMBOLS)
+        below = self.mixed[: self.k] <= np.repeat(value, _SYMBOLS)
         return np.bitwise_count(below.view(np.uint64)) - np.uint8(1)
 
     def _span(self, table: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start = table.take(at)
-        return start, ((table.take(at + 1, mode="wrap") - 1) & (_TOTAL - 1)) + 1 - start
+        start = table.take(at).astype(np.int32)
+        return start, ((table.take(at + 1, mode="wrap").astype(np.int32) - 1) & (_TOTAL - 1)) + 1 - start
 
     def span(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and width of each lane's symbol in the mixed table."""
-        start, width = self._span(self.mixed, self.row_at[: len(symbol)] + symbol)
+        start, width = self._span(self.mixed, self.row_at[: self.a] + symbol)
         return start.astype(np.uint64), width.astype(np.uint64)
 
     def update(self, symbol: np.ndarray, ids: np.ndarray, step: int) -> None:
-        a = len(ids)
-        if step & 7 == 0:
-            at = self.row_at[:a] + symbol
-            share = [w[:a] * self._span(t, at)[1].astype(np.int64) for t, w in zip((self.t0, self.t1, self.t2), self.w, strict=True)]
-            total = share[0] + share[1] + share[2]
-            for w, s in zip(self.w[:2], share[:2], strict=True):
-                w[:a] += ((((s << 16) // total) - w[:a]) >> 4).astype(np.int32)
-                np.clip(w[:a], _W_LOW, _W_HIGH, out=w[:a])
-            self.w[2, :a] = 65536 - self.w[0, :a] - self.w[1, :a]
-            for wide, w in zip(self.wide, self.w, strict=True):
-                wide[: a * _SYMBOLS] = np.repeat(w[:a], _SYMBOLS)
-        target = _TARGET.take(symbol).view(np.int32)
-        for t, rate in ((self.t0, _RATE0), (self.t1, _RATE1), (self.t2, _RATE2)):
-            move = target - t
-            move >>= rate
-            t += move
-        self.c1[self.r1] = self.t1.view(_ROW)
-        self.c2[self.r2] = self.t2.view(_ROW)
+        t, move = self.t, self.part
+        if step & 15 == 0:
+            at = self.row_at[: self.a] + symbol
+            for k in range(3):
+                recent = self.recent[k, : self.a]
+                recent += (self._span(t[k], at)[1] - recent) >> 3
+            self._choose()
+        np.subtract(_TARGET.take(symbol).view(np.int16), t, out=move)
+        move >>= _RATE
+        t += move
+        self.c0[: self.k] = t[0]
+        self.c1[self.r1] = self.rows1
+        self.c2[self.r2] = self.rows2
         self.slot1[self.at1] = ids
         self.slot2[self.at2] = ids
 
@@ -182,10 +198,14 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     room = steps + 8
     out, pos = np.zeros(n * room, np.uint16), np.arange(n) * room
     symbols = _MAGNITUDE[ids]
-    last, before = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    past = np.zeros((_AHEAD + 2, n), np.int64)  # the ids before a run of steps, and those of it
     for t, a in enumerate(_active(lens, steps)):
         here = ids[t, :a]
-        model.predict(_hash1(last[:a]), _hash2(last[:a], before[:a]))
+        if t % _AHEAD == 0:
+            past[:2] = past[-2:]
+            past[2 : 2 + min(_AHEAD, steps - t)] = ids[t : t + _AHEAD]
+            h1, h2 = _hash1(past[1:-1]), _hash2(past[1:-1], past[:-2])
+        model.predict(h1[t % _AHEAD, :a], h2[t % _AHEAD, :a])
         symbol = symbols[t, :a]
         symbol[here == model.guess1] = 1
         symbol[here == model.guess2] = 0
@@ -202,8 +222,6 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         lo[m] = v << _16
         r[m] <<= _16
         model.update(symbol, here, t)
-        before[:a] = last[:a]
-        last[:a] = here
     for _ in range(4):
         out[pos] = (low >> _48).astype(np.uint16)
         pos += 1
@@ -238,13 +256,13 @@ def decode_blocks(payloads: list[bytes], lens: np.ndarray) -> list[np.ndarray]:
     model = _Model(n)
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
     ids = np.zeros((steps, n), np.uint16)
-    last, before = np.zeros(n, np.int32), np.zeros(n, np.int32)
+    last, before = np.zeros(n, np.int64), np.zeros(n, np.int64)
     mask = (np.int64(1) << _PLAIN.astype(np.int64)) - 1
     for t, a in enumerate(_active(lens, steps)):
         model.predict(_hash1(last[:a]), _hash2(last[:a], before[:a]))
         lo, r, c = low[:a], size[:a], code[:a]
         r >>= _15
-        value = np.minimum((c - lo) // r, np.uint64(_TOTAL - 1)).astype(np.int32)
+        value = np.minimum((c - lo) // r, np.uint64(_TOTAL - 1)).astype(np.int16)
         symbol = model.find(value)
         start, width = model.span(symbol)
         start *= r
@@ -264,7 +282,7 @@ def decode_blocks(payloads: list[bytes], lens: np.ndarray) -> list[np.ndarray]:
         window >>= bit & 15
         window &= mask.take(symbol)
         bit += _PLAIN.take(symbol)
-        here = window.astype(np.int32)
+        here = window
         here += _FIRST.take(symbol)
         np.copyto(here, model.guess1, where=symbol == 1)
         np.copyto(here, model.guess2, where=symbol == 0)

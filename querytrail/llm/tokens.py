@@ -19,8 +19,10 @@ from tokenizers import Tokenizer
 from querytrail.llm.common import LOWER, chunks, word_hashes
 
 END_ID = 1
-#: Distinct pieces that a task remembers before it starts anew.
+#: Distinct pieces that a worker remembers before it starts anew, and the
+#: size of the table that finds them.  A batch of text holds far fewer.
 MEMORY = 1 << 20
+TABLE_BITS = 22
 
 SPACE_, LETTER, NUMBER, OTHER = range(4)
 _CLASS = np.full(256, OTHER, np.uint8)
@@ -64,13 +66,29 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.known = 0
+        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)  # 0: free
+        self.values = np.zeros(1 << TABLE_BITS, np.int32)
         self.flat = np.empty(1 << 16, np.uint32)
         self.begin = np.zeros((1 << 16) + 1, np.int64)
 
-    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
-        """Add the ids of new pieces (Latin-1 bytes) to the memory."""
-        tokenize, n = self.tokenizer.model.tokenize, len(self.slot)
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The slot of each hash, -1 where it is new."""
+        at = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        keys = self.keys.take(at)
+        slots = np.where(keys == hashes, self.values.take(at), -1)
+        open_ = np.flatnonzero((keys != hashes) & (keys != 0))
+        while len(open_):  # the next place, while another hash is there
+            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
+            keys = self.keys[at[open_]]
+            hit = keys == hashes[open_]
+            slots[open_[hit]] = self.values[at[open_[hit]]]
+            open_ = open_[~hit & (keys != 0)]
+        return slots
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Add the ids of new distinct pieces (Latin-1 bytes) to the memory."""
+        tokenize, n = self.tokenizer.model.tokenize, self.known
         spelled = [w.decode() if w.isalpha() and w.isascii() else w.decode("latin1").encode().decode("latin1").translate(self.letters) for w in words]
         ids = [[t.id for t in tokenize(w)] for w in spelled]
         while n + len(ids) >= len(self.begin):
@@ -80,7 +98,18 @@ class Encoder:
         while self.begin[n] + len(new) > len(self.flat):
             self.flat = np.r_[self.flat, np.empty(len(self.flat), np.uint32)]
         self.flat[self.begin[n] : self.begin[n] + len(new)] = new
-        self.slot.update(zip(hashes, range(n, n + len(ids)), strict=True))
+        slots = np.arange(n, n + len(ids), dtype=np.int32)
+        at = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        left = np.arange(len(hashes))
+        while len(left):
+            free = left[self.keys[at[left]] == 0]
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.keys[at[put]] = hashes[put]
+            self.values[at[put]] = slots[put]
+            left = left[self.keys[at[left]] != hashes[left]]
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+        self.known += len(ids)
 
     def _fast(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids and counts of rows within Latin-1 and free of marks."""
@@ -111,16 +140,18 @@ class Encoder:
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         gathered, begin = _gather(data, starts, ends)
-        hashes, first, inverse = np.unique(_piece_hashes(gathered, begin), return_index=True, return_inverse=True)
-        if len(self.slot) > MEMORY:
-            self.forget()
-        keys = hashes.tolist()
-        new = [i for i, h in enumerate(keys) if h not in self.slot]
-        if new:
-            raw = data.tobytes()
-            self._learn([keys[i] for i in new], [raw[starts[first[i]] : ends[first[i]]] for i in new])
-        slot = self.slot
-        slots = np.fromiter((slot[h] for h in keys), np.int64, len(keys))[inverse]
+        hashes = np.maximum(_piece_hashes(gathered, begin), np.uint64(1))
+        slots = self._find(hashes)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            distinct, first = np.unique(hashes[new], return_index=True)
+            if self.known + len(distinct) > MEMORY:
+                self.forget()
+                new = np.arange(len(hashes))
+                distinct, first = np.unique(hashes, return_index=True)
+            raw, first = data.tobytes(), new[first]
+            self._learn(distinct, [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
+            slots[new] = self._find(hashes[new])
         lo, hi = self.begin[slots], self.begin[slots + 1]
         ids, begin = _gather(self.flat, lo, hi)
         counts = np.diff(np.r_[0, np.cumsum(hi - lo)][np.r_[0, np.cumsum(per_row)]])
