@@ -44,6 +44,9 @@ HOT = 512
 #: occurrences that a shard sorts.
 SEARCH_BYTES = 1 << 18
 SHARD_RECORDS = 150_000
+#: Bytes of text per anchor, about, and anchors that a counting shard merges.
+ANCHOR_BYTES = 32
+SHARD_ANCHORS = 1 << 20
 BUFFER = 1 << 21
 #: Depths to which the multikey quicksort goes.
 SHALLOW_RIGHT, SHALLOW_LEFT = 64, 32
@@ -278,8 +281,8 @@ def repeated_starts(
 def _count_anchors(docs: DataFrame, folder: str, length: int, gram: int) -> tuple[int, int]:
     """Store the hashes of anchors that occur more than once, by their top
     bits; the number of these bits, and of such occurrences."""
-    parts = docs.rdd.getNumPartitions()
-    bits = _bits_for(max(parts, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), 1)
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = _bits_for(size // ANCHOR_BYTES, SHARD_ANCHORS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
@@ -352,29 +355,36 @@ class _Kept:
 
 
 _RECORD, _WINDOW, _RANGE = 0, 1, 2
-_ROWS = "kind int, key long, doc long, h long, pos long, near int, far int, around binary"
-_SCHEMA = pa.schema(
-    [("kind", pa.int32()), ("key", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("pos", pa.int64()), ("near", pa.int32()), ("far", pa.int32()), ("around", pa.binary())]
-)
+#: ``place``: the position in the text, then a byte each of the farthest and
+#: nearest distance and the kind.  ``around``: of a record the text from its
+#: first string's start to its last string's end; of a window the second half
+#: of its hash; of a range its length.
+_ROWS = "key long, doc long, h long, place long, around binary"
+_SCHEMA = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("place", pa.int64()), ("around", pa.binary())])
 
 
-def _batch(kind: int, key: np.ndarray, doc: np.ndarray, h: np.ndarray, pos: np.ndarray, near: np.ndarray, far: np.ndarray, around: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(key), kind, np.int32)), pa.array(key.astype(np.uint64).view(np.int64)), pa.array(doc), pa.array(h), pa.array(pos.astype(np.int64)),
-         pa.array(near.astype(np.int32)), pa.array(far.astype(np.int32)), around], schema=_SCHEMA,
-    )
+def _batch(kind: int, key: np.ndarray, doc: np.ndarray, h: np.ndarray, pos: np.ndarray, far: np.ndarray | int, near: np.ndarray | int, around: pa.Array) -> pa.RecordBatch:
+    place = (pos.astype(np.int64) << 24) | (np.asarray(far, np.int64) << 16) | (np.asarray(near, np.int64) << 8) | kind
+    return pa.RecordBatch.from_arrays([pa.array(key.astype(np.uint64).view(np.int64)), pa.array(doc), pa.array(h), pa.array(place), around], schema=_SCHEMA)
 
 
-def _fixed(rows: np.ndarray) -> pa.Array:
-    """Byte rows of one width as a binary column."""
-    n, width = rows.shape
-    offsets = np.arange(n + 1, dtype=np.int32) * width
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+def _binary(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The ranges of ``data`` as a binary column."""
+    lens = ends - starts
+    offsets = np.r_[0, np.cumsum(lens)]
+    at = np.repeat(starts - offsets[:-1], lens)
+    at += np.arange(len(at))
+    return pa.Array.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[at]))])
 
 
-def _occurrences(docs: DataFrame, folder: str, bits: int, length: int, gram: int) -> DataFrame:
-    before = length - gram
+def _longs(values: np.ndarray) -> pa.Array:
+    """64-bit numbers as a binary column."""
+    raw = np.ascontiguousarray(values.astype(np.int64) if values.dtype != np.uint64 else values).view(np.uint8)
+    at = np.arange(len(values)) * 8
+    return _binary(raw, at, at + 8)
+
 
+def _occurrences(docs: DataFrame, folder: str, bits: int, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = _Kept(folder, bits)
         hot_rows: list[tuple[np.ndarray, ...]] = []
@@ -389,7 +399,7 @@ def _occurrences(docs: DataFrame, folder: str, bits: int, length: int, gram: int
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
             later = (doc != doc[lead]) | (h != h[lead]) | (pos != pos[lead])
             i = np.flatnonzero(new)
-            yield _batch(_WINDOW, w[i], doc[i], h[i], pos[i], i * 0, i * 0, _fixed(w2[i].view(np.uint8).reshape(-1, 8)))
+            yield _batch(_WINDOW, w[i], doc[i], h[i], pos[i], 0, 0, _longs(w2[i]))
             i = np.flatnonzero(later)
             by = np.lexsort((pos[i], h[i], doc[i]))
             i = i[by]
@@ -397,20 +407,18 @@ def _occurrences(docs: DataFrame, folder: str, bits: int, length: int, gram: int
             gap = np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]) | (pos[1:] > pos[:-1] + 1)] if len(i) else np.empty(0, bool)
             a = np.flatnonzero(gap)
             b = np.r_[a[1:], len(i)] - 1 if len(a) else a
-            # Neighbouring strings join to one range, its end in ``far`` counted from ``pos``.
-            if len(a):
-                yield _batch(_RANGE, mix64(h[a].view(np.uint64)), doc[a], h[a], pos[a], a * 0, pos[b] - pos[a] + length, _fixed(np.empty((len(a), 0), np.uint8)))
+            if len(a):  # neighbouring strings join to one range
+                yield _batch(_RANGE, mix64(h[a].view(np.uint64)), doc[a], h[a], pos[a], 0, 0, _longs(pos[b] - pos[a] + length))
 
         for batch in batches:
             data, offsets = byte_columns(batch, 2)
             doc_of, h_of = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            padded = np.r_[np.zeros(before, np.uint8), data, np.zeros(length, np.uint8)]
             for row, base, p, gram_hash, first, last in _many(data, offsets, length, gram, SEARCH_BYTES):
                 is_kept, is_hot = kept.find(gram_hash)
                 i = np.flatnonzero(is_kept & ~is_hot)
                 if len(i):
-                    around = padded[p[i][:, None] + np.arange(before + length)]
-                    yield _batch(_RECORD, gram_hash[i], doc_of[row[i]], h_of[row[i]], p[i] - base[i], p[i] - last[i], p[i] - first[i], _fixed(around))
+                    around = _binary(data, first[i], last[i] + length)
+                    yield _batch(_RECORD, gram_hash[i], doc_of[row[i]], h_of[row[i]], p[i] - base[i], p[i] - first[i], p[i] - last[i], around)
                 i = np.flatnonzero(is_hot)
                 if len(i):
                     count = last[i] - first[i] + 1
@@ -430,6 +438,19 @@ def _occurrences(docs: DataFrame, folder: str, bits: int, length: int, gram: int
     return docs.mapInArrow(run, _ROWS)
 
 
+def _surroundings(data: np.ndarray, at: np.ndarray, back: np.ndarray, ahead: np.ndarray, before: int, length: int) -> np.ndarray:
+    """Per record the ``before`` bytes before its anchor, the nearest first,
+    and the ``length`` bytes from it on; zero beyond ``back`` and ``ahead``."""
+    out = np.zeros((before + length, len(at)), np.uint8)
+    for j in range(before):
+        use = np.flatnonzero(back > j)
+        out[j, use] = data[at[use] - 1 - j]
+    for j in range(length):
+        use = np.flatnonzero(ahead > j)
+        out[before + j, use] = data[at[use] + j]
+    return np.ascontiguousarray(out.T)
+
+
 def _ranges(rows: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
     """Byte ranges ``(doc, h, start, stop)`` of repeated strings."""
     before = length - gram
@@ -439,12 +460,13 @@ def _ranges(rows: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
         if not held:
             return
         table = pa.Table.from_batches(held).combine_chunks()
-        kind, key, doc, h, pos, near, far = (table.column(i).to_numpy() for i in range(7))
-        around = table.column(7).chunk(0)
+        key, doc, h, place = (table.column(i).to_numpy() for i in range(4))
+        around = table.column(4).chunk(0)
         h = h.view(np.uint64)
+        kind, near, far, pos = place & 255, place >> 8 & 255, place >> 16 & 255, place >> 24
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         i = np.flatnonzero(kind == _RANGE)
-        out.append((doc[i], h[i], pos[i], pos[i] + far[i]))
+        out.append((doc[i], h[i], pos[i], pos[i] + np.frombuffer(b"".join(around.take(pa.array(i)).to_pylist()), np.int64)))
 
         i = np.flatnonzero(kind == _WINDOW)
         if len(i):
@@ -459,8 +481,8 @@ def _ranges(rows: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
         i = np.flatnonzero(kind == _RECORD)
         if len(i):
             data, starts = byte_columns(pa.RecordBatch.from_arrays([around.take(pa.array(i))], ["a"]), 0)
-            around_ = data.reshape(len(i), before + length)
             key, doc, h, pos, near, far = (x[i] for x in (key, doc, h, pos, near, far))
+            around_ = _surroundings(data, starts[:-1] + far, far, length - near, before, length)
             order = np.lexsort((pos, h, doc))
             moved = np.r_[False, (doc[order][1:] != doc[order][:-1]) | (h[order][1:] != h[order][:-1]) | (pos[order][1:] != pos[order][:-1])]
             rank = np.empty(len(i), np.int64)
@@ -483,9 +505,8 @@ def _ranges(rows: DataFrame, parts: int, length: int, gram: int) -> DataFrame:
             several = size[group] > 1
             rest, group = rest[several], group[several]
             if len(rest):
-                left = np.ascontiguousarray(around_[rest, :before][:, ::-1])
-                right = np.ascontiguousarray(around_[rest, before:])
-                # Bytes beyond a text's ends are no part of any string that is compared.
+                left, right = np.ascontiguousarray(around_[rest, :before]), np.ascontiguousarray(around_[rest, before:])
+                # What lies beyond a record's own strings is zero, and no part of a string that is compared.
                 record, distance = repeated_starts(group, rank[rest], left, right, near[rest], far[rest], length)
                 by = np.lexsort((distance, record))
                 record, distance = record[by], distance[by]
