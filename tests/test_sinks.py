@@ -47,7 +47,7 @@ def test_document_store_options(spark):
     writer, path = sink.writer(df, "coll", "overwrite")
     assert path is None
     # the connector jar is not on this classpath: the write must fail loudly
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="(?i)mongodb"):
         write_table(df, "coll", sink)
 
 
