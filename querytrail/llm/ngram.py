@@ -38,7 +38,7 @@ ID_RANGE = 1 << 20
 #: Pairs (or hashes) that a task gathers before it emits a block.
 BUFFER = 1 << 21
 #: Text that is scored at a time: its distinct pairs are looked up together.
-SCORE_BYTES = 1 << 23
+SCORE_BYTES = 1 << 22
 
 END_HASH = np.uint64(0x51ED270B9F1A3C77)
 _32 = np.uint64(32)
