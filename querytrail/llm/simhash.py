@@ -30,6 +30,7 @@ SEED = 42
 #: breadth first.
 SHIFT_ROWS = 48
 
+_LOWEST = -(1 << 63)
 _HALF_SEGMENTS = 16
 _BALL = 2 * _HALF_SEGMENTS + 1
 
@@ -211,12 +212,15 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _rooted(docs: DataFrame, words: int, most: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The documents' fingerprints, and ``(fp, first, root)`` of each distinct
-    one: its smallest doc_id and the root of its component."""
+    """The documents' fingerprints, and ``(fp, first, best, root)`` of each
+    distinct one: its smallest doc_id, the key of its first document, and the
+    root of its component.  The documents of a fingerprint, however many, are
+    combined before the shuffle."""
     fps = written(fingerprints(docs, words, id_col, text_col), "simhash-fps")
-    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(_LOWEST)).alias("k"), F.col("h"))
+    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(order).alias("best")), "simhash-classes")
     labels = connected(fingerprint_links(classes.select("fp"), classes.count(), most)).withColumnRenamed("node", "fp")
-    return fps, classes.join(labels, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return fps, classes.join(labels, "fp", "left").select("fp", "first", "best", F.coalesce("root", "fp").alias("root"))
 
 
 def simhash_components(
@@ -243,14 +247,12 @@ def representatives(
     """The rows of ``docs``, all columns, with one document of each component:
     that with the smallest doc_id (a null one only where there is no other),
     then the smallest hash of the text.  Of rows that repeat it, one stays."""
-    fps, rooted = _rooted(docs, words, most, id_col, text_col)
-    lowest = -(1 << 63)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(lowest)).alias("k"), F.col("h"))
-    first = fps.join(rooted.select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("m"))
+    _, rooted = _rooted(docs, words, most, id_col, text_col)
+    first = rooted.groupBy("root").agg(F.min("best").alias("m"))
     keep = written(first.select(F.col("m.none").alias("keep_none"), F.col("m.k").alias("keep_k"), F.col("m.h").alias("keep_h")), "simhash-kept")
     key = {
         "__none": docs[id_col].isNull(),
-        "__k": F.coalesce(docs[id_col].cast("long"), F.lit(lowest)),
+        "__k": F.coalesce(docs[id_col].cast("long"), F.lit(_LOWEST)),
         "__h": F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))),
     }
     once = docs.withColumns(key).dropDuplicates(list(key))
