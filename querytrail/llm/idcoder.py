@@ -162,17 +162,26 @@ def _shift_out(low: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _plain_words(values: np.ndarray, bits: np.ndarray) -> list[np.ndarray]:
-    """Per lane (column) the plain bits as 16-bit words, lowest bit first."""
+    """Per lane (column) the plain bits as 16-bit words, lowest bit first.
+    A value has at most 16 bits, so it lies in the word where it starts and
+    the next one, and every word but a lane's last has a value's start."""
     steps, n = values.shape
-    bits = bits.T.astype(np.int64)
-    ends = np.cumsum(bits, axis=1)
-    words = (ends[:, -1] + 15 >> 4) + 1
+    size = np.ascontiguousarray(bits.T).astype(np.int32)
+    at = np.cumsum(size, axis=1, dtype=np.int32)
+    words = (at[:, -1] + 15 >> 4) + 1
     lane_at = np.cumsum(words) - words
-    at = (ends - bits + (lane_at[:, None] << 4)).reshape(-1)
-    spread = values.T.astype(np.int64).reshape(-1) << (at & 15)
+    at -= size
+    spread = np.ascontiguousarray(values.T).astype(np.uint32)
+    spread <<= (at & 15).astype(np.uint32)
     at >>= 4
-    total = int(words.sum()) + 1
-    packed = np.bincount(at, spread & 0xFFFF, total) + np.bincount(at + 1, spread >> 16, total + 1)[:total]
+    at += lane_at[:, None].astype(np.int32)
+    at, spread = at.reshape(-1), spread.reshape(-1)
+    starts = np.r_[0, np.flatnonzero(at[1:] != at[:-1]) + 1]
+    packed = np.zeros(int(words.sum()) + 1, np.uint32)
+    place = at[starts].astype(np.int64)
+    packed[place] = np.add.reduceat(spread & np.uint32(0xFFFF), starts)
+    spread >>= np.uint32(16)
+    packed[place + 1] += np.add.reduceat(spread, starts)
     packed = packed.astype("<u2")
     return [packed[i : i + w] for i, w in zip(lane_at, words, strict=True)]
 
@@ -190,9 +199,10 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     steps = int(lens[0]) if n else 0
     if not steps:
         return [struct.pack("<I", 0)] * n
-    ids = np.zeros((steps, n), np.uint16)
+    whole = np.zeros((n, steps), np.uint16)
     for i, b in enumerate(blocks):
-        ids[: len(b), i] = b
+        whole[i, : len(b)] = b
+    ids = np.ascontiguousarray(whole.T)
     model = _Model(n)
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
     room = steps + 8
@@ -226,10 +236,13 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         out[pos] = (low >> _48).astype(np.uint16)
         pos += 1
         low <<= _16
-    bits = _PLAIN.astype(np.uint8)[symbols]
-    bits[np.arange(steps)[:, None] >= lens] = 0
-    values = np.where(bits > 0, ids - _FIRST.astype(np.uint16)[symbols], 0)
-    plain = _plain_words(values, bits)
+    short = np.flatnonzero(lens < steps)
+    for i in short:  # nothing beyond a block's end
+        symbols[lens[i] :, i] = 0
+    bits = _PLAIN.astype(np.uint8).take(symbols)
+    ids -= _FIRST.astype(np.uint16).take(symbols)
+    ids[symbols < 2] = 0
+    plain = _plain_words(ids, bits)
     return [struct.pack("<I", pos[i] - i * room) + out[i * room : pos[i]].astype("<u2").tobytes() + plain[i].tobytes() for i in range(n)]
 
 
@@ -290,7 +303,8 @@ def decode_blocks(payloads: list[bytes], lens: np.ndarray) -> list[np.ndarray]:
         before[:a] = last[:a]
         last[:a] = here
         ids[t, :a] = here
-    return [np.ascontiguousarray(ids[: lens[i], i]).astype(np.uint32) for i in range(n)]
+    whole = np.ascontiguousarray(ids.T)
+    return [whole[i, : lens[i]].astype(np.uint32) for i in range(n)]
 
 
 class IdFileWriter:
