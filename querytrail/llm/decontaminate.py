@@ -45,13 +45,15 @@ def shingles(found: Column, n: int = SHINGLE_WORDS) -> Column:
 
 
 def item_shingles(items: DataFrame, n: int = SHINGLE_WORDS, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``(item_id, size, shingle, hash)``: the distinct shingles of each item.
-    Rows that repeat an item_id are one item with all their shingles."""
-    base = items.select(items[id_col].cast("long").alias("item_id"), words(items[text_col].cast("string")).alias("w"))
-    rows = base.select("item_id", F.explode_outer(shingles(F.col("w"), n)).alias("shingle")).where("shingle IS NOT NULL").distinct()
-    sizes = rows.groupBy(F.col("item_id").alias("sized")).agg(F.count("*").alias("size"))
-    return rows.join(sizes, F.col("item_id").eqNullSafe(F.col("sized"))).select(
-        "item_id", "size", "shingle", F.xxhash64(F.split("shingle", " ")).alias("hash")
+    """``(item_id, t, size, shingle, hash)``: the distinct shingles of each
+    item, ``t`` the XXH64 of its text.  Rows that share an item_id, or have
+    none, but not the text are items of their own."""
+    text = items[text_col].cast("string")
+    base = items.select(items[id_col].cast("long").alias("item_id"), F.xxhash64(text).alias("t"), words(text).alias("w"))
+    rows = base.select("item_id", "t", F.explode_outer(shingles(F.col("w"), n)).alias("shingle")).where("shingle IS NOT NULL").distinct()
+    sizes = rows.groupBy(F.col("item_id").alias("sized"), F.col("t").alias("sized_t")).agg(F.count("*").alias("size"))
+    return rows.join(sizes, F.col("item_id").eqNullSafe(F.col("sized")) & (F.col("t") == F.col("sized_t"))).select(
+        "item_id", "t", "size", "shingle", F.xxhash64(F.split("shingle", " ")).alias("hash")
     )
 
 
@@ -63,11 +65,11 @@ def sketch_size(size: Column, threshold: float) -> Column:
 
 
 def sketches(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``(item_id, hash)``: the MinHash sketch of each item."""
-    by_hash = Window.partitionBy("item_id").orderBy("hash")
+    """``(item_id, t, hash)``: the MinHash sketch of each item."""
+    by_hash = Window.partitionBy("item_id", "t").orderBy("hash")
     return (
         rows.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= sketch_size(F.col("size"), threshold))
-        .select("item_id", "hash")
+        .select("item_id", "t", "hash")
     )
 
 
@@ -81,16 +83,17 @@ def matches(
     item_id: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, h, item_id, n_shingles, n_found)``, ``h`` the XXH64 of the
-    document's text, for every pair whose containment, the share of the item's
+    """``(doc_id, h, item_id, t, n_shingles, n_found)``, ``h`` the XXH64 of the
+    document's text and ``t`` that of the item's, for every pair whose containment, the share of the item's
     distinct ``n``-word shingles that the document has, is at least
     ``threshold``.
 
     A text of fewer than ``n`` words is one shingle, so a short item is found
     in documents that consist of it.  Null or empty texts have no shingle and
-    no pair.  Null ids are kept as null.  Repeated documents give one row;
-    rows that share a doc_id but not the text are documents of their own
-    (:func:`contained_items` returns the best containment of them).
+    no pair.  Null ids are kept as null.  Repeated documents and items give
+    one row; rows that share a doc_id or an item_id but not the text are
+    documents or items of their own (:func:`contained_items` returns the best
+    containment of them).
 
     The item side goes to the executors whole only if Spark finds the written
     table below its broadcast limit; otherwise the joins are shuffled.
@@ -98,7 +101,7 @@ def matches(
     if not 0 < threshold <= 1 or math.isnan(threshold):
         raise ValueError("threshold must be above 0 and at most 1")
     rows = written(item_shingles(items, n, item_id, item_text), "decontaminate-items")
-    sketch = written(sketches(rows, threshold).groupBy("hash").agg(F.collect_set("item_id").alias("items"), F.max(F.col("item_id").isNull()).alias("null_item")), "decontaminate-sketch")
+    sketch = written(sketches(rows, threshold).select("hash").distinct(), "decontaminate-sketch")
     base = texts(docs, doc_id, doc_text).withColumn("h", F.xxhash64("text"))
     # The words are a column of their own, and the outer form of explode keeps them so: a filter that
     # the plain form infers would be pushed below, and split the text anew for every window.
@@ -110,16 +113,18 @@ def matches(
     key = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h"))
     candidates = base.join(found, key, "left_semi").dropDuplicates(["doc_id", "h"]).select("doc_id", "h", words(F.col("text")).alias("w"))
     have = candidates.select("doc_id", "h", F.explode_outer(shingles(F.col("w"), n)).alias("shingle"))
-    counted = have.join(rows, "shingle").groupBy("doc_id", "h", "item_id", "size").agg(F.count("*").alias("n_found"))
+    counted = have.join(rows, "shingle").groupBy("doc_id", "h", "item_id", "t", "size").agg(F.count("*").alias("n_found"))
     exact = counted.where(F.col("n_found") >= F.lit(threshold) * F.col("size") - 1e-9)
-    return exact.select("doc_id", "h", "item_id", F.col("size").alias("n_shingles"), "n_found")
+    return exact.select("doc_id", "h", "item_id", "t", F.col("size").alias("n_shingles"), "n_found")
 
 
 def contained_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, **columns: str) -> DataFrame:
     """``(doc_id, item_id, n_shingles, n_found, containment)``: the
-    :func:`matches`, one row for each document and item."""
-    found = matches(docs, items, threshold, n, **columns).groupBy("doc_id", "item_id", "n_shingles").agg(F.max("n_found").alias("n_found"))
-    return found.withColumn("containment", F.col("n_found") / F.col("n_shingles"))
+    :func:`matches`, one row for each document and item_id: the best
+    containment of their texts, of equal ones that with most shingles."""
+    found = matches(docs, items, threshold, n, **columns)
+    best = F.max(F.struct((F.col("n_found") / F.col("n_shingles")).alias("containment"), "n_shingles", "n_found"))
+    return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.n_shingles", "best.n_found", "best.containment")
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE_WORDS, doc_id: str = "doc_id", doc_text: str = "text") -> DataFrame:

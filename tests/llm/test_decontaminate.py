@@ -73,3 +73,15 @@ def test_empty_tables_and_threshold(spark):
     assert D.contained_items(documents(spark, docs), items_frame(spark, [])).count() == 0
     with pytest.raises(ValueError):
         D.contained_items(documents(spark, docs), items_frame(spark, items), threshold=0)
+
+
+def test_texts_that_share_an_id_are_items_of_their_own(spark):
+    text = lambda k, n: " ".join(f"t{k}w{j}" for j in range(n))
+    items = [(1, text(1, 30)), (1, text(2, 30)), (1, text(2, 30)), (2, text(3, 30)), (2, text(3, 12)), (None, text(4, 30)), (None, text(5, 30)), (None, text(6, 60))]
+    docs = [(k, f"before {text(k, 60 if k == 6 else 30)} after") for k in range(1, 7)] + [(7, text(3, 12)), (8, f"{text(1, 15)} {text(2, 15)}"), (9, text(4, 29) + " other"), (10, text(1, 30) + " x " + text(2, 27))]
+    want = {(1, 1, 26, 26), (2, 1, 26, 26), (3, 2, 26, 26), (4, None, 26, 26), (5, None, 26, 26), (6, None, 56, 56), (7, 2, 8, 8), (9, None, 26, 25), (10, 1, 26, 26)}
+    found = D.contained_items(documents(spark, docs).repartition(3), items_frame(spark, items)).collect()
+    assert sorted(map(str, ((r["doc_id"], r["item_id"], r["n_shingles"], r["n_found"]) for r in found))) == sorted(map(str, want))
+    assert all(r["containment"] == r["n_found"] / r["n_shingles"] for r in found)
+    kept = D.decontaminated(documents(spark, docs), items_frame(spark, items))
+    assert [r["doc_id"] for r in kept.collect()] == [8]
