@@ -39,7 +39,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
 _NUMBER = re.compile(r"(?<![0-9A-Za-z+(])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,18}(?![0-9])")
-_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,512}(?![A-Za-z0-9+/_-])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
 # Fixed word lists of the gazetteer labelers.
 _TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Monsieur Madame Señor Señora Sra"
 _NAMES = frozenset(

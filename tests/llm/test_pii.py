@@ -80,6 +80,21 @@ def test_find_adds_secrets_and_leaves_plain_numbers(spark):
         assert set(filter(None, joined.split(","))) <= set(r["spans"].split(","))
 
 
+def test_long_keys_are_found_and_masked(spark):
+    rng = random.Random(7)
+    key = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+    keys = {1000 + n: key(n) for n in (510, 512, 513, 600, 2000)}
+    rows = corpus() + [(i, f'private key = "{k}" and more words') for i, k in keys.items()]
+    docs = documents(spark, rows)
+    model = P.fit(docs)
+    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in P.find(docs, model).collect()}
+    assert all(spans[i] == [("secret", 15, 15 + len(k))] for i, k in keys.items())
+    clean = {r["doc_id"]: r["text"] for r in P.masked(docs, model).collect()}
+    assert all(clean[i] == 'private key = "[SECRET]" and more words' for i in keys)
+    for t in ("a1" * 500_000, "a1b2c3d4-" * 100_000 + " ", "A1+/" * 200_000 + "é"):
+        assert P.candidates(t, P.base_spans(t)) == [(0, 5, len(t.rstrip(" é")))]
+
+
 def test_masked_keeps_other_columns(spark):
     docs = documents(spark, corpus()).selectExpr("*", "cast(length(text) as bigint) as n_chars")
     out = P.masked(docs, P.fit(docs), "text", "n_chars")
