@@ -3,11 +3,14 @@
 Every block of ids starts from a fresh state and can be decoded alone.  An id
 is coded as one of eight symbols: it equals the id last seen after the same
 two ids (order 2), after the same id (order 1), or neither; then the symbol
-is its magnitude, and its place within the magnitude follows as plain bits.
+is its magnitude, and its place within the magnitude follows: the upper six
+bits as two digits, coded by adaptive tables of their own (one per magnitude,
+then one per magnitude and first digit), the 3 to 10 bits below as plain bits.
 The symbol's distribution mixes three adaptive cumulative tables: one without
 context (order 0), one per hash of the last id (order 1) and one per hash of
-the last two (order 2).  The mixing weights follow the order that predicted
-best of late.  All arithmetic is on integers, so decoding repeats it exactly.
+the last two (order 2).  The mixing weights move towards the table that
+predicted best.  All arithmetic is on integers, so decoding repeats it
+exactly.
 
 The blocks of a group run in step, one numpy lane each.
 """
@@ -23,28 +26,37 @@ import numpy as np
 #: Ids in a block, and blocks that run in step (bound of memory).
 BLOCK_IDS = 4096
 LANES = 2048
-MAGIC = b"IDMIX1\n\0"
+MAGIC = b"IDMIX2\n\0"
 
 _SYMBOLS = 8
 _TOTAL = 1 << 15
 _CTX1, _CTX2 = 32, 64
 _SLOT1, _SLOT2 = 256, 512
-_RATE = 5
+_RATE0, _RATE1, _RATE2, _RATE_DIGIT = 6, 5, 5, 5
+_W_LOW, _W_HIGH = 1024, 31744
 #: Steps whose contexts the encoder hashes at once.
 _AHEAD = 64
 _16, _48, _15 = np.uint64(16), np.uint64(48), np.uint64(15)
 _SETTLED, _TIGHT = np.uint64(1 << 48), np.uint64(1 << 40)
 _BELOW = np.uint64((1 << 40) - 1)
 
-#: The magnitudes: first id and plain bits of each symbol from 2 on.
+#: The magnitudes: first id and bits below it of each symbol from 2 on; of the
+#: bits, the digits take the upper six, the rest is plain.
 _FIRST = np.array([0, 0, 0, 512, 1024, 2048, 4096, 16384], np.int32)
-_PLAIN = np.array([0, 0, 9, 9, 10, 11, 14, 16], np.int32)
+_BITS = np.array([0, 0, 9, 9, 10, 11, 14, 16], np.int32)
+_DIGITS, _DIGIT_BITS = 2, 3
+_PLAIN = np.maximum(_BITS - _DIGITS * _DIGIT_BITS, 0)
 _MAGNITUDE = np.zeros(1 << 16, np.uint8)
 for _k in range(2, _SYMBOLS):
     _MAGNITUDE[_FIRST[_k] :] = _k
+_PLACE = np.arange(1 << 16) - _FIRST[_MAGNITUDE]
+#: Each id's digits, and the row of the digit's tables: the magnitude and the
+#: digits before.
+_DIGIT = [(_PLACE >> (_BITS[_MAGNITUDE] - _DIGIT_BITS * (_k + 1)) & (_SYMBOLS - 1)).astype(np.uint8) for _k in range(_DIGITS)]
+_DIGIT_ROW = [(_MAGNITUDE.astype(np.int64) << _DIGIT_BITS * _k) + (_PLACE >> (_BITS[_MAGNITUDE] - _DIGIT_BITS * _k)) for _k in range(_DIGITS)]
 
 #: Where each table moves when a symbol occurred; every symbol keeps a share
-#: of at least 16 of 32768, in the tables and in any mixture of them.
+#: of at least 16 of 32768 in the tables, 15 in any mixture of them.
 _TARGET = np.array([[i * 16 if i <= s else _TOTAL - (_SYMBOLS - i) * 16 for i in range(_SYMBOLS)] for s in range(_SYMBOLS)], np.int16).view("V16").reshape(-1)
 _UNIFORM = np.arange(_SYMBOLS, dtype=np.int16) * np.int16(_TOTAL // _SYMBOLS)
 
@@ -60,14 +72,18 @@ def _hash2(last: np.ndarray, before: np.ndarray) -> np.ndarray:
 _ROW = np.dtype("V16")  # a table row of eight 16-bit numbers, moved whole
 
 
+def _find(table: np.ndarray, value: np.ndarray) -> np.ndarray:
+    below = table <= np.repeat(value, _SYMBOLS)
+    return np.bitwise_count(below.view(np.uint64)) - np.uint8(1)
+
+
 class _Model:
     """The tables of ``n`` lanes.  A step is :meth:`predict`, then
     :meth:`update`; the first ``a`` lanes are still running.  Rows start
     with 0, so the entry after a lane's last one is 0 as well.
 
-    A mixture has a quarter of each order's table, and of the best one's a
-    second quarter; the best is the order that of late gave the symbols the
-    largest shares, looked at every 16th step.
+    A mixture weighs each order's table; every 8th step the weights move
+    towards the share that each order had in giving the symbol.
     """
 
     def __init__(self, n: int) -> None:
@@ -76,10 +92,13 @@ class _Model:
         self.c0 = np.tile(_UNIFORM, n)
         self.c1 = np.tile(_UNIFORM, n * _CTX1).view(_ROW)
         self.c2 = np.tile(_UNIFORM, n * _CTX2).view(_ROW)
-        self.recent = np.zeros((3, n), np.int32)
+        self.w = np.full((3, n), 16384, np.int32)
+        self.w[2] = 32768
+        self.digits = [np.tile(_UNIFORM, n * _SYMBOLS ** (k + 1)).view(_ROW) for k in range(_DIGITS)]
         self.slot1 = np.zeros(n * _SLOT1, np.uint16)
         self.slot2 = np.zeros(n * _SLOT2, np.uint16)
         self.row_at = lane * _SYMBOLS
+        self.digit_base = [lane * _SYMBOLS ** (k + 1) for k in range(_DIGITS)]
         self._resize(n)
 
     def _resize(self, a: int) -> None:
@@ -88,13 +107,10 @@ class _Model:
         self.a, self.k = a, k
         self.t = np.empty((3, k), np.int16)
         self.rows1, self.rows2 = self.t[1].view(_ROW), self.t[2].view(_ROW)
-        self.part = np.empty((3, k), np.int16)
+        self.move = np.empty((3, k), np.int16)
+        self.part = np.empty((3, k), np.int32)
         self.mixed = np.zeros(k + 1, np.int16)
-        self._choose()
-
-    def _choose(self) -> None:
-        best = self.recent[:, : self.a].argmax(0)
-        self.extra = np.repeat(-(best == np.arange(3)[:, None]).astype(np.int16), _SYMBOLS, axis=1)
+        self.wide = np.repeat(self.w[:, :a], _SYMBOLS, axis=1)
 
     def predict(self, h1: np.ndarray, h2: np.ndarray) -> None:
         """Guessed ids and the mixed table, from the hashes of the last ids."""
@@ -105,21 +121,20 @@ class _Model:
         self.at1, self.at2 = b1[:a] + h1, b2[:a] + h2
         self.guess1, self.guess2 = self.slot1.take(self.at1), self.slot2.take(self.at2)
         self.r1, self.r2 = d1[:a] + (h1 & (_CTX1 - 1)), d2[:a] + (h2 & (_CTX2 - 1))
-        t, part, mixed = self.t, self.part, self.mixed[: self.k]
+        t, part = self.t, self.part
         t[0] = self.c0[: self.k]
         self.c1.take(self.r1, out=self.rows1, mode="clip")
         self.c2.take(self.r2, out=self.rows2, mode="clip")
-        np.right_shift(t, 2, out=part)
-        np.add(part[0], part[1], out=mixed)
-        mixed += part[2]
-        part &= self.extra
-        for p in part:
-            mixed += p
+        part[:] = t
+        part *= self.wide
+        part[0] += part[1]
+        part[0] += part[2]
+        part[0] >>= 16
+        self.mixed[: self.k] = part[0]
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The symbol of each lane whose span holds ``value``."""
-        below = self.mixed[: self.k] <= np.repeat(value, _SYMBOLS)
-        return np.bitwise_count(below.view(np.uint64)) - np.uint8(1)
+        return _find(self.mixed[: self.k], value)
 
     def _span(self, table: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start = table.take(at).astype(np.int32)
@@ -130,16 +145,23 @@ class _Model:
         start, width = self._span(self.mixed, self.row_at[: self.a] + symbol)
         return start.astype(np.uint64), width.astype(np.uint64)
 
+    def _weigh(self, symbol: np.ndarray) -> None:
+        at, w = self.row_at[: self.a] + symbol, self.w[:, : self.a]
+        share = [x * self._span(t, at)[1].astype(np.int64) for t, x in zip(self.t, w, strict=True)]
+        total = share[0] + share[1] + share[2]
+        for x, part in zip(w[:2], share[:2], strict=True):
+            x += ((((part << 16) // total) - x) >> 4).astype(np.int32)
+            np.clip(x, _W_LOW, _W_HIGH, out=x)
+        w[2] = 65536 - w[0] - w[1]
+        self.wide = np.repeat(w, _SYMBOLS, axis=1)
+
     def update(self, symbol: np.ndarray, ids: np.ndarray, step: int) -> None:
-        t, move = self.t, self.part
-        if step & 15 == 0:
-            at = self.row_at[: self.a] + symbol
-            for k in range(3):
-                recent = self.recent[k, : self.a]
-                recent += (self._span(t[k], at)[1] - recent) >> 3
-            self._choose()
+        t, move = self.t, self.move
+        if step & 7 == 0:
+            self._weigh(symbol)
         np.subtract(_TARGET.take(symbol).view(np.int16), t, out=move)
-        move >>= _RATE
+        for part, rate in zip(move, (_RATE0, _RATE1, _RATE2), strict=True):
+            part >>= rate
         t += move
         self.c0[: self.k] = t[0]
         self.c1[self.r1] = self.rows1
@@ -147,6 +169,21 @@ class _Model:
         self.slot1[self.at1] = ids
         self.slot2[self.at2] = ids
 
+    def digit_table(self, k: int, lanes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The places and the table of the ``k``-th digit in some lanes."""
+        at = self.digit_base[k].take(lanes) + row
+        return at, self.digits[k].take(at).view(np.int16)
+
+    def digit_span(self, table: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        start, width = self._span(table, self.row_at[: len(digit)] + digit)
+        return start.astype(np.uint64), width.astype(np.uint64)
+
+    def digit_update(self, k: int, at: np.ndarray, table: np.ndarray, digit: np.ndarray) -> None:
+        move = _TARGET.take(digit).view(np.int16) - table
+        move >>= _RATE_DIGIT
+        table += move
+        self.digits[k][at] = table.view(_ROW)
+
 
 def _shift_out(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The lanes whose top 16 bits leave the coder now.  A symbol narrows a
@@ -204,8 +241,22 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         whole[i, : len(b)] = b
     ids = np.ascontiguousarray(whole.T)
     model = _Model(n)
+
+    def put(lo: np.ndarray, r: np.ndarray, start: np.ndarray, width: np.ndarray, lanes: np.ndarray | None) -> None:
+        r >>= _15
+        start *= r
+        lo += start
+        r *= width
+        m = _shift_out(lo, r)
+        of = m if lanes is None else lanes[m]
+        v, at = lo[m], pos[of]
+        out[at] = v >> _48
+        pos[of] = at + 1
+        lo[m] = v << _16
+        r[m] <<= _16
+
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    room = steps + 8
+    room = (1 + _DIGITS) * steps + 8
     out, pos = np.zeros(n * room, np.uint16), np.arange(n) * room
     symbols = _MAGNITUDE[ids]
     past = np.zeros((_AHEAD + 2, n), np.int64)  # the ids before a run of steps, and those of it
@@ -219,19 +270,17 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         symbol = symbols[t, :a]
         symbol[here == model.guess1] = 1
         symbol[here == model.guess2] = 0
-        start, width = model.span(symbol)
-        lo, r = low[:a], size[:a]
-        r >>= _15
-        start *= r
-        lo += start
-        r *= width
-        m = _shift_out(lo, r)
-        v, at = lo[m], pos[m]
-        out[at] = v >> _48
-        pos[m] = at + 1
-        lo[m] = v << _16
-        r[m] <<= _16
+        put(low[:a], size[:a], *model.span(symbol), None)
         model.update(symbol, here, t)
+        lanes = np.flatnonzero(symbol > 1)
+        if len(lanes):
+            new, lo, r = here[lanes], low[lanes], size[lanes]
+            for k in range(_DIGITS):
+                digit = _DIGIT[k].take(new)
+                at, table = model.digit_table(k, lanes, _DIGIT_ROW[k].take(new))
+                put(lo, r, *model.digit_span(table, digit), lanes)
+                model.digit_update(k, at, table, digit)
+            low[lanes], size[lanes] = lo, r
     for _ in range(4):
         out[pos] = (low >> _48).astype(np.uint16)
         pos += 1
@@ -241,7 +290,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         symbols[lens[i] :, i] = 0
     bits = _PLAIN.astype(np.uint8).take(symbols)
     ids -= _FIRST.astype(np.uint16).take(symbols)
-    ids[symbols < 2] = 0
+    ids &= ((1 << _PLAIN) - 1).astype(np.uint16).take(symbols)
     plain = _plain_words(ids, bits)
     return [struct.pack("<I", pos[i] - i * room) + out[i * room : pos[i]].astype("<u2").tobytes() + plain[i].tobytes() for i in range(n)]
 
@@ -271,22 +320,26 @@ def decode_blocks(payloads: list[bytes], lens: np.ndarray) -> list[np.ndarray]:
     ids = np.zeros((steps, n), np.uint16)
     last, before = np.zeros(n, np.int64), np.zeros(n, np.int64)
     mask = (np.int64(1) << _PLAIN.astype(np.int64)) - 1
-    for t, a in enumerate(_active(lens, steps)):
-        model.predict(_hash1(last[:a]), _hash2(last[:a], before[:a]))
-        lo, r, c = low[:a], size[:a], code[:a]
-        r >>= _15
-        value = np.minimum((c - lo) // r, np.uint64(_TOTAL - 1)).astype(np.int16)
-        symbol = model.find(value)
-        start, width = model.span(symbol)
+
+    def got(lo: np.ndarray, r: np.ndarray, c: np.ndarray, start: np.ndarray, width: np.ndarray, lanes: np.ndarray | None) -> None:
         start *= r
         lo += start
         r *= width
         m = _shift_out(lo, r)
-        at = pos[m]
+        of = m if lanes is None else lanes[m]
+        at = pos[of]
         c[m] = (c[m] << _16) | data[np.minimum(at, top)]
-        pos[m] = at + 1
+        pos[of] = at + 1
         lo[m] <<= _16
         r[m] <<= _16
+
+    for t, a in enumerate(_active(lens, steps)):
+        model.predict(_hash1(last[:a]), _hash2(last[:a], before[:a]))
+        lo, r, c = low[:a], size[:a], code[:a]
+        r >>= _15
+        value = np.minimum((c - lo) // r, np.uint64(_TOTAL - 1)).astype(np.int16)
+        symbol = model.find(value)
+        got(lo, r, c, *model.span(symbol), None)
         bit = plain[:a]
         word = np.minimum(bit >> 4, top)
         window = data.take(word + 1).astype(np.int64)
@@ -297,6 +350,22 @@ def decode_blocks(payloads: list[bytes], lens: np.ndarray) -> list[np.ndarray]:
         bit += _PLAIN.take(symbol)
         here = window
         here += _FIRST.take(symbol)
+        lanes = np.flatnonzero(symbol > 1)
+        if len(lanes):
+            kind = symbol[lanes]
+            lo, r, c = low[lanes], size[lanes], code[lanes]
+            row, place = kind.astype(np.int64), np.zeros(len(lanes), np.int64)
+            for k in range(_DIGITS):
+                r >>= _15
+                value = np.minimum((c - lo) // r, np.uint64(_TOTAL - 1)).astype(np.int16)
+                at, table = model.digit_table(k, lanes, row)
+                digit = _find(table, value)
+                got(lo, r, c, *model.digit_span(table, digit), lanes)
+                model.digit_update(k, at, table, digit)
+                place = (place << _DIGIT_BITS) + digit
+                row = (row << _DIGIT_BITS) + digit
+            low[lanes], size[lanes], code[lanes] = lo, r, c
+            here[lanes] += place << _PLAIN.take(kind)
         np.copyto(here, model.guess1, where=symbol == 1)
         np.copyto(here, model.guess2, where=symbol == 0)
         model.update(symbol, here, t)

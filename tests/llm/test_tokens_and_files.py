@@ -48,6 +48,14 @@ def test_blocks_are_independent_and_adapt():
     assert together[0] == alone[0] and len(alone[0]) < len(a) * 2 // 8
 
 
+def test_upper_bits_are_coded():
+    rng = np.random.default_rng(3)
+    narrow = rng.integers(20_000, 20_064, 4096).astype(np.uint16)  # 6 bits of 16 below its magnitude are in use
+    few = (512 + 64 * rng.integers(0, 2, 4096) + rng.integers(0, 8, 4096)).astype(np.uint16)  # 4 bits of 9
+    sizes = [len(p) * 8 / 4096 for p in idcoder.encode_blocks([narrow, few])]
+    assert sizes[0] < 11.5 and sizes[1] < 6.5
+
+
 def id_file(docs):
     out = io.BytesIO()
     writer = idcoder.IdFileWriter(out)
