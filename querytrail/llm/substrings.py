@@ -12,9 +12,9 @@ among the occurrences of one anchor:
 2. a second scan sends each occurrence of a kept anchor, with the bytes
    around it, to the anchor's shard;
 3. a shard sorts the suffixes that start at its anchors, and the reversed
-   prefixes that end there, by deep-shallow sorting: a multikey quicksort, 8
-   bytes a symbol, to a shallow depth, then blind tries for the groups whose
-   common prefix is longer.  From the orders and their common-prefix lengths
+   prefixes that end there, by deep-shallow sorting: a library sort per symbol
+   of 8 bytes, in the place of a multikey quicksort, to a shallow depth, then
+   blind tries for the groups whose common prefix is longer.  From the orders and their common-prefix lengths
    it follows, for every distance between a string's start and its anchor,
    which strings are equal and which of them is first;
 4. the repeated strings are joined to the documents as byte ranges.
@@ -48,7 +48,7 @@ SHARD_RECORDS = 150_000
 ANCHOR_BYTES = 32
 SHARD_ANCHORS = 1 << 20
 BUFFER = 1 << 21
-#: Depths to which the multikey quicksort goes.
+#: Depths to which the sort by symbols goes.
 SHALLOW_RIGHT, SHALLOW_LEFT = 64, 32
 
 _POSITION = np.uint64((1 << 20) - 1)
