@@ -39,12 +39,20 @@ ASSISTANT = "assistant"
 PART_CHARS = 1 << 20
 
 
+#: Fields that describe a record or turn and are no part of its text.
+IGNORED = ("id", "conv_id", "source", "dataset", "lang", "language", "model", "category", "license", "url", "split", "timestamp")
+
+
 @dataclass(frozen=True)
 class Mapping:
     """How one layout becomes turns.  ``needs``: field paths that a record of
     the layout has.  Either ``each`` names a list of turns (empty: the record
     is one turn itself) with ``role`` and ``text`` fields, or ``parts`` lists
-    ``(role, fields)``, whose non-empty texts are joined by a blank line."""
+    ``(role, fields)``, whose non-empty texts are joined by a blank line.
+    ``system``: a field whose text, if any, is a turn ahead of a list's.
+    ``history``: a field of earlier turns, ``[user, assistant]`` pairs or
+    objects of role and content, ahead of the first user part.  ``ignored``:
+    fields of a record or turn that are no part of the conversation."""
 
     name: str
     needs: tuple[str, ...]
@@ -55,20 +63,33 @@ class Mapping:
     ids: tuple[str, ...] = ("conv_id", "id")
     parts: tuple[tuple[str, tuple[str, ...]], ...] = ()
     aliases: dict[str, str] = field(default_factory=dict)
+    system: str = ""
+    history: str = ""
+    ignored: tuple[str, ...] = IGNORED
+
+    def reads(self, path: str) -> bool:
+        """Whether the value at ``path`` is read or ignored."""
+        if self.each and path.startswith(f"{self.each}[]."):
+            path, names = path[len(self.each) + 3 :], (self.role, self.text)
+        elif self.parts:
+            names = (self.history, *(f for _, fields in self.parts for f in fields), *self.ids)
+        else:
+            names = (self.system, *self.ids) if self.each else (self.role, self.text, self.turn, *self.ids)
+        return any(path == n or path.startswith((f"{n}.", f"{n}[]")) for n in (*names, *self.ignored) if n)
 
 
 #: Tried in this order; the first whose paths a record has is taken.
 MAPPINGS = (
-    Mapping("messages", ("messages[].role", "messages[].content"), each="messages", text="content"),
+    Mapping("messages", ("messages[].role", "messages[].content"), each="messages", text="content", system="system"),
     Mapping(
         "from-value", ("conversations[].from", "conversations[].value"), each="conversations", role="from", text="value",
-        aliases={"human": "user", "gpt": "assistant"},
+        aliases={"human": "user", "gpt": "assistant"}, system="system",
     ),
     Mapping("turn-rows", ("turn", "role", "text"), turn="turn"),
-    Mapping("instruction", ("instruction", "output"), parts=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",)))),
-    Mapping("prompt-response", ("prompt", "response"), parts=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",)))),
-    Mapping("prompt-completion", ("prompt", "completion"), parts=(("user", ("prompt",)), ("assistant", ("completion",)))),
-    Mapping("question-answer", ("question", "answer"), parts=(("user", ("question",)), ("assistant", ("answer",)))),
+    Mapping("instruction", ("instruction", "output"), parts=(("system", ("system",)), ("user", ("context", "instruction", "input")), ("assistant", ("output",))), history="history"),
+    Mapping("prompt-response", ("prompt", "response"), parts=(("system", ("system",)), ("user", ("context", "prompt")), ("assistant", ("response",))), history="history"),
+    Mapping("prompt-completion", ("prompt", "completion"), parts=(("system", ("system",)), ("user", ("context", "prompt")), ("assistant", ("completion",))), history="history"),
+    Mapping("question-answer", ("question", "answer"), parts=(("system", ("system",)), ("user", ("context", "question")), ("assistant", ("answer",))), history="history"),
 )
 
 TURNS = "conv_id long, turn long, part int, role string, text string, layout string, fingerprint long"
@@ -109,15 +130,48 @@ def _text(value: object) -> str:
     return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
+def unread(record: dict, m: Mapping) -> list[str]:
+    """The fields with text that ``m`` neither reads nor ignores."""
+    todo, out = [(record, "")], []
+    while todo:
+        here, path = todo.pop()
+        if path and m.reads(path):
+            continue
+        if isinstance(here, dict):
+            todo.extend((below, f"{path}.{key}" if path else str(key)) for key, below in here.items())
+        elif isinstance(here, list):
+            todo.extend((below, f"{path}[]") for below in here)
+        elif isinstance(here, str) and here:
+            out.append(path)
+    return sorted(set(out))
+
+
+def _history(value: object) -> Iterator[tuple[str, str]]:
+    if value is not None and not isinstance(value, list):
+        raise ValueError("no mapping fits a history that is not a list of turns")
+    for item in value or []:
+        if isinstance(item, list) and len(item) == 2:
+            yield from zip(("user", ASSISTANT), map(_text, item), strict=True)
+        elif isinstance(item, dict) and set(item) == {"role", "content"}:
+            yield _text(item["role"]), _text(item["content"])
+        else:
+            raise ValueError("no mapping fits a history that is not a list of turns")
+
+
 def turns_of(record: dict, m: Mapping) -> Iterator[tuple[int | None, int, str, str]]:
     """``(turn, part, role, text)`` of one record under its mapping."""
     if m.parts:
         kept = [(role, "\n\n".join(x for x in (_text(record.get(f)) for f in fields) if x)) for role, fields in m.parts]
         rows = [(role, text) for role, text in kept if text or role != "system"]
+        first = next((i for i, (role, _) in enumerate(rows) if role != "system"), 0)
+        rows[first:first] = _history(record.get(m.history)) if m.history else ()
         for i, (role, text) in enumerate(rows):
             yield i, 0, role, text
         return
-    for i, item in enumerate((record.get(m.each) or []) if m.each else [record]):
+    system = _text(record.get(m.system)) if m.system else ""
+    if system:
+        yield 0, 0, "system", system
+    for i, item in enumerate((record.get(m.each) or []) if m.each else [record], 1 if system else 0):
         item = item or {}
         role = _text(item.get(m.role))
         turn = item.get(m.turn) if m.turn else i
@@ -129,11 +183,12 @@ def canonical_turns(records: DataFrame, record_col: str = "record", mappings: tu
 
     Null texts and roles are empty.  A record that is null or not a JSON
     object, or whose fields fit no mapping, is an error that names the
-    fields.  A record without turns gives no rows.
+    fields, as is one with a text that its mapping neither reads nor ignores.
+    A record without turns gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, Mapping] = {}
+        known: dict[int, tuple[Mapping, bool]] = {}
         schema = pa.schema(
             [("conv_id", pa.int64()), ("turn", pa.int64()), ("part", pa.int32()), ("role", pa.string()), ("text", pa.string()), ("layout", pa.string()), ("fingerprint", pa.int64())]
         )
@@ -147,8 +202,12 @@ def canonical_turns(records: DataFrame, record_col: str = "record", mappings: tu
                     paths = field_paths(record)
                     key = fingerprint(paths)
                     if key not in known:
-                        known[key] = choose(paths, mappings)
-                    m = known[key]
+                        fit = choose(paths, mappings)
+                        known[key] = fit, all(map(fit.reads, paths))
+                    m, whole = known[key]
+                    left = [] if whole else unread(record, m)
+                    if left:
+                        raise ValueError(f"no mapping fits a record with texts beside the layout {m.name}: {left[:20]}")
                     conv = next((record[i] for i in m.ids if record.get(i) is not None), None)
                     for turn, part, role, text in turns_of(record, m):
                         yield {"conv_id": conv, "turn": turn, "part": part, "role": role, "text": text, "layout": m.name, "fingerprint": key}

@@ -50,6 +50,33 @@ def test_layouts_become_the_same_turns(spark):
     assert {(r["n_turns"], r["loss_chars"], r["loss_sha256"]) for r in got} == {(2, 1, hashlib.sha256(b"a").hexdigest())}
 
 
+def test_system_context_and_history_are_turns(spark):
+    pair, listed = [["a", "b"]], [{"role": "user", "content": "a"}, {"role": "assistant", "content": "b"}]
+    both = {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "r"}]}
+    rows = [
+        {"id": 1, "system": "s", **both, "source": "web"},
+        {"id": 2, "system": "s", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "r"}]},
+        {"id": 3, "context": "c", "question": "q", "answer": "r"},
+        {"id": 4, "system": "s", "instruction": "q", "output": "r", "history": pair},
+        {"id": 5, "prompt": "q", "completion": "r", "history": listed},
+        {"id": 6, "system": None, **both, "history": [], "weight": 2},
+    ]
+    got = {}
+    for r in chat.canonical_turns(records(spark, rows)).orderBy("conv_id", "turn").collect():
+        got.setdefault(r["conv_id"], []).append((r["role"], r["text"]))
+    system, end, before = [("system", "s")], [("user", "q"), ("assistant", "r")], [("user", "a"), ("assistant", "b")]
+    assert got == {1: system + end, 2: system + end, 3: [("user", "c\n\nq"), end[1]], 4: system + before + end, 5: before + end, 6: end}
+
+
+@pytest.mark.parametrize(
+    "extra",
+    [{"notes": "x"}, {"prompt": "x"}, {"meta": {"say": ["x"]}}, {"messages": [{"role": "user", "content": "q", "name": "x"}]}],
+)
+def test_texts_beside_the_layout_fail(spark, extra):
+    with pytest.raises(Exception, match="no mapping fits"):
+        chat.canonical_turns(records(spark, [{"id": 1, "messages": [{"role": "user", "content": "q"}], **extra}])).collect()
+
+
 @pytest.mark.parametrize("bad", [None, [1], {"nothing": 1}])
 def test_records_without_a_layout_fail(spark, bad):
     with pytest.raises(Exception, match="no mapping fits|JSON object"):
