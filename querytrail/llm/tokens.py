@@ -20,7 +20,8 @@ from querytrail.llm.common import LOWER, chunks, word_hashes
 
 END_ID = 1
 #: Distinct pieces that a worker remembers before it starts anew, and the
-#: size of the table that finds them.  A batch of text holds far fewer.
+#: least size of the table that finds them.  For a text of more distinct
+#: pieces than half its slots the table grows.
 MEMORY = 1 << 20
 TABLE_BITS = 22
 
@@ -65,16 +66,19 @@ class Encoder:
         self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.forget()
 
-    def forget(self) -> None:
+    def forget(self, room: int = 0) -> None:
+        """Start anew, with a table for at least ``room`` pieces."""
         self.known = 0
-        self.keys = np.zeros(1 << TABLE_BITS, np.uint64)  # 0: free
-        self.values = np.zeros(1 << TABLE_BITS, np.int32)
+        bits = max(TABLE_BITS, (2 * room).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.zeros(1 << bits, np.uint64)  # 0: free
+        self.values = np.zeros(1 << bits, np.int32)
         self.flat = np.empty(1 << 16, np.uint32)
         self.begin = np.zeros((1 << 16) + 1, np.int64)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
         """The slot of each hash, -1 where it is new."""
-        at = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        at = (hashes >> self.shift).astype(np.int64)
         keys = self.keys.take(at)
         slots = np.where(keys == hashes, self.values.take(at), -1)
         open_ = np.flatnonzero((keys != hashes) & (keys != 0))
@@ -99,7 +103,7 @@ class Encoder:
             self.flat = np.r_[self.flat, np.empty(len(self.flat), np.uint32)]
         self.flat[self.begin[n] : self.begin[n] + len(new)] = new
         slots = np.arange(n, n + len(ids), dtype=np.int32)
-        at = (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        at = (hashes >> self.shift).astype(np.int64)
         left = np.arange(len(hashes))
         while len(left):
             free = left[self.keys[at[left]] == 0]
@@ -145,10 +149,10 @@ class Encoder:
         new = np.flatnonzero(slots < 0)
         if len(new):
             distinct, first = np.unique(hashes[new], return_index=True)
-            if self.known + len(distinct) > MEMORY:
-                self.forget()
+            if self.known + len(distinct) > min(MEMORY, len(self.keys) // 2):
                 new = np.arange(len(hashes))
                 distinct, first = np.unique(hashes, return_index=True)
+                self.forget(len(distinct))
             raw, first = data.tobytes(), new[first]
             self._learn(distinct, [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)])
             slots[new] = self._find(hashes[new])

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from helpers import documents
 
-from querytrail.llm import idcoder, idfiles
+from querytrail.llm import idcoder, idfiles, tokens
 from querytrail.llm.common import byte_columns
 from querytrail.llm.queries import tokenizer_file
 from querytrail.llm.tokens import END_ID, encoder
@@ -32,6 +32,16 @@ def test_encoder_equals_the_library():
     assert got == [library_ids(t) for t in some]
 
 
+def test_more_pieces_than_the_table_has_slots(monkeypatch):
+    monkeypatch.setattr(tokens, "TABLE_BITS", 4)
+    enc = tokens.Encoder(FILE)
+    some = ["ab", " ".join(f"{a}x{b}" for a in "abcdefgh" for b in "klmnopqr"), "ab cd", "ef gh ij"]
+    for texts in (some, some[:1], some[1:2], some[2:]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+        got = [ids[at[i] : at[i + 1]].tolist() for lo, hi, ids, at in enc.batches(*byte_columns(batch)) for i in range(hi - lo)]
+        assert got == [library_ids(t) for t in texts]
+
+
 @pytest.mark.parametrize("blocks,size", [(1, 0), (1, 1), (3, 17), (40, 300), (200, 60)])
 def test_coder_round_trip(blocks, size):
     rng = np.random.default_rng(blocks)
