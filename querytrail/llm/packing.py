@@ -4,8 +4,8 @@ Groups of a bounded number of pieces are packed apart from each other.  In a
 group the search takes the emptiest bin as a donor and moves documents to
 other underfull bins, exchanges one for one, or two for one, so that the sum
 of squared fills grows until the donor is empty.  A group settles its full
-bins; the emptiest ones, a bounded share, go on to the next round, where
-fewer groups pack them together, until one group is left.
+bins; the emptiest one and further ones, a bounded share, go on to the next
+round, where fewer groups pack them together, until one group is left.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from querytrail.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 4096
 #: Pieces in a group (bound of a task's memory), and which part of them may
-#: go on to the next round.
+#: go on to the next round, besides those of the emptiest bin.
 GROUP_PIECES = 16_384
 PASS_ON = 8
 #: Donors in a row that may fail to empty before the search ends.
@@ -163,14 +163,18 @@ def _pack_round(rows: DataFrame, groups: int, level: int, cap: int, last: bool,
         bins = improve(best_fit(lengths, cap), lengths, cap)
         fills = np.array([lengths[b].sum() for b in bins])
         sequence, offset, settled = np.empty(len(pdf), np.int64), np.empty(len(pdf), np.int64), np.ones(len(pdf), bool)
-        going = 0
+        going, emptiest = 0, True
         for at in np.argsort(fills, kind="stable").tolist():
             b = np.array(bins[at])
             sequence[b] = (level << 56) + (int(key[0]) << 24) + at
             offset[b] = np.cumsum(lengths[b]) - lengths[b]
-            if not last and fills[at] < cap and going + len(b) <= group_pieces // PASS_ON:
+            if last or fills[at] == cap:
+                continue
+            # A bin has at most cap - 1 pieces, so the emptiest one can always go on.
+            if emptiest or going + len(b) <= group_pieces // PASS_ON:
                 settled[b] = False
-                going += len(b)
+                going += 0 if emptiest else len(b)
+            emptiest = False
         return pdf.drop(columns=["grp"]).assign(sequence_id=sequence, offset=offset, settled=settled)
 
     grouped = rows.withColumn("grp", F.pmod(F.xxhash64("rid", F.lit(level)), F.lit(groups)))
@@ -191,10 +195,11 @@ def pack(rows: DataFrame, cap: int = SEQUENCE_TOKENS, group_pieces: int = GROUP_
         todo.where(F.col("length") == cap).select("doc_id", "piece", "start", "length", "ids_crc32", (F.lit(127 << 56) + F.col("rid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     ]
     todo = todo.where(F.col("length") < cap)
-    level = 0
+    level, groups = 0, 0
     while True:
         n = todo.count()
-        groups = max(1, -(-n // group_pieces))
+        # Fewer each round, even if all pieces of a small group went on.
+        groups = max(1, min(-(-n // group_pieces), groups // 2 if level else n))
         last = groups == 1
         packed = written(_pack_round(todo, groups, level, cap, last, group_pieces), f"pack-round{level}")
         out.append(packed.where("settled").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))

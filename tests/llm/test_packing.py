@@ -66,6 +66,14 @@ def test_equal_lengths_do_not_pile_up_in_one_group(spark):
     assert check(got, 100) == 500
 
 
+@pytest.mark.parametrize("group", [16, 64, 300])
+def test_bins_of_many_small_pieces_are_filled_by_later_rounds(spark, group):
+    rows = [(i, 0, 0, 1, 0) for i in range(1500)]
+    got = P.pack(spark.createDataFrame(rows, P.PIECES).repartition(4), 100, group).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(1500))
+    assert check(got, 100) == 15
+
+
 def test_documents_cut_and_packed(spark):
     rows = [(i, f"Text number {i}. " * (i % 40)) for i in range(80)] + [(100, None), (101, ""), (102, "word " * 9000), (None, "no id"), (3, "same id"), (102, "word " * 9000)]
     got = P.pack_documents(documents(spark, rows).repartition(3), FILE).collect()
