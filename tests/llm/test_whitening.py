@@ -1,0 +1,138 @@
+"""Whitening against a dense eigendecomposition."""
+
+import math
+
+import numpy as np
+import pytest
+from helpers import rows_of
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+
+from querytrail.llm import whitening as W
+
+CLASH = ["x", "dim", "n", "component", "whitened", "place"]
+
+
+def embeddings(spark, rows):
+    schema = StructType([StructField("vec_id", LongType()), StructField("embedding", ArrayType(DoubleType()))] + [StructField(c, StringType()) for c in CLASH])
+    return spark.createDataFrame([(i, v, *["x"] * len(CLASH)) for i, v in rows], schema)
+
+
+def usable(v):
+    return v is not None and len(v) > 0 and all(c is not None and math.isfinite(c) for c in v)
+
+
+def check(spark, rows, components=16):
+    """Compare with numpy on the distinct whole vectors; return the rows."""
+    got = rows_of(W.whitened(embeddings(spark, rows), components), "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+    kept = [(i, tuple(math.floor(64 * c) + 1000000 for c in v)) for i, v in rows if usable(v)]
+    distinct = sorted({x for _, x in kept})
+    n, sums = len(distinct), [sum(c) for c in zip(*distinct, strict=True)]
+    centred = np.array([[float(n * v - s) / n for v, s in zip(x, sums, strict=True)] for x in distinct])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1], vectors[:, ::-1]
+    k = min(components, int((values > 1e-13 * values[0]).sum()))
+    assert sorted((r[0], r[1]) for r in got if r[0] is not None) == sorted((i, c + 1) for i, _ in kept if i is not None for c in range(k))
+    assert len(got) == len(kept) * k
+    where = {i: x for i, x in kept}
+    signs = {}
+    for vec, comp, size, deviation, white, explained, error in got:
+        if vec is None:
+            continue
+        x, c = where[vec], comp - 1
+        assert size == n and error < 1e-8
+        assert deviation == sum((n * v - s) ** 2 for v, s in zip(x, sums, strict=True))
+        assert explained == pytest.approx(values[c] / values.sum(), rel=1e-9)
+        want = float(np.array([float(n * v - s) / n for v, s in zip(x, sums, strict=True)]) @ vectors[:, c]) / math.sqrt(values[c])
+        sign = signs.setdefault(comp, math.copysign(1, want * white) if abs(want) > 1e-3 else None)
+        if sign is None:
+            del signs[comp]
+        else:
+            assert white == pytest.approx(sign * want, abs=1e-7)
+    return got
+
+
+def vectors(seed, n, dim, spread=None):
+    rnd = np.random.default_rng(seed)
+    x = rnd.standard_normal((n, dim)) * (np.linspace(1, 3, dim) if spread is None else spread)
+    return [(i, row.tolist()) for i, row in enumerate(x)]
+
+
+def test_as_a_dense_decomposition(spark):
+    rows = vectors(1, 300, 24)
+    rows += [(1000 + i, rows[0][1]) for i in range(100)]  # copies have no weight
+    rows += [(1, rows[1][1]), (None, rows[2][1]), (2000, None), (2001, []), (2002, [None] + [0.0] * 23), (2003, [math.nan] * 24), (2004, [math.inf] * 24)]
+    check(spark, rows)
+
+
+def test_flat_spectrum_and_wide_range(spark):
+    check(spark, vectors(2, 200, 20, 1.0))
+    check(spark, vectors(3, 200, 20, np.logspace(3, 0, 20)), 5)
+
+
+def test_fewer_vectors_than_dimensions(spark):
+    got = check(spark, vectors(4, 6, 12))
+    assert {r[1] for r in got} == {1, 2, 3, 4, 5}
+
+
+def test_fewer_dimensions_than_components(spark):
+    assert {r[1] for r in check(spark, vectors(5, 50, 3))} == {1, 2, 3}
+
+
+def test_no_variance_and_empty(spark):
+    assert W.whitened(embeddings(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).count() == 0
+    empty = W.whitened(embeddings(spark, []))
+    assert empty.count() == 0 and empty.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+
+
+def test_lengths_are_spaces_of_their_own(spark):
+    a, b = vectors(6, 40, 3), [(100 + i, v) for i, v in vectors(7, 30, 2)]
+    both = W.whitened(embeddings(spark, a + b))
+    alone = W.whitened(embeddings(spark, b))
+    cols = ["vec_id", "component", "n", "deviation"]
+    assert sorted(rows_of(both.where("vec_id >= 100"), *cols)) == sorted(rows_of(alone, *cols))
+    assert {r[0] for r in rows_of(both.where("vec_id < 100"), "n")} == {40}
+
+
+def test_very_large_entries(spark):
+    rows = [(i, [float(v) * 2**30, float(i)]) for i, v in enumerate([1, -3, 7, 2, 9])] + [(9, [1e300, 0.0])]
+    got = rows_of(W.whitened(embeddings(spark, rows)), "vec_id", "deviation")
+    assert {r[0] for r in got} == {0, 1, 2, 3, 4} and all(r[1] is None for r in got)
+
+
+def _gram(x):
+    passes = []
+
+    def gram(c):
+        passes.append(1)
+        z = x @ c
+        return float(z @ z), x.T @ z
+
+    return gram, passes
+
+
+def test_steps_end_early_and_repeated_values_are_found():
+    rnd = np.random.default_rng(0)
+    left, _ = np.linalg.qr(rnd.standard_normal((500, 200)))
+    right, _ = np.linalg.qr(rnd.standard_normal((200, 200)))
+    for values in (np.r_[2.0 ** -np.arange(8), np.full(192, 1e-3)], np.r_[np.full(4, 5.0), np.full(3, 4.0), np.full(193, 0.01)]):
+        x = left * values @ right.T
+        gram, passes = _gram(x)
+        found = W.bidiagonalise(gram, 200, 6)
+        assert len(passes) < 100
+        assert np.allclose(found.values, np.sort(values)[::-1][:6], rtol=1e-9)
+        assert np.allclose(found.vectors.T @ found.vectors, np.eye(6), atol=1e-13)
+        assert np.abs(x.T @ (x @ found.vectors) - found.vectors * found.values**2).max() < 1e-10 * found.values[0] ** 2
+
+
+def test_same_components_whatever_the_scale():
+    x = np.random.default_rng(1).standard_normal((100, 30))
+    x -= x.mean(0)
+    for scale in (1e-6, 1.0, 1e6):
+        found = W.bidiagonalise(_gram(x * scale)[0], 30, 30)
+        values, _ = np.linalg.eigh(x.T @ x)
+        assert np.allclose(found.values / scale, np.sqrt(values[::-1]), rtol=1e-10)
+
+
+def test_the_whole_table(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()]
+    check(spark, rows)
