@@ -1,0 +1,124 @@
+"""Window removal against a plain count of all windows."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from querytrail.llm import relative_lz as rlz
+from helpers import documents
+
+
+def brute(rows, window):
+    words = [(t or "").encode().split() for _, t in rows]
+    seen = Counter(tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1))
+    out = []
+    for (doc, _), w in zip(rows, words, strict=True):
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if seen[tuple(w[i : i + window])] > 1:
+                gone.update(range(i, i + window))
+        out.append((doc, len(w), len(gone), b" ".join(x for i, x in enumerate(w) if i not in gone).decode()))
+    return sorted(out, key=str)
+
+
+def found(spark, rows, window):
+    df = rlz.deduplicate(documents(spark, rows), window)
+    assert df.columns == ["doc_id", "n_words", "n_removed", "spans", "kept"]
+    out = []
+    for r in df.collect():
+        assert sum(s.stop - s.start for s in r.spans) == r.n_removed
+        out.append((r.doc_id, r.n_words, r.n_removed, r.kept))
+    return sorted(out, key=str)
+
+
+def corpus(seed, window, vocabulary):
+    rnd = random.Random(seed)
+    spaces = [" ", "\n", "\t ", "\x0b", " \r\n"]
+
+    def text(n):
+        return "".join(rnd.choice(vocabulary) + rnd.choice(spaces) for _ in range(n))
+
+    passages = [text(rnd.randint(window - 3, 4 * window)) for _ in range(6)]
+    rows = [(i, text(rnd.randint(0, 2 * window)) + rnd.choice(passages) + text(rnd.randint(0, window))) for i in range(40)]
+    rows += [(100 + i, passages[0] + passages[0] + text(3)) for i in range(3)]  # repeats within a document
+    return rows
+
+
+@pytest.mark.parametrize("window", [5, 14, 35])
+def test_as_counting_all_windows(spark, window):
+    rows = corpus(window, window, ["a", "b", "ñandú", "c", "The", "the", "d1", "e-e", "x" * 30])
+    rows += [(200, None), (201, ""), (202, " \n "), (203, "one"), (None, rows[3][1]), (None, None), (7, rows[7][1])]
+    assert found(spark, rows, window) == brute(rows, window)
+
+
+def test_copies_and_near_copies(spark):
+    rnd = random.Random(3)
+    words = [f"w{rnd.randrange(5000)}" for _ in range(400)]
+    rows = [(i, " ".join(words)) for i in range(150)]
+    for i in range(150):
+        near = list(words)
+        for _ in range(rnd.randint(1, 12)):
+            near[rnd.randrange(400)] = f"v{rnd.randrange(10**6)}"
+        rows.append((1000 + i, " ".join(near)))
+    assert found(spark, rows, 35) == brute(rows, 35)
+
+
+def test_case_and_order_matter(spark):
+    a = [f"w{i}" for i in range(40)]
+    rows = [(1, " ".join(a)), (2, " ".join(a).upper()), (3, " ".join(reversed(a))), (4, " ".join(a[:34]))]
+    assert all(r[2] == 0 for r in found(spark, rows, 35))
+
+
+def test_empty_table(spark):
+    assert found(spark, [], 35) == []
+
+
+def test_pieces_of_a_long_text_hold_each_window_once():
+    rnd = random.Random(5)
+    words = [f"w{rnd.randrange(50)}" * rnd.choice([1, 1, 1, 40]) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["short", " ".join(words), "", "x" * 3000 + " y"])], ["t"])
+    seen: dict[int, dict[int, list]] = {}
+    for codes, offsets, rows, first in rlz.word_pieces(batch, 0, 35, most=1000):
+        for i, row in enumerate(rows.tolist()):
+            part = codes[offsets[i] : offsets[i + 1]]
+            for k in range(len(part) - 34):
+                start = int(first[i]) + k
+                assert start not in seen.setdefault(row, {})
+                seen[row][start] = part[k : k + 35].tolist()
+    whole = rlz.word_codes(np.frombuffer(" ".join(words).encode(), np.uint8), np.array([0, len(" ".join(words))]))[0].tolist()
+    assert seen[1] == {i: whole[i : i + 35] for i in range(3000 - 34)}
+
+
+def test_slices_of_the_output(monkeypatch):
+    monkeypatch.setattr(rlz, "SLICE_BYTES", 64)
+    words = [f"w{i}" for i in range(200)]
+    a, b = np.array([0, 20, 90, 199]), np.array([3, 80, 91, 200])
+    gone = {i for x, y in zip(a, b, strict=True) for i in range(x, y)}
+    want = " ".join(w for i, w in enumerate(words) if i not in gone).encode()
+    assert rlz._kept_words(" \n".join(words).encode(), a, b) == (200, len(gone), want)
+
+
+def test_matches_are_the_longest():
+    rnd = np.random.default_rng(1)
+    words = rnd.integers(0, 3, 300).astype(np.uint64)
+    offsets = np.array([0, 100, 100, 130, 131, 300])
+    ends = np.repeat(offsets[1:], np.diff(offsets))
+
+    def common(i, j):
+        k = 0
+        while i + k < ends[i] and j + k < ends[j] and words[i + k] == words[j + k]:
+            k += 1
+        return k
+
+    want = [max(common(i, j) for j in range(300) if j != i) for i in range(300)]
+    assert rlz.longest_matches(words, offsets).tolist() == want
+    for window in (3, 6, 9):
+        assert rlz.repeated_windows(words, offsets, window).tolist() == [m >= window for m in want]
+
+
+def test_a_missing_file_of_anchors_is_an_error(tmp_path):
+    with pytest.raises(FileNotFoundError):
+        rlz.KeptAnchors(str(tmp_path), 0).find(np.array([1], np.uint64))
