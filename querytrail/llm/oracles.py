@@ -48,4 +48,40 @@ SELECT doc_id, item_id, n AS n_shingles, max(c) AS n_found, max(c) / n AS contai
 FROM hits JOIN sizes USING (item_id) GROUP BY doc_id, item_id, n HAVING max(c) >= 0.8 * n - 1e-9
 """
 
-SQL: dict[str, str] = {"op1_chat_format": CHAT, "op6_decontaminate": CONTAINED, "op10_topk_search": TOPK}
+WINDOWS = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), starts AS (
+    SELECT r, i, md5(array_to_string(w[i:i+34], ' ')) AS s
+    FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+), gone AS (
+    SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM (SELECT r, i, count(*) OVER (PARTITION BY s) AS c FROM starts) WHERE c > 1
+), words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS t FROM words ANTI JOIN gone USING (r, k) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+RANKED = r"""
+WITH dt AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents WHERE text IS NOT NULL
+), d AS (SELECT r, doc_id, t, len(t)::BIGINT AS n FROM dt WHERE len(t) > 0),
+corpus AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM d),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+weight AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), corpus),
+items AS (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL),
+terms AS (
+    SELECT DISTINCT item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM items
+), scored AS (
+    SELECT item_id, text, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l))))::BIGINT AS score
+    FROM terms JOIN weight USING (term) JOIN tf USING (term) JOIN d USING (r), corpus GROUP BY item_id, text, r
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS rank, doc_id, score
+FROM scored JOIN d USING (r) WHERE score > 0 QUALIFY rank <= 10
+"""
+
+SQL: dict[str, str] = {"op1_chat_format": CHAT, "op6_decontaminate": CONTAINED, "op10_topk_search": TOPK, "op12_relative_lz": WINDOWS, "op13_ranked_search": RANKED}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail.llm import chat, decontaminate, idfiles, ngram, packing, pii, simhash, substrings, topk, toxicity
+from querytrail.llm import chat, decontaminate, idfiles, ngram, packing, pii, ranked, relative_lz, simhash, substrings, topk, toxicity, whitening
 from querytrail.sources.tables import load_table
 
 #: The folder of the tokenizer files; by default that of the installed package.
@@ -91,6 +91,19 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k_inner_product(vectors, vectors.where(F.col("vec_id") % 100 == 0))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(load_table(spark, sf_dir, "embeddings"))
+
+
+def op12_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = relative_lz.deduplicate(load_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_format": op1_chat_format,
     "op2_ngram_scoring": op2_ngram_scoring,
@@ -102,4 +115,7 @@ QUERIES: dict[str, Query] = {
     "op8_id_files": op8_id_files,
     "op9_simhash": op9_simhash,
     "op10_topk_search": op10_topk_search,
+    "op11_whitening": op11_whitening,
+    "op12_relative_lz": op12_relative_lz,
+    "op13_ranked_search": op13_ranked_search,
 }

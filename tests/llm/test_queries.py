@@ -33,6 +33,7 @@ COLUMNS = {
     "op7_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op8_id_files": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op9_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op12_relative_lz": {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
 }
 
 
@@ -43,6 +44,14 @@ def test_schema_and_whole_table(spark, name):
     assert df.select("doc_id").distinct().count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
 
 
+def test_schemas_of_searches(spark):
+    assert dict(Q.QUERIES["op13_ranked_search"](spark, SMALL).dtypes) == {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"}
+    types = {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"}
+    df = Q.QUERIES["op11_whitening"](spark, SMALL)
+    assert dict(df.dtypes) == types
+    assert df.select("vec_id").distinct().count() == spark.read.parquet(f"{SMALL}/embeddings.parquet").count()
+
+
 @pytest.fixture(scope="module")
 def pipeline():
     return importlib.import_module("corpus_pipeline")
