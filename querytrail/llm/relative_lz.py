@@ -301,11 +301,16 @@ _FIELDS = ["key", "doc", "h", "start", "stop", "block"]
 
 
 def _span_rows(doc: np.ndarray, h: np.ndarray, a: np.ndarray, b: np.ndarray, most: int = 1 << 14) -> Iterator[pa.RecordBatch]:
-    """Word ranges as rows, spread by a key of their own."""
+    """Word ranges as rows, spread by a key of their own; ranges that follow
+    and touch each other in one row become one."""
+    if not len(doc):
+        return
+    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1]) | (a[1:] < a[:-1]) | (a[1:] > b[:-1])])
+    doc, h, a, b = doc[new], h[new], a[new], b[np.r_[new[1:], len(b)] - 1]
     for lo in range(0, len(doc), most):
         cut = slice(lo, lo + most)
         n = len(doc[cut])
-        spread = (mix64(h[cut].view(np.uint64)) >> np.uint64(1)).view(np.int64)
+        spread = (mix64(mix64(doc[cut].view(np.uint64) ^ h[cut].view(np.uint64)) + a[cut].astype(np.uint64)) >> np.uint64(1)).view(np.int64)
         columns = [spread, doc[cut], h[cut], a[cut], b[cut]]
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.nulls(n, pa.binary())], _FIELDS)
 
