@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import logging
 import os
+import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql.types import StructType
+
+from querytrail.sinks.snapshots import SnapshotTable
+from querytrail.sinks.store import Store
 
 log = logging.getLogger(__name__)
 
@@ -21,6 +26,11 @@ class SinkConfig:
     Spark connector 10.x, when on the classpath) writes collection
     ``<name>`` of ``database`` at ``uri``; any other format gets the name
     as its ``collection``/``dbtable``-style option via ``name_option``.
+
+    ``snapshots`` makes each file table a :class:`SnapshotTable`: replaces and
+    appends are atomic, also beside other writers, and readers resolve the
+    newest snapshot (:func:`read_table`).  ``keep`` snapshots stay after a
+    replace.  Without it a table is a plain folder, as other tools read it.
     """
 
     fmt: str = "parquet"
@@ -29,6 +39,14 @@ class SinkConfig:
     database: str | None = None
     name_option: str = "collection"
     options: dict[str, str] = field(default_factory=dict)
+    snapshots: bool = False
+    keep: int = 2
+
+    def table(self, spark: SparkSession, name: str) -> SnapshotTable:
+        """The snapshot table of the result ``name``."""
+        if self.fmt not in FILE_FORMATS:
+            raise ValueError(f"format {self.fmt!r} has no snapshots")
+        return SnapshotTable(spark, self.path(name), self.fmt, self.options)
 
     def path(self, name: str) -> str:
         if self.root is None:
@@ -58,13 +76,65 @@ def write_table(df: DataFrame, name: str, sink: SinkConfig, mode: str = "overwri
     """Replace (``overwrite``) or extend (``append``) the result ``name``."""
     if mode not in {"overwrite", "append", "error", "errorifexists", "ignore"}:
         raise ValueError(f"unknown save mode {mode!r}")
+    if sink.snapshots and sink.fmt in FILE_FORMATS:
+        _write_snapshot(df, sink.table(df.sparkSession, name), mode, sink.keep)
+        return
     writer, path = sink.writer(df, name, mode)
     if path is None:
         writer.save()
+    elif mode == "overwrite":
+        _replace_folder(df, name, sink)
     else:
         writer.save(path)
 
 
+def _write_snapshot(df: DataFrame, table: SnapshotTable, mode: str, keep: int) -> None:
+    if mode == "append":
+        table.append(df)
+        return
+    if mode != "overwrite" and table.current().folders:
+        if mode == "ignore":
+            return
+        raise FileExistsError(f"{table.path} has rows already")
+    table.replace(df)
+    table.expire(keep)
+
+
+def _replace_folder(df: DataFrame, name: str, sink: SinkConfig) -> None:
+    """Write beside the table, then swap: a write that fails leaves the
+    previous rows.  The swap itself is two renames; a process that dies
+    between them leaves the previous rows in ``.old-...`` next to the table
+    (``snapshots`` has no such gap)."""
+    tag = uuid.uuid4().hex
+    folder, _, leaf = sink.path(name).rstrip("/").rpartition("/")
+    store = Store(df.sparkSession, folder or ".")
+    new, old = f".new-{leaf}-{tag}", f".old-{leaf}-{tag}"
+    try:
+        df.write.format(sink.fmt).options(**sink.options_for(name)).save(f"{store.root}/{new}")
+        there = store.exists(leaf)
+        if there:
+            store.rename(leaf, old)
+        try:
+            store.rename(new, leaf)
+        except BaseException:
+            if there:
+                store.rename(old, leaf)
+            raise
+    except BaseException:
+        store.delete(new)
+        raise
+    if there:
+        store.delete(old)
+
+
+def read_table(spark: SparkSession, name: str, sink: SinkConfig, schema: StructType | None = None) -> DataFrame:
+    """The rows of the result ``name`` of a file sink, in either layout.
+    ``schema`` is for a snapshot table that nothing was written to."""
+    if sink.snapshots:
+        return sink.table(spark, name).read(schema=schema)
+    return spark.read.format(sink.fmt).options(**sink.options).load(sink.path(name))
+
+
 class WriteFailed(RuntimeError):
     """Raised by :func:`write_all` after every output was attempted."""
 
