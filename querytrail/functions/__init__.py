@@ -2,6 +2,17 @@
 
 from querytrail.functions.decode import decode, event_time_from_millis, with_event_time
 from querytrail.functions.encode import encode_events, encode_json
-from querytrail.functions.names import column
+from querytrail.functions.names import column, free_name
+from querytrail.functions.quarantine import Routed, route
 
-__all__ = ["column", "decode", "encode_events", "encode_json", "event_time_from_millis", "with_event_time"]
+__all__ = [
+    "Routed",
+    "column",
+    "decode",
+    "encode_events",
+    "encode_json",
+    "event_time_from_millis",
+    "free_name",
+    "route",
+    "with_event_time",
+]

@@ -16,15 +16,22 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from querytrail.functions.decode import decode, event_time_from_millis, with_event_time
 from querytrail.functions.encode import encode_json
+from querytrail.functions.quarantine import route
 from querytrail.operators.counts import count_by, row_count, top_k, top_values
 from querytrail.operators.filters import keyword_filter
 from querytrail.operators.pivot import pivot_counts, pivot_pairs
 from querytrail.operators.ranking import user_top_terms
 from querytrail.operators.windows import hourly_counts, trending, trending_topk
+from querytrail.plans.incremental import (
+    top_searches_incremental,
+    trending_incremental,
+    user_pivot_incremental,
+    user_terms_incremental,
+)
 from querytrail.plans.jobs import (
     KEYWORD_HITS,
     LIVE_TRENDING,
@@ -45,12 +52,15 @@ from querytrail.plans.jobs import (
 from querytrail.schemas import EVENT, LOG
 from querytrail.session import ensure_checkpoint_dir, shared_dir
 from querytrail.sinks.batches import append_batches, read_batches
-from querytrail.sinks.tables import SinkConfig, write_table
+from querytrail.sinks.tables import SinkConfig, read_table, write_table
 from querytrail.sources.tables import load_table
 from querytrail.sources.topics import stream_topic_files, write_topic_files
 from querytrail.sources.wire import event_rows, events_wire, parts_wire
+from querytrail.streaming.dedupe import distinct_messages
 from querytrail.streaming.live import latest_counts, latest_window_counts, live_counts, live_trending
+from querytrail.streaming.ranking import latest_topk, live_topk
 from querytrail.streaming.runner import run_to_end, start
+from querytrail.streaming.supervise import Restarts, supervise
 
 # Fixed parameters of the registered queries.
 TOP_K = 10
@@ -321,6 +331,138 @@ def q_stream_user_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_pairs(newest.checkpoint(eager=True), "user_id", "search")
 
 
+# --- snapshots, incremental runs, live ranking, message faults ----------------
+
+LIVE_BUCKETS = 2
+
+
+def q_replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: a table replaced at once: the hits before noon, then all of them;
+    what is read is the newest snapshot."""
+    sink = SinkConfig(root=shared_dir(spark, "replace_table"), snapshots=True)
+    hits = keyword_events(event_messages(spark, sf_dir), EVENT_KEYWORD)
+    write_table(hits.where(F.hour("timestamp_dt") < 12), "hits", sink)
+    write_table(hits, "hits", sink)
+    return to_ntz(read_table(spark, "hits", sink))
+
+
+def q_append_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5, T4: keyword hits appended to a snapshot table by a supervised stream
+    whose callback dies once after its rows were committed; the restart
+    replays that batch, and a compaction follows."""
+    base = shared_dir(spark, "append_replayed")
+    hits = keyword_events(_event_stream(spark, sf_dir, base), EVENT_KEYWORD)
+    sink, checkpoint = SinkConfig(root=base, snapshots=True), os.path.join(base, "checkpoint")
+    append, died = append_batches("hits", sink, log_count=False, owner=checkpoint), []
+
+    def callback(df: DataFrame, batch_id: int) -> None:
+        append(df, batch_id)
+        if not died:
+            died.append(batch_id)
+            raise RuntimeError("the callback dies once, its rows are committed")
+
+    supervise(spark, lambda: start(hits, checkpoint, trigger=DRAIN, foreach_batch=callback), Restarts(wait_s=0.01))
+    table = sink.table(spark, "hits")
+    table.compact()
+    table.expire(keep=1)
+    return to_ntz(read_table(spark, "hits", sink, hits.schema).select(*hits.columns))
+
+
+def _two_runs(spark: SparkSession, messages: DataFrame, base: str, run: Callable[[DataFrame], object]) -> None:
+    """``run`` over a file topic with one part of the messages, and again when
+    the other has come."""
+    topic = os.path.join(base, "topic")
+    part = F.pmod(F.xxhash64("value"), F.lit(2))
+    for i in range(2):
+        write_topic_files(messages.where(part == i), topic, rows_per_file=FILE_MESSAGES)
+        run(stream_topic_files(spark, topic, max_files_per_trigger=BATCH_FILES))
+
+
+def _incremental(spark: SparkSession, messages: DataFrame, name: str, job: Callable) -> SinkConfig:
+    base = shared_dir(spark, name)
+    sink, state = (SinkConfig(root=os.path.join(base, d), snapshots=True) for d in ("out", "state"))
+    _two_runs(spark, messages, base, lambda stream: job(stream, sink, state, os.path.join(base, "checkpoint")))
+    return sink
+
+
+def q_job_top_searches_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 in two runs, the second over the new messages only."""
+    sink = _incremental(spark, log_messages(spark, sf_dir), "job_top_searches_incremental", top_searches_incremental)
+    regions, terms = read_table(spark, TOP_REGIONS, sink), read_table(spark, TOP_SEARCHES, sink)
+    return regions.select(F.lit(TOP_REGIONS).alias("output"), F.col("region").alias("value"), "count").unionByName(
+        terms.select(F.lit(TOP_SEARCHES).alias("output"), F.col("search").alias("value"), "count")
+    )
+
+
+def q_job_user_pivot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 in two runs, from the state's counts."""
+    return read_table(spark, USER_PIVOT, _incremental(spark, event_messages(spark, sf_dir), "job_user_pivot_incremental", user_pivot_incremental))
+
+
+def q_job_user_terms_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 in long form, in two runs."""
+    return read_table(spark, USER_TERMS, _incremental(spark, event_messages(spark, sf_dir), "job_user_terms_incremental", user_terms_incremental))
+
+
+def q_job_trending_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 in two runs."""
+    return to_ntz(read_table(spark, TRENDING, _incremental(spark, event_messages(spark, sf_dir), "job_trending_incremental", trending_incremental)))
+
+
+def q_live_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 as a ranking: the top of every window, kept on the stream, from the
+    changes it has emitted.  The files are in no order of time, so no event
+    may be late and all windows stay open."""
+    base = shared_dir(spark, "live_topk")
+    timed = with_event_time(decode(_event_stream(spark, sf_dir, base), EVENT, fields=["search", "timestamp"]))
+    sink, checkpoint = SinkConfig(root=base, snapshots=True), os.path.join(base, "checkpoint")
+    top = live_topk(timed, LONG_WATERMARK, RANK_K, buckets=LIVE_BUCKETS)
+    append = append_batches("top", sink, log_count=False, owner=checkpoint)
+    run_to_end(start(top, checkpoint, mode="update", trigger=DRAIN, foreach_batch=append, state="rocksdb"))
+    return to_ntz(latest_topk(read_table(spark, "top", sink, top.schema).select(*top.columns), RANK_K))
+
+
+def q_stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event sent twice, as by a producer that retries, with its id:
+    each is taken once."""
+    base = shared_dir(spark, "stream_deduplicated")
+    events = load_table(spark, sf_dir, "events")
+    sent = encode_json(event_rows(events, "event_id"))
+    topic = os.path.join(base, "topic")
+    for _ in range(2):
+        write_topic_files(sent, topic, rows_per_file=FILE_MESSAGES)
+    schema = StructType([*EVENT.fields, StructField("event_id", LongType())])
+    stream = with_event_time(decode(stream_topic_files(spark, topic, max_files_per_trigger=BATCH_FILES), schema))
+    once = distinct_messages(stream, ["event_id"], "timestamp_dt", LONG_WATERMARK)
+    sink, checkpoint = SinkConfig(root=base, snapshots=True), os.path.join(base, "checkpoint")
+    append = append_batches("once", sink, log_count=False, owner=checkpoint)
+    run_to_end(start(once, checkpoint, trigger=DRAIN, foreach_batch=append, state="rocksdb"))
+    return to_ntz(read_table(spark, "once", sink, once.schema).select(*once.columns))
+
+
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event messages, of which some users' are broken: cut short, in a
+    list, or with an id that is no number."""
+    events = load_table(spark, sf_dir, "events")
+    kind = F.pmod(F.col("user_id"), F.lit(7))
+    broken = (
+        F.when(kind == 0, F.expr("substring(text, 1, length(text) - 1)"))
+        .when(kind == 1, F.concat(F.lit("["), F.col("text"), F.lit("]")))
+        .when(kind == 2, F.replace(F.col("text"), F.lit('"user_id":'), F.lit('"user_id":"no number","was":')))
+        .otherwise(F.col("text"))
+    )
+    sent = event_rows(events).select("user_id", F.to_json(F.struct("*")).alias("text"))
+    return sent.select(broken.cast("binary").alias("value"))
+
+
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages by outcome, and the decoded fields of the good ones."""
+    routed = route(damaged_messages(spark, sf_dir), EVENT)
+    good = routed.good().groupBy("search").agg(F.count("*").alias("count")).select(F.lit("good").alias("outcome"), "search", "count")
+    bad = routed.bad().groupBy("reason").agg(F.count("*").alias("count"))
+    return good.unionByName(bad.select(F.col("reason").alias("outcome"), F.lit(None).cast("string").alias("search"), "count"))
+
+
 QUERIES: dict[str, Query] = {
     "decode_events": q_decode_events,
     "replace_event_time": q_replace_event_time,
@@ -352,6 +494,15 @@ QUERIES: dict[str, Query] = {
     "live_trending": q_live_trending,
     "live_trending_update": q_live_trending_update,
     "stream_user_pivot": q_stream_user_pivot,
+    "replace_table": q_replace_table,
+    "append_replayed": q_append_replayed,
+    "job_top_searches_incremental": q_job_top_searches_incremental,
+    "job_user_pivot_incremental": q_job_user_pivot_incremental,
+    "job_user_terms_incremental": q_job_user_terms_incremental,
+    "job_trending_incremental": q_job_trending_incremental,
+    "live_topk": q_live_topk,
+    "stream_deduplicated": q_stream_deduplicated,
+    "quarantine": q_quarantine,
 }
 
 __all__ = ["QUERIES"]

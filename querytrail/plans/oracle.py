@@ -151,4 +151,49 @@ SQL: dict[str, str] = {
     "stream_user_pivot": "SELECT user_id, "
     + ", ".join(f"count(*) FILTER (WHERE search = '{t}') AS \"{t}\"" for t in _PIVOT_TERMS)
     + f" FROM ({_WIRE}) w GROUP BY user_id",
+    "replace_table": f"""
+    SELECT user_id, search, region, timestamp, timestamp_dt
+    FROM ({_WIRE}) w WHERE contains(lower(search), lower('SiGn'))
+""",
+    "append_replayed": f"""
+    SELECT user_id, search, region, timestamp, timestamp_dt
+    FROM ({_WIRE}) w WHERE contains(lower(search), lower('SiGn'))
+""",
+    "job_top_searches_incremental": f"""
+    SELECT 'top_10_sehirler' AS output, value, count FROM (
+        SELECT region AS value, count(*) AS count FROM ({_LOG}) a
+        GROUP BY region ORDER BY count DESC, value ASC NULLS FIRST LIMIT 10) r
+    UNION ALL
+    SELECT 'top_10_aramalar' AS output, value, count FROM (
+        SELECT search AS value, count(*) AS count FROM ({_LOG}) b
+        GROUP BY search ORDER BY count DESC, value ASC NULLS FIRST LIMIT 10) s
+""",
+    "job_user_pivot_incremental": "SELECT user_id, "
+    + ", ".join(f"count(*) FILTER (WHERE search = '{t}') AS \"{t}\"" for t in _PIVOT_TERMS)
+    + f" FROM ({_WIRE}) w GROUP BY user_id",
+    "job_user_terms_incremental": f"""
+    SELECT user_id, search, count(*) AS count FROM ({_WIRE}) w GROUP BY user_id, search
+""",
+    "job_trending_incremental": _WINDOWS,
+    "live_topk": f"""
+    SELECT start_time, end_time, search, count, rank FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY start_time, end_time
+                                          ORDER BY count DESC, search ASC NULLS FIRST) AS INTEGER) AS rank
+        FROM ({_WINDOWS}) c
+    ) r WHERE rank <= 3
+""",
+    "stream_deduplicated": """
+    SELECT CAST(user_id AS INTEGER) AS user_id, event_type AS search,
+           'NATION_' || CAST(user_id % 25 AS VARCHAR) AS region,
+           strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, event_id,
+           date_trunc('second', ts) AS timestamp_dt
+    FROM events
+""",
+    "quarantine": f"""
+    SELECT outcome, search, count(*) AS count FROM (
+        SELECT CASE user_id % 7 WHEN 0 THEN 'not json' WHEN 1 THEN 'not an object' WHEN 2 THEN 'bad fields' ELSE 'good' END AS outcome,
+               CASE WHEN user_id % 7 > 2 THEN search END AS search
+        FROM ({_WIRE}) w
+    ) o GROUP BY outcome, search
+""",
 }

@@ -7,6 +7,7 @@ from querytrail.sinks.batches import (
     claim_output,
     read_batches,
     replace_each_batch,
+    split_batches,
     stream_tag,
 )
 from querytrail.sinks.snapshots import CommitFailed, OutputOwnedElsewhere, SchemaChanged, Snapshot, SnapshotTable
@@ -31,6 +32,7 @@ __all__ = [
     "read_batches",
     "read_table",
     "replace_each_batch",
+    "split_batches",
     "stream_tag",
     "write_all",
     "write_table",

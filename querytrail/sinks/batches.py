@@ -6,9 +6,11 @@ import hashlib
 import logging
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from querytrail.functions.quarantine import Routed
 from querytrail.sinks.snapshots import OutputOwnedElsewhere
 from querytrail.sinks.store import Store
 from querytrail.sinks.tables import FILE_FORMATS, SinkConfig, read_table, write_table
@@ -186,3 +188,24 @@ def read_batches(spark: SparkSession, name: str, sink: SinkConfig, keep_batch_id
     if not keep_batch_id and BATCH_COLUMN in df.columns:
         df = df.drop(BATCH_COLUMN)
     return df
+
+
+def split_batches(routed: Routed, good: Callable[[DataFrame, int], None], bad: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` callback over ``routed.rows`` that hands each batch's
+    good and bad messages to two callbacks, :func:`append_batches` of two
+    outputs (P2).
+
+    The batch is parsed once and kept for both, on disk where memory is short;
+    its size is the trigger's.  Each output is exactly-once for itself, so a
+    replay completes whichever was not written.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good(routed.good(held), batch_id)
+            bad(routed.bad(held), batch_id)
+        finally:
+            held.unpersist()
+
+    return write

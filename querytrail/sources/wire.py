@@ -30,13 +30,15 @@ def as_topic(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df if partitions is None else df.repartition(partitions, F.monotonically_increasing_id())
 
 
-def event_rows(events: DataFrame) -> DataFrame:
-    """``events`` -> EVENT fields: user_id int, search, region, ISO time text."""
+def event_rows(events: DataFrame, *more: str) -> DataFrame:
+    """``events`` -> EVENT fields: user_id int, search, region, ISO time text;
+    and the columns ``more`` as they are."""
     return events.select(
         F.col("user_id").try_cast("int").alias("user_id"),  # out of range -> null, as the decoder does
         F.col("event_type").alias("search"),
         F.concat(F.lit(REGION_PREFIX), (F.col("user_id") % REGION_BUCKETS).cast("string")).alias("region"),
         F.date_format(F.col("ts"), ISO_SECONDS).alias("timestamp"),
+        *more,
     )
 
 

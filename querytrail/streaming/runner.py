@@ -2,11 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+# Settings of a query's state store (fixed names of Spark).  RocksDB keeps the
+# state on the executors' disks, not in their heap, and with changelogs a
+# checkpoint writes what a batch changed, not a whole copy.
+STATE_STORES: dict[str, dict[str, str]] = {
+    "rocksdb": {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    },
+    "memory": {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider",
+    },
+}
+
+
+@contextmanager
+def state_store(spark: SparkSession, kind: str | None) -> Iterator[None]:
+    """Queries that start inside keep their state in a store of this kind: a
+    query takes the session's settings when it starts, and they are put back
+    afterwards."""
+    if kind is not None and kind not in STATE_STORES:
+        raise ValueError(f"unknown state store {kind!r}; known: {sorted(STATE_STORES)}")
+    wanted = STATE_STORES.get(kind, {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
 
 def start(
     sdf: DataFrame,
@@ -18,6 +50,7 @@ def start(
     options: dict[str, str] | None = None,
     path: str | None = None,
     query_name: str | None = None,
+    state: str | None = None,
 ) -> StreamingQuery:
     """Start ``sdf`` with a required checkpoint (T4).
 
@@ -25,6 +58,10 @@ def start(
     default micro-batch trigger (T3), ``{"processingTime": "10 seconds"}``
     the reference's fixed interval (T2), ``{"availableNow": True}`` drains
     what is there and stops (tests, backfills).
+
+    ``state`` names the store of a stateful query (:data:`STATE_STORES`):
+    ``rocksdb`` for state that outgrows the executors' heaps; by default the
+    session's.  A checkpoint belongs to the store it was begun with.
     """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
@@ -39,7 +76,8 @@ def start(
         w = w.format(fmt)
     if options:
         w = w.options(**options)
-    return w.start(path) if path else w.start()
+    with state_store(sdf.sparkSession, state):
+        return w.start(path) if path else w.start()
 
 
 def to_console(sdf: DataFrame, checkpoint: str, trigger: dict | None = None, rows: int = 20) -> StreamingQuery:
