@@ -18,7 +18,6 @@ batch, never the model.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,12 +32,12 @@ from querytrail.llm.common import byte_columns, chunks, map_array, mix64, runs,
 #: Words of a vocabulary file, training tokens of a pair shard, and ids of a
 #: range: the sizes of what one task merges.
 VOCABULARY_SHARD = 1 << 20
-PAIR_SHARD = 1 << 22
+PAIR_SHARD = 1 << 20
 ID_RANGE = 1 << 20
 #: Pairs (or hashes) that a task gathers before it emits a block.
-BUFFER = 1 << 21
+BUFFER = 1 << 20
 #: Text that is scored at a time: its distinct pairs are looked up together.
-SCORE_BYTES = 1 << 22
+SCORE_BYTES = 1 << 21
 
 END_HASH = np.uint64(0x51ED270B9F1A3C77)
 _32 = np.uint64(32)
@@ -328,13 +327,14 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
             for shard, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 held.setdefault(shard, []).append(block)
         for shard, raw in sorted(held.items()):
-            parts = [_unpacked(b, 2) for b in raw]
-            key, n = _merge([p[0] for p in parts], [p[1] for p in parts])
+            held[shard] = []
+            key, n = _merge(*zip(*(_unpacked(raw.pop(), 2) for _ in range(len(raw))), strict=True))
             hashed = mix64(key)
             order = np.argsort(hashed)
             save_array(folder, f"pairs-{shard}", hashed[order])
-            save_array(folder, f"pair-counts-{shard}", np.minimum(n[order], 0xFFFFFFFF).astype(np.uint32))
-            rows = [(0, 0, _packed(np.arange(4), np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5]))]
+            save_array(folder, f"pair-counts-{shard}", _narrow(n[order]))
+            del hashed, order
+            rows = [(0, shard, _packed(np.arange(4), np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5]))]
             context, word = (key >> _32).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
             at = runs(context)
             sums = [np.add.reduceat(x, at[:-1]) for x in (n.astype(np.int64), *((n == 1).astype(np.int64), (n == 2).astype(np.int64), (n >= 3).astype(np.int64)))]
@@ -365,24 +365,26 @@ def fit(docs: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str =
             save_array(folder, f"contexts-{part}", sums[4].astype(np.uint32))
             types = np.bincount(np.minimum(sums[4], 5), minlength=6)
             row = _packed(np.arange(6), np.r_[types[1:5], types[5], sums[4].sum()])
-            yield pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["block"])
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([row], pa.binary())], ["range", "block"])
 
     ranges = len(vocabulary) // id_range + 1
-    of_words = _sum_blocks(partial.where("kind > 0").repartition(ranges, "range").mapInArrow(dense, "block binary"), 6)
-    for part in range(ranges):  # a range without pairs
-        if not _exists(folder, f"totals-{part}"):
-            for name, kind in (("totals", np.int64), ("weights", np.float32), ("contexts", np.uint32)):
-                save_array(folder, f"{name}-{part}", np.zeros(id_range, kind))
-    for s in range(1 << bits):
-        if not _exists(folder, f"pairs-{s}"):
-            save_array(folder, f"pairs-{s}", np.empty(0, np.uint64))
-            save_array(folder, f"pair-counts-{s}", np.empty(0, np.uint32))
+    stored = written(partial.where("kind > 0").repartition(ranges, "range").mapInArrow(dense, "range int, block binary"), "ngram-ranges")
+    of_words = _sum_blocks(stored.select("block"), 6)
+    # A shard or range that no task reported had no pairs: its arrays are empty.
+    # One that was reported and is not there when it is read is an error.
+    for part in set(range(ranges)) - {r[0] for r in stored.select("range").collect()}:
+        for name, kind in (("totals", np.int64), ("weights", np.float32), ("contexts", np.uint32)):
+            save_array(folder, f"{name}-{part}", np.zeros(id_range, kind))
+    for s in set(range(1 << bits)) - {r[0] for r in partial.where("kind = 0").select("range").collect()}:
+        save_array(folder, f"pairs-{s}", np.empty(0, np.uint64))
+        save_array(folder, f"pair-counts-{s}", np.empty(0, np.uint32))
     types = np.array([of_words[0], of_words[1], of_words[2] + of_words[3] + of_words[4]])
     return BigramModel(folder, vocabulary, tokens, bits, d, discounts(of_words[:4]), types, int(of_words[5]), id_range)
 
 
-def _exists(folder: str, name: str) -> bool:
-    return os.path.exists(os.path.join(folder, f"{name}.npy"))
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits where all of them fit, else in 64."""
+    return counts.astype(np.uint32 if int(counts.max(initial=0)) < 1 << 32 else np.uint64)
 
 
 def _contexts(words: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:

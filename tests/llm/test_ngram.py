@@ -83,3 +83,24 @@ def test_copies_score_better_than_the_base(spark):
     docs = documents(spark, [(i, "the quick brown fox jumps over the lazy dog " * 3) for i in range(40)])
     got = ngram.score(docs, ngram.fit(docs, fold(10) != 0)).collect()
     assert all(r["score"] > r["base_score"] for r in got)
+
+
+def test_counts_beyond_32_bits_stay():
+    for counts in ([1, (1 << 32) - 1], [1, 1 << 32], [5, 1 << 40]):
+        assert ngram._narrow(np.array(counts)).tolist() == counts
+    assert ngram._narrow(np.array([1])).dtype == np.uint32 and ngram._narrow(np.empty(0, np.int64)).tolist() == []
+
+
+def test_a_missing_shard_is_an_error(spark):
+    import os
+
+    docs = documents(spark, texts())
+    model = ngram.fit(docs, F.lit(True))
+    stored = sorted(f for f in os.listdir(model.folder) if f.startswith(("pairs-", "totals-")))
+    assert stored
+    for name in stored:
+        os.rename(os.path.join(model.folder, name), os.path.join(model.folder, f"gone-{name}"))
+        with pytest.raises(Exception, match="(?i)no such file|FileNotFound"):
+            ngram.score(docs, model).collect()
+        os.rename(os.path.join(model.folder, f"gone-{name}"), os.path.join(model.folder, name))
+    assert ngram.score(docs, model).count() == docs.count()
