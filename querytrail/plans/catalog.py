@@ -25,10 +25,14 @@ from querytrail.operators.counts import count_by, row_count, top_k, top_values
 from querytrail.operators.filters import keyword_filter
 from querytrail.operators.pivot import pivot_counts, pivot_pairs
 from querytrail.operators.ranking import user_top_terms
+from querytrail.operators.sketches import merge_sketches, sketched_topk
 from querytrail.operators.windows import hourly_counts, trending, trending_topk
 from querytrail.plans.incremental import (
+    Sketches,
+    state_table,
     top_searches_incremental,
     trending_incremental,
+    update_counts,
     user_pivot_incremental,
     user_terms_incremental,
 )
@@ -440,6 +444,16 @@ def q_stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_ntz(read_table(spark, "once", sink, once.schema).select(*once.columns))
 
 
+def q_trending_daily_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O3 over any span: 30-minute sketches, kept by two runs over the growing
+    topic, merged to days; the terms fit the sketch, so counts are exact."""
+    base, kind = shared_dir(spark, "trending_daily_sketch"), Sketches()
+    state = SinkConfig(root=os.path.join(base, "state"))
+    _two_runs(spark, event_messages(spark, sf_dir), base, lambda stream: update_counts(stream, kind, state, os.path.join(base, "checkpoint")))
+    stored = state_table(spark, state, kind).read(schema=kind.schema)
+    return to_ntz(sketched_topk(merge_sketches(stored, width="1 day"), RANK_K))
+
+
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event messages, of which some users' are broken: cut short, in a
     list, or with an id that is no number."""
@@ -502,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "job_trending_incremental": q_job_trending_incremental,
     "live_topk": q_live_topk,
     "stream_deduplicated": q_stream_deduplicated,
+    "trending_daily_sketch": q_trending_daily_sketch,
     "quarantine": q_quarantine,
 }
 

@@ -25,6 +25,7 @@ from querytrail.functions.names import column
 from querytrail.operators.counts import COUNT, count_by, grouping_counts
 from querytrail.operators.pivot import DEFAULT_MAX_VALUES, pivot_pairs
 from querytrail.operators.ranking import top_per_group
+from querytrail.operators.sketches import TRACKED, merge_sketches, term_sketches
 from querytrail.operators.windows import window_counts
 from querytrail.plans.jobs import TOP_REGIONS, TOP_SEARCHES, TRENDING, USER_PIVOT, USER_TERMS, JobResult
 from querytrail.schemas import EVENT, LOG
@@ -88,11 +89,36 @@ def window_terms(width: str = "30 minutes") -> Counts:
     return Counts(name, ("start_time", "end_time", "search"), partial, _schema(start_time=TimestampType(), end_time=TimestampType(), search=StringType()))
 
 
-def state_table(spark: SparkSession, sink: SinkConfig, counts: Counts) -> SnapshotTable:
+@dataclass(frozen=True)
+class Sketches:
+    """Frequent terms by window, for terms without bound: like
+    :class:`Counts`, with sketches that merge instead of counts that add up."""
+
+    width: str = "30 minutes"
+    tracked: int = TRACKED
+
+    @property
+    def name(self) -> str:
+        return f"term_sketches_state_{self.tracked}_" + "_".join(self.width.lower().split())
+
+    @property
+    def schema(self) -> StructType:
+        sketch = "struct<sketch: binary, maxItemsTracked: int, itemDataType: string, itemDataTypeDDL: string>"
+        return StructType.fromDDL(f"start_time timestamp, end_time timestamp, sketch {sketch}, rows bigint")
+
+    def partial(self, messages: DataFrame) -> DataFrame:
+        timed = with_event_time(decode(messages, EVENT, fields=["search", "timestamp"]))
+        return term_sketches(timed, width=self.width, tracked=self.tracked)
+
+    def merged(self, rows: DataFrame) -> DataFrame:
+        return merge_sketches(rows, tracked=self.tracked)
+
+
+def state_table(spark: SparkSession, sink: SinkConfig, counts: Counts | Sketches) -> SnapshotTable:
     return replace(sink, snapshots=True).table(spark, counts.name)
 
 
-def update_counts(stream: DataFrame, counts: Counts, state: SinkConfig, checkpoint: str, compact_at: int = COMPACT_AT, timeout: float | None = None) -> DataFrame:
+def update_counts(stream: DataFrame, counts: Counts | Sketches, state: SinkConfig, checkpoint: str, compact_at: int = COMPACT_AT, timeout: float | None = None) -> DataFrame:
     """Count the messages of ``stream`` that no earlier run has, and return
     the counts over all runs.
 

@@ -188,6 +188,14 @@ SQL: dict[str, str] = {
            strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS timestamp, event_id,
            date_trunc('second', ts) AS timestamp_dt
     FROM events
+""",
+    "trending_daily_sketch": f"""
+    SELECT start_time, start_time + INTERVAL '1 day' AS end_time, search, count, largest_error, rank FROM (
+        SELECT *, CAST(0 AS BIGINT) AS largest_error,
+               CAST(row_number() OVER (PARTITION BY start_time ORDER BY count DESC, search ASC NULLS FIRST) AS INTEGER) AS rank
+        FROM (SELECT date_trunc('day', timestamp_dt)::TIMESTAMP AS start_time, search, count(*) AS count
+              FROM ({_WIRE}) w WHERE timestamp_dt IS NOT NULL GROUP BY 1, 2) c
+    ) r WHERE rank <= 3
 """,
     "quarantine": f"""
     SELECT outcome, search, count(*) AS count FROM (

@@ -1,0 +1,81 @@
+"""Sketches against exact counts."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from querytrail.operators import largest_error, merge_sketches, sketched_topk, term_sketches, trending_topk
+from querytrail.plans import incremental as I
+from querytrail.sinks import SinkConfig, SnapshotTable
+
+BASE = dt.datetime(2024, 1, 1)
+
+
+def _events(spark, n=60_000, terms=5000):
+    """Six half hours; half of the rows are a few hot terms, one of them null."""
+    term = F.when(F.col("id") % 4 == 0, "hot").when(F.col("id") % 8 == 1, None).when(F.col("id") % 8 == 3, "warm").otherwise(F.concat(F.lit("t"), (F.col("id") * 7919 % terms).cast("string")))
+    time = F.timestamp_seconds(F.lit(int(dt.datetime(2024, 1, 1, tzinfo=dt.UTC).timestamp())) + F.col("id") % 6 * 1800)
+    return spark.range(0, n, 1, 4).select(time.alias("timestamp_dt"), term.alias("search"))
+
+
+def test_counts_within_the_stated_error(spark):
+    events = _events(spark)
+    tracked = 200
+    got = sketched_topk(term_sketches(events, tracked=tracked), 3, tracked=tracked).collect()
+    exact = {(r.start_time, r.search): r["count"] for r in trending_topk(events, 900).collect()}
+    rows = 10_000
+    assert largest_error(tracked) == 3.5 / 512
+    for r in got:
+        true = exact[(r.start_time, r.search)]
+        assert true <= r["count"] <= true + r.largest_error and 0 < r.largest_error <= -(-rows * 3.5 // 512)
+    # Terms with more rows than the error are all there.
+    frequent = {key for key, n in exact.items() if n > rows * largest_error(tracked)}
+    assert frequent == {(r.start_time, r.search) for r in got if r["count"] - r.largest_error > 0} & frequent
+    assert len(frequent) > 6
+
+
+def test_exact_where_the_terms_fit(spark):
+    events = _events(spark, 6000, 50)
+    got = sketched_topk(term_sketches(events), 4)
+    assert got.where("largest_error > 0").count() == 0
+    want = trending_topk(events, 4)
+    cols = ["start_time", "end_time", "search", "count", "rank"]
+    assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+
+
+def test_merging_stored_sketches_equals_one_sketch_over_all(spark, scratch):
+    events = _events(spark, 6000, 50)
+    table = SnapshotTable(spark, os.path.join(scratch, "sketches"))
+    for i in range(2):
+        table.append(term_sketches(events.where(F.pmod(F.xxhash64("search", "timestamp_dt"), F.lit(2)) == i)))
+    for merged, width in ((merge_sketches(table.read()), "30 minutes"), (merge_sketches(table.read(), width="1 hour"), "1 hour")):
+        want = trending_topk(events, 3, width=width)
+        cols = ["start_time", "end_time", "search", "count", "rank"]
+        assert sorted(map(str, sketched_topk(merged, 3).select(*cols).collect())) == sorted(map(str, want.select(*cols).collect()))
+    whole = sketched_topk(merge_sketches(table.read(), by=None), 2, by=())
+    exact = events.groupBy("search").count().orderBy(F.desc("count"), F.asc_nulls_first("search")).limit(2).collect()
+    assert [(r.search, r["count"]) for r in whole.orderBy("rank").collect()] == [(r.search, r["count"]) for r in exact]
+
+
+def test_a_window_is_one_row_whatever_its_terms(spark):
+    sketches = term_sketches(_events(spark), tracked=100)
+    assert sketches.count() == 6
+    assert max(len(r.sketch.sketch) for r in sketches.collect()) < 20_000
+
+
+def test_empty_null_times_and_arguments(spark):
+    none = spark.createDataFrame([(None, "a")], "timestamp_dt timestamp, search string")
+    assert term_sketches(none).count() == 0
+    assert sketched_topk(merge_sketches(term_sketches(none), by=None), by=()).count() == 0
+    for bad in (0, 10**6 + 1):
+        with pytest.raises(ValueError):
+            term_sketches(none, tracked=bad)
+
+
+def test_the_state_schema_is_that_of_the_sketches(spark):
+    kind = I.Sketches()
+    messages = spark.createDataFrame([], "value binary")
+    assert [(f.name, f.dataType.simpleString()) for f in kind.partial(messages).schema] == [(f.name, f.dataType.simpleString()) for f in kind.schema]
+    assert SinkConfig(root="/r").path(kind.name) == "/r/term_sketches_state_1000_30_minutes"
