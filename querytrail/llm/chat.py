@@ -178,11 +178,31 @@ def turns_of(record: dict, m: Mapping) -> Iterator[tuple[int | None, int, str, s
         yield turn, 0, m.aliases.get(role, role), _text(item.get(m.text))
 
 
+def conversation_id(record: dict, m: Mapping, raw: str, number: int) -> int | None:
+    """The ``conv_id`` of a record: its id, where that is a whole number of 64
+    bits.  Any other id (a text, say) gives the hash of its JSON.  A record
+    that holds a conversation and has no id is one of its own: it gives a hash
+    of itself and its number among the rows.  A turn without an id has none."""
+    found = next((record[i] for i in m.ids if record.get(i) is not None), None)
+    if type(found) is int and -(1 << 63) <= found < 1 << 63:
+        return found
+    if found is not None:
+        name = f"id {json.dumps(found, sort_keys=True)}"
+    elif m.turn:
+        return None
+    else:
+        name = f"record {number} {raw}"
+    h = xxhash.xxh64_intdigest(name.encode("utf-8", "surrogatepass"), seed=7)
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 def canonical_turns(records: DataFrame, record_col: str = "record", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """Canonical turns of JSON records; see :data:`TURNS` for the columns.
 
-    Null texts and roles are empty.  A record that is null or not a JSON
-    object, or whose fields fit no mapping, is an error that names the
+    Null texts and roles are empty.  Rows of single turns belong together by
+    their id, null included; a record that holds a conversation and has no id
+    is a conversation of its own, repeats too (:func:`conversation_id`).  A
+    record that is null or not a JSON object, or whose fields fit no mapping, is an error that names the
     fields, as is one with a text that its mapping neither reads nor ignores.
     A record without turns gives no rows.
     """
@@ -195,7 +215,7 @@ def canonical_turns(records: DataFrame, record_col: str = "record", mappings: tu
 
         def rows() -> Iterator[dict]:
             for batch in batches:
-                for raw in batch.column(0).to_pylist():
+                for raw, number in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     record = json.loads(raw) if raw is not None else None
                     if not isinstance(record, dict):
                         raise ValueError("a chat record must be a JSON object")
@@ -208,13 +228,14 @@ def canonical_turns(records: DataFrame, record_col: str = "record", mappings: tu
                     left = [] if whole else unread(record, m)
                     if left:
                         raise ValueError(f"no mapping fits a record with texts beside the layout {m.name}: {left[:20]}")
-                    conv = next((record[i] for i in m.ids if record.get(i) is not None), None)
+                    conv = conversation_id(record, m, raw, number)
                     for turn, part, role, text in turns_of(record, m):
                         yield {"conv_id": conv, "turn": turn, "part": part, "role": role, "text": text, "layout": m.name, "fingerprint": key}
 
         yield from frames(rows(), schema)
 
-    return records.select(F.col(record_col).cast("string")).mapInArrow(run, TURNS)
+    numbered = records.select(F.col(record_col).cast("string"), F.monotonically_increasing_id())
+    return numbered.mapInArrow(run, TURNS)
 
 
 def escape(text: str, role: bool = False) -> str:

@@ -68,6 +68,26 @@ def test_system_context_and_history_are_turns(spark):
     assert got == {1: system + end, 2: system + end, 3: [("user", "c\n\nq"), end[1]], 4: system + before + end, 5: before + end, 6: end}
 
 
+def test_records_without_an_id_are_apart(spark):
+    pair = lambda q, a: {"instruction": q, "output": a}
+    rows = [pair("q1", "a1"), pair("q2", "a2"), pair("q1", "a1"), {"messages": [{"role": "user", "content": "x"}, {"role": "assistant", "content": "y"}]}]
+    got = chat.conversation_digests(chat.format_conversations(chat.canonical_turns(records(spark, rows)))).collect()
+    want = [[("user", "q1"), ("assistant", "a1")]] * 2 + [[("user", "q2"), ("assistant", "a2")], [("user", "x"), ("assistant", "y")]]
+    assert sorted(r["turns_sha256"] for r in got) == sorted(map(digest, want))
+    assert len({r["conv_id"] for r in got}) == 4 and all(r["n_turns"] == 2 for r in got)
+
+
+def test_ids_of_other_kinds(spark):
+    both = {"prompt": "q", "response": "a"}
+    rows = [{"id": i, **both} for i in ("identity_0", "identity_1", 1 << 63, 1.5, True, ["a"], 12)]
+    rows += [{"conv_id": "c", "turn": i, "role": r, "text": t} for i, r, t in ((1, "assistant", "a"), (0, "user", "q"))]
+    rows += [{"conv_id": None, "turn": 0, "role": "user", "text": "n"}]
+    got = chat.conversation_digests(chat.format_conversations(chat.canonical_turns(records(spark, rows)))).collect()
+    ids = [r["conv_id"] for r in got]
+    assert len(ids) == len(set(ids)) == 9 and 12 in ids and None in ids
+    assert sum(r["turns_sha256"] == digest([("user", "q"), ("assistant", "a")]) for r in got) == 8
+
+
 @pytest.mark.parametrize(
     "extra",
     [{"notes": "x"}, {"prompt": "x"}, {"meta": {"say": ["x"]}}, {"messages": [{"role": "user", "content": "q", "name": "x"}]}],
