@@ -5,11 +5,13 @@ letter runs, single digits, runs of other characters and English
 contractions before it merges.  Texts within Latin-1 are split here with
 byte tables, and each distinct piece of a task goes through the library's
 model once; all other texts, and those with a special token's marks, go
-through the library whole.  ``tests/llm`` compares both ways.
+through the library whole.  So does every text of a file whose own rules
+(:data:`RULES`) are others.  ``tests/llm`` compares both ways.
 """
 
 from __future__ import annotations
 
+import json
 from functools import lru_cache
 from itertools import chain
 
@@ -25,6 +27,23 @@ END_ID = 1
 MEMORY = 1 << 20
 TABLE_BITS = 22
 
+# The normaliser and splitter, in the file's own words, that the
+# byte tables below follow, and how its special tokens begin.
+RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+MARK = "<|"
+
 SPACE_, LETTER, NUMBER, OTHER = range(4)
 _CLASS = np.full(256, OTHER, np.uint8)
 _CLASS[[*range(0x09, 0x0E), 0x20, 0x85, 0xA0]] = SPACE_
@@ -63,7 +82,9 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        file = json.loads(self.tokenizer.to_str())
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.split_here = {key: file[key] for key in RULES} == RULES and all(t.startswith(MARK) for t in added)
         self.forget()
 
     def forget(self, room: int = 0) -> None:
@@ -164,7 +185,7 @@ class Encoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, offsets)`` of UTF-8 rows, each with :data:`END_ID` after it."""
         n = len(offsets) - 1
-        slow = np.zeros(n, bool)
+        slow = np.full(n, not self.split_here)
         odd = np.flatnonzero(data >= 0xC4)
         if len(odd):
             slow[np.unique(np.searchsorted(offsets, odd, side="right") - 1)] = True

@@ -111,3 +111,20 @@ def test_query_rows(spark):
     order = [r["doc_id"] for r in sorted(got, key=lambda r: r["start"])]
     assert order == sorted(order, key=lambda i: (i is not None, i or 0))
     assert idfiles.read_id_files(idfiles.write_id_files(documents(spark, []), FILE)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_installed_file_gives_the_library_s_ids(name):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file(name)
+    own, library = tokens.Encoder(path), Tokenizer.from_file(path)
+    assert own.split_here == (name == "word_bpe_49k.json")
+    rng = np.random.default_rng(11)
+    signs = list("aZ é'9 \t\n-.<|>") + ["'s", "the ", "ß", "½", "中"]
+    rows = ["".join(rng.choice(signs, rng.integers(0, 60))) for _ in range(300)] + ["<|endoftext|>", ""]
+    raw = [r.encode() for r in rows]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])]
+    ids, at = own.encode(data, offsets)
+    got = [ids[a : b - 1].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+    assert got == [library.encode(r, add_special_tokens=False).ids for r in rows]
