@@ -7,13 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from querytrail.functions.names import column
+from querytrail.functions.names import column, free_name
 from querytrail.operators.counts import COUNT, count_by
 
 # Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
 GROUP_LIMIT = 1000
 SPLITS = 64
-_FIRST = "__first"
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], k: int, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
@@ -31,7 +30,8 @@ def top_per_group(df: DataFrame, group: Sequence[str], k: int, order: Sequence[C
     if k > GROUP_LIMIT:
         part = F.pmod(F.xxhash64(*[column(c) for c in df.columns]), F.lit(SPLITS))
         first = Window.partitionBy(*[column(c) for c in group], part).orderBy(*order)
-        df = df.withColumn(_FIRST, F.row_number().over(first)).filter(F.col(_FIRST) <= k).drop(_FIRST)
+        cut = free_name("first", df.columns)
+        df = df.withColumn(cut, F.row_number().over(first)).filter(F.col(cut) <= k).drop(cut)
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 

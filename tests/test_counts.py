@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from querytrail.operators import count_by, row_count, top_k
 
 
@@ -64,3 +66,12 @@ def test_top_values_long_form(spark):
     assert got == sorted([("region", "a", 2, 1), ("region", None, 1, 2), ("search", "y", 3, 1), ("search", "x", 1, 2)], key=str)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Expand" in plan and "WindowGroupLimit" in plan
+
+
+def test_top_per_group_keeps_columns_of_any_name(spark):
+    from querytrail.operators import top_per_group
+
+    df = spark.createDataFrame([(1, i, "kept", "too") for i in range(1500)], "g int, first int, __first string, _first string")
+    out = top_per_group(df, ["g"], 1200, [F.col("first").desc()])
+    assert out.columns == ["g", "first", "__first", "_first", "rank"] and out.count() == 1200
+    assert out.where("__first = 'kept' AND _first = 'too'").count() == 1200
