@@ -21,17 +21,25 @@ MODULES = [
     "querytrail.sources.tables",
     "querytrail.functions.decode",
     "querytrail.functions.encode",
+    "querytrail.functions.quarantine",
     "querytrail.operators.counts",
     "querytrail.operators.pivot",
     "querytrail.operators.windows",
     "querytrail.operators.ranking",
     "querytrail.operators.filters",
+    "querytrail.operators.sketches",
     "querytrail.sinks.tables",
+    "querytrail.sinks.store",
+    "querytrail.sinks.snapshots",
     "querytrail.sinks.batches",
     "querytrail.sinks.topic",
     "querytrail.streaming.runner",
     "querytrail.streaming.live",
+    "querytrail.streaming.ranking",
+    "querytrail.streaming.dedupe",
+    "querytrail.streaming.supervise",
     "querytrail.plans.jobs",
+    "querytrail.plans.incremental",
     "querytrail.plans.reuse",
 ]
 
