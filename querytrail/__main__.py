@@ -42,6 +42,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--max-per-trigger", type=int, default=None, help="maxOffsetsPerTrigger / maxFilesPerTrigger")
     p.add_argument("--sink-format", default="parquet")
     p.add_argument("--sink-root", help="directory for file sinks")
+    p.add_argument("--snapshots", action="store_true", help="file sinks: snapshot tables (atomic replace, exactly-once appends)")
     p.add_argument("--sink-uri", help="document store connection URI")
     p.add_argument("--sink-database", help="document store database")
     p.add_argument("--k", type=int, default=10, help="top-k size (top-searches)")
@@ -74,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     spark = build_session(f"querytrail-{args.job}")
-    sink = SinkConfig(fmt=args.sink_format, root=args.sink_root, uri=args.sink_uri, database=args.sink_database)
+    sink = SinkConfig(fmt=args.sink_format, root=args.sink_root, uri=args.sink_uri, database=args.sink_database, snapshots=args.snapshots)
     extra = {}
 
     if args.job == "publish":

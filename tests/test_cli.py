@@ -87,3 +87,14 @@ def test_console_shows_the_decoded_rows(scratch):
     assert "Batch: 0" in done.stdout
     assert "|42     |maske |Izmir |2024-01-01T10:05:00Z|2024-01-01 10:05:00|" in done.stdout
     assert "|NULL   |NULL  |NULL  |NULL" in done.stdout
+
+
+def test_snapshot_sink_from_the_command_line(spark, scratch):
+    from querytrail.sinks import SinkConfig, read_table
+
+    ev = write_topic_files(events_wire(load_table(spark, SF_SMALL, "events")), os.path.join(scratch, "topic"))
+    out = os.path.join(scratch, "out")
+    for _ in range(2):
+        assert main(["user-terms", "--files", ev, "--sink-root", out, "--snapshots"]) == 0
+    found = read_table(spark, "search_by_userid_terms", SinkConfig(root=out, snapshots=True))
+    assert found.agg({"count": "sum"}).first()[0] == load_table(spark, SF_SMALL, "events").count()
