@@ -1,11 +1,14 @@
 """Adaptive context-mixing range coder for token ids.
 
-Every block of ids starts from a fresh state and can be decoded alone.  An id
-is coded as one of eight symbols: it equals the id last seen after the same
-two ids (order 2), after the same id (order 1), or neither; then the symbol
-is its magnitude, and its place within the magnitude follows: the upper six
-bits as two digits, coded by adaptive tables of their own (one per magnitude,
-then one per magnitude and first digit), the 3 to 10 bits below as plain bits.
+Every block of ids starts from a fresh state and can be decoded alone, with
+the table of its group of blocks.  An id is coded as one of eight symbols: it
+equals the id last seen after the same two ids (order 2), after the same id
+(order 1), or neither; then the symbol is its class.  The classes are runs of
+ids by falling count in the group, of about equal mass; the id's place within
+its class follows with the order-0 prediction that the group's :class:`Table`
+holds.  Symbol and place narrow the coder's range in one step, and no bit is
+stored plain.
+
 The symbol's distribution mixes three adaptive cumulative tables: one without
 context (order 0), one per hash of the last id (order 1) and one per hash of
 the last two (order 2).  The mixing weights move towards the table that
@@ -26,61 +29,108 @@ import numpy as np
 #: Ids in a block, and blocks that run in step (bound of memory).
 BLOCK_IDS = 4096
 LANES = 2048
-MAGIC = b"IDMIX2\n\0"
+MAGIC = b"IDMIX3\n\0"
 
 _SYMBOLS = 8
 _TOTAL = 1 << 15
 _CTX1, _CTX2 = 32, 64
 _SLOT1, _SLOT2 = 256, 512
-_RATE0, _RATE1, _RATE2, _RATE_DIGIT = 6, 5, 5, 5
+_RATE0, _RATE = 6, 5
 _W_LOW, _W_HIGH = 1024, 31744
 #: Steps whose contexts the encoder hashes at once.
 _AHEAD = 64
-_16, _48, _15 = np.uint64(16), np.uint64(48), np.uint64(15)
-_SETTLED, _TIGHT = np.uint64(1 << 48), np.uint64(1 << 40)
-_BELOW = np.uint64((1 << 40) - 1)
-
-#: The magnitudes: first id and bits below it of each symbol from 2 on; of the
-#: bits, the digits take the upper six, the rest is plain.
-_FIRST = np.array([0, 0, 0, 512, 1024, 2048, 4096, 16384], np.int32)
-_BITS = np.array([0, 0, 9, 9, 10, 11, 14, 16], np.int32)
-_DIGITS, _DIGIT_BITS = 2, 3
-_PLAIN = np.maximum(_BITS - _DIGITS * _DIGIT_BITS, 0)
-_MAGNITUDE = np.zeros(1 << 16, np.uint8)
-for _k in range(2, _SYMBOLS):
-    _MAGNITUDE[_FIRST[_k] :] = _k
-_PLACE = np.arange(1 << 16) - _FIRST[_MAGNITUDE]
-#: Each id's digits, and the row of the digit's tables: the magnitude and the
-#: digits before.
-_DIGIT = [(_PLACE >> (_BITS[_MAGNITUDE] - _DIGIT_BITS * (_k + 1)) & (_SYMBOLS - 1)).astype(np.uint8) for _k in range(_DIGITS)]
-_DIGIT_ROW = [(_MAGNITUDE.astype(np.int64) << _DIGIT_BITS * _k) + (_PLACE >> (_BITS[_MAGNITUDE] - _DIGIT_BITS * _k)) for _k in range(_DIGITS)]
+#: A step divides the range by the symbol's and the place's totals, 2**31.
+_15, _16, _31, _32 = np.uint64(15), np.uint64(16), np.uint64(31), np.uint64(32)
+_SETTLED, _TIGHT = np.uint64(1 << 32), np.uint64(1 << 31)
+_BELOW = np.uint64((1 << 31) - 1)
+_LAST = np.uint64((1 << 31) - 1)
+_IDS = _GUESSED = 1 << 16
 
 #: Where each table moves when a symbol occurred; every symbol keeps a share
 #: of at least 16 of 32768 in the tables, 15 in any mixture of them.
 _TARGET = np.array([[i * 16 if i <= s else _TOTAL - (_SYMBOLS - i) * 16 for i in range(_SYMBOLS)] for s in range(_SYMBOLS)], np.int16).view("V16").reshape(-1)
 _UNIFORM = np.arange(_SYMBOLS, dtype=np.int16) * np.int16(_TOTAL // _SYMBOLS)
+_ROW = np.dtype("V16")  # a table row of eight 16-bit numbers, moved whole
 
 
-def _hash1(last: np.ndarray) -> np.ndarray:
-    return (last * 40503 >> 7) & (_SLOT1 - 1)
-
+_FACTOR, _SHIFT = np.array([[40503], [25717]]), np.array([[7], [9]])
+_SLOT_MASK, _ROW_MASK = np.array([[_SLOT1 - 1], [_SLOT2 - 1]]), np.array([[_CTX1 - 1], [_CTX2 - 1]])
 
-def _hash2(last: np.ndarray, before: np.ndarray) -> np.ndarray:
-    return (last * 25717 + before * 31337 >> 9) & (_SLOT2 - 1)
 
+def _contexts(last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the last id and of the last two, along a new axis before the
+    lanes: the slots of the ids seen after them, and the rows of the tables."""
+    slots = last[..., None, :] * _FACTOR
+    slots[..., 1, :] += before * 31337
+    slots >>= _SHIFT
+    slots &= _SLOT_MASK
+    return slots, slots & _ROW_MASK
 
-_ROW = np.dtype("V16")  # a table row of eight 16-bit numbers, moved whole
 
+class Table:
+    """Class and order-0 prediction of each id of a group of blocks: the place
+    of an id in its class starts at ``start`` and is ``width`` wide, of 65536.
+    An id that a context predicted stands at :data:`_GUESSED`, and has all.
+    """
 
-def _find(table: np.ndarray, value: np.ndarray) -> np.ndarray:
-    below = table <= np.repeat(value, _SYMBOLS)
-    return np.bitwise_count(below.view(np.uint64)) - np.uint8(1)
+    def __init__(self, ids: np.ndarray, kind: np.ndarray, width: np.ndarray) -> None:
+        self.ids, self.widths = ids, width
+        self.kind = np.full(_IDS, 2, np.uint8)
+        self.start, self.width = np.zeros(_IDS + 1, np.uint64), np.full(_IDS + 1, _IDS, np.uint64)
+        self.found = np.zeros(_SYMBOLS * _IDS, np.int32)
+        self.found[: 2 * _IDS] = _GUESSED
+        self.kind[ids] = kind
+        for k in range(2, _SYMBOLS):
+            of = np.flatnonzero(kind == k)
+            ends = np.cumsum(width[of])
+            if len(of) and ends[-1] != _IDS:
+                raise ValueError("a damaged table of ids")
+            self.start[ids[of]] = ends - width[of]
+            self.width[ids[of]] = width[of]
+            self.found[k * _IDS : (k + 1) * _IDS] = np.repeat(ids[of], width[of]) if len(of) else 0
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Table:
+        counts = np.bincount(ids, minlength=1)
+        present = np.flatnonzero(counts)
+        present = present[np.argsort(-counts[present], kind="stable")]
+        counts = counts[present]
+        before = np.cumsum(counts) - counts
+        kind = (2 + before * (_SYMBOLS - 2) // max(1, len(ids))).astype(np.uint8)
+        width = np.ones(len(present), np.int64)
+        for k in range(2, _SYMBOLS):
+            of = np.flatnonzero(kind == k)
+            if len(of):
+                width[of] += counts[of] * (_IDS - len(of)) // counts[of].sum()
+                width[of[0]] += _IDS - width[of].sum()
+        order = np.argsort(present)
+        return cls(present[order], kind[order], width[order])
+
+    def to_bytes(self) -> bytes:
+        """The number of ids, the ids, their classes and their widths less one;
+        packed, behind the packed size and crc32 as ``<II``."""
+        raw = b"".join([struct.pack("<I", len(self.ids)), self.ids.astype("<u2").tobytes(), self.kind[self.ids].tobytes(), (self.widths - 1).astype("<u2").tobytes()])
+        packed = zlib.compress(raw)
+        return struct.pack("<II", len(packed), zlib.crc32(raw)) + packed
+
+    @classmethod
+    def read(cls, f) -> Table:
+        size, check = struct.unpack("<II", f.read(8))
+        try:
+            raw = zlib.decompress(f.read(size))
+        except zlib.error as e:
+            raise ValueError("a damaged table of ids") from e
+        if zlib.crc32(raw) != check:
+            raise ValueError("a table of ids fails its checksum")
+        (n,) = struct.unpack_from("<I", raw)
+        ids, kind = np.frombuffer(raw, "<u2", n, 4), np.frombuffer(raw, "u1", n, 4 + 2 * n)
+        return cls(ids.astype(np.int64), kind, np.frombuffer(raw, "<u2", n, 4 + 3 * n).astype(np.int64) + 1)
 
 
 class _Model:
-    """The tables of ``n`` lanes.  A step is :meth:`predict`, then
-    :meth:`update`; the first ``a`` lanes are still running.  Rows start
-    with 0, so the entry after a lane's last one is 0 as well.
+    """The adaptive state of ``n`` lanes.  A step is :meth:`predict`, then
+    :meth:`span` and :meth:`update`; the first ``a`` lanes are still running.
+    Rows start with 0, so the entry after a lane's last one is 0 as well.
 
     A mixture weighs each order's table; every 8th step the weights move
     towards the share that each order had in giving the symbol.
@@ -88,139 +138,114 @@ class _Model:
 
     def __init__(self, n: int) -> None:
         lane = np.arange(n)
-        self.base = lane * _SLOT1, lane * _SLOT2, lane * _CTX1, lane * _CTX2
-        self.c0 = np.tile(_UNIFORM, n)
-        self.c1 = np.tile(_UNIFORM, n * _CTX1).view(_ROW)
-        self.c2 = np.tile(_UNIFORM, n * _CTX2).view(_ROW)
-        self.w = np.full((3, n), 16384, np.int32)
+        self.slot_base = np.stack([lane * (_SLOT1 + _SLOT2), lane * (_SLOT1 + _SLOT2) + _SLOT1])
+        self.row_base = np.stack([lane * (_CTX1 + _CTX2), lane * (_CTX1 + _CTX2) + _CTX1])
+        self.slots = np.zeros(n * (_SLOT1 + _SLOT2), np.uint16)
+        self.rows = np.tile(_UNIFORM, n * (_CTX1 + _CTX2)).view(_ROW)
+        self.w = np.full((3, n), 16384, np.int64)
         self.w[2] = 32768
-        self.digits = [np.tile(_UNIFORM, n * _SYMBOLS ** (k + 1)).view(_ROW) for k in range(_DIGITS)]
-        self.slot1 = np.zeros(n * _SLOT1, np.uint16)
-        self.slot2 = np.zeros(n * _SLOT2, np.uint16)
-        self.row_at = lane * _SYMBOLS
-        self.digit_base = [lane * _SYMBOLS ** (k + 1) for k in range(_DIGITS)]
+        self.t = np.tile(_UNIFORM, n).reshape(1, -1)
         self._resize(n)
 
     def _resize(self, a: int) -> None:
-        """Work space for ``a`` lanes."""
+        """Work space for ``a`` lanes; the order-0 tables stay in theirs."""
         k = a * _SYMBOLS
-        self.a, self.k = a, k
-        self.t = np.empty((3, k), np.int16)
-        self.rows1, self.rows2 = self.t[1].view(_ROW), self.t[2].view(_ROW)
-        self.move = np.empty((3, k), np.int16)
-        self.part = np.empty((3, k), np.int32)
-        self.mixed = np.zeros(k + 1, np.int16)
-        self.wide = np.repeat(self.w[:, :a], _SYMBOLS, axis=1)
-
-    def predict(self, h1: np.ndarray, h2: np.ndarray) -> None:
-        """Guessed ids and the mixed table, from the hashes of the last ids."""
-        a = len(h1)
+        self.a, self.flat = a, np.zeros(3 * k + 1, np.int16)
+        t = self.flat[:-1].reshape(3, k)
+        t[0] = self.t[0, :k]
+        self.t, self.near = t, t[1:].view(_ROW)
+        self.move, self.part = np.empty((3, k), np.int16), np.empty((3, k), np.int32)
+        self.mixed = np.empty(k, np.int16)
+        self.entry = np.arange(2)[:, None, None] + np.arange(3)[None, :, None] * k + np.arange(a) * _SYMBOLS
+        self.wide = None
+
+    def predict(self, slots: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The ids that order 1 and order 2 expect, from :func:`_contexts`."""
+        a = slots.shape[-1]
         if a != self.a:
             self._resize(a)
-        b1, b2, d1, d2 = self.base
-        self.at1, self.at2 = b1[:a] + h1, b2[:a] + h2
-        self.guess1, self.guess2 = self.slot1.take(self.at1), self.slot2.take(self.at2)
-        self.r1, self.r2 = d1[:a] + (h1 & (_CTX1 - 1)), d2[:a] + (h2 & (_CTX2 - 1))
-        t, part = self.t, self.part
-        t[0] = self.c0[: self.k]
-        self.c1.take(self.r1, out=self.rows1, mode="clip")
-        self.c2.take(self.r2, out=self.rows2, mode="clip")
-        part[:] = t
+        self.slot_at, self.row_at = slots + self.slot_base[:, :a], rows + self.row_base[:, :a]
+        self.rows.take(self.row_at, out=self.near, mode="clip")
+        return self.slots.take(self.slot_at)
+
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """The symbol of each lane whose span holds ``value``."""
+        if self.wide is None:
+            self.wide = np.repeat(self.w[:, : self.a].astype(np.int32), _SYMBOLS, axis=1)
+        part = self.part
+        part[:] = self.t
         part *= self.wide
         part[0] += part[1]
         part[0] += part[2]
         part[0] >>= 16
-        self.mixed[: self.k] = part[0]
-
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The symbol of each lane whose span holds ``value``."""
-        return _find(self.mixed[: self.k], value)
-
-    def _span(self, table: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start = table.take(at).astype(np.int32)
-        return start, ((table.take(at + 1, mode="wrap").astype(np.int32) - 1) & (_TOTAL - 1)) + 1 - start
+        self.mixed[:] = part[0]
+        below = self.mixed <= np.repeat(value, _SYMBOLS)
+        return np.bitwise_count(below.view(np.uint64)) - np.uint8(1)
 
     def span(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of each lane's symbol in the mixed table."""
-        start, width = self._span(self.mixed, self.row_at[: self.a] + symbol)
-        return start.astype(np.uint64), width.astype(np.uint64)
-
-    def _weigh(self, symbol: np.ndarray) -> None:
-        at, w = self.row_at[: self.a] + symbol, self.w[:, : self.a]
-        share = [x * self._span(t, at)[1].astype(np.int64) for t, x in zip(self.t, w, strict=True)]
-        total = share[0] + share[1] + share[2]
-        for x, part in zip(w[:2], share[:2], strict=True):
-            x += ((((part << 16) // total) - x) >> 4).astype(np.int32)
-            np.clip(x, _W_LOW, _W_HIGH, out=x)
+        """Start and width of each lane's symbol in the mixture."""
+        self.ends = self.flat.take(self.entry + symbol)
+        parts = self.ends * self.w[:, : self.a]
+        both = parts[:, 0]
+        both += parts[:, 1]
+        both += parts[:, 2]
+        both >>= 16
+        start, end = both
+        end -= 1
+        end &= _TOTAL - 1
+        end -= start
+        end += 1
+        return start.view(np.uint64), end.view(np.uint64)
+
+    def _weigh(self) -> None:
+        w = self.w[:, : self.a]
+        start, end = self.ends.astype(np.int64)
+        share = (((end - 1) & (_TOTAL - 1)) + 1 - start) * w
+        part = (share[:2] << 16) // share.sum(0)
+        part -= w[:2]
+        part >>= 4
+        w[:2] += part
+        np.clip(w[:2], _W_LOW, _W_HIGH, out=w[:2])
         w[2] = 65536 - w[0] - w[1]
-        self.wide = np.repeat(w, _SYMBOLS, axis=1)
+        self.wide = None
 
     def update(self, symbol: np.ndarray, ids: np.ndarray, step: int) -> None:
-        t, move = self.t, self.move
+        """After :meth:`span` of the same symbols."""
         if step & 7 == 0:
-            self._weigh(symbol)
+            self._weigh()
+        t, move = self.t, self.move
         np.subtract(_TARGET.take(symbol).view(np.int16), t, out=move)
-        for part, rate in zip(move, (_RATE0, _RATE1, _RATE2), strict=True):
-            part >>= rate
+        move[0] >>= _RATE0
+        move[1:] >>= _RATE
         t += move
-        self.c0[: self.k] = t[0]
-        self.c1[self.r1] = self.rows1
-        self.c2[self.r2] = self.rows2
-        self.slot1[self.at1] = ids
-        self.slot2[self.at2] = ids
-
-    def digit_table(self, k: int, lanes: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The places and the table of the ``k``-th digit in some lanes."""
-        at = self.digit_base[k].take(lanes) + row
-        return at, self.digits[k].take(at).view(np.int16)
-
-    def digit_span(self, table: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        start, width = self._span(table, self.row_at[: len(digit)] + digit)
-        return start.astype(np.uint64), width.astype(np.uint64)
-
-    def digit_update(self, k: int, at: np.ndarray, table: np.ndarray, digit: np.ndarray) -> None:
-        move = _TARGET.take(digit).view(np.int16) - table
-        move >>= _RATE_DIGIT
-        table += move
-        self.digits[k][at] = table.view(_ROW)
+        self.rows[self.row_at] = self.near
+        self.slots[self.slot_at] = ids
 
 
 def _shift_out(low: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The lanes whose top 16 bits leave the coder now.  A symbol narrows a
-    range by at most 2**16, so one word a step keeps it above 2**40; a range
-    that is short but straddles a boundary is cut at it."""
-    settled = (low ^ (low + size)) < _SETTLED
-    tight = size < _TIGHT
-    tail = np.flatnonzero(tight & ~settled)
+    """The lanes whose top 32 bits leave the coder now.  A step narrows a range
+    by at most 2**31, and a range is above that after it: one that is short
+    but straddles a boundary is cut at it."""
+    top = low + size
+    top ^= low
+    settled, tight = top < _SETTLED, size < _TIGHT
+    tail = np.flatnonzero(tight > settled)
     if len(tail):
         size[tail] = (~low[tail] + np.uint64(1)) & _BELOW
     settled |= tight
     return np.flatnonzero(settled)
 
 
-def _plain_words(values: np.ndarray, bits: np.ndarray) -> list[np.ndarray]:
-    """Per lane (column) the plain bits as 16-bit words, lowest bit first.
-    A value has at most 16 bits, so it lies in the word where it starts and
-    the next one, and every word but a lane's last has a value's start."""
-    steps, n = values.shape
-    size = np.ascontiguousarray(bits.T).astype(np.int32)
-    at = np.cumsum(size, axis=1, dtype=np.int32)
-    words = (at[:, -1] + 15 >> 4) + 1
-    lane_at = np.cumsum(words) - words
-    at -= size
-    spread = np.ascontiguousarray(values.T).astype(np.uint32)
-    spread <<= (at & 15).astype(np.uint32)
-    at >>= 4
-    at += lane_at[:, None].astype(np.int32)
-    at, spread = at.reshape(-1), spread.reshape(-1)
-    starts = np.r_[0, np.flatnonzero(at[1:] != at[:-1]) + 1]
-    packed = np.zeros(int(words.sum()) + 1, np.uint32)
-    place = at[starts].astype(np.int64)
-    packed[place] = np.add.reduceat(spread & np.uint32(0xFFFF), starts)
-    spread >>= np.uint32(16)
-    packed[place + 1] += np.add.reduceat(spread, starts)
-    packed = packed.astype("<u2")
-    return [packed[i : i + w] for i, w in zip(lane_at, words, strict=True)]
+def _narrow(start: np.ndarray, width: np.ndarray, table: Table, at: np.ndarray, r: np.ndarray) -> None:
+    """From a symbol's span to how far the step moves a range of unit ``r``,
+    and its new size; ``at``: the id, or :data:`_GUESSED`."""
+    place = table.start.take(at)
+    place *= width
+    start <<= _16
+    start += place
+    start *= r
+    width *= table.width.take(at)
+    width *= r
 
 
 def _active(lens: np.ndarray, steps: int) -> list[int]:
@@ -228,146 +253,97 @@ def _active(lens: np.ndarray, steps: int) -> list[int]:
     return np.searchsorted(-lens, -np.arange(steps), side="left").tolist()
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """The payload of each block of ids below 65536 (longest block first):
-    the number of coder words as ``<I``, these words, the plain words."""
+def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[bytes]:
+    """The payload of each block of ids below 65536 (longest block first), all
+    of them in ``table``: the coder's words as ``<u4``."""
     n = len(blocks)
     lens = np.array([len(b) for b in blocks])
     steps = int(lens[0]) if n else 0
     if not steps:
-        return [struct.pack("<I", 0)] * n
+        return [b""] * n
     whole = np.zeros((n, steps), np.uint16)
     for i, b in enumerate(blocks):
         whole[i, : len(b)] = b
     ids = np.ascontiguousarray(whole.T)
+    del whole
     model = _Model(n)
-
-    def put(lo: np.ndarray, r: np.ndarray, start: np.ndarray, width: np.ndarray, lanes: np.ndarray | None) -> None:
-        r >>= _15
-        start *= r
-        lo += start
-        r *= width
-        m = _shift_out(lo, r)
-        of = m if lanes is None else lanes[m]
-        v, at = lo[m], pos[of]
-        out[at] = v >> _48
-        pos[of] = at + 1
-        lo[m] = v << _16
-        r[m] <<= _16
-
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    room = (1 + _DIGITS) * steps + 8
-    out, pos = np.zeros(n * room, np.uint16), np.arange(n) * room
-    symbols = _MAGNITUDE[ids]
+    room = steps + 2
+    out, pos = np.zeros(n * room, np.uint32), np.arange(n) * room
     past = np.zeros((_AHEAD + 2, n), np.int64)  # the ids before a run of steps, and those of it
     for t, a in enumerate(_active(lens, steps)):
-        here = ids[t, :a]
         if t % _AHEAD == 0:
             past[:2] = past[-2:]
             past[2 : 2 + min(_AHEAD, steps - t)] = ids[t : t + _AHEAD]
-            h1, h2 = _hash1(past[1:-1]), _hash2(past[1:-1], past[:-2])
-        model.predict(h1[t % _AHEAD, :a], h2[t % _AHEAD, :a])
-        symbol = symbols[t, :a]
-        symbol[here == model.guess1] = 1
-        symbol[here == model.guess2] = 0
-        put(low[:a], size[:a], *model.span(symbol), None)
+            slots, rows = _contexts(past[1:-1], past[:-2])
+            kinds = table.kind.take(past[2:]).astype(np.int64)
+        here, symbol = ids[t, :a], kinds[t % _AHEAD, :a]
+        hit = model.predict(slots[t % _AHEAD, :, :a], rows[t % _AHEAD, :, :a]) == here
+        np.copyto(symbol, 1, where=hit[0])
+        np.copyto(symbol, 0, where=hit[1])
+        at = past[2 + t % _AHEAD, :a].copy()
+        np.copyto(at, _GUESSED, where=symbol < 2)
+        lo, r = low[:a], size[:a] >> _31
+        start, width = model.span(symbol)
+        _narrow(start, width, table, at, r)
+        lo += start
+        size[:a] = width
+        m = _shift_out(lo, size[:a])
+        v, at = lo[m], pos[m]
+        out[at] = v >> _32
+        pos[m] = at + 1
+        lo[m] = v << _32
+        size[m] <<= _32
         model.update(symbol, here, t)
-        lanes = np.flatnonzero(symbol > 1)
-        if len(lanes):
-            new, lo, r = here[lanes], low[lanes], size[lanes]
-            for k in range(_DIGITS):
-                digit = _DIGIT[k].take(new)
-                at, table = model.digit_table(k, lanes, _DIGIT_ROW[k].take(new))
-                put(lo, r, *model.digit_span(table, digit), lanes)
-                model.digit_update(k, at, table, digit)
-            low[lanes], size[lanes] = lo, r
-    for _ in range(4):
-        out[pos] = (low >> _48).astype(np.uint16)
+    for _ in range(2):
+        out[pos] = low >> _32
         pos += 1
-        low <<= _16
-    short = np.flatnonzero(lens < steps)
-    for i in short:  # nothing beyond a block's end
-        symbols[lens[i] :, i] = 0
-    bits = _PLAIN.astype(np.uint8).take(symbols)
-    ids -= _FIRST.astype(np.uint16).take(symbols)
-    ids &= ((1 << _PLAIN) - 1).astype(np.uint16).take(symbols)
-    plain = _plain_words(ids, bits)
-    return [struct.pack("<I", pos[i] - i * room) + out[i * room : pos[i]].astype("<u2").tobytes() + plain[i].tobytes() for i in range(n)]
-
-
-def decode_blocks(payloads: list[bytes], lens: np.ndarray) -> list[np.ndarray]:
+        low <<= _32
+    return [out[i * room : pos[i]].astype("<u4").tobytes() for i in range(n)]
+
+
+def decode_blocks(payloads: list[bytes], lens: np.ndarray, table: Table) -> list[np.ndarray]:
     """The ids of each block (longest block first)."""
     n = len(payloads)
     steps = int(lens[0]) if n else 0
     if not steps:
         return [np.empty(0, np.uint32)] * n
-    coded = [struct.unpack_from("<I", p)[0] for p in payloads]
-    sizes = np.array([(len(p) - 4) // 2 + 4 for p in payloads])
-    at = np.cumsum(sizes) - sizes
-    data = np.zeros(int(sizes.sum()) + 4, np.uint16)
-    for p, i in zip(payloads, at, strict=True):
-        words = np.frombuffer(p, "<u2", offset=4)
+    sizes = np.array([len(p) // 4 + 2 for p in payloads])
+    pos = np.cumsum(sizes) - sizes
+    data = np.zeros(int(sizes.sum()) + 2, np.uint32)
+    for p, i in zip(payloads, pos.tolist(), strict=True):
+        words = np.frombuffer(p, "<u4", len(p) // 4)
         data[i : i + len(words)] = words
-    pos = at.copy()
-    plain = (at + coded) << 4
-    top = len(data) - 2
+    top = len(data) - 1
     code = np.zeros(n, np.uint64)
-    for _ in range(4):
-        code = (code << _16) | data[pos]
+    for _ in range(2):
+        code = (code << _32) | data[pos]
         pos += 1
     model = _Model(n)
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
     ids = np.zeros((steps, n), np.uint16)
     last, before = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    mask = (np.int64(1) << _PLAIN.astype(np.int64)) - 1
-
-    def got(lo: np.ndarray, r: np.ndarray, c: np.ndarray, start: np.ndarray, width: np.ndarray, lanes: np.ndarray | None) -> None:
-        start *= r
-        lo += start
-        r *= width
-        m = _shift_out(lo, r)
-        of = m if lanes is None else lanes[m]
-        at = pos[of]
-        c[m] = (c[m] << _16) | data[np.minimum(at, top)]
-        pos[of] = at + 1
-        lo[m] <<= _16
-        r[m] <<= _16
-
     for t, a in enumerate(_active(lens, steps)):
-        model.predict(_hash1(last[:a]), _hash2(last[:a], before[:a]))
-        lo, r, c = low[:a], size[:a], code[:a]
-        r >>= _15
-        value = np.minimum((c - lo) // r, np.uint64(_TOTAL - 1)).astype(np.int16)
-        symbol = model.find(value)
-        got(lo, r, c, *model.span(symbol), None)
-        bit = plain[:a]
-        word = np.minimum(bit >> 4, top)
-        window = data.take(word + 1).astype(np.int64)
-        window <<= 16
-        window |= data.take(word)
-        window >>= bit & 15
-        window &= mask.take(symbol)
-        bit += _PLAIN.take(symbol)
-        here = window
-        here += _FIRST.take(symbol)
-        lanes = np.flatnonzero(symbol > 1)
-        if len(lanes):
-            kind = symbol[lanes]
-            lo, r, c = low[lanes], size[lanes], code[lanes]
-            row, place = kind.astype(np.int64), np.zeros(len(lanes), np.int64)
-            for k in range(_DIGITS):
-                r >>= _15
-                value = np.minimum((c - lo) // r, np.uint64(_TOTAL - 1)).astype(np.int16)
-                at, table = model.digit_table(k, lanes, row)
-                digit = _find(table, value)
-                got(lo, r, c, *model.digit_span(table, digit), lanes)
-                model.digit_update(k, at, table, digit)
-                place = (place << _DIGIT_BITS) + digit
-                row = (row << _DIGIT_BITS) + digit
-            low[lanes], size[lanes], code[lanes] = lo, r, c
-            here[lanes] += place << _PLAIN.take(kind)
-        np.copyto(here, model.guess1, where=symbol == 1)
-        np.copyto(here, model.guess2, where=symbol == 0)
+        guess1, guess2 = model.predict(*_contexts(last[:a], before[:a]))
+        lo, r = low[:a], size[:a] >> _31
+        value = np.minimum((code[:a] - lo) // r, _LAST)
+        symbol = model.find((value >> _16).astype(np.int16)).astype(np.int64)
+        start, width = model.span(symbol)
+        value -= start << _16
+        value //= width
+        value &= _LAST >> _15
+        here = table.found.take((symbol << 16) + value.view(np.int64))
+        _narrow(start, width, table, here, r)
+        lo += start
+        size[:a] = width
+        np.copyto(here, guess1, where=symbol == 1)
+        np.copyto(here, guess2, where=symbol == 0)
+        m = _shift_out(lo, size[:a])
+        at = pos[m]
+        code[m] = (code[m] << _32) | data[np.minimum(at, top)]
+        pos[m] = at + 1
+        lo[m] <<= _32
+        size[m] <<= _32
         model.update(symbol, here, t)
         before[:a] = last[:a]
         last[:a] = here
@@ -379,8 +355,9 @@ def decode_blocks(payloads: list[bytes], lens: np.ndarray) -> list[np.ndarray]:
 class IdFileWriter:
     """A file of documents' ids.
 
-    ``MAGIC``; per block ``n_ids, payload bytes, crc32`` (of the ids as little-
-    endian unsigned 32-bit integers) as ``<III`` and the payload; the index:
+    ``MAGIC``; per group of :data:`LANES` blocks its :class:`Table`; per block
+    ``n_ids, payload bytes, crc32`` (of the ids as little-endian unsigned
+    32-bit integers) as ``<III`` and the payload; the index:
     doc_id ``<i8`` each, null flags ``u1`` each, lengths ``<i8`` each; and at
     the end ``index offset, documents, blocks`` as ``<QQQ``, the index's crc32
     as ``<I`` and ``MAGIC`` again.
@@ -418,7 +395,9 @@ class IdFileWriter:
         for lo in range(0, end, step):
             part = ids[lo : min(lo + step, end)]
             blocks = [part[i : i + BLOCK_IDS] for i in range(0, len(part), BLOCK_IDS)]
-            for block, payload in zip(blocks, encode_blocks(blocks), strict=True):
+            table = Table.of(part)
+            self._put(table.to_bytes())
+            for block, payload in zip(blocks, encode_blocks(blocks, table), strict=True):
                 self._put(struct.pack("<III", len(block), len(payload), zlib.crc32(block.astype("<u4").tobytes())))
                 self._put(payload)
                 self.blocks += 1
@@ -450,12 +429,12 @@ def read_id_file(f) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     ends = np.cumsum(lengths)
     have, base, doc = np.empty(0, np.uint32), 0, 0
     for lo in range(0, blocks, LANES):
-        heads, payloads = [], []
+        table, heads, payloads = Table.read(f), [], []
         for _ in range(min(LANES, blocks - lo)):
             n, size, check = struct.unpack("<III", f.read(12))
             heads.append((n, check))
             payloads.append(f.read(size))
-        parts = decode_blocks(payloads, np.array([n for n, _ in heads]))
+        parts = decode_blocks(payloads, np.array([n for n, _ in heads]), table)
         for part, (_, check) in zip(parts, heads, strict=True):
             if zlib.crc32(part.astype("<u4").tobytes()) != check:
                 raise ValueError("a block fails its checksum")

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import documents
 
@@ -47,23 +48,51 @@ def test_coder_round_trip(blocks, size):
     rng = np.random.default_rng(blocks)
     data = [rng.integers(0, 65536 if i % 3 else 6, max(0, size - i)).astype(np.uint16) for i in range(blocks)]
     data.sort(key=len, reverse=True)
-    back = idcoder.decode_blocks(idcoder.encode_blocks(data), np.array([len(b) for b in data]))
+    table = idcoder.Table.of(np.concatenate(data))
+    payloads = idcoder.encode_blocks(data, table)
+    read = idcoder.Table.read(io.BytesIO(table.to_bytes()))
+    back = idcoder.decode_blocks(payloads, np.array([len(b) for b in data]), read)
     assert all(len(a) == len(b) and (a == b).all() for a, b in zip(data, back, strict=True))
 
 
 def test_blocks_are_independent_and_adapt():
     a = np.tile(np.array([5000, 40000, 77, 12], np.uint16), 1000)
     b = np.random.default_rng(1).integers(0, 60000, 4000).astype(np.uint16)
-    together, alone = idcoder.encode_blocks([a, b]), idcoder.encode_blocks([a])
+    table = idcoder.Table.of(np.concatenate([a, b]))
+    together, alone = idcoder.encode_blocks([a, b], table), idcoder.encode_blocks([a], table)
     assert together[0] == alone[0] and len(alone[0]) < len(a) * 2 // 8
 
 
-def test_upper_bits_are_coded():
+def test_no_bit_is_plain():
     rng = np.random.default_rng(3)
-    narrow = rng.integers(20_000, 20_064, 4096).astype(np.uint16)  # 6 bits of 16 below its magnitude are in use
+    narrow = rng.integers(20_000, 20_064, 4096).astype(np.uint16)  # 6 bits of 16 are in use
     few = (512 + 64 * rng.integers(0, 2, 4096) + rng.integers(0, 8, 4096)).astype(np.uint16)  # 4 bits of 9
-    sizes = [len(p) * 8 / 4096 for p in idcoder.encode_blocks([narrow, few])]
-    assert sizes[0] < 11.5 and sizes[1] < 6.5
+    sizes = [len(idcoder.encode_blocks([x], idcoder.Table.of(x))[0]) * 8 / 4096 for x in (narrow, few)]
+    assert sizes[0] < 6.6 and sizes[1] < 4.8
+
+
+def test_bits_an_id_stay_below_the_entropy_of_text():
+    """The documents' ids cost less than a static order-0 table that is free."""
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    ids = np.array([i for t in texts for i in library_ids(t)], np.uint16)
+    counts = np.bincount(ids)
+    share = counts[counts > 0] / len(ids)
+    entropy = -(share * np.log2(share)).sum()
+    table = idcoder.Table.of(ids)
+    blocks = [ids[i : i + 4096] for i in range(0, len(ids), 4096)]
+    size = len(table.to_bytes()) + sum(map(len, idcoder.encode_blocks(blocks, table)))
+    assert size * 8 / len(ids) < entropy
+
+
+def test_rare_ids_beside_a_frequent_one():
+    """Classes of one id, of very many, and of none."""
+    ids = np.r_[np.full(200_000, 9), np.arange(65_536)].astype(np.uint16)
+    for part in (ids, ids[:5000], ids[-1:]):
+        table = idcoder.Table.of(part)
+        assert all(table.width[part] > 0)
+        blocks = [part[i : i + 4096] for i in range(0, len(part), 4096)]
+        back = idcoder.decode_blocks(idcoder.encode_blocks(blocks, table), np.array([len(b) for b in blocks]), table)
+        assert (np.concatenate(back) == part).all()
 
 
 def id_file(docs):
@@ -87,9 +116,11 @@ def test_file_round_trip_and_checksums(monkeypatch):
         got += [(None if z else int(d), flat[e - n : e].tolist()) for d, z, n, e in zip(ids, nulls, lengths, ends, strict=True)]
     assert got == docs
     raw = bytearray(out.getvalue())
-    raw[60] ^= 1
-    with pytest.raises(ValueError):
-        list(idcoder.read_id_file(io.BytesIO(bytes(raw))))
+    for at in (60, len(raw) // 2, len(raw) - 60):  # a table, a block, the index
+        raw[at] ^= 1
+        with pytest.raises(ValueError):
+            list(idcoder.read_id_file(io.BytesIO(bytes(raw))))
+        raw[at] ^= 1
     assert list(idcoder.read_id_file(id_file([]))) == []
     with pytest.raises(ValueError, match="16 bits"):
         id_file([(1, [70000])])
