@@ -40,10 +40,10 @@ _W_LOW, _W_HIGH = 1024, 31744
 #: Steps whose contexts the encoder hashes at once.
 _AHEAD = 64
 #: A step divides the range by the symbol's and the place's totals, 2**31.
-_15, _16, _31, _32 = np.uint64(15), np.uint64(16), np.uint64(31), np.uint64(32)
+_16, _31, _32 = np.uint64(16), np.uint64(31), np.uint64(32)
 _SETTLED, _TIGHT = np.uint64(1 << 32), np.uint64(1 << 31)
 _BELOW = np.uint64((1 << 31) - 1)
-_LAST = np.uint64((1 << 31) - 1)
+_LAST, _FRACTION = np.uint64((1 << 31) - 1), np.uint64((1 << 16) - 1)
 _IDS = _GUESSED = 1 << 16
 
 #: Where each table moves when a symbol occurred; every symbol keeps a share
@@ -53,18 +53,8 @@ _UNIFORM = np.arange(_SYMBOLS, dtype=np.int16) * np.int16(_TOTAL // _SYMBOLS)
 _ROW = np.dtype("V16")  # a table row of eight 16-bit numbers, moved whole
 
 
-_FACTOR, _SHIFT = np.array([[40503], [25717]]), np.array([[7], [9]])
-_SLOT_MASK, _ROW_MASK = np.array([[_SLOT1 - 1], [_SLOT2 - 1]]), np.array([[_CTX1 - 1], [_CTX2 - 1]])
-
-
-def _contexts(last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the last id and of the last two, along a new axis before the
-    lanes: the slots of the ids seen after them, and the rows of the tables."""
-    slots = last[..., None, :] * _FACTOR
-    slots[..., 1, :] += before * 31337
-    slots >>= _SHIFT
-    slots &= _SLOT_MASK
-    return slots, slots & _ROW_MASK
+_FACTOR, _BEFORE, _SHIFT = np.array([[40503], [25717]], np.uint32), np.uint32(31337), np.array([[7], [9]], np.uint32)
+_SLOT_MASK, _ROW_MASK = np.array([[_SLOT1 - 1], [_SLOT2 - 1]], np.uint32), np.array([[_CTX1 - 1], [_CTX2 - 1]])
 
 
 class Table:
@@ -129,7 +119,8 @@ class Table:
 
 class _Model:
     """The adaptive state of ``n`` lanes.  A step is :meth:`predict`, then
-    :meth:`span` and :meth:`update`; the first ``a`` lanes are still running.
+    :meth:`span` (for a decoder :meth:`find` and :meth:`found_span`) and
+    :meth:`update`; the first ``a`` lanes are still running.
     Rows start with 0, so the entry after a lane's last one is 0 as well.
 
     A mixture weighs each order's table; every 8th step the weights move
@@ -142,7 +133,7 @@ class _Model:
         self.row_base = np.stack([lane * (_CTX1 + _CTX2), lane * (_CTX1 + _CTX2) + _CTX1])
         self.slots = np.zeros(n * (_SLOT1 + _SLOT2), np.uint16)
         self.rows = np.tile(_UNIFORM, n * (_CTX1 + _CTX2)).view(_ROW)
-        self.w = np.full((3, n), 16384, np.int64)
+        self.w = np.full((3, n), 16384, np.int32)
         self.w[2] = 32768
         self.t = np.tile(_UNIFORM, n).reshape(1, -1)
         self._resize(n)
@@ -155,71 +146,98 @@ class _Model:
         t[0] = self.t[0, :k]
         self.t, self.near = t, t[1:].view(_ROW)
         self.move, self.part = np.empty((3, k), np.int16), np.empty((3, k), np.int32)
-        self.mixed = np.empty(k, np.int16)
+        self.mixed = np.zeros(k + 1, np.int32)
         self.entry = np.arange(2)[:, None, None] + np.arange(3)[None, :, None] * k + np.arange(a) * _SYMBOLS
         self.wide = None
 
+    def contexts(self, last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the hashes of the last id and of the last two point, along a
+        new axis before the lanes: to the slots of the ids seen after them, and
+        to the rows of the tables."""
+        hashed = last[..., None, :] * _FACTOR
+        hashed[..., 1, :] += before * _BEFORE
+        hashed >>= _SHIFT
+        hashed &= _SLOT_MASK
+        slots, a = hashed.astype(np.int64), last.shape[-1]
+        rows = slots & _ROW_MASK
+        slots += self.slot_base[:, :a]
+        rows += self.row_base[:, :a]
+        return slots, rows
+
     def predict(self, slots: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """The ids that order 1 and order 2 expect, from :func:`_contexts`."""
-        a = slots.shape[-1]
-        if a != self.a:
-            self._resize(a)
-        self.slot_at, self.row_at = slots + self.slot_base[:, :a], rows + self.row_base[:, :a]
-        self.rows.take(self.row_at, out=self.near, mode="clip")
-        return self.slots.take(self.slot_at)
+        """The ids that order 1 and order 2 expect, from :meth:`contexts`."""
+        if slots.shape[-1] != self.a:
+            self._resize(slots.shape[-1])
+        self.slot_at, self.row_at = slots, rows
+        self.rows.take(rows, out=self.near, mode="clip")
+        return self.slots.take(slots)
 
     def find(self, value: np.ndarray) -> np.ndarray:
-        """The symbol of each lane whose span holds ``value``."""
+        """The symbol of each lane whose span, in 65536ths, holds ``value``."""
         if self.wide is None:
-            self.wide = np.repeat(self.w[:, : self.a].astype(np.int32), _SYMBOLS, axis=1)
-        part = self.part
+            self.wide = np.repeat(self.w[:, : self.a], _SYMBOLS, axis=1)
+        part, mixed = self.part, self.mixed[:-1]
         part[:] = self.t
         part *= self.wide
-        part[0] += part[1]
-        part[0] += part[2]
-        part[0] >>= 16
-        self.mixed[:] = part[0]
-        below = self.mixed <= np.repeat(value, _SYMBOLS)
-        return np.bitwise_count(below.view(np.uint64)) - np.uint8(1)
-
-    def span(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width of each lane's symbol in the mixture."""
-        self.ends = self.flat.take(self.entry + symbol)
-        parts = self.ends * self.w[:, : self.a]
-        both = parts[:, 0]
-        both += parts[:, 1]
-        both += parts[:, 2]
-        both >>= 16
-        start, end = both
+        np.add(part[0], part[1], out=mixed)
+        mixed += part[2]
+        below = mixed <= np.repeat((value | _FRACTION).astype(np.int32), _SYMBOLS)
+        return np.bitwise_count(below.view(np.uint64)).astype(np.int64) - 1
+
+    @staticmethod
+    def _widths(start: np.ndarray, end: np.ndarray) -> None:
+        """Ends to widths; an end of 0 is the total."""
         end -= 1
         end &= _TOTAL - 1
         end -= start
         end += 1
-        return start.view(np.uint64), end.view(np.uint64)
 
-    def _weigh(self) -> None:
+    def span(self, symbol: np.ndarray) -> np.ndarray:
+        """Start and width of each lane's symbol in the mixture."""
+        parts = self.flat.take(self.entry + symbol) * self.w[:, : self.a]
+        both = parts[:, 0] + parts[:, 1]
+        both += parts[:, 2]
+        both >>= 16
+        self._widths(*both)
+        return both.astype(np.uint64)
+
+    def found_span(self, symbol: np.ndarray) -> np.ndarray:
+        """The same, after :meth:`find`."""
+        both = self.mixed.take(self.entry[:, 0] + symbol) >> 16
+        self._widths(*both)
+        return both.astype(np.uint64)
+
+    def _weigh(self, symbol: np.ndarray) -> None:
         w = self.w[:, : self.a]
-        start, end = self.ends.astype(np.int64)
-        share = (((end - 1) & (_TOTAL - 1)) + 1 - start) * w
-        part = (share[:2] << 16) // share.sum(0)
+        start, end = self.flat.take(self.entry + symbol).astype(np.int64)
+        self._widths(start, end)
+        end *= w
+        total = end[0] + end[1]
+        total += end[2]
+        part = end[:2]
+        part <<= 16
+        part //= total
         part -= w[:2]
         part >>= 4
-        w[:2] += part
-        np.clip(w[:2], _W_LOW, _W_HIGH, out=w[:2])
+        part += w[:2]
+        np.maximum(part, _W_LOW, out=part)
+        np.minimum(part, _W_HIGH, out=part)
+        w[:2] = part
         w[2] = 65536 - w[0] - w[1]
         self.wide = None
 
     def update(self, symbol: np.ndarray, ids: np.ndarray, step: int) -> None:
-        """After :meth:`span` of the same symbols."""
         if step & 7 == 0:
-            self._weigh()
+            self._weigh(symbol)
         t, move = self.t, self.move
         np.subtract(_TARGET.take(symbol).view(np.int16), t, out=move)
         move[0] >>= _RATE0
         move[1:] >>= _RATE
         t += move
         self.rows[self.row_at] = self.near
-        self.slots[self.slot_at] = ids
+        ids = ids.astype(np.uint16)
+        self.slots[self.slot_at[0]] = ids
+        self.slots[self.slot_at[1]] = ids
 
 
 def _shift_out(low: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -229,11 +247,11 @@ def _shift_out(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     top = low + size
     top ^= low
     settled, tight = top < _SETTLED, size < _TIGHT
-    tail = np.flatnonzero(tight > settled)
-    if len(tail):
+    tail = tight > settled
+    if tail.any():
         size[tail] = (~low[tail] + np.uint64(1)) & _BELOW
     settled |= tight
-    return np.flatnonzero(settled)
+    return settled.nonzero()[0]
 
 
 def _narrow(start: np.ndarray, width: np.ndarray, table: Table, at: np.ndarray, r: np.ndarray) -> None:
@@ -270,18 +288,18 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[bytes]:
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
     room = steps + 2
     out, pos = np.zeros(n * room, np.uint32), np.arange(n) * room
-    past = np.zeros((_AHEAD + 2, n), np.int64)  # the ids before a run of steps, and those of it
+    past = np.zeros((_AHEAD + 2, n), np.uint32)  # the ids before a run of steps, and those of it
     for t, a in enumerate(_active(lens, steps)):
         if t % _AHEAD == 0:
             past[:2] = past[-2:]
             past[2 : 2 + min(_AHEAD, steps - t)] = ids[t : t + _AHEAD]
-            slots, rows = _contexts(past[1:-1], past[:-2])
+            slots, rows = model.contexts(past[1:-1], past[:-2])
             kinds = table.kind.take(past[2:]).astype(np.int64)
         here, symbol = ids[t, :a], kinds[t % _AHEAD, :a]
         hit = model.predict(slots[t % _AHEAD, :, :a], rows[t % _AHEAD, :, :a]) == here
         np.copyto(symbol, 1, where=hit[0])
         np.copyto(symbol, 0, where=hit[1])
-        at = past[2 + t % _AHEAD, :a].copy()
+        at = here.astype(np.int64)
         np.copyto(at, _GUESSED, where=symbol < 2)
         lo, r = low[:a], size[:a] >> _31
         start, width = model.span(symbol)
@@ -322,16 +340,16 @@ def decode_blocks(payloads: list[bytes], lens: np.ndarray, table: Table) -> list
     model = _Model(n)
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
     ids = np.zeros((steps, n), np.uint16)
-    last, before = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    last, before = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
     for t, a in enumerate(_active(lens, steps)):
-        guess1, guess2 = model.predict(*_contexts(last[:a], before[:a]))
+        guess1, guess2 = model.predict(*model.contexts(last[:a], before[:a]))
         lo, r = low[:a], size[:a] >> _31
         value = np.minimum((code[:a] - lo) // r, _LAST)
-        symbol = model.find((value >> _16).astype(np.int16)).astype(np.int64)
-        start, width = model.span(symbol)
+        symbol = model.find(value)
+        start, width = model.found_span(symbol)
         value -= start << _16
         value //= width
-        value &= _LAST >> _15
+        value &= _FRACTION
         here = table.found.take((symbol << 16) + value.view(np.int64))
         _narrow(start, width, table, here, r)
         lo += start
