@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from querytrail.functions.names import free_name
 from querytrail.llm.common import checkpointed, runs, texts, written
 
 SHINGLE_WORDS = 4
@@ -246,15 +247,17 @@ def representatives(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each component:
     that with the smallest doc_id (a null one only where there is no other),
-    then the smallest hash of the text.  Of rows that repeat it, one stays."""
+    then the smallest hash of the text.  Of rows that repeat it, one stays.
+    Columns of any name are kept."""
     _, rooted = _rooted(docs, words, most, id_col, text_col)
     first = rooted.groupBy("root").agg(F.min("best").alias("m"))
-    keep = written(first.select(F.col("m.none").alias("keep_none"), F.col("m.k").alias("keep_k"), F.col("m.h").alias("keep_h")), "simhash-kept")
+    none, k, h, *kept = (free_name(name, docs.columns) for name in ("none", "k", "h", "kept_none", "kept_k", "kept_h"))
+    keep = written(first.select(*(F.col(f"m.{part}").alias(name) for part, name in zip(("none", "k", "h"), kept, strict=True))), "simhash-kept")
     key = {
-        "__none": docs[id_col].isNull(),
-        "__k": F.coalesce(docs[id_col].cast("long"), F.lit(_LOWEST)),
-        "__h": F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))),
+        none: docs[id_col].isNull(),
+        k: F.coalesce(docs[id_col].cast("long"), F.lit(_LOWEST)),
+        h: F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))),
     }
     once = docs.withColumns(key).dropDuplicates(list(key))
-    on = (F.col("__none") == F.col("keep_none")) & (F.col("__k") == F.col("keep_k")) & (F.col("__h") == F.col("keep_h"))
+    on = [F.col(own) == F.col(other) for own, other in zip(key, kept, strict=True)]
     return once.join(keep, on, "left_semi").drop(*key)

@@ -94,3 +94,12 @@ def test_connected_long_chain_and_hub(spark):
 def test_empty(spark):
     assert S.simhash_components(documents(spark, [])).count() == 0
     assert S.representatives(documents(spark, [])).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["none", "k", "h", "kept_none", "Kept_K", "kept_h", "_h", "fp", "root", "best", "node", "m"]
+    rows = [(i, "a b c d e" if i else "x y z", *(10 * i + j for j in range(len(names)))) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} long" for n in names))
+    got = S.representatives(docs)
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == rows[:2]
