@@ -8,6 +8,10 @@ many shingles with the smallest hashes.  This MinHash sketch, sized for the
 upper end of each size partition, finds every candidate; candidates are then
 verified by the exact containment of their word shingles.
 
+Items of fewer words than a shingle are partitioned by their number of words:
+such an item is one shingle of all its words, and the documents give windows
+of that many words too, so it is found inside longer documents as well.
+
 Only DataFrame functions run: no Python on the executors.
 """
 
@@ -29,19 +33,32 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _windows(found: Column, n: int, make) -> Column:
+def _windows(found: Column, n: int, make, least: int) -> Column:
     """``make`` of each window of ``n`` words; of all words, if they are
-    fewer; nothing without words."""
+    fewer but ``least`` at least; else nothing."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(found) - F.lit(n - 1), F.lit(1)))
-    return F.when(F.size(found) > 0, F.transform(starts, lambda i: make(F.slice(found, i, F.lit(n))))).otherwise(F.array())
+    return F.when(F.size(found) >= least, F.transform(starts, lambda i: make(F.slice(found, i, F.lit(n))))).otherwise(F.array())
+
+
+def _document_windows(found: Column, n: int, short: list[int], make) -> Column:
+    """``make`` of each window of ``n`` words and of each length in ``short``."""
+    parts = [_windows(found, k, make, k) for k in (*short, n)]
+    return parts[0] if len(parts) == 1 else F.concat(*parts)
+
+
+def shingle_hashes(found: Column, n: int = SHINGLE_WORDS, short: list[int] | None = None) -> Column:
+    return _document_windows(found, n, short or [], lambda w: F.xxhash64(w))
 
 
-def shingle_hashes(found: Column, n: int = SHINGLE_WORDS) -> Column:
-    return _windows(found, n, lambda w: F.xxhash64(w))
+def shingles(found: Column, n: int = SHINGLE_WORDS, short: list[int] | None = None) -> Column:
+    return F.array_distinct(_document_windows(found, n, short or [], lambda w: F.array_join(w, " ")))
 
 
-def shingles(found: Column, n: int = SHINGLE_WORDS) -> Column:
-    return F.array_distinct(_windows(found, n, lambda w: F.array_join(w, " ")))
+def short_sizes(rows: DataFrame, n: int = SHINGLE_WORDS) -> list[int]:
+    """The numbers of words below ``n`` that occur among the items of
+    :func:`item_shingles`: ``n - 1`` numbers at most."""
+    length = F.size(F.split("shingle", " "))
+    return sorted(r["k"] for r in rows.where(F.col("size") == 1).select(length.alias("k")).where(F.col("k") < n).distinct().collect())
 
 
 def item_shingles(items: DataFrame, n: int = SHINGLE_WORDS, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -50,7 +67,8 @@ def item_shingles(items: DataFrame, n: int = SHINGLE_WORDS, id_col: str = "item_
     none, but not the text are items of their own."""
     text = items[text_col].cast("string")
     base = items.select(items[id_col].cast("long").alias("item_id"), F.xxhash64(text).alias("t"), words(text).alias("w"))
-    rows = base.select("item_id", "t", F.explode_outer(shingles(F.col("w"), n)).alias("shingle")).where("shingle IS NOT NULL").distinct()
+    own = _windows(F.col("w"), n, lambda w: F.array_join(w, " "), 1)
+    rows = base.select("item_id", "t", F.explode_outer(own).alias("shingle")).where("shingle IS NOT NULL").distinct()
     sizes = rows.groupBy(F.col("item_id").alias("sized"), F.col("t").alias("sized_t")).agg(F.count("*").alias("size"))
     return rows.join(sizes, F.col("item_id").eqNullSafe(F.col("sized")) & (F.col("t") == F.col("sized_t"))).select(
         "item_id", "t", "size", "shingle", F.xxhash64(F.split("shingle", " ")).alias("hash")
@@ -88,8 +106,8 @@ def matches(
     distinct ``n``-word shingles that the document has, is at least
     ``threshold``.
 
-    A text of fewer than ``n`` words is one shingle, so a short item is found
-    in documents that consist of it.  Null or empty texts have no shingle and
+    An item of fewer than ``n`` words is one shingle of all of them; a document
+    has it if these words follow each other anywhere in it.  Null or empty texts have no shingle and
     no pair.  Null ids are kept as null.  Repeated documents and items give
     one row; rows that share a doc_id or an item_id but not the text are
     documents or items of their own (:func:`contained_items` returns the best
@@ -102,17 +120,18 @@ def matches(
         raise ValueError("threshold must be above 0 and at most 1")
     rows = written(item_shingles(items, n, item_id, item_text), "decontaminate-items")
     sketch = written(sketches(rows, threshold).select("hash").distinct(), "decontaminate-sketch")
+    short = short_sizes(rows, n)
     base = texts(docs, doc_id, doc_text).withColumn("h", F.xxhash64("text"))
     # The words are a column of their own, and the outer form of explode keeps them so: a filter that
     # the plain form infers would be pushed below, and split the text anew for every window.
     split = base.select("doc_id", "h", words(F.col("text")).alias("w"))
-    hashed = split.select("doc_id", "h", F.explode_outer(shingle_hashes(F.col("w"), n)).alias("hash"))
+    hashed = split.select("doc_id", "h", F.explode_outer(shingle_hashes(F.col("w"), n, short)).alias("hash"))
     hits = hashed.join(sketch, "hash").select("doc_id", "h").distinct()
     found = written(hits, "decontaminate-candidates")
     found = found.select(F.col("doc_id").alias("found_id"), F.col("h").alias("found_h"))
     key = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("h") == F.col("found_h"))
     candidates = base.join(found, key, "left_semi").dropDuplicates(["doc_id", "h"]).select("doc_id", "h", words(F.col("text")).alias("w"))
-    have = candidates.select("doc_id", "h", F.explode_outer(shingles(F.col("w"), n)).alias("shingle"))
+    have = candidates.select("doc_id", "h", F.explode_outer(shingles(F.col("w"), n, short)).alias("shingle"))
     counted = have.join(rows, "shingle").groupBy("doc_id", "h", "item_id", "t", "size").agg(F.count("*").alias("n_found"))
     exact = counted.where(F.col("n_found") >= F.lit(threshold) * F.col("size") - 1e-9)
     return exact.select("doc_id", "h", "item_id", "t", F.col("size").alias("n_shingles"), "n_found")

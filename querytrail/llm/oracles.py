@@ -33,19 +33,22 @@ FROM scored QUALIFY rank <= 10
 
 CONTAINED = r"""
 WITH d AS (
-    SELECT DISTINCT doc_id, text, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
+    SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents
 ), i AS (
-    SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark
+    SELECT DISTINCT item_id, text AS item, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark
+), lengths AS (
+    SELECT DISTINCT least(len(w), 5) AS k FROM i WHERE len(w) > 0
 ), ds AS (
-    SELECT DISTINCT doc_id, text, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) AS s
-    FROM d WHERE len(w) > 0
+    SELECT DISTINCT r, doc_id, array_to_string(w[j:j+k-1], ' ') AS s
+    FROM (SELECT r, doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS j FROM d JOIN lengths ON len(w) >= k)
 ), iss AS (
-    SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: array_to_string(w[k:k+4], ' '))) AS s
-    FROM i WHERE len(w) > 0
-), sizes AS (SELECT item_id, count(*) AS n FROM iss GROUP BY 1),
-hits AS (SELECT doc_id, text, item_id, count(*) AS c FROM ds JOIN iss USING (s) GROUP BY ALL)
-SELECT doc_id, item_id, n AS n_shingles, max(c) AS n_found, max(c) / n AS containment
-FROM hits JOIN sizes USING (item_id) GROUP BY doc_id, item_id, n HAVING max(c) >= 0.8 * n - 1e-9
+    SELECT DISTINCT item_id, item, array_to_string(w[j:j+4], ' ') AS s
+    FROM (SELECT item_id, item, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS j FROM i WHERE len(w) > 0)
+), sized AS (SELECT *, count(*) OVER (PARTITION BY item_id, item) AS n FROM iss),
+hits AS (SELECT r, doc_id, item_id, item, n, count(*) AS c FROM ds JOIN sized USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n AS n_shingles, c AS n_found, c / n AS containment
+FROM hits WHERE c >= 0.8 * n - 1e-9
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY c / n DESC, n DESC) = 1
 """
 
 WINDOWS = r"""

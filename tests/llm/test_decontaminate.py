@@ -7,11 +7,20 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from querytrail.llm import decontaminate as D
 
 
+def split(text):
+    return [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+
+
 def grams(text, n=5):
-    w = [x for x in re.split(r"[\W_]+", (text or "").lower()) if x]
+    w = split(text)
     return {" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
+def held(text, n=5):
+    w = split(text)
+    return {" ".join(w[i : i + k]) for k in range(1, n + 1) for i in range(len(w) - k + 1)}
+
+
 def brute(docs, items, threshold=0.8):
     out = set()
     by_item = {}
@@ -19,8 +28,8 @@ def brute(docs, items, threshold=0.8):
         by_item.setdefault(i, set()).update(grams(t))
     for d, t in docs:
         for i, g in by_item.items():
-            if g and len(g & grams(t)) >= threshold * len(g) - 1e-9:
-                out.add((d, i, len(g), len(g & grams(t))))
+            if g and len(g & held(t)) >= threshold * len(g) - 1e-9:
+                out.add((d, i, len(g), len(g & held(t))))
     return out
 
 
@@ -85,3 +94,34 @@ def test_texts_that_share_an_id_are_items_of_their_own(spark):
     assert all(r["containment"] == r["n_found"] / r["n_shingles"] for r in found)
     kept = D.decontaminated(documents(spark, docs), items_frame(spark, items))
     assert [r["doc_id"] for r in kept.collect()] == [8]
+
+
+def test_items_of_one_to_four_words_inside_longer_documents(spark):
+    items = [(1, "Solo"), (2, "two Words"), (3, "three words, here"), (4, "just four words here"), (5, "a a"), (2, "another pair"), (None, "two words")]
+    filler = " ".join(f"f{j}" for j in range(400))
+    docs = [(10, f"{filler} SOLO {filler}"), (11, f"{filler} two-words"), (12, f"three words here {filler}"), (13, f"{filler} just four words here {filler}"), (14, "solo"), (15, "two x words solos"), (16, f"a {filler} a"), (17, "a a a a a a"), (18, "another pair of two words"), (19, "just four words"), (20, "")]
+    assert D.short_sizes(D.item_shingles(items_frame(spark, items))) == [1, 2, 3, 4]
+    found = D.contained_items(documents(spark, docs).repartition(3), items_frame(spark, items)).collect()
+    got = sorted(((r["doc_id"], r["item_id"] or 0) for r in found))
+    assert got == [(10, 1), (11, 0), (11, 2), (12, 3), (13, 4), (14, 1), (17, 5), (18, 0), (18, 2)]
+    assert all((r["n_shingles"], r["n_found"], r["containment"]) == (1, 1, 1.0) for r in found)
+    kept = D.decontaminated(documents(spark, docs), items_frame(spark, items))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [15, 16, 19, 20]
+
+
+def test_sql_agrees_on_short_items_and_shared_or_missing_ids(spark):
+    import duckdb
+    import pandas as pd
+
+    from querytrail.llm.oracles import CONTAINED
+
+    docs, items = data()
+    items = items + [(5, "shared id"), (None, "no id here"), (60, "g1"), (61, "f1 g1 f2"), (62, "item7word3 item7word4")]
+    docs = docs + [(8000, "something with a shared id inside it"), (8001, "there is no id here at all"), (8002, None)]
+    docs = [(k, t and t[-9000:]) for k, t in docs]
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.register(name, pd.DataFrame({key: pd.array([k for k, _ in rows], "Int64"), "text": [t for _, t in rows]}))
+    want = con.sql(CONTAINED).fetchall()
+    found = D.contained_items(documents(spark, docs).repartition(3), items_frame(spark, items)).select("doc_id", "item_id", "n_shingles", "n_found", "containment").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want)) and len(want) > 20
