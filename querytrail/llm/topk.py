@@ -15,7 +15,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from querytrail.llm.common import written
@@ -26,18 +26,28 @@ SHARD_ROWS = 16_384
 BLOCK_QUERIES = 4_096
 LEAF_ROWS = 256
 SCALE = 1024
+LARGEST = float(np.finfo(np.float64).max)
+#: Scores are longs; an inner product beyond them counts as the end of their range.
+LOW, HIGH = 1 - 2**63, 2**63 - 1
 
 
 def quantised(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """``(vec_id, dim, v array<double>)`` with ``floor(scale * x)`` of every
     component as double; rows with a null id, a null vector, or a null or
-    non-finite component are left out."""
+    non-finite component are left out.  A product beyond the range of a
+    double counts as the end of that range."""
     x = F.col("v")
+
+    def whole(c: Column) -> Column:
+        product = F.greatest(F.least(c * F.lit(float(scale)), F.lit(LARGEST)), F.lit(-LARGEST))
+        # From 2**53 on a double is whole, and floor() would go through a long.
+        return F.when(F.abs(product) < F.lit(2.0**53), F.floor(product).cast("double")).otherwise(product)
+
     ok = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
     return (
         df.select(df[id_col].cast("long").alias("vec_id"), df[vector_col].cast("array<double>").alias("v"))
         .where(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & ok)
-        .select("vec_id", F.size(x).alias("dim"), F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("double")).alias("v"))
+        .select("vec_id", F.size(x).alias("dim"), F.transform(x, whole).alias("v"))
     )
 
 
@@ -74,27 +84,44 @@ class BallTree:
 
 
 def exact_products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Integer inner products of whole numbers held as double; the product of
-    the largest magnitudes must stay below 2**53, beyond it integers are used."""
-    big = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1]
+    """Integer inner products of whole numbers held as double, cut to the
+    range of a long.  Products of small numbers are exact as double, of larger
+    ones as long.  Beyond that, a sum of longs is right modulo 2**64, so it is
+    right wherever the product is known to fit; what an estimate with its
+    error bound can't tell to fit or to be cut, Python integers decide."""
+    with np.errstate(all="ignore"):
+        big = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1]
     if big < 2**53:
         return np.rint(q @ x.T).astype(np.int64)
     if big < 2**62:
         return q.astype(np.int64) @ x.astype(np.int64).T
-    raise OverflowError("inner products beyond 64 bits")
+    with np.errstate(all="ignore"):
+        guess = q @ x.T
+        error = (np.abs(q) @ np.abs(x).T) * (1e-15 * (q.shape[1] + 1))
+        high, low = guess - error > 2.0**63, guess + error < -(2.0**63)
+        small_q, small_x = (np.abs(q) < 2.0**62).all(1), (np.abs(x) < 2.0**62).all(1)
+        fits = (np.abs(guess) + error < 2.0**62) & small_q[:, None] & small_x[None, :]
+    out = np.where(small_q[:, None], q, 0).astype(np.int64) @ np.where(small_x[:, None], x, 0).astype(np.int64).T
+    out[high], out[low] = HIGH, LOW
+    for i, j in zip(*np.nonzero(~(fits | high | low)), strict=True):
+        out[i, j] = min(max(sum(int(a) * int(b) for a, b in zip(q[i], x[j], strict=True)), LOW), HIGH)
+    return out
 
 
 def search(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The best ``k`` of this shard for each query, as (query row, vec_id,
     score); nothing that scores below ``floor`` is needed."""
-    tree = BallTree(x)
-    norms = np.sqrt((q**2).sum(1))
-    slack = 1e-7 * (1 + norms * np.sqrt((x**2).sum(1).max(initial=0)))
+    with np.errstate(all="ignore"):  # squares of components beyond 1e150 overflow: no bound, no pruning
+        tree = BallTree(x)
+        norms = np.sqrt((q**2).sum(1))
+        slack = 1e-7 * (1 + norms * np.sqrt((x**2).sum(1).max(initial=0)))
     best = [(np.empty(0, np.int64), np.empty(0, np.int64))] * len(q)
     kth = floor.astype(np.float64).copy()
 
     def bound(node: int, rows: np.ndarray) -> np.ndarray:
-        return q[rows] @ tree.centres[node] + norms[rows] * tree.radii[node] + slack[rows]
+        with np.errstate(all="ignore"):
+            b = q[rows] @ tree.centres[node] + norms[rows] * tree.radii[node] + slack[rows]
+        return np.clip(np.where(np.isnan(b), np.inf, b), float(LOW), 1e300)
 
     rows = np.arange(len(q))
     heap = [(0.0, 0, rows, bound(0, rows))]
@@ -145,7 +172,8 @@ def top_k_inner_product(vectors: DataFrame, queries: DataFrame, k: int = K) -> D
     of the same form.  Ties go to the smaller vec_id; fewer candidates give
     fewer rows.  Vectors of another length are no candidates.  Every row that
     has the query's vec_id counts as its own; a query row that repeats is
-    answered once.  Empty inputs give no rows.
+    answered once.  Empty inputs give no rows.  An inner product beyond the
+    range of a long counts as the end of that range, and ties there as anywhere.
     """
     base = written(vectors.select("vec_id", "dim", "v"), "topk-vectors")
     n = base.count()

@@ -45,8 +45,37 @@ def test_fewer_candidates_and_empty(spark):
 def test_large_numbers_stay_exact():
     q, x = np.array([[2.0**30, 1.0]]), np.array([[2.0**30, 1.0], [2.0**30, 2.0]])
     assert T.exact_products(q, x).tolist() == [[2**60 + 1, 2**60 + 2]]
-    with pytest.raises(OverflowError):
-        T.exact_products(q * 2.0**20, x)
+    assert T.exact_products(q * 2.0**20, x).tolist() == [[2**63 - 1, 2**63 - 1]]
+
+
+def test_products_beyond_longs_are_cut_and_others_exact():
+    rng = np.random.default_rng(4)
+    q = np.rint(rng.normal(size=(40, 5)) * 10.0 ** rng.integers(0, 30, (40, 1)))
+    x = np.rint(rng.normal(size=(60, 5)) * 10.0 ** rng.integers(0, 30, (60, 1)))
+    x[:20] = np.rint(rng.normal(size=(20, 5)) * 2.0**31)
+    x[20] = [1e300, -1e300, 0, 0, 0]
+    q[0], q[1], q[2] = [1.0] * 5, [2.0**32 + 1] * 5, [T.LARGEST, T.LARGEST, 3, 0, 0]
+    want = [[min(max(sum(int(a) * int(b) for a, b in zip(v, w, strict=True)), T.LOW), T.HIGH) for w in x] for v in q]
+    assert T.exact_products(q, x).tolist() == want
+    assert len({s for row in want for s in row}) > 300
+
+
+def test_very_large_components_end_no_query(spark, monkeypatch):
+    monkeypatch.setattr(T, "SHARD_ROWS", 40)
+    monkeypatch.setattr(T, "LEAF_ROWS", 8)
+    rng = np.random.default_rng(5)
+    data = [(i, (rng.normal(size=3) * 10.0 ** int(rng.integers(0, 22))).tolist()) for i in range(150)]
+    data += [(200, [1e18, 0.5, -1e18]), (201, [1.7e308, -1.7e308, 0.0]), (300, [1e308, 1.0, 1.0]), (202, [2.0**43, 1.0, 0.0])]
+    whole = lambda c: int(math.floor(min(max(1024 * c, -T.LARGEST), T.LARGEST)))
+    vectors = {i: [whole(c) for c in v] for i, v in data}
+    want = []
+    for q in sorted(vectors):
+        if q % 100 == 0:
+            scored = sorted((-min(max(sum(a * b for a, b in zip(vectors[q], v, strict=True)), T.LOW), T.HIGH), i) for i, v in vectors.items() if i != q)
+            want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:10])]
+    base = T.quantised(spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3))
+    got = T.top_k_inner_product(base, base.where("vec_id % 100 = 0"))
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == want
 
 
 def test_bounds_prune_but_keep_the_best():
