@@ -1,7 +1,7 @@
 """Personal data by weak supervision.
 
 Four base kinds have fixed patterns and are always reported.  Further
-candidates (numbers, secrets, names) come from loose patterns.  Regex,
+candidates (numbers, secrets, names, IBANs) come from loose patterns.  Regex,
 gazetteer and context labelers vote on every candidate and base span: +1
 personal, -1 not, 0 abstains.  Expectation-maximisation over the counts of
 all vote patterns in the corpus estimates each labeler's reliability and the
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from querytrail.llm.common import texts
 
 BASE = ("email", "ip", "card", "phone")
-ADDED = ("number", "secret", "name")
+ADDED = ("number", "secret", "name", "iban")
 KINDS = BASE + ADDED
 LABELERS = ("shape", "cue words", "other words", "delimiter", "structure", "variety", "edges")
 THRESHOLD = 0.5
@@ -38,7 +38,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 
-_NUMBER = re.compile(r"(?<![0-9A-Za-z+(])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,18}(?![0-9])")
+_NUMBER = re.compile(r"(?<![0-9A-Za-z+(])\(?[0-9](?:[ ().-]{0,2}[0-9]){6,}(?![0-9])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])")
 # Fixed word lists of the gazetteer labelers.
 _TITLES = "Mr Mrs Ms Dr Prof Herr Frau Mme Monsieur Madame Señor Señora Sra"
@@ -52,6 +52,12 @@ _CUES = re.compile(
 )
 _OTHER = re.compile(r"(?:version|licen[sc]e|page|pages|chapter|section|isbn|rfc|figure|table|no|vol|eur|usd)\W{0,3}\Z", re.I)
 _NAME = re.compile(rf"\b(?:{_TITLES.replace(' ', '|')})\.? (?=[^\W\d_a-z])[^\W\d_]+(?: (?=[^\W\d_a-z])[^\W\d_]+)?")
+# A capitalised word before another, the first of which the gazetteer may hold; a name after a phrase that announces it.
+_FIRST = re.compile(r"(?<!\w)[^\W\d_a-z][^\W\d_]*(?= [^\W\d_a-z])")
+_WORD = re.compile(r"[^\W\d_a-z][^\W\d_]*")
+_NAMED = re.compile(r"(?:\b[Mm]y name is|\b[Nn]ame:|\b[Ss]igned by|\b[Mm]ein Name ist|\b[Ii]ch heiße|\b[Jj]e m'appelle|\b[Mm]e llamo) \Z")
+_AFTER = re.compile(rf"{_NAMED.pattern[:-2]}({_WORD.pattern}(?: {_WORD.pattern})?)")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}\Z")
 _LOCAL_PHONE = re.compile(r"\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}\Z")
 _HEX = re.compile(r"(?:[0-9a-f]{32,}|[0-9A-F]{32,})\Z")
@@ -72,6 +78,36 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def iban_checks(span: str) -> bool:
+    """Whether the number's remainder modulo 97 is that of a valid IBAN."""
+    packed = span.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in packed[4:] + packed[:4])) % 97 == 1
+
+
+def _iban_end(span: str) -> int:
+    """The length of the longest valid beginning in whole groups (a word in
+    capitals may follow the last one); of ``span``, if none is valid."""
+    cut = span
+    while len(cut.replace(" ", "")) >= 15:
+        if iban_checks(cut):
+            return len(cut)
+        cut = cut[: max(cut.rfind(" "), 0)]
+    return len(span)
+
+
+def _listed_names(text: str, names: frozenset[str]) -> Iterator[tuple[int, int]]:
+    """A name of the gazetteer and the capitalised word after it; one more, if
+    that word is a name of the gazetteer or an initial too."""
+    for m in _FIRST.finditer(text):
+        if m[0] in names:
+            last = _WORD.match(text, m.end() + 1)
+            if last[0] in names or len(last[0]) == 1:
+                at = last.end() + (1 if len(last[0]) > 1 or text[last.end() : last.end() + 1] != "." else 2)
+                more = _WORD.match(text, at) if text[at - 1 : at] == " " else None
+                last = more or last
+            yield m.start(), last.end()
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(start, kind number, end)`` of the base kinds in code points: per kind
     the leftmost non-overlapping matches, those that fail a check dropped."""
@@ -104,17 +140,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def candidates(text: str, base: list[tuple[int, int, int]], names: frozenset[str] = _NAMES) -> list[tuple[int, int, int]]:
     """Further spans that may be personal data, free of base spans and of
     each other (leftmost first, then longest)."""
     found = []
     if _DIGIT.search(text):
+        found += [(m.start(), 7, m.start() + _iban_end(m[0])) for m in _IBAN.finditer(text)]
         found += [(m.start(), 4, m.end()) for m in _NUMBER.finditer(text)]
         for m in _SECRET.finditer(text):
             digits = sum("0" <= c <= "9" for c in m[0])
             if digits >= 4 and m.end() - m.start() - digits >= 4:
                 found.append((m.start(), 5, m.end()))
     found += [(m.start(), 6, m.end()) for m in _NAME.finditer(text)]
+    found += [(m.start(1), 6, m.end()) for m in _AFTER.finditer(text)]
+    found += [(start, 6, end) for start, end in _listed_names(text, names)]
     found.sort(key=lambda s: (s[0], -s[2]))
     out, done, i = [], 0, 0
     for start, kind, end in found:
@@ -126,31 +165,33 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
-def votes(text: str, start: int, kind: int, end: int) -> tuple[int, int]:
+def votes(text: str, start: int, kind: int, end: int, names: frozenset[str] = _NAMES) -> tuple[int, int]:
     """The vote pattern (base 3, one digit per labeler) and eight shape bits."""
     span, before = text[start:end], text[max(0, start - 24) : start]
     prev, nxt = text[start - 1 : start], text[end : end + 1]
     n = end - start
     digits = sum("0" <= c <= "9" for c in span)
     varied = len(set(span))
-    cue, other = _CUES.search(before.rstrip(" \"'=:(")), _OTHER.search(before)
+    cue, other = _CUES.search(before.rstrip(" \"'=:(")) or (kind == 6 and _NAMED.search(before)), _OTHER.search(before)
     if kind < len(BASE):
         shape = 1
     elif kind == 4:
         shape = 1 if _SSN.match(span) or _LOCAL_PHONE.match(span) else -1
     elif kind == 5:
         shape = 1 if _HEX.match(span) or _KEY.match(span) else 0
-    else:
+    elif kind == 6:
         shape = 1 if span.count(" ") == 2 else 0
+    else:
+        shape = 1 if iban_checks(span) else -1
     if kind == 4:
         only = _digits(span)
         structure = 1 if 12 <= len(only) <= 19 and luhn(only) else (-1 if len(only) >= 12 else 0)
     elif kind == 5:
         structure = 1 if 0.1 < digits / n < 0.9 else -1
     elif kind == 6:
-        structure = 1 if any(w in _NAMES for w in span.split()) else 0
+        structure = 1 if any(w in names for w in span.split()) else 0
     else:
-        structure = 1
+        structure = 1 if shape > 0 else -1
     apart = (not prev or not prev.isalnum()) and (not nxt or not nxt.isalnum())
     row = (
         shape,
@@ -172,10 +213,12 @@ def votes(text: str, start: int, kind: int, end: int) -> tuple[int, int]:
 @dataclass
 class PiiModel:
     """Per kind: the classifier's weights over the shape bits and a bias;
-    ``reliability``: how often each labeler is right when it votes."""
+    ``reliability``: how often each labeler is right when it votes;
+    ``names``: the gazetteer of first names."""
 
     weights: dict[int, np.ndarray] = field(default_factory=dict)
     reliability: dict[int, np.ndarray] = field(default_factory=dict)
+    names: frozenset[str] = _NAMES
 
     def probability(self, kind: int, shape: int) -> float:
         w = self.weights.get(kind)
@@ -235,25 +278,40 @@ def logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, l2: float = 1.0)
     return w
 
 
-def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> PiiModel:
-    """Count all votes in ``docs`` and train.  The counts that reach the
+#: First names that a gazetteer may hold, since every task gets it whole.
+MOST_NAMES = 200_000
+
+
+def gazetteer(names: DataFrame, column: str = "name") -> frozenset[str]:
+    """The distinct first names in a table, besides the built-in ones; more
+    than :data:`MOST_NAMES` are an error.  Null and blank ones are left out."""
+    name = F.trim(names[column].cast("string"))
+    rows = names.select(name.alias("name")).where("name <> ''").distinct().limit(MOST_NAMES + 1).collect()
+    if len(rows) > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} names")
+    return _NAMES | {r["name"] for r in rows}
+
+
+def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", names: frozenset[str] = _NAMES) -> PiiModel:
+    """Count all votes in ``docs`` and train.  ``names``: the first names that
+    the name labelers know, see :func:`gazetteer`.  The counts that reach the
     driver are one row for each kind, vote pattern and shape that occur: at
-    most 7 * 3**7 * 2**8, whatever the number of documents."""
+    most 8 * 3**7 * 2**8, whatever the number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[tuple[int, int, int], int] = {}
             for text in batch.column(1).to_pylist():
                 base = base_spans(text)
-                for start, kind, end in base + candidates(text, base):
-                    key = (kind, *votes(text, start, kind, end))
+                for start, kind, end in base + candidates(text, base, names):
+                    key = (kind, *votes(text, start, kind, end, names))
                     seen[key] = seen.get(key, 0) + 1
             rows = np.array([(*k, n) for k, n in seen.items()], np.int64).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([pa.array(rows[:, i]) for i in range(4)], ["kind", "pattern", "shape", "n"])
 
     counted = texts(docs, id_col, text_col).mapInArrow(run, "kind long, pattern long, shape long, n long")
     table = counted.groupBy("kind", "pattern", "shape").agg(F.sum("n").alias("n")).orderBy("kind", "pattern", "shape").collect()
-    model = PiiModel()
+    model = PiiModel(names=names)
     for kind in sorted({r["kind"] for r in table}):
         rows = [r for r in table if r["kind"] == kind]
         patterns, at = np.unique([r["pattern"] for r in rows], return_inverse=True)
@@ -268,8 +326,8 @@ def detect(text: str, model: PiiModel) -> list[tuple[int, int, int, float]]:
     probability 1, candidates from :data:`THRESHOLD` on."""
     base = base_spans(text)
     out = [(*s, 1.0) for s in base]
-    for start, kind, end in candidates(text, base):
-        p = model.probability(kind, votes(text, start, kind, end)[1])
+    for start, kind, end in candidates(text, base, model.names):
+        p = model.probability(kind, votes(text, start, kind, end, model.names)[1])
         if p >= THRESHOLD:
             out.append((start, kind, end, p))
     out.sort()

@@ -35,7 +35,7 @@ def test_base_spans_equal_plain_patterns():
 
 
 def test_long_runs_are_quick():
-    for t in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "+1" + " " * 100_000, "@" * 50_000, "a." * 50_000 + "@x.y", "1 " * 100_000, "Mr " * 30_000):
+    for t in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "+1" + " " * 100_000, "@" * 50_000, "a." * 50_000 + "@x.y", "1 " * 100_000, "Mr " * 30_000, "John " * 40_000, "DE89 " * 40_000, "DE12" + " A1B2" * 40_000, "My name is " * 20_000):
         P.candidates(t, P.base_spans(t))
 
 
@@ -108,3 +108,60 @@ def test_masked_keeps_other_columns(spark):
 def test_empty(spark):
     docs = documents(spark, [])
     assert P.digests(P.find(docs, P.fit(docs))).count() == 0
+
+
+def test_ibans_end_where_they_check():
+    good = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606", "NO9386011117947"]
+    for g in good:
+        assert P.iban_checks(g) and P.candidates(f"pay to {g} AND more", []) == [(7, 7, 7 + len(g))], g
+    assert not P.iban_checks("DE88370400440532013000")
+
+
+def test_planted_kinds_are_found_and_decoys_left(spark):
+    rng = random.Random(11)
+    first, last = ["Patricia", "John", "Maria", "Klaus", "José"], ["Smith", "Meyer", "Okafor", "Dupont", "Ng"]
+    key = lambda n: "".join(rng.choice("abcdef0123456789") for _ in range(n))
+
+    def iban():
+        account = "".join(rng.choice("0123456789") for _ in range(18))
+        return f"DE{98 - int(account + '131400') % 97:02d}{account}"
+
+    rows, want = [], {}
+    forms = {
+        "name": lambda: (rng.choice(["Contact {} today", "my name is {}.", "we met {} there", "Signed by {}"]), f"{rng.choice(first)} {rng.choice(last)}"),
+        "secret": lambda: (rng.choice(["token = \"{}\" end", "api key: {} end"]), key(rng.choice([32, 40, 64]))),
+        "iban": lambda: (rng.choice(["IBAN {} please", "account {} of"]), iban()),
+        "number": lambda: ("my ssn is: {} yes", f"{rng.randint(100, 999)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"),
+    }
+    for kind, make in forms.items():
+        for _ in range(60):
+            form, value = make()
+            want[len(rows)] = (kind, value)
+            rows.append((len(rows), form.format(value)))
+    decoys = ["The Old River and New Bridge", "version 1.20.300.4000", "page 1234567 of 7654321", "isbn 9783161484100", "1 " * 60, "Contact Customer Service now", "DE00 1111 2222 3333 4444 55 is none", "12345678901234567890123456789"]
+    rows += [(1000 + i * len(decoys) + j, d) for i in range(10) for j, d in enumerate(decoys)]
+    docs = documents(spark, rows).repartition(3)
+    text = {}
+    for i, t in rows:
+        text.setdefault(i, []).append(t)
+    got = P.find(docs, P.fit(docs)).collect()
+    hit = {k: 0 for k in forms}
+    wrong = []
+    for r in got:
+        if r["doc_id"] >= 1000:
+            wrong += [(text[r["doc_id"]], s["kind"], s["start"], s["end"]) for s in r["spans"] if s["kind"] in P.ADDED]
+            continue
+        kind, value = want[r["doc_id"]]
+        hit[kind] += any(text[r["doc_id"]][0][s["start"] : s["end"]] == value for s in r["spans"])
+    assert all(n >= 54 for n in hit.values()), hit
+    assert not wrong
+
+
+def test_names_of_a_table(spark):
+    table = spark.createDataFrame([("Wanjiru",), (" Wanjiru ",), (None,), ("",), ("Siobhán",)], "name string")
+    names = P.gazetteer(table)
+    assert {"Wanjiru", "Siobhán", "John"} <= names and "" not in names
+    docs = documents(spark, [(i, f"then {n} Kamau left {i}") for i in range(20) for n in ("Wanjiru", "Siobhán")])
+    assert all([s["kind"] for s in r["spans"]] == ["name"] for r in P.find(docs, P.fit(docs, names=names)).collect())
+    assert not any(r["spans"] for r in P.find(docs, P.fit(docs)).collect())
+    assert P.candidates("John F. Kennedy, Anna Maria Schmidt, John A", []) == [(0, 6, 15), (17, 6, 35), (37, 6, 43)]
