@@ -63,7 +63,7 @@ from querytrail.sources.wire import event_rows, events_wire, parts_wire
 from querytrail.streaming.dedupe import distinct_messages
 from querytrail.streaming.live import latest_counts, latest_window_counts, live_counts, live_trending
 from querytrail.streaming.ranking import latest_topk, live_topk
-from querytrail.streaming.runner import run_to_end, start
+from querytrail.streaming.runner import run_to_end, start, state_partitions
 from querytrail.streaming.supervise import Restarts, supervise
 
 # Fixed parameters of the registered queries.
@@ -320,7 +320,8 @@ def q_live_trending_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "live_trending_update")
     stream, sink = _event_stream(spark, sf_dir, base), SinkConfig(root=base)
     counts = live_trending(decoded_events(stream), watermark=LONG_WATERMARK)
-    run_to_end(live_trending_stream(stream, sink, os.path.join(base, "checkpoint"), LONG_WATERMARK, trigger=DRAIN))
+    checkpoint, partitions = os.path.join(base, "checkpoint"), state_partitions(spark)
+    run_to_end(live_trending_stream(stream, sink, checkpoint, LONG_WATERMARK, trigger=DRAIN, partitions=partitions))
     return to_ntz(latest_window_counts(_written(spark, counts, LIVE_TRENDING, sink)))
 
 

@@ -192,6 +192,7 @@ def live_trending_stream(
     mode: str = "update",
     name: str = LIVE_TRENDING,
     trigger: dict | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Counts per window and term kept live on the stream.
 
@@ -200,14 +201,15 @@ def live_trending_stream(
     windows the watermark has closed, ``complete`` replaces the table with
     the whole result every batch (its state is never freed: for tables that
     stay small).  ``watermark`` has no default: rows that come later than it
-    are not counted, so it must suit the topic.
+    are not counted, so it must suit the topic.  ``partitions`` is that of
+    :func:`querytrail.streaming.start`.
     """
     from querytrail.sinks.batches import replace_each_batch
     from querytrail.streaming.live import live_trending
 
     counts = live_trending(with_event_time(decode(stream, EVENT)), watermark, width=width)
     writer = replace_each_batch(name, sink) if mode == "complete" else append_batches(name, sink, owner=checkpoint)
-    return start(counts, checkpoint, mode=mode, trigger=trigger, foreach_batch=writer)
+    return start(counts, checkpoint, mode=mode, trigger=trigger, foreach_batch=writer, partitions=partitions)
 
 
 def decoded_events(messages: DataFrame) -> DataFrame:

@@ -115,35 +115,41 @@ def append_batches(
     checkpoint: pass that checkpoint as ``owner`` and a stream with another
     checkpoint is refused (checked once per writer).
 
-    Nothing is cached: ``isEmpty`` stops at the first row, and with
-    ``log_count`` the rows are counted while they are written (the reference
-    computed a batch up to three times).
+    Nothing is cached, and for file formats a batch is computed once: its rows
+    are counted while they are written, which also says whether it was empty
+    (the reference computed a batch up to three times).  On a stream with
+    state a look at the batch beforehand would run its state's tasks, Python
+    and commits included, once more.  Other formats still look (``isEmpty``).
     """
     files = sink.fmt in FILE_FORMATS
     if ledger is not None and (files or owner is None):
         raise ValueError("a ledger is for formats other than files, and needs an owner")
-    claimed = False
+    claimed, table = False, None
 
     def write(df: DataFrame, batch_id: int) -> None:
-        nonlocal claimed
+        nonlocal claimed, table
         spark = df.sparkSession
         added = [BATCH_COLUMN] if files else [STREAM_COLUMN, BATCH_COLUMN] if ledger is not None else []
         clash = [c for c in added if c in df.columns]
         if clash:
             raise ValueError(f"the stream already has a {clash[0]!r} column; rename it before appending batches")
+        if files and sink.snapshots and table is None:
+            table = sink.table(spark, name)
         if owner is not None and not claimed and files:
-            sink.table(spark, name).claim(owner) if sink.snapshots else claim_output(spark, sink.path(name), owner)
+            table.claim(owner) if sink.snapshots else claim_output(spark, sink.path(name), owner)
             claimed = True
-        if df.isEmpty():
+        folder = Store(spark, sink.path(name)) if files and not sink.snapshots else None
+        fresh = folder is not None and not folder.exists()
+        if not files and df.isEmpty():
             log.info("batch %s of %s is empty; nothing written", batch_id, name)
             return
         seen = Observation()
-        if log_count:
+        if files or log_count:
             df = df.observe(seen, F.count(F.lit(1)).alias("n"))
         out = df.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long")) if added else df
         if files and sink.snapshots:
-            if sink.table(spark, name).append(out, owner or name, int(batch_id)) is None:
-                log.info("batch %s of %s is a replay; nothing written", batch_id, name)
+            if table.append(out, owner or name, int(batch_id), rows=lambda: seen.get["n"]) is None:
+                log.info("batch %s of %s is a replay or empty; nothing written", batch_id, name)
                 return
         elif files:
             w = out.write.format(sink.fmt).mode("overwrite").options(**sink.options)
@@ -163,7 +169,12 @@ def append_batches(
             ledger.finish(spark, name, owner, int(batch_id))
         else:
             write_table(df, name, sink, mode="append")
-        log.info("batch %s: %s rows appended to %s", batch_id, seen.get["n"] if log_count else "some", name)
+        if files and not seen.get["n"]:
+            if fresh and all(e.name.startswith("_") for e in folder.entries()):  # the writer's own marks
+                folder.delete("")
+            log.info("batch %s of %s is empty; nothing written", batch_id, name)
+            return
+        log.info("batch %s: %s rows appended to %s", batch_id, seen.get["n"] if files or log_count else "some", name)
 
     return write
 

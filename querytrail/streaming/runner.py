@@ -22,14 +22,26 @@ STATE_STORES: dict[str, dict[str, str]] = {
 }
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """One for each core, at most the session's shuffle partitions: each
+    partition of a query's state is a task and a commit in every micro-batch,
+    however few rows it gets, and a micro-batch's size is its trigger's, not
+    the topic's."""
+    return min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 @contextmanager
-def state_store(spark: SparkSession, kind: str | None) -> Iterator[None]:
-    """Queries that start inside keep their state in a store of this kind: a
-    query takes the session's settings when it starts, and they are put back
-    afterwards."""
+def state_store(spark: SparkSession, kind: str | None, partitions: int | None = None) -> Iterator[None]:
+    """Queries that start inside keep their state in a store of this kind, in
+    so many partitions: a query takes the session's settings when it starts,
+    and they are put back afterwards."""
     if kind is not None and kind not in STATE_STORES:
         raise ValueError(f"unknown state store {kind!r}; known: {sorted(STATE_STORES)}")
-    wanted = STATE_STORES.get(kind, {})
+    if partitions is not None and partitions <= 0:
+        raise ValueError("the number of partitions must be positive")
+    wanted = dict(STATE_STORES.get(kind, {}))
+    if partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
     before = {key: spark.conf.get(key, None) for key in wanted}
     try:
         for key, value in wanted.items():
@@ -51,6 +63,7 @@ def start(
     path: str | None = None,
     query_name: str | None = None,
     state: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Start ``sdf`` with a required checkpoint (T4).
 
@@ -62,6 +75,9 @@ def start(
     ``state`` names the store of a stateful query (:data:`STATE_STORES`):
     ``rocksdb`` for state that outgrows the executors' heaps; by default the
     session's.  A checkpoint belongs to the store it was begun with.
+    ``partitions`` is the number of the state's partitions
+    (:func:`state_partitions`), by default the session's; a checkpoint keeps
+    the number it was begun with.
     """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
@@ -76,7 +92,7 @@ def start(
         w = w.format(fmt)
     if options:
         w = w.options(**options)
-    with state_store(sdf.sparkSession, state):
+    with state_store(sdf.sparkSession, state, partitions):
         return w.start(path) if path else w.start()
 
 

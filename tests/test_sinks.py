@@ -81,6 +81,24 @@ def test_append_batches_skips_empty(spark, scratch):
     assert not os.path.exists(os.path.join(scratch, "hits"))
 
 
+@pytest.mark.parametrize("snapshots", [False, True])
+def test_append_batches_computes_a_batch_once(spark, scratch, snapshots):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(x):
+        seen.add(1)
+        return (x,)
+
+    sink = SinkConfig(root=scratch, snapshots=snapshots)
+    write = append_batches("t", sink, log_count=False, owner="ck")
+    for batch, n in enumerate((40, 0, 40)):
+        write(spark.createDataFrame(spark.sparkContext.range(n, numSlices=4).map(counted), "x long"), batch)
+    assert seen.value == 80  # a look for the first row would have computed a part of each batch again
+    assert read_batches(spark, "t", sink).count() == 80
+    if snapshots:
+        assert len(sink.table(spark, "t").current().folders) == 2  # the empty batch left none
+
+
 def test_replace_each_batch(spark, scratch):
     sink = SinkConfig(root=scratch)
     fn = replace_each_batch("t", sink)

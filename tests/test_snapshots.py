@@ -416,3 +416,20 @@ def test_columns_that_the_ledger_adds_must_be_free(spark, scratch):
     fn = append_batches("t", SinkConfig(fmt="testcollection"), owner="a", ledger=BatchLedger(scratch))
     with pytest.raises(ValueError, match="stream"):
         fn(_df(spark, ["x"], "stream string"), 0)
+
+
+def test_a_writer_finds_its_next_number_without_listing_the_log(spark, scratch, monkeypatch):
+    table = SnapshotTable(spark, os.path.join(scratch, "t"))
+    table.append(_df(spark, [0]), "s", 0)
+    listed = []
+    entries = Store.entries
+    monkeypatch.setattr(Store, "entries", lambda self, name="": listed.append(name) or entries(self, name))
+    for batch in range(1, 4):
+        assert table.append(_df(spark, [batch]), "s", batch).number == batch
+    assert "_log" not in listed
+    other = SnapshotTable(spark, table.path)
+    other.append(_df(spark, [4]))
+    other.compact()
+    other.expire(keep=1)
+    assert table.append(_df(spark, [5]), "s", 5).number == 6  # all that this one knew is gone
+    assert _values(table.read()) == [0, 1, 2, 3, 4, 5]

@@ -146,6 +146,24 @@ def test_empty_streams_give_no_rows(spark, scratch):
         assert C.QUERIES[name](spark, os.path.join(scratch, "in")).count() == 0, name
 
 
+@pytest.mark.parametrize("name", ["live_trending_update"])
+def test_state_has_no_more_partitions_than_cores(spark, name, monkeypatch):
+    from querytrail.plans import catalog as C
+
+    ran = []
+    monkeypatch.setattr(C, "run_to_end", lambda q, *a: ran.append(run_to_end(q, *a)))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "23")
+        assert C.QUERIES[name](spark, SF_SMALL).count() > 0
+        assert spark.conf.get(key) == "23"
+    finally:
+        spark.conf.set(key, before)
+    states = [s for p in ran[0].recentProgress for s in p.stateOperators]
+    assert states and {s.numShufflePartitions for s in states} == {spark.sparkContext.defaultParallelism}
+
+
 def test_batches_grow_in_number_not_in_size(spark, scratch):
     msgs = events_wire(load_table(spark, SF_SMALL, "events"))
     n = msgs.count()
