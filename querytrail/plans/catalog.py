@@ -441,7 +441,7 @@ def q_stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = distinct_messages(stream, ["event_id"], "timestamp_dt", LONG_WATERMARK)
     sink, checkpoint = SinkConfig(root=base, snapshots=True), os.path.join(base, "checkpoint")
     append = append_batches("once", sink, log_count=False, owner=checkpoint)
-    run_to_end(start(once, checkpoint, trigger=DRAIN, foreach_batch=append, state="rocksdb"))
+    run_to_end(start(once, checkpoint, trigger=DRAIN, foreach_batch=append, state="rocksdb", partitions=state_partitions(spark)))
     return to_ntz(read_table(spark, "once", sink, once.schema).select(*once.columns))
 
 
