@@ -266,7 +266,7 @@ def _drain(spark: SparkSession, result: DataFrame, base: str, name: str, mode: s
     sink = SinkConfig(root=base)
     checkpoint = os.path.join(base, "checkpoint")
     writer = append_batches(name, sink, log_count=False, owner=checkpoint)
-    run_to_end(start(result, checkpoint, mode=mode, trigger=DRAIN, foreach_batch=writer))
+    run_to_end(start(result, checkpoint, mode=mode, trigger=DRAIN, foreach_batch=writer, partitions=state_partitions(spark)))
     return _written(spark, result, name, sink)
 
 
