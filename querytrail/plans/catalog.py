@@ -423,7 +423,7 @@ def q_live_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink, checkpoint = SinkConfig(root=base, snapshots=True), os.path.join(base, "checkpoint")
     top = live_topk(timed, LONG_WATERMARK, RANK_K, buckets=LIVE_BUCKETS)
     append = append_batches("top", sink, log_count=False, owner=checkpoint)
-    run_to_end(start(top, checkpoint, mode="update", trigger=DRAIN, foreach_batch=append, state="rocksdb"))
+    run_to_end(start(top, checkpoint, mode="update", trigger=DRAIN, foreach_batch=append, state="rocksdb", partitions=state_partitions(spark)))
     return to_ntz(latest_topk(read_table(spark, "top", sink, top.schema).select(*top.columns), RANK_K))
 
 
