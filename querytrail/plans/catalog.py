@@ -309,7 +309,8 @@ def q_live_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "live_trending")
     stream, sink = _event_stream(spark, sf_dir, base), SinkConfig(root=base)
     counts = live_trending(decoded_events(stream), watermark="1 hour")
-    run_to_end(live_trending_stream(stream, sink, os.path.join(base, "checkpoint"), "1 hour", mode="complete", trigger=DRAIN))
+    checkpoint, partitions = os.path.join(base, "checkpoint"), state_partitions(spark)
+    run_to_end(live_trending_stream(stream, sink, checkpoint, "1 hour", mode="complete", trigger=DRAIN, partitions=partitions))
     return to_ntz(_written(spark, counts, LIVE_TRENDING, sink))
 
 

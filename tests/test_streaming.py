@@ -146,7 +146,7 @@ def test_empty_streams_give_no_rows(spark, scratch):
         assert C.QUERIES[name](spark, os.path.join(scratch, "in")).count() == 0, name
 
 
-@pytest.mark.parametrize("name", ["live_trending_update", "stream_deduplicated", "stream_user_pivot", "live_topk"])
+@pytest.mark.parametrize("name", ["live_trending", "live_trending_update", "stream_user_pivot", "live_topk", "stream_deduplicated"])
 def test_state_has_no_more_partitions_than_cores(spark, name, monkeypatch):
     from querytrail.plans import catalog as C
 
