@@ -28,11 +28,16 @@ class Store:
         self._jvm = spark.sparkContext._jvm
         self._gateway = spark.sparkContext._gateway
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        # Looked up once: each step of such a name is a round trip to the JVM.
+        self._make_path, self._files = self._jvm.org.apache.hadoop.fs.Path, self._jvm.java.nio.file.Files
         self.root = root.rstrip("/") or "/"
         self._fs = self._path("").getFileSystem(self._conf)
 
     def _path(self, name: str):
-        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+        return self._make_path(f"{self.root}/{name}" if name else self.root)
+
+    def _local(self, path):
+        return self._jvm.java.nio.file.Paths.get(path.toUri().getPath(), self._gateway.new_array(self._jvm.String, 0))
 
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._path(name))
@@ -68,21 +73,21 @@ class Store:
         folder, _, leaf = name.rpartition("/")
         hidden = f"{folder + '/' if folder else ''}.{leaf}-{uuid.uuid4().hex}"
         source, target = self._path(hidden), self._path(name)
+        data = bytearray(text.encode())
+        if self._fs.getUri().getScheme() == "file":
+            # Without Hadoop's file system, which starts a process to set each new file's mode.
+            return self._link_new(self._local(source), self._local(target), data)
         out = self._fs.create(source, True)
         try:
-            out.write(bytearray(text.encode()))
+            out.write(data)
         finally:
             out.close()
         try:
-            if self._fs.getUri().getScheme() == "file":
-                local = [self._jvm.java.nio.file.Paths.get(p.toUri().getPath(), self._gateway.new_array(self._jvm.String, 0)) for p in (target, source)]
-                self._jvm.java.nio.file.Files.createLink(*local)
-            else:
-                fs = self._jvm.org.apache.hadoop.fs
-                rename = getattr(fs, "Options$Rename")
-                keep = self._gateway.new_array(rename, 1)
-                keep[0] = rename.NONE
-                fs.FileContext.getFileContext(self._fs.makeQualified(target).toUri(), self._conf).rename(source, target, keep)
+            fs = self._jvm.org.apache.hadoop.fs
+            rename = getattr(fs, "Options$Rename")
+            keep = self._gateway.new_array(rename, 1)
+            keep[0] = rename.NONE
+            fs.FileContext.getFileContext(self._fs.makeQualified(target).toUri(), self._conf).rename(source, target, keep)
             return True
         except Py4JJavaError as e:
             if _is(e, "FileAlreadyExistsException"):
@@ -91,6 +96,19 @@ class Store:
         finally:
             self._fs.delete(source, False)
 
+    def _link_new(self, source, target, data: bytearray) -> bool:
+        self._files.createDirectories(target.getParent(), self._gateway.new_array(self._jvm.java.nio.file.attribute.FileAttribute, 0))
+        try:
+            self._files.write(source, data, self._gateway.new_array(self._jvm.java.nio.file.OpenOption, 0))
+            self._files.createLink(target, source)
+            return True
+        except Py4JJavaError as e:
+            if _is(e, "FileAlreadyExistsException"):
+                return False
+            raise
+        finally:
+            self._files.deleteIfExists(source)
+
     def rename(self, old: str, new: str) -> None:
         try:
             done = self._fs.rename(self._path(old), self._path(new))

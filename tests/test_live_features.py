@@ -9,6 +9,7 @@ import pytest
 from conftest import SF_SMALL, messages
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from querytrail.functions import decode, route, with_event_time
 from querytrail.operators import trending_topk
@@ -122,6 +123,26 @@ def test_the_state_of_repeats_is_bounded_by_the_span(spark, scratch):
     assert max(held) <= 20 * 5 and sum(p["numInputRows"] for p in query.recentProgress) == 240
 
 
+def test_an_endless_span_never_reads_the_whole_state(spark, scratch):
+    years = [(1, 1969), (2, 2024), (3, 9999), (4, 1971), (5, 2200)]
+    sent = [json.dumps({"user_id": 1, "search": "a", "timestamp": f"{y}-01-01T00:00:00Z", "id": i}) for i, y in years]
+    topic = _files(spark, os.path.join(scratch, "topic"), [sent[:3], sent[2:], sent, sent[::-1]])
+    schema = StructType([*(f for f in EVENT.fields if f.name != "id"), StructField("id", LongType())])
+    stream = with_event_time(decode(stream_topic_files(spark, topic, 1), schema))
+    sink = SinkConfig(root=scratch, snapshots=True)
+    read, rows = {}, {}
+    for span in ("36500 days", "100 years", "2 hours"):
+        once = distinct_messages(stream, ["id"], "timestamp_dt", span)
+        checkpoint = os.path.join(scratch, f"ck {span}")
+        query = run_to_end(start(once, checkpoint, trigger=DRAIN, foreach_batch=append_batches(span, sink), state="rocksdb"), 300)
+        states = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+        read[span] = sum(m["rocksdbTotalBytesReadThroughIterator"] for m in states)
+        rows[span] = sorted(r.id for r in read_batches(spark, span, sink).collect())
+    # a short span's state is read to free what has expired; no message is late for an endless one
+    assert read["2 hours"] > 0 == read["36500 days"] == read["100 years"]
+    assert rows["36500 days"] == rows["100 years"] == [1, 2, 3, 4, 5]
+
+
 def test_digests_rows_without_time_and_arguments(spark):
     df = messages(spark, [_event(1, "a"), _event(1, "a"), _event(2, "a"), _event(None, "a"), "junk"]).withColumn("key", message_digest())
     timed = with_event_time(decode(df, EVENT, keep=["key"]))
